@@ -166,14 +166,16 @@ def _lag_features(df: DataFrame, series_col: str, time_col: str, target_col: str
 def forecast_pooled(train: DataFrame, *, series_col: str = "series",
                     time_col: str = "week_date", target_col: str = "price",
                     horizon: int = 12, level: float = 0.95, places: int = 4,
-                    reg_param: float = 0.01, elastic_net: float = 0.5) -> DataFrame:
+                    reg_param: float = 0.01) -> DataFrame:
     """One linear model for all series: change over ``h`` steps ~ step + lagged changes.
 
     Training rows are every (series, week, step) with a known future value;
-    fitting is ``pyspark.ml`` LinearRegression (distributed tree-aggregate,
-    no data on the driver). Intervals come from the absolute training
+    fitting is ``pyspark.ml`` LinearRegression with the normal-equation
+    solver (ridge penalty): one distributed aggregation pass builds the small
+    Gram matrix, nothing row-level reaches the driver. Intervals come from the absolute training
     residuals per step (``percentile_approx``), so lower <= forecast <= upper.
     """
+    from pyspark import StorageLevel
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
 
@@ -186,14 +188,23 @@ def forecast_pooled(train: DataFrame, *, series_col: str = "series",
     complete = F.lit(True)
     for c in feat_cols:
         complete = complete & F.col(c).isNotNull()
-    fit_rows = rows.filter(complete & F.col("label").isNotNull())
+    fit_rows = rows.filter(complete & F.col("label").isNotNull()).select(*feat_cols, "label")
     assembler = VectorAssembler(inputCols=feat_cols, outputCol="features")
-    model = LinearRegression(featuresCol="features", labelCol="label", regParam=reg_param,
-                             elasticNetParam=elastic_net).fit(assembler.transform(fit_rows))
-    resid = (model.transform(assembler.transform(fit_rows))
-                  .groupBy("h")
-                  .agg(F.percentile_approx(F.abs(F.col("label") - F.col("prediction")),
-                                           level, 10000).alias("q")))
+    # Fit and residual pass read the same rows: keep them for these two passes
+    # only (a lost executor recomputes its blocks from lineage).
+    staged = assembler.transform(fit_rows).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = LinearRegression(featuresCol="features", labelCol="label", regParam=reg_param,
+                                 elasticNetParam=0.0, solver="normal").fit(staged)
+        # One quantile per step: at most ``horizon`` numbers reach the driver.
+        spread = (model.transform(staged)
+                       .groupBy("h")
+                       .agg(F.percentile_approx(F.abs(F.col("label") - F.col("prediction")),
+                                                level, 10000).alias("q"))
+                       .collect())
+    finally:
+        staged.unpersist()
+    qmap = F.create_map(*[F.lit(x) for r in spread for x in (float(r["h"]), float(r["q"]))])
     # Newest row of each series by a partial max_by aggregate (no second sort).
     newest = F.max_by(F.struct(*[F.col(c) for c in base.columns]), F.col(time_col))
     last = (base.groupBy(F.col(series_col).alias("_k")).agg(newest.alias("_r"))
@@ -202,6 +213,6 @@ def forecast_pooled(train: DataFrame, *, series_col: str = "series",
                 .withColumn("h", F.col("h").cast("double"))
                 .withColumn("ts", F.date_add(F.col(time_col), F.col("h").cast("int") * 7)))
     ready = last.filter(complete)
-    pred = model.transform(assembler.transform(ready)).join(F.broadcast(resid), on="h")
+    pred = model.transform(assembler.transform(ready)).withColumn("q", qmap[F.col("h")])
     center = F.col("y") + F.col("prediction")
     return _out(pred, series_col, center, F.col("q"), places)

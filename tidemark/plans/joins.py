@@ -21,12 +21,27 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) ->
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+# Decisions already taken for an unchanged input (same files, same plan).
+_DECISIONS: dict[tuple, bool] = {}
+
+
+def _plan_key(df: DataFrame, max_rows: int) -> tuple:
+    plan = df._jdf.queryExecution().optimizedPlan().canonicalized().toString()
+    return (plan, tuple(sorted(df.inputFiles())), max_rows)
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
                     ) -> tuple[DataFrame, bool]:
-    """Return ``(broadcast(df), True)`` if it is small enough, else ``(df, False)``."""
-    if fits_broadcast(df, max_rows):
-        return F.broadcast(df), True
-    return df, False
+    """Return ``(broadcast(df), True)`` if it is small enough, else ``(df, False)``.
+
+    The check result is remembered for the same plan over the same files, so
+    a dimension used by several queries of one session is counted once.
+    """
+    key = _plan_key(df, max_rows)
+    ok = _DECISIONS.get(key)
+    if ok is None:
+        ok = _DECISIONS[key] = fits_broadcast(df, max_rows)
+    return (F.broadcast(df), True) if ok else (df, False)
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",

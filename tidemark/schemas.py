@@ -87,3 +87,47 @@ PAYLOAD = StructType([
         StructField("data", ArrayType(PAYLOAD_POINT)),
     ])),
 ])
+
+# ---- driver tables (read with these schemas: no footer inference per scan) --
+from pyspark.sql.types import IntegerType  # noqa: E402
+
+_T = TimestampNTZType
+SOURCE_TABLES = {
+    "region": StructType([StructField("r_regionkey", IntegerType()),
+                          StructField("r_name", StringType())]),
+    "nation": StructType([StructField("n_nationkey", IntegerType()),
+                          StructField("n_name", StringType()),
+                          StructField("n_regionkey", IntegerType())]),
+    "customer": StructType([StructField("c_custkey", LongType()),
+                            StructField("c_name", StringType()),
+                            StructField("c_nationkey", IntegerType()),
+                            StructField("c_acctbal", DoubleType()),
+                            StructField("c_mktsegment", StringType())]),
+    "supplier": StructType([StructField("s_suppkey", LongType()),
+                            StructField("s_name", StringType()),
+                            StructField("s_nationkey", IntegerType()),
+                            StructField("s_acctbal", DoubleType())]),
+    "orders": StructType([StructField("o_orderkey", LongType()),
+                          StructField("o_custkey", LongType()),
+                          StructField("o_orderstatus", StringType()),
+                          StructField("o_totalprice", DoubleType()),
+                          StructField("o_orderdate", _T()),
+                          StructField("o_orderpriority", StringType())]),
+    "lineitem": StructType([StructField("l_orderkey", LongType()),
+                            StructField("l_partkey", LongType()),
+                            StructField("l_suppkey", LongType()),
+                            StructField("l_linenumber", IntegerType()),
+                            StructField("l_quantity", DoubleType()),
+                            StructField("l_extendedprice", DoubleType()),
+                            StructField("l_discount", DoubleType()),
+                            StructField("l_tax", DoubleType()),
+                            StructField("l_returnflag", StringType()),
+                            StructField("l_linestatus", StringType()),
+                            StructField("l_shipdate", _T())]),
+    "events": StructType([StructField("event_id", LongType()),
+                          StructField("ts", _T()),
+                          StructField("user_id", LongType()),
+                          StructField("event_type", StringType()),
+                          StructField("value", DoubleType()),
+                          StructField("props", StringType())]),
+}

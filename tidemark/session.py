@@ -29,6 +29,9 @@ _BASE_CONF = {
     # automatic threshold modest so Catalyst never broadcasts a grown table.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.ui.enabled": "false",
+    # Per-call Python call-site capture (error context for notebooks) costs
+    # two JVM round trips per column function while plans are built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -51,7 +54,7 @@ def build_session(master: str = "local[8]", app: str = "tidemark",
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the package's runtime SQL settings where the session has none."""
     for k, v in _BASE_CONF.items():
-        if k.startswith("spark.sql.") and spark.conf.get(k, None) is None:
+        if k.startswith(("spark.sql.", "spark.python.sql.")) and spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
     # The one setting that must hold for results to be right.
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -76,7 +76,10 @@ def payload_rejects(df: DataFrame, keep_cols: Sequence[str] = ()) -> DataFrame:
     """Documents that could not be parsed under ``on_error="skip"``."""
     if "_corrupt_record" not in df.columns:
         return df.limit(0).select(*keep_cols)
-    return df.filter(F.col("_corrupt_record").isNotNull()).select(*keep_cols, "_corrupt_record")
+    # Referencing a parsed column too keeps Spark from rejecting a query that
+    # reads only the corrupt-record column of raw JSON.
+    bad = F.col("_corrupt_record").isNotNull() & F.col("response").isNull()
+    return df.filter(bad).select(*keep_cols, "_corrupt_record")
 
 
 def build_payload_pages(points: DataFrame, *, series_col: str, page_col: str,

@@ -1,0 +1 @@
+"""Incremental loads: file-source streams with foreachBatch upserts."""
