@@ -62,11 +62,13 @@ def publish(df: DataFrame, table_dir: str, *, version: int | None = None,
 def read_version(spark: SparkSession, table_dir: str, version: int | None = None,
                  schema=None) -> DataFrame | None:
     """Read a committed version (default: the newest); None if there is none."""
+    done = committed_versions(spark, table_dir)
     if version is None:
-        done = committed_versions(spark, table_dir)
         if not done:
             return None
         version = done[-1]
+    elif version not in done:
+        return None
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(version_path(table_dir, version))
 

@@ -53,7 +53,8 @@ def stage(batch: DataFrame, schema, *, run_ts, load_ts_col: str = "load_ts",
     cols = []
     for f in schema.fields:
         if f.name == load_ts_col:
-            cols.append(F.lit(run_ts).cast(f.dataType).alias(f.name))
+            ts = F.lit(run_ts) if run_ts is not None else F.current_timestamp()
+            cols.append(ts.cast(f.dataType).alias(f.name))
         elif f.name in batch.columns:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
         elif f.name in defaults:

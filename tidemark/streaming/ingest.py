@@ -16,6 +16,7 @@ input. Late or revised points are absorbed by the upsert (later load wins).
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.plans.publish import publish, read_version, version_path
-from tidemark.plans.upsert import keyed_upsert
+from tidemark.plans.upsert import assert_unique, dedupe_last, keyed_upsert, stage
 from tidemark.schemas import PAYLOAD
 from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources.payload import explode_payload
@@ -48,23 +49,31 @@ def run_incremental_load(spark: SparkSession, *, landing_dir: str, table_dir: st
                          initial: DataFrame, keys: Sequence[str],
                          to_rows: Callable[[DataFrame], DataFrame],
                          run_ts: str | None = None, checkpoint: str | None = None,
-                         label_field: str = "series") -> None:
+                         label_field: str = "series", defaults: dict | None = None) -> None:
     """Process every landed file not yet loaded, then stop (one scheduled run).
 
-    ``to_rows`` turns exploded points (label, _file, pos, period, value) into
-    rows of the table schema; duplicates within a batch keep the point that
-    came later in file order (file name, position).
+    ``to_rows`` turns exploded points (label, _file, pos, period, value, and
+    ``_ord`` = file order) into rows with the table's key and value columns.
+    If its output keeps ``_ord``, repeated keys keep the later point;
+    otherwise keys must be unique. Missing columns are filled by the typed
+    stage (constants from ``defaults``, load time = ``run_ts``).
     """
     if read_version(spark, table_dir, 0) is None:
         publish(initial, table_dir, version=0)
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/loads/{abs(hash(table_dir))}"
+    # Stable per table (Python's str hash changes between processes).
+    tag = hashlib.sha1(table_dir.encode()).hexdigest()[:16]
+    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/loads/{tag}"
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         points = explode_payload(batch, keep_cols=[label_field, "_file"])
         rows = to_rows(points.withColumn("_ord", F.struct("_file", "pos")))
+        if "_ord" in rows.columns:
+            rows = dedupe_last(rows, keys, "_ord")
+        else:
+            assert_unique(rows, keys)
         target = spark.read.parquet(version_path(table_dir, epoch_id))
-        merged = keyed_upsert(target, rows, keys, run_ts=run_ts, on_duplicate="last",
-                              order_col="_ord")
+        staged = stage(rows, target.schema, run_ts=run_ts, defaults=defaults)
+        merged = keyed_upsert(target, staged, keys, on_duplicate="assume_unique")
         publish(merged, table_dir, version=epoch_id + 1)
 
     query = (payload_stream(spark, landing_dir, label_field=label_field)
