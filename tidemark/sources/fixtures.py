@@ -12,6 +12,8 @@ DuckDB comparison; the two must stay in step.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +54,27 @@ FIXTURE_LOAD_TS = "2026-01-05 00:00:00"
 # -----------------------------------------------------------------------------
 
 
+def _shared(fn):
+    """Build each fixture plan once per (session, folder).
+
+    A DataFrame is an immutable, lazy plan, so handing the same object to
+    several queries is safe; it saves plan construction and gives repeated
+    uses identical subtrees, which Spark reuses (one shuffle, not several).
+    """
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, base_dir: str, *args):
+        key = (id(spark), spark.sparkContext.applicationId, base_dir, args)
+        df = cache.get(key)
+        if df is None:
+            df = cache[key] = fn(spark, base_dir, *args)
+        return df
+
+    wrapper.cache_clear = cache.clear
+    return wrapper
+
+
 def load_ts_lit(ts: str = FIXTURE_LOAD_TS):
     return F.lit(ts).cast("timestamp_ntz")
 
@@ -60,6 +83,7 @@ def _price(avg_expr):
     return round_half_away(avg_expr / F.lit(PRICE_SCALE), 4)
 
 
+@_shared
 def fuel_weekly(spark: SparkSession, base_dir: str) -> DataFrame:
     """National table: one row per order week, four grades + all_grades."""
     o = read_table(spark, base_dir, "orders", ["o_orderdate", "o_totalprice", "o_orderpriority"])
@@ -76,6 +100,7 @@ def fuel_weekly(spark: SparkSession, base_dir: str) -> DataFrame:
                      load_ts_lit().alias("load_ts")))
 
 
+@_shared
 def customer_regions(spark: SparkSession, base_dir: str, level: str = "region") -> DataFrame:
     """custkey -> region name (or nation name); nation/region are 25/5 rows."""
     c = read_table(spark, base_dir, "customer", ["c_custkey", "c_nationkey"])
@@ -117,6 +142,7 @@ def _orders_by_area(spark: SparkSession, base_dir: str, level: str,
                   .agg(F.sum("s").alias("s"), F.sum("n").alias("n")))
 
 
+@_shared
 def regional_weekly(spark: SparkSession, base_dir: str) -> DataFrame:
     """Regional table: one row per (order week, customer region)."""
     agg = _orders_by_area(spark, base_dir, "region")
@@ -127,6 +153,7 @@ def regional_weekly(spark: SparkSession, base_dir: str) -> DataFrame:
         F.lit(REGIONAL_SOURCE).alias("source"), load_ts_lit().alias("load_ts"))
 
 
+@_shared
 def many_series(spark: SparkSession, base_dir: str) -> DataFrame:
     """125 series: nation x order priority x week (for scale runs)."""
     agg = _orders_by_area(spark, base_dir, "nation", extra_keys=("o_orderpriority",))
@@ -135,6 +162,7 @@ def many_series(spark: SparkSession, base_dir: str) -> DataFrame:
         round_half_away(F.col("s") / F.col("n") / F.lit(PRICE_SCALE), 4).alias("price"))
 
 
+@_shared
 def daily_ticks(spark: SparkSession, base_dir: str) -> DataFrame:
     """Daily mean price and row count per return flag (the 'ticker')."""
     li = read_table(spark, base_dir, "lineitem", ["l_returnflag", "l_shipdate", "l_extendedprice"])
@@ -149,6 +177,7 @@ def ticker_name_col(c="ticker"):
     return mapping[F.col(c)]
 
 
+@_shared
 def market_weekly(spark: SparkSession, base_dir: str) -> DataFrame:
     """Market table: weekly OHLCV bars per ticker (A7 over daily means)."""
     bars = weekly_bars(daily_ticks(spark, base_dir), key_cols=["ticker"], time_col="day",
@@ -158,6 +187,7 @@ def market_weekly(spark: SparkSession, base_dir: str) -> DataFrame:
                        load_ts_lit().alias("load_ts"))
 
 
+@_shared
 def event_points(spark: SparkSession, base_dir: str) -> DataFrame:
     """Series points from the events table: (series, id, ts, period, value text)."""
     e = read_table(spark, base_dir, "events", ["event_id", "ts", "event_type", "props"])
@@ -166,6 +196,7 @@ def event_points(spark: SparkSession, base_dir: str) -> DataFrame:
                     F.get_json_object("props", "$.k").alias("value"))
 
 
+@_shared
 def payload_pages(spark: SparkSession, base_dir: str) -> DataFrame:
     """Landed payload documents: one JSON text per (series, page of ids)."""
     pts = event_points(spark, base_dir).withColumn(
