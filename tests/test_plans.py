@@ -2,7 +2,8 @@
 
 import re
 
-from tidemark.operators import price_moving_avg, price_volatility
+from tidemark.operators import lagged_margin, price_moving_avg, price_volatility
+from tidemark.sources.shaping import weekly_bars
 from tidemark.plans.upsert import keyed_upsert
 from tidemark.sources import fixtures as fx
 import __spark_entry__ as entry
@@ -35,15 +36,24 @@ def test_moving_avg_one_exchange_for_all_frames(spark):
 
 
 def test_scan_prunes_columns(spark):
-    p = plan(fx.fuel_weekly(spark, SF))
+    p = plan(fx.fuel_weekly.lazy(spark, SF))
     m = re.search(r"ReadSchema: struct<([^>]*)>", p)
     assert m and sorted(f.split(":")[0] for f in m.group(1).split(",")) == [
         "o_orderdate", "o_orderpriority", "o_totalprice"]
 
 
+def _bars(spark):
+    return weekly_bars(fx.daily_ticks.lazy(spark, SF), key_cols=["ticker"], time_col="day",
+                       price_col="p", volume_col="n")
+
+
 def test_ticker_filter_reaches_parquet(spark):
-    p = plan(entry.queries()["crude_lag_margin"](spark, SF))
+    p = plan(lagged_margin(fx.fuel_weekly.lazy(spark, SF), _bars(spark), ticker="A",
+                           retail_col="all_grades"))
     assert "EqualTo(l_returnflag,A)" in p
+    # on the materialized market table the filter reaches that table's scan
+    q = plan(entry.queries()["crude_lag_margin"](spark, SF))
+    assert "EqualTo(ticker,A)" in q
 
 
 def test_upsert_broadcasts_small_batch_keys(spark):
@@ -54,6 +64,6 @@ def test_upsert_broadcasts_small_batch_keys(spark):
 
 
 def test_partial_aggregation_before_shuffle(spark):
-    p = plan(fx.market_weekly(spark, SF))
+    p = plan(_bars(spark))
     assert "partial_avg" in p
     assert "partial_min_by" in p and "partial_max_by" in p

@@ -76,6 +76,7 @@ def national(spark, d) -> DataFrame:
     return fx.fuel_weekly(spark, d).select(*NAT_COLS)
 
 
+@fx._shared
 def revised_national(spark, d) -> DataFrame:
     """Second load of the national table: weekly prices from lineitem."""
     li = read_table(spark, d, "lineitem",
@@ -93,6 +94,7 @@ def revised_national(spark, d) -> DataFrame:
                       F.lit(fx.NATIONAL_SOURCE).alias("source"), _ts(RUN_TS).alias("load_ts")))
 
 
+@fx._shared
 def revised_regional(spark, d) -> DataFrame:
     """Second load of the regional table: lineitem prices by supplier region."""
     li = read_table(spark, d, "lineitem", ["l_suppkey", "l_shipdate", "l_extendedprice"])
@@ -120,6 +122,7 @@ def revised_regional(spark, d) -> DataFrame:
                     F.lit(fx.REGIONAL_SOURCE).alias("source"), _ts(RUN_TS).alias("load_ts"))
 
 
+@fx._shared
 def revised_market(spark, d) -> DataFrame:
     """Second load of the market table: net-price bars, newest 104 per ticker."""
     li = read_table(spark, d, "lineitem",

@@ -7,6 +7,7 @@ that are unset, so a cluster's choices always win.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 
@@ -83,6 +84,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def materialize(df, tag: str):
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder and
+    read it back (a lineage cut with file statistics and filter pushdown).
+
+    Meant for small derived tables used by several plans. The folder is keyed
+    by the application and the canonical plan, so a re-run inside the same
+    application finds the committed table (``_SUCCESS``) and skips the write,
+    and nothing is ever shared across applications.
+    """
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    # The canonical plan omits file locations: key on the input files too.
+    plan = df._jdf.queryExecution().optimizedPlan().canonicalized().toString()
+    files = "\n".join(sorted(df.inputFiles()))
+    digest = hashlib.sha1(f"{plan}\n{files}".encode()).hexdigest()[:16]
+    app = spark.sparkContext.applicationId
+    path = f"{root}/tables/{app}/{tag}-{digest}"
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     ensure_checkpoint_dir(df.sparkSession)

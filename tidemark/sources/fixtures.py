@@ -13,6 +13,7 @@ DuckDB comparison; the two must stay in step.
 from __future__ import annotations
 
 import functools
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.numeric import round_half_away
 from tidemark.functions.time import week_start
 from tidemark.plans.joins import sized_broadcast
+from tidemark.session import materialize
 from tidemark.sources.payload import build_payload_pages
 from tidemark.sources.shaping import weekly_bars
 from tidemark.sources.tables import read_table
@@ -54,23 +56,36 @@ FIXTURE_LOAD_TS = "2026-01-05 00:00:00"
 # -----------------------------------------------------------------------------
 
 
-def _shared(fn):
-    """Build each fixture plan once per (session, folder).
+def _shared(fn=None, *, keep: bool = True):
+    """Build each fixture once per (session, folder).
 
-    A DataFrame is an immutable, lazy plan, so handing the same object to
-    several queries is safe; it saves plan construction and gives repeated
-    uses identical subtrees, which Spark reuses (one shuffle, not several).
+    ``keep=True`` marks small tables (one row per series and week, or per
+    ticker and day, at any scale): they are computed once from the whole
+    input table and written as a Parquet table in the shared checkpoint
+    folder, so every query that uses them reads a few KB instead of
+    re-scanning the fact table (Catalyst prunes each use to different
+    columns, so shuffle reuse alone would not share the scan). Other
+    fixtures are shared as lazy plans. ``<fixture>.lazy(spark, dir)`` gives
+    the plain lazy plan (for plan inspection).
     """
+    if fn is None:
+        return functools.partial(_shared, keep=keep)
     cache: dict = {}
+    lock = threading.Lock()
 
     @functools.wraps(fn)
     def wrapper(spark: SparkSession, base_dir: str, *args):
         key = (id(spark), spark.sparkContext.applicationId, base_dir, args)
-        df = cache.get(key)
-        if df is None:
-            df = cache[key] = fn(spark, base_dir, *args)
+        with lock:
+            df = cache.get(key)
+            if df is None:
+                df = fn(spark, base_dir, *args)
+                if keep:
+                    df = materialize(df, fn.__name__)
+                cache[key] = df
         return df
 
+    wrapper.lazy = fn
     wrapper.cache_clear = cache.clear
     return wrapper
 
@@ -100,7 +115,7 @@ def fuel_weekly(spark: SparkSession, base_dir: str) -> DataFrame:
                      load_ts_lit().alias("load_ts")))
 
 
-@_shared
+@_shared(keep=False)
 def customer_regions(spark: SparkSession, base_dir: str, level: str = "region") -> DataFrame:
     """custkey -> region name (or nation name); nation/region are 25/5 rows."""
     c = read_table(spark, base_dir, "customer", ["c_custkey", "c_nationkey"])
@@ -187,7 +202,7 @@ def market_weekly(spark: SparkSession, base_dir: str) -> DataFrame:
                        load_ts_lit().alias("load_ts"))
 
 
-@_shared
+@_shared(keep=False)
 def event_points(spark: SparkSession, base_dir: str) -> DataFrame:
     """Series points from the events table: (series, id, ts, period, value text)."""
     e = read_table(spark, base_dir, "events", ["event_id", "ts", "event_type", "props"])
@@ -196,7 +211,7 @@ def event_points(spark: SparkSession, base_dir: str) -> DataFrame:
                     F.get_json_object("props", "$.k").alias("value"))
 
 
-@_shared
+@_shared(keep=False)
 def payload_pages(spark: SparkSession, base_dir: str) -> DataFrame:
     """Landed payload documents: one JSON text per (series, page of ids)."""
     pts = event_points(spark, base_dir).withColumn(
