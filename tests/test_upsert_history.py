@@ -86,3 +86,17 @@ def test_history_scd_id_matches_sql_text(spark):
     import hashlib
     expect = hashlib.md5(f"{D[0]}|US|2026-01-05 00:00:00".encode()).hexdigest()
     assert h.first()["scd_id"] == expect
+
+
+def test_history_check_strategy(spark):
+    t = [dt.datetime(2026, 1, 5 + 7 * i) for i in range(3)]
+    run = lambda h, data, ts: H.snapshot(h, table(spark, data), ["week_date", "region"],
+                                         run_ts=ts, strategy="check")
+    h = run(None, [(D[0], "US", 1.0, t[0]), (D[1], "US", None, t[0])], t[0])
+    # new load time, same values (NULL = NULL): no new version under "check"
+    h = run(h, [(D[0], "US", 1.0, t[1]), (D[1], "US", None, t[1])], t[1])
+    assert h.count() == 2
+    # a value change starts a version at the snapshot time
+    h = run(h, [(D[0], "US", 1.1, t[2]), (D[1], "US", None, t[2])], t[2])
+    got = rows(h, "week_date", "price", "valid_from", "valid_to")
+    assert got == [(D[0], 1.0, t[0], t[2]), (D[0], 1.1, t[2], None), (D[1], None, t[0], None)]

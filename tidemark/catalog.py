@@ -290,6 +290,20 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _vol_many(s, d) -> DataFrame:
+    return price_volatility(fx.many_series(s, d), series_cols="series", price_col="price",
+                            other_cols=())
+
+
+def _ma_many(s, d) -> DataFrame:
+    return price_moving_avg(fx.many_series(s, d), series_cols="series", filter_col="price",
+                            price_cols=("price",), spreads=(), passthrough=())
+
+
+SPARK["vol_many_series"] = _vol_many
+SPARK["ma_many_series"] = _ma_many
+
+
 def _pivot(s, d) -> DataFrame:
     pts = payload_points(s, d).withColumn("_ord", F.struct("page", "pos"))
     picked = select_series(pts, "series", EVENT_GRADES, "grade")
@@ -345,6 +359,35 @@ def sql_ma(name="ma", src="fx_fuel") -> str:
   FROM {src} WHERE regular IS NOT NULL)"""
 
 
+def sql_vol_many(name="vm", src="fx_many") -> str:
+    w = "PARTITION BY series ORDER BY week_date"
+    return f"""{name}_base AS (
+  SELECT week_date, series, price, lag(price) OVER ({w}) AS prev_p
+  FROM {src} WHERE price IS NOT NULL),
+{name}_ch AS (
+  SELECT *, {R('price - prev_p')} AS price_wow_change,
+    avg(price) OVER (PARTITION BY series) AS hist,
+    stddev_samp(price) OVER ({w} {_frame(12)}) AS sd
+  FROM {name}_base),
+{name} AS (
+  SELECT week_date, series, price, price_wow_change,
+    CASE WHEN prev_p > 0 THEN {R('((price - prev_p) / prev_p) * 100')} END AS price_wow_pct_change,
+    {R('hist')} AS hist_avg_price, {R('price - hist')} AS price_anomaly,
+    {R('sd')} AS rolling_12wk_stddev,
+    CASE WHEN price_wow_change > 0.05 THEN 'Rising' WHEN price_wow_change < -0.05 THEN 'Falling'
+         ELSE 'Stable' END AS price_direction,
+    CASE WHEN sd > 0.3 THEN 'High Volatility' WHEN sd > 0.15 THEN 'Moderate Volatility'
+         ELSE 'Low Volatility' END AS volatility_label
+  FROM {name}_ch)"""
+
+
+def sql_ma_many(name="mm", src="fx_many") -> str:
+    w = "PARTITION BY series ORDER BY week_date"
+    cols = [f"{R(f'avg(price) OVER ({w} {_frame(n)})')} AS price_{n}wk_avg" for n in (4, 12, 52)]
+    return f"""{name} AS (
+  SELECT week_date, series, price, {', '.join(cols)} FROM {src} WHERE price IS NOT NULL)"""
+
+
 def sql_crude(name="crude", price="all_grades") -> str:
     m = R(f"f.{price} - coalesce(c.crude_lag2_gal, c.crude_usd_per_gallon)")
     return f"""{name}_c AS (
@@ -612,6 +655,8 @@ rmkt AS (
 W = O.with_
 SQL: dict[str, str] = {
     "vol_weekly": W(O.FX_FUEL, sql_vol()) + "SELECT * FROM vol",
+    "vol_many_series": W(O.FX_MANY, sql_vol_many()) + "SELECT * FROM vm",
+    "ma_many_series": W(O.FX_MANY, sql_ma_many()) + "SELECT * FROM mm",
     "vol_label_share": W(O.FX_FUEL, sql_vol()) + f"""SELECT volatility_label, count(*) AS n_weeks,
   {R('count(*) * cast(100 AS double) / (SELECT count(*) FROM vol)', 2)} AS pct_weeks
 FROM vol GROUP BY volatility_label""",

@@ -51,14 +51,25 @@ def initial_history(source: DataFrame, keys: Sequence[str], *,
 
 def snapshot(history: DataFrame | None, source: DataFrame, keys: Sequence[str], *,
              updated_at: str = "load_ts", run_ts=None,
-             invalidate_hard_deletes: bool = True) -> DataFrame:
-    """One snapshot run of ``source`` into ``history`` (returns the new history)."""
+             invalidate_hard_deletes: bool = True, strategy: str = "timestamp",
+             check_cols: Sequence[str] | None = None) -> DataFrame:
+    """One snapshot run of ``source`` into ``history`` (returns the new history).
+
+    ``strategy="timestamp"`` (default) detects change by a later
+    ``updated_at``; ``strategy="check"`` compares ``check_cols`` (default:
+    every non-key column except ``updated_at``) NULL-safely, and a new or
+    changed row's version then starts at the snapshot time.
+    """
     keys = list(keys)
-    if history is None:
-        return initial_history(source, keys, updated_at=updated_at)
+    if strategy not in ("timestamp", "check"):
+        raise ValueError("strategy must be 'timestamp' or 'check'")
     data_cols = [c for c in source.columns]
     ts_type = dict(source.dtypes)[updated_at]
     run = F.lit(run_ts).cast(ts_type) if run_ts is not None else F.current_timestamp().cast(ts_type)
+    if history is None:
+        if strategy == "timestamp":
+            return initial_history(source, keys, updated_at=updated_at)
+        return initial_history(source.withColumn(updated_at, run), keys, updated_at=updated_at)
 
     closed = history.filter(F.col("valid_to").isNotNull())
     current = history.filter(F.col("valid_to").isNull())
@@ -72,14 +83,24 @@ def snapshot(history: DataFrame | None, source: DataFrame, keys: Sequence[str],
 
     s_in = F.col("s_present").isNotNull()
     c_in = F.col("c_present").isNotNull()
-    newer = s_in & c_in & (F.col(f"s_{updated_at}") > F.col("c_valid_from"))
+    if strategy == "timestamp":
+        newer = s_in & c_in & (F.col(f"s_{updated_at}") > F.col("c_valid_from"))
+        start = F.col(f"s_{updated_at}")
+    else:
+        cols = list(check_cols) if check_cols is not None else [
+            c for c in data_cols if c not in keys and c != updated_at]
+        changed = F.lit(False)
+        for c in cols:
+            changed = changed | ~F.col(f"s_{c}").eqNullSafe(F.col(f"c_{c}"))
+        newer = s_in & c_in & changed
+        start = run
 
     def version(prefix: str, valid_to: Column) -> Column:
         fields = [F.col(f"{prefix}{x}").alias(x) for x in data_cols]
         if prefix == "s_":
-            meta = [scd_id([f"s_{k}" for k in keys], f"s_{updated_at}").alias("scd_id"),
-                    F.col(f"s_{updated_at}").alias("updated_at"),
-                    F.col(f"s_{updated_at}").alias("valid_from"),
+            parts = [F.col(f"s_{k}").cast("string") for k in keys] + [start.cast("string")]
+            meta = [F.md5(F.concat_ws("|", *parts)).alias("scd_id"),
+                    start.alias("updated_at"), start.alias("valid_from"),
                     valid_to.alias("valid_to")]
         else:
             meta = [F.col("c_scd_id").alias("scd_id"), F.col("c_updated_at").alias("updated_at"),
@@ -90,7 +111,7 @@ def snapshot(history: DataFrame | None, source: DataFrame, keys: Sequence[str],
     deleted_to = run if invalidate_hard_deletes else null_ts
     rows = (
         F.when(s_in & ~c_in, F.array(version("s_", null_ts)))
-         .when(newer, F.array(version("c_", F.col(f"s_{updated_at}")), version("s_", null_ts)))
+         .when(newer, F.array(version("c_", start), version("s_", null_ts)))
          .when(~s_in & c_in, F.array(version("c_", deleted_to)))
          .otherwise(F.array(version("c_", null_ts)))
     )
@@ -99,11 +120,12 @@ def snapshot(history: DataFrame | None, source: DataFrame, keys: Sequence[str],
 
 
 def current_rows(history: DataFrame) -> DataFrame:
-    """Current versions, with the current-record flag."""
+    """Current versions only."""
     return history.filter(F.col("valid_to").isNull())
 
 
 def with_current_flag(history: DataFrame) -> DataFrame:
+    """History with the current-record flag derived from ``valid_to``."""
     return history.withColumn("is_current", F.col("valid_to").isNull())
 
 
