@@ -67,3 +67,14 @@ def test_partial_aggregation_before_shuffle(spark):
     p = plan(_bars(spark))
     assert "partial_avg" in p
     assert "partial_min_by" in p and "partial_max_by" in p
+
+
+def test_size_check_uses_estimates_and_bounds(spark):
+    from tidemark.plans import joins
+    small = spark.read.parquet(f"{SF}/nation.parquet")
+    assert joins.fits_broadcast(small)
+    # an estimate far above the bound decides "large" without running a job
+    assert not joins.fits_broadcast(small, max_bytes=1, max_rows=1)
+    # in the gray zone the exact bounded count decides
+    assert joins.fits_broadcast(small, max_rows=25, max_bytes=joins.estimated_bytes(small) - 1)
+    assert not joins.fits_broadcast(small, max_rows=24, max_bytes=joins.estimated_bytes(small) - 1)

@@ -26,6 +26,7 @@ from tidemark.operators.region_spread import CATEGORY_LABELS, region_spread
 from tidemark.operators.volatility import DIRECTION_LABELS, VOLATILITY_LABELS, price_volatility
 from tidemark.operators.margin import MARGIN_LABELS
 from tidemark.plans import history as H
+from tidemark.plans.joins import sized_broadcast
 from tidemark.plans.upsert import keyed_upsert
 from tidemark.schemas import MARKET, MARKET_KEY, NATIONAL, NATIONAL_KEY, REGIONAL, REGIONAL_KEY
 from tidemark.sources import fixtures as fx
@@ -104,8 +105,7 @@ def revised_regional(spark, d) -> DataFrame:
     dim = (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
             .select("n_nationkey", "r_name"))
     supp = s.join(F.broadcast(dim), s.s_nationkey == dim.n_nationkey).select("s_suppkey", "r_name")
-    from tidemark.plans.joins import sized_broadcast
-    supp, small = sized_broadcast(supp)
+    supp, small = sized_broadcast(supp, estimate_from=s)   # one row per supplier
     li = li.select("l_suppkey", week_start("l_shipdate").alias("week_date"), "l_extendedprice")
     if not small:   # pre-aggregate so a hot supplier cannot skew the join
         li = (li.groupBy("l_suppkey", "week_date")

@@ -1,9 +1,18 @@
 """Joins whose strategy depends on a checked size.
 
-``broadcast()`` is only applied to a side whose row count was verified to be
-under a bound. The check reads at most ``max_rows + 1`` rows (a LIMIT job), so
-it costs little even when the side is huge, and the caller gets told which way
-was taken so it can choose a shuffle-friendly plan otherwise.
+``broadcast()`` is only applied to a side whose size was checked against a
+bound, in this order:
+
+1. the optimizer's row count, when the input has statistics (ANALYZE);
+2. the optimizer's size estimate (file sizes scaled by the projected
+   columns): at most ``max_bytes`` -> small; above ``16 x max_bytes`` -> large;
+3. in between (so the input is known to be at most ``16 x max_bytes``), an
+   exact bounded count (``limit(max_rows + 1).count()``).
+
+Steps 1-2 cost no job. The caller is told which way was taken, so it can
+choose a shuffle-friendly plan for a large side. ``estimate_from`` lets a
+caller size a derived side by the relation that bounds its row count (a
+customer -> region map has one row per customer).
 """
 
 from __future__ import annotations
@@ -11,13 +20,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a dimension we are willing to ship to every executor. At ~40 bytes a
-# row this is ~80 MB, far below executor memory.
+# Rows / estimated bytes of a side we are willing to ship to every executor.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+_GRAY_ZONE = 16
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
+def _stats(df: DataFrame):
+    return df._jdf.queryExecution().optimizedPlan().stats()
+
+
+def _to_int(v) -> int:
+    # Scala BigInt comes back as a Python int or as a Java object.
+    return v if isinstance(v, int) else int(v.toString())
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    return _to_int(_stats(df).sizeInBytes())
+
+
+def estimated_rows(df: DataFrame) -> int | None:
+    rc = _stats(df).rowCount()
+    return _to_int(rc.get()) if rc.isDefined() else None
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                   max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                   estimate_from: DataFrame | None = None) -> bool:
+    probe = df if estimate_from is None else estimate_from
+    rows = estimated_rows(probe)
+    if rows is not None:
+        return rows <= max_rows
+    size = estimated_bytes(probe)
+    if size <= max_bytes:
+        return True
+    if size > _GRAY_ZONE * max_bytes:
+        return False
     return df.limit(max_rows + 1).count() <= max_rows
 
 
@@ -25,22 +63,22 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) ->
 _DECISIONS: dict[tuple, bool] = {}
 
 
-def _plan_key(df: DataFrame, max_rows: int) -> tuple:
+def _plan_key(df: DataFrame, *extra) -> tuple:
     plan = df._jdf.queryExecution().optimizedPlan().canonicalized().toString()
-    return (plan, tuple(sorted(df.inputFiles())), max_rows)
+    return (plan, tuple(sorted(df.inputFiles())), *extra)
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
-                    ) -> tuple[DataFrame, bool]:
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                    estimate_from: DataFrame | None = None) -> tuple[DataFrame, bool]:
     """Return ``(broadcast(df), True)`` if it is small enough, else ``(df, False)``.
 
-    The check result is remembered for the same plan over the same files, so
-    a dimension used by several queries of one session is counted once.
+    The decision is remembered for the same plan over the same files.
     """
-    key = _plan_key(df, max_rows)
+    key = _plan_key(df, max_rows, max_bytes)
     ok = _DECISIONS.get(key)
     if ok is None:
-        ok = _DECISIONS[key] = fits_broadcast(df, max_rows)
+        ok = _DECISIONS[key] = fits_broadcast(df, max_rows, max_bytes, estimate_from)
     return (F.broadcast(df), True) if ok else (df, False)
 
 

@@ -145,7 +145,9 @@ def _orders_by_area(spark: SparkSession, base_dir: str, level: str,
                    ["o_custkey", "o_orderdate", "o_totalprice", *extra_keys])
     o = o.select("o_custkey", week_start("o_orderdate").alias("week_date"),
                  "o_totalprice", *extra_keys)
-    cmap, small = sized_broadcast(customer_regions(spark, base_dir, level))
+    # The map has one row per customer: size it by the customer scan.
+    cust = read_table(spark, base_dir, "customer", ["c_custkey", "c_nationkey"])
+    cmap, small = sized_broadcast(customer_regions(spark, base_dir, level), estimate_from=cust)
     if small:
         part = o.select("o_custkey", "week_date", *extra_keys,
                         F.col("o_totalprice").alias("s"), F.lit(1).cast("long").alias("n"))
