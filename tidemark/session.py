@@ -55,8 +55,11 @@ def build_session(master: str = "local[8]", app: str = "tidemark",
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the package's runtime SQL settings where the session has none."""
     for k, v in _BASE_CONF.items():
-        if k.startswith(("spark.sql.", "spark.python.sql.")) and spark.conf.get(k, None) is None:
-            spark.conf.set(k, v)
+        # Only runtime settings can change on a live session; static ones
+        # (UI, call-site capture) are for sessions built here.
+        if not spark.conf.isModifiable(k) or spark.conf.get(k, None) is not None:
+            continue
+        spark.conf.set(k, v)
     # The one setting that must hold for results to be right.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
