@@ -42,7 +42,7 @@ def payload_stream(spark: SparkSession, landing_dir: str, *,
     reader = spark.readStream.schema(schema).option("mode", "DROPMALFORMED")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(landing_dir).withColumn("_file", F.input_file_name())
+    return reader.json(landing_dir).withColumn("_file", F.col("_metadata.file_path"))
 
 
 def run_incremental_load(spark: SparkSession, *, landing_dir: str, table_dir: str,
