@@ -104,17 +104,14 @@ def revised_regional(spark, d) -> DataFrame:
     dim = (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
             .select("n_nationkey", "r_name"))
     supp = s.join(F.broadcast(dim), s.s_nationkey == dim.n_nationkey).select("s_suppkey", "r_name")
-    supp, small = sized_broadcast(supp, estimate_from=s)   # one row per supplier
-    li = li.select("l_suppkey", week_start("l_shipdate").alias("week_date"), "l_extendedprice")
-    if not small:   # pre-aggregate so a hot supplier cannot skew the join
-        li = (li.groupBy("l_suppkey", "week_date")
-                .agg(F.sum("l_extendedprice").alias("s"), F.count(F.lit(1)).alias("n")))
-    else:
-        li = li.select("l_suppkey", "week_date", F.col("l_extendedprice").alias("s"),
-                       F.lit(1).cast("long").alias("n"))
+    # one row per supplier: size by the supplier scan; beyond the bound a
+    # shuffle join whose hot supplier partitions AQE splits
+    supp, _ = sized_broadcast(supp, estimate_from=s)
+    li = li.select("l_suppkey", week_start("l_shipdate").alias("week_date"),
+                   F.col("l_extendedprice").alias("s"))
     g = (li.join(supp, li.l_suppkey == supp.s_suppkey)
            .groupBy("week_date", F.col("r_name").alias("region"))
-           .agg(F.sum("s").alias("s"), F.sum("n").alias("n")))
+           .agg(F.sum("s").alias("s"), F.count(F.lit(1)).alias("n")))
     return g.select("week_date", "region",
                     round_half_away(F.col("s") / F.col("n") / F.lit(REVISION_SCALE), 4).alias("price"),
                     F.lit(fx.FUEL_TYPE).alias("fuel_type"), F.lit(fx.PRICE_UNIT).alias("price_unit"),

@@ -44,9 +44,10 @@ def estimated_rows(df: DataFrame) -> int | None:
     return _to_int(rc.get()) if rc.isDefined() else None
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                   max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None,
                    estimate_from: DataFrame | None = None) -> bool:
+    max_rows = DEFAULT_MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = DEFAULT_MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
     probe = df if estimate_from is None else estimate_from
     rows = estimated_rows(probe)
     if rows is not None:
@@ -68,13 +69,14 @@ def _plan_key(df: DataFrame, *extra) -> tuple:
     return (plan, tuple(sorted(df.inputFiles())), *extra)
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+def sized_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None,
                     estimate_from: DataFrame | None = None) -> tuple[DataFrame, bool]:
     """Return ``(broadcast(df), True)`` if it is small enough, else ``(df, False)``.
 
     The decision is remembered for the same plan over the same files.
     """
+    max_rows = DEFAULT_MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = DEFAULT_MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
     key = _plan_key(df, max_rows, max_bytes)
     ok = _DECISIONS.get(key)
     if ok is None:
@@ -83,7 +85,7 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+               max_rows: int | None = None) -> DataFrame:
     """Join, broadcasting ``small`` only when its size check passes.
 
     When the check fails the join is left to Catalyst/AQE (sort-merge with

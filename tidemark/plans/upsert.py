@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, sized_broadcast
+from tidemark.plans.joins import sized_broadcast
 
 
 class DuplicateKeyError(ValueError):
@@ -67,7 +67,7 @@ def stage(batch: DataFrame, schema, *, run_ts, load_ts_col: str = "load_ts",
 def keyed_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], *,
                  run_ts=None, load_ts_col: str | None = "load_ts",
                  on_duplicate: str = "error", order_col: str | None = None,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_rows: int | None = None) -> DataFrame:
     """MERGE-equivalent upsert of ``batch`` into ``target`` on ``keys``.
 
     * matched keys: every non-key column comes from the batch (NULL too);
