@@ -67,3 +67,20 @@ def test_incremental_load_stream(spark, workdir):
     run_incremental_load(spark, landing_dir=landing, table_dir=table, initial=initial,
                          keys=["week_date", "region"], to_rows=to_rows, checkpoint=ck)
     assert committed_versions(spark, table) == [0, 1, 2]
+
+
+def test_load_empty_is_noop_and_failure_keeps_version(spark, workdir):
+    from tidemark.plans.publish import load
+    t = os.path.join(workdir, "nat")
+    empty = spark.createDataFrame([], NATIONAL)
+    assert load(t, empty, ["week_date", "region"], initial=empty) is None
+    batch = spark.createDataFrame(
+        [(dt.date(2024, 1, 1), "US", 3.1, None, None, None, "u", "s", None)], NATIONAL)
+    assert load(t, batch, ["week_date", "region"], run_ts="2026-01-05", initial=empty) == 0
+    assert load(t, empty, ["week_date", "region"]) == 0          # no new version
+    dup = batch.unionByName(batch)
+    import pytest
+    with pytest.raises(Exception):
+        load(t, dup, ["week_date", "region"])                      # repeated key: abort
+    assert committed_versions(spark, t) == [0]
+    assert read_version(spark, t).count() == 1

@@ -82,3 +82,28 @@ def replace_view(df: DataFrame, name: str) -> DataFrame:
     """Replaceable view."""
     df.createOrReplaceTempView(name)
     return df
+
+
+def load(table_dir: str, batch: DataFrame, keys, *, run_ts=None,
+         on_duplicate: str = "error", order_col: str | None = None,
+         initial: DataFrame | None = None) -> int | None:
+    """One all-or-nothing keyed load (B2 + B3) into a versioned table.
+
+    An empty batch is a no-op: no new version is written and the current
+    version number is returned (None if the table does not exist yet). A
+    failure anywhere before the commit leaves the current version in place.
+    """
+    from tidemark.plans.upsert import keyed_upsert
+
+    spark = batch.sparkSession
+    current = read_version(spark, table_dir)
+    done = committed_versions(spark, table_dir)
+    if batch.isEmpty():
+        return done[-1] if done else None
+    if current is None:
+        if initial is None:
+            raise ValueError("table does not exist; pass an empty `initial` frame with its schema")
+        current = initial
+    merged = keyed_upsert(current, batch, keys, run_ts=run_ts, on_duplicate=on_duplicate,
+                          order_col=order_col)
+    return publish(merged, table_dir)
