@@ -84,3 +84,36 @@ def test_load_empty_is_noop_and_failure_keeps_version(spark, workdir):
         load(t, dup, ["week_date", "region"])                      # repeated key: abort
     assert committed_versions(spark, t) == [0]
     assert read_version(spark, t).count() == 1
+
+
+def test_incremental_load_replays_failed_batch(spark, workdir):
+    import pytest
+    landing = os.path.join(workdir, "landing")
+    os.makedirs(landing)
+    table = os.path.join(workdir, "national")
+    ck = os.path.join(workdir, "ckpt")
+    initial = spark.createDataFrame([], NATIONAL)
+    state = {"fail": True}
+
+    def to_rows(points):
+        if state["fail"]:
+            state["fail"] = False
+            raise RuntimeError("executor lost while shaping the batch")
+        wide = pivot_series(points.withColumnRenamed("series", "label"), period_col="period",
+                            label_col="label", value_col="value", order_col="_ord",
+                            columns={"reg": "regular"})
+        return wide.select(F.col("period").try_cast("date").alias("week_date"),
+                           F.lit("US_NATIONAL").alias("region"), "regular")
+
+    with open(os.path.join(landing, "a.json"), "w") as fh:
+        fh.write(_page("reg", [("2024-01-01", "3.1"), ("2024-01-08", "3.2")]) + "\n")
+    kw = dict(landing_dir=landing, table_dir=table, initial=initial,
+              keys=["week_date", "region"], to_rows=to_rows, run_ts="2026-01-05 00:00:00",
+              checkpoint=ck)
+    with pytest.raises(Exception):
+        run_incremental_load(spark, **kw)
+    assert committed_versions(spark, table) == [0]          # nothing half-published
+    run_incremental_load(spark, **kw)                       # next run replays epoch 0
+    assert committed_versions(spark, table) == [0, 1]
+    assert rows(read_version(spark, table), "week_date", "regular") == [
+        (dt.date(2024, 1, 1), 3.1), (dt.date(2024, 1, 8), 3.2)]
