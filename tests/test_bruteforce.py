@@ -100,7 +100,8 @@ def test_region_spread_brute_force(spark):
     reg = spark.createDataFrame([(w, s, p, "REGULAR_GASOLINE") for s, w, p, *_ in data],
                                 "week_date date, region string, price double, fuel_type string")
     nat = spark.createDataFrame(nat_rows, "week_date date, region string, regular double")
-    got = {(r["region"], r["week_date"]): r.asDict() for r in region_spread(reg, nat).collect()}
+    got = {(r["region"], r["week_date"]): r.asDict()
+           for r in region_spread(reg, nat, national_region="US").collect()}
     national = {d: p for d, _, p in nat_rows if p is not None}
     pdf = pd.DataFrame([(s, w, p) for s, w, p, *_ in data if p is not None],
                        columns=["region", "week_date", "price"]).sort_values(["region", "week_date"])

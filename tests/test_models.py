@@ -95,7 +95,8 @@ def test_region_spread_rules(spark):
          (wk(2), "W", 2.0, "REGULAR_GASOLINE"), (wk(3), "W", 9.0, "DIESEL"),
          (wk(0), "E", 2.95, "REGULAR_GASOLINE")],
         "week_date date, region string, price double, fuel_type string")
-    out = {(r["region"], r["week_date"]): r for r in region_spread(reg, nat).collect()}
+    out = {(r["region"], r["week_date"]): r
+           for r in region_spread(reg, nat, national_region="US").collect()}
     assert ("W", wk(3)) not in out
     w0, w1, w2 = out[("W", wk(0))], out[("W", wk(1))], out[("W", wk(2))]
     assert w0["price_spread"] == 0.5 and w0["price_spread_pct"] == 16.67
@@ -105,3 +106,12 @@ def test_region_spread_rules(spark):
     assert w2["national_price"] is None and w2["price_category"] == "Significantly Below Average"
     assert w2["max_spread_seen"] == 3.0 and w2["regional_4wk_avg"] == 2.8333
     assert out[("E", wk(0))]["price_category"] == "Near National Average"
+
+
+def test_region_spread_uses_only_national_rows(spark):
+    nat = spark.createDataFrame([(wk(0), "US_NATIONAL", 3.0), (wk(0), "OTHER", 9.0)],
+                                "week_date date, region string, regular double")
+    reg = spark.createDataFrame([(wk(0), "W", 3.2, "REGULAR_GASOLINE")],
+                                "week_date date, region string, price double, fuel_type string")
+    out = region_spread(reg, nat).collect()
+    assert len(out) == 1 and out[0]["national_price"] == 3.0

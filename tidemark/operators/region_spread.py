@@ -21,13 +21,15 @@ CATEGORY_LABELS = (
 def region_spread(regional: DataFrame, national: DataFrame, *, region_col: str = "region",
                   time_col: str = "week_date", regional_price: str = "price",
                   national_price: str = "regular", fuel_type: str | None = "REGULAR_GASOLINE",
-                  fuel_type_col: str = "fuel_type", window: int = 4,
+                  fuel_type_col: str = "fuel_type", national_region: str | None = "US_NATIONAL",
+                  window: int = 4,
                   bands: tuple[float, float, float, float] = (-0.30, -0.10, 0.10, 0.30),
                   places: int = 4, pct_places: int = 2,
                   null_label: str | None = None) -> DataFrame:
     """Spread of every regional series against the national one.
 
     Regional rows (fuel type, price not NULL) left-join the national series
+    (rows of ``national_region`` when the national table has a region column)
     on week; spread rounded, percent only when national > 0; then per region
     a trailing ``window``-row mean and the running maximum spread (NULLs
     ignored); five-way category on the rounded spread with strict ``>``,
@@ -41,6 +43,8 @@ def region_spread(regional: DataFrame, national: DataFrame, *, region_col: str =
         reg = reg.filter(F.col(fuel_type_col) == F.lit(fuel_type))
     reg = (reg.filter(F.col(regional_price).isNotNull())
               .select(time_col, region_col, F.col(regional_price).alias("regional_price")))
+    if national_region is not None and region_col in national.columns:
+        national = national.filter(F.col(region_col) == F.lit(national_region))
     nat = (national.filter(F.col(national_price).isNotNull())
                    .select(time_col, F.col(national_price).alias("national_price")))
     joined = reg.join(nat, on=time_col, how="left").select(
