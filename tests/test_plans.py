@@ -58,7 +58,7 @@ def test_ticker_filter_reaches_parquet(spark):
 
 def test_upsert_broadcasts_small_batch_keys(spark):
     target = fx.fuel_weekly(spark, SF)
-    batch = target.limit(3)
+    batch = fx.fuel_weekly(spark, SF).filter("week_date < date'1995-03-01'")
     p = plan(keyed_upsert(target, batch, ["week_date", "region"], on_duplicate="assume_unique"))
     assert re.search(r"BroadcastHashJoin .*LeftAnti", p)
 
@@ -69,12 +69,14 @@ def test_partial_aggregation_before_shuffle(spark):
     assert "partial_min_by" in p and "partial_max_by" in p
 
 
-def test_size_check_uses_estimates_and_bounds(spark):
+def test_only_fixed_dimensions_are_hinted():
+    import pytest
     from tidemark.plans import joins
-    small = spark.read.parquet(f"{SF}/nation.parquet")
-    assert joins.fits_broadcast(small)
-    # an estimate far above the bound decides "large" without running a job
-    assert not joins.fits_broadcast(small, max_bytes=1, max_rows=1)
-    # in the gray zone the exact bounded count decides
-    assert joins.fits_broadcast(small, max_rows=25, max_bytes=joins.estimated_bytes(small) - 1)
-    assert not joins.fits_broadcast(small, max_rows=24, max_bytes=joins.estimated_bytes(small) - 1)
+    with pytest.raises(ValueError):
+        joins.dimension(None, "customer")
+
+
+def test_customer_join_sized_by_catalyst(spark):
+    # small customer files: Catalyst broadcasts the customer scan by itself
+    p = plan(fx.regional_weekly.lazy(spark, SF))
+    assert re.search(r"BroadcastHashJoin \[o_custkey#\d+L\], \[c_custkey#\d+L\]", p)

@@ -5,7 +5,6 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidemark.plans import joins
 from tidemark.sources import fixtures as fx
 from tests.conftest import rows
 
@@ -34,12 +33,10 @@ def _write_tables(spark, d):
         df.coalesce(4).write.parquet(os.path.join(d, f"{name}.parquet"))
 
 
-def test_hot_customer_shuffle_path_equals_broadcast_path(spark, workdir, monkeypatch):
+def test_hot_customer_shuffle_path_equals_broadcast_path(spark, workdir):
     d = os.path.join(workdir, "skewed")
     _write_tables(spark, d)
     expected = rows(fx.regional_weekly.lazy(spark, d))
-    monkeypatch.setattr(joins, "DEFAULT_MAX_BROADCAST_BYTES", 1)
-    monkeypatch.setattr(joins, "DEFAULT_MAX_BROADCAST_ROWS", 1)
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",

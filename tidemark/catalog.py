@@ -26,7 +26,7 @@ from tidemark.operators.region_spread import CATEGORY_LABELS, region_spread
 from tidemark.operators.volatility import DIRECTION_LABELS, VOLATILITY_LABELS, price_volatility
 from tidemark.operators.margin import MARGIN_LABELS
 from tidemark.plans import history as H
-from tidemark.plans.joins import sized_broadcast
+from tidemark.plans.joins import dimension
 from tidemark.plans.upsert import keyed_upsert
 from tidemark.schemas import MARKET, MARKET_KEY, NATIONAL, NATIONAL_KEY, REGIONAL, REGIONAL_KEY
 from tidemark.sources import fixtures as fx
@@ -96,22 +96,22 @@ def revised_national(spark, d) -> DataFrame:
 
 @fx._shared
 def revised_regional(spark, d) -> DataFrame:
-    """Second load of the regional table: lineitem prices by supplier region."""
+    """Second load of the regional table: lineitem prices by supplier region.
+
+    lineitem joins the supplier scan (Catalyst sizes it from the supplier
+    files; beyond the threshold a shuffle join whose hot supplier partitions
+    AQE splits) and the fixed 25-row nation -> region map.
+    """
     li = read_table(spark, d, "lineitem", ["l_suppkey", "l_shipdate", "l_extendedprice"])
-    s = read_table(spark, d, "supplier", ["s_suppkey", "s_nationkey"])
+    sup = read_table(spark, d, "supplier", ["s_suppkey", "s_nationkey"])
     n = read_table(spark, d, "nation", ["n_nationkey", "n_regionkey"])
     r = read_table(spark, d, "region", ["r_regionkey", "r_name"])
-    dim = (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    dim = (n.join(dimension(r, "region"), n.n_regionkey == r.r_regionkey)
             .select("n_nationkey", "r_name"))
-    supp = s.join(F.broadcast(dim), s.s_nationkey == dim.n_nationkey).select("s_suppkey", "r_name")
-    # one row per supplier: size by the supplier scan; beyond the bound a
-    # shuffle join whose hot supplier partitions AQE splits
-    supp, _ = sized_broadcast(supp, estimate_from=s)
-    li = li.select("l_suppkey", week_start("l_shipdate").alias("week_date"),
-                   F.col("l_extendedprice").alias("s"))
-    g = (li.join(supp, li.l_suppkey == supp.s_suppkey)
-           .groupBy("week_date", F.col("r_name").alias("region"))
-           .agg(F.sum("s").alias("s"), F.count(F.lit(1)).alias("n")))
+    g = (li.join(sup, li.l_suppkey == sup.s_suppkey)
+           .join(dimension(dim, "nation"), sup.s_nationkey == dim.n_nationkey)
+           .groupBy(week_start("l_shipdate").alias("week_date"), F.col("r_name").alias("region"))
+           .agg(F.sum("l_extendedprice").alias("s"), F.count(F.lit(1)).alias("n")))
     return g.select("week_date", "region",
                     round_half_away(F.col("s") / F.col("n") / F.lit(REVISION_SCALE), 4).alias("price"),
                     F.lit(fx.FUEL_TYPE).alias("fuel_type"), F.lit(fx.PRICE_UNIT).alias("price_unit"),

@@ -1,18 +1,17 @@
-"""Joins whose strategy depends on a checked size.
-
-``broadcast()`` is only applied to a side whose size was checked against a
-bound, in this order:
-
-1. the optimizer's row count, when the input has statistics (ANALYZE);
-2. the optimizer's size estimate (file sizes scaled by the projected
-   columns): at most ``max_bytes`` -> small; above ``16 x max_bytes`` -> large;
-3. in between (so the input is known to be at most ``16 x max_bytes``), an
-   exact bounded count (``limit(max_rows + 1).count()``).
-
-Steps 1-2 cost no job. The caller is told which way was taken, so it can
-choose a shuffle-friendly plan for a large side. ``estimate_from`` lets a
-caller size a derived side by the relation that bounds its row count (a
-customer -> region map has one row per customer).
+"""Join strategy policy.
+
+Catalyst decides broadcast vs shuffle from statistics: a side is broadcast
+only when its estimated size is under ``spark.sql.autoBroadcastJoinThreshold``
+(file sizes scaled by the projected columns), and AQE re-decides from the
+measured size of each shuffle stage, splitting skewed partitions of
+sort-merge joins. Our part is to keep those statistics accurate and cheap:
+
+* join a fact table to the dimension *scan* (customer, supplier), so the
+  estimate is the dimension's own size, not a product of join inputs;
+* write small derived tables and staged batches as files
+  (:func:`tidemark.session.materialize`) before they are joined;
+* hint ``broadcast`` by hand only for dimensions whose size is fixed by the
+  schema, listed below.
 """
 
 from __future__ import annotations
@@ -20,76 +19,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows / estimated bytes of a side we are willing to ship to every executor.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-_GRAY_ZONE = 16
-
-
-def _stats(df: DataFrame):
-    return df._jdf.queryExecution().optimizedPlan().stats()
-
-
-def _to_int(v) -> int:
-    # Scala BigInt comes back as a Python int or as a Java object.
-    return v if isinstance(v, int) else int(v.toString())
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    return _to_int(_stats(df).sizeInBytes())
-
-
-def estimated_rows(df: DataFrame) -> int | None:
-    rc = _stats(df).rowCount()
-    return _to_int(rc.get()) if rc.isDefined() else None
-
-
-def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None,
-                   estimate_from: DataFrame | None = None) -> bool:
-    max_rows = DEFAULT_MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    max_bytes = DEFAULT_MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
-    probe = df if estimate_from is None else estimate_from
-    rows = estimated_rows(probe)
-    if rows is not None:
-        return rows <= max_rows
-    size = estimated_bytes(probe)
-    if size <= max_bytes:
-        return True
-    if size > _GRAY_ZONE * max_bytes:
-        return False
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-# Decisions already taken for an unchanged input (same files, same plan).
-_DECISIONS: dict[tuple, bool] = {}
-
-
-def _plan_key(df: DataFrame, *extra) -> tuple:
-    plan = df._jdf.queryExecution().optimizedPlan().canonicalized().toString()
-    return (plan, tuple(sorted(df.inputFiles())), *extra)
-
-
-def sized_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None,
-                    estimate_from: DataFrame | None = None) -> tuple[DataFrame, bool]:
-    """Return ``(broadcast(df), True)`` if it is small enough, else ``(df, False)``.
-
-    The decision is remembered for the same plan over the same files.
-    """
-    max_rows = DEFAULT_MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    max_bytes = DEFAULT_MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
-    key = _plan_key(df, max_rows, max_bytes)
-    ok = _DECISIONS.get(key)
-    if ok is None:
-        ok = _DECISIONS[key] = fits_broadcast(df, max_rows, max_bytes, estimate_from)
-    return (F.broadcast(df), True) if ok else (df, False)
-
+# ---- fixed values -----------------------------------------------------------
+# Dimensions with a schema-fixed row count (TPC-H: 25 nations, 5 regions).
+FIXED_DIMENSIONS = {"nation": 25, "region": 5}
+# -----------------------------------------------------------------------------
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int | None = None) -> DataFrame:
-    """Join, broadcasting ``small`` only when its size check passes.
 
-    When the check fails the join is left to Catalyst/AQE (sort-merge with
-    skew splitting), which is the right plan for two large sides.
-    """
-    side, _ = sized_broadcast(small, max_rows)
-    return big.join(side, on=on, how=how)
+def dimension(df: DataFrame, name: str) -> DataFrame:
+    """Broadcast hint for a fixed-size dimension (refuses anything else)."""
+    if name not in FIXED_DIMENSIONS:
+        raise ValueError(f"{name!r} has no fixed size; let Catalyst / AQE size the join")
+    return F.broadcast(df)

@@ -95,11 +95,15 @@ def load(table_dir: str, batch: DataFrame, keys, *, run_ts=None,
     """
     from tidemark.plans.upsert import keyed_upsert
 
+    from tidemark.session import materialize
+
     spark = batch.sparkSession
     current = read_version(spark, table_dir)
     done = committed_versions(spark, table_dir)
     if batch.isEmpty():
         return done[-1] if done else None
+    # Typed stage as files (B1): the merge then plans from the stage's real size.
+    batch = materialize(batch, "stage", reuse=False)
     if current is None:
         if initial is None:
             raise ValueError("table does not exist; pass an empty `initial` frame with its schema")

@@ -7,9 +7,10 @@ table is exactly
     target rows whose key is not in the batch   UNION ALL   the batch
 
 which needs no full outer join: a left-anti join removes the replaced keys
-and the batch is appended. When the batch's key set passes a size check it
-is broadcast, so the target is filtered map-side without being shuffled; a
-large batch falls back to a shuffled anti join (AQE splits skewed keys).
+and the batch is appended. A batch is normally a small staged table (see
+:func:`tidemark.plans.publish.load`, which writes the stage first): Catalyst
+then broadcasts its key set from file statistics and the target is filtered
+map-side without a shuffle; a large batch gets a shuffled anti join.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.plans.joins import sized_broadcast
 
 
 class DuplicateKeyError(ValueError):
@@ -66,8 +66,7 @@ def stage(batch: DataFrame, schema, *, run_ts, load_ts_col: str = "load_ts",
 
 def keyed_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], *,
                  run_ts=None, load_ts_col: str | None = "load_ts",
-                 on_duplicate: str = "error", order_col: str | None = None,
-                 max_broadcast_rows: int | None = None) -> DataFrame:
+                 on_duplicate: str = "error", order_col: str | None = None) -> DataFrame:
     """MERGE-equivalent upsert of ``batch`` into ``target`` on ``keys``.
 
     * matched keys: every non-key column comes from the batch (NULL too);
@@ -96,6 +95,5 @@ def keyed_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], *,
         ts_type = dict(target.dtypes).get(load_ts_col, "timestamp_ntz")
         src = src.withColumn(load_ts_col, F.lit(run_ts).cast(ts_type))
     src = src.select(*[F.col(c).cast(t) for c, t in target.dtypes])
-    batch_keys, _ = sized_broadcast(src.select(*keys), max_broadcast_rows)
-    kept = target.join(batch_keys, on=keys, how="left_anti")
+    kept = target.join(src.select(*keys), on=keys, how="left_anti")
     return kept.select(*cols).unionByName(src)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -87,22 +88,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df, tag: str):
-    """Write ``df`` once as a Parquet table in the shared checkpoint folder and
-    read it back (a lineage cut with file statistics and filter pushdown).
+def materialize(df, tag: str, *, reuse: bool = True):
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read
+    it back (a lineage cut with file statistics and filter pushdown).
 
-    Meant for small derived tables used by several plans. The folder is keyed
-    by the application and the canonical plan, so a re-run inside the same
-    application finds the committed table (``_SUCCESS``) and skips the write,
-    and nothing is ever shared across applications.
+    ``reuse=True`` is for small tables derived from files and used by several
+    plans: the folder is keyed by the application, the plan hash and the
+    input files, so a later call in the same application finds the committed
+    table (``_SUCCESS``) and skips the write; nothing is shared across
+    applications. ``reuse=False`` (staged batches) always writes a new folder.
     """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    # The canonical plan omits file locations: key on the input files too.
-    plan = df._jdf.queryExecution().optimizedPlan().canonicalized().toString()
-    files = "\n".join(sorted(df.inputFiles()))
-    digest = hashlib.sha1(f"{plan}\n{files}".encode()).hexdigest()[:16]
     app = spark.sparkContext.applicationId
+    if not reuse:
+        path = f"{root}/tables/{app}/{tag}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+    # The plan hash does not cover file locations: key on the input files too.
+    files = "\n".join(sorted(df.inputFiles()))
+    digest = hashlib.sha1(f"{df.semanticHash()}\n{files}".encode()).hexdigest()[:16]
     path = f"{root}/tables/{app}/{tag}-{digest}"
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import round_half_away
 from tidemark.functions.time import week_start
-from tidemark.plans.joins import sized_broadcast
+from tidemark.plans.joins import dimension
 from tidemark.session import materialize
 from tidemark.sources.payload import build_payload_pages
 from tidemark.sources.shaping import weekly_bars
@@ -115,45 +115,38 @@ def fuel_weekly(spark: SparkSession, base_dir: str) -> DataFrame:
                      load_ts_lit().alias("load_ts")))
 
 
-@_shared(keep=False)
-def customer_regions(spark: SparkSession, base_dir: str, level: str = "region") -> DataFrame:
-    """custkey -> region name (or nation name); nation/region are 25/5 rows."""
-    c = read_table(spark, base_dir, "customer", ["c_custkey", "c_nationkey"])
+def _customer_areas(spark: SparkSession, base_dir: str, level: str) -> DataFrame:
+    """nation -> area (nation name, or region name): 25 rows by definition."""
     n = read_table(spark, base_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     if level == "nation":
-        dim = n.select("n_nationkey", F.col("n_name").alias("area"))
-    else:
-        r = read_table(spark, base_dir, "region", ["r_regionkey", "r_name"])
-        dim = (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
-                .select("n_nationkey", F.col("r_name").alias("area")))
-    # nation has 25 rows by definition of the schema: a fixed-size dimension.
-    return (c.join(F.broadcast(dim), c.c_nationkey == dim.n_nationkey)
-             .select("c_custkey", "area"))
+        return n.select("n_nationkey", F.col("n_name").alias("area"))
+    r = read_table(spark, base_dir, "region", ["r_regionkey", "r_name"])
+    return (n.join(dimension(r, "region"), n.n_regionkey == r.r_regionkey)
+             .select("n_nationkey", F.col("r_name").alias("area")))
 
 
 def _orders_by_area(spark: SparkSession, base_dir: str, level: str,
                     extra_keys=()) -> DataFrame:
     """Weekly (sum, count) of order prices per customer area.
 
-    If the customer -> area map passes the broadcast size check, orders are
-    joined map-side and aggregated once (one shuffle of partial sums).
-    Beyond the bound it is a single shuffle join on the customer key; AQE's
-    skew-join handling splits the partition of a customer holding a third of
-    all orders into many tasks (the customer's one map row is replicated to
-    each), and the aggregation after the join is partial again. Pre-grouping
-    orders per (customer, week) instead would not shrink TPC-H-shaped data
-    (a customer rarely orders twice a week) and would double the shuffle.
+    Orders join the customer *scan*, so Catalyst sizes that join from the
+    customer files: broadcast while customer is small, otherwise one shuffle
+    join on the customer key, where AQE's skew-join handling splits the
+    partition of a customer holding a third of all orders into many tasks
+    (its single customer row is replicated to each). The 25-row area map is
+    a fixed-size broadcast, and the aggregation after the joins is partial.
+    Pre-grouping orders per (customer, week) instead would not shrink
+    TPC-H-shaped data (a customer rarely orders twice a week) and would
+    double the shuffle.
     """
     o = read_table(spark, base_dir, "orders",
                    ["o_custkey", "o_orderdate", "o_totalprice", *extra_keys])
-    part = o.select("o_custkey", week_start("o_orderdate").alias("week_date"), *extra_keys,
-                    F.col("o_totalprice").alias("s"))
-    # The map has one row per customer: size it by the customer scan.
-    cust = read_table(spark, base_dir, "customer", ["c_custkey", "c_nationkey"])
-    cmap, _ = sized_broadcast(customer_regions(spark, base_dir, level), estimate_from=cust)
-    joined = part.join(cmap, part.o_custkey == cmap.c_custkey)
-    return (joined.groupBy("week_date", "area", *extra_keys)
-                  .agg(F.sum("s").alias("s"), F.count(F.lit(1)).alias("n")))
+    c = read_table(spark, base_dir, "customer", ["c_custkey", "c_nationkey"])
+    area = dimension(_customer_areas(spark, base_dir, level), "nation")
+    joined = (o.join(c, o.o_custkey == c.c_custkey)
+               .join(area, c.c_nationkey == area.n_nationkey))
+    return (joined.groupBy(week_start("o_orderdate").alias("week_date"), "area", *extra_keys)
+                  .agg(F.sum("o_totalprice").alias("s"), F.count(F.lit(1)).alias("n")))
 
 
 @_shared
