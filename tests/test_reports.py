@@ -68,3 +68,11 @@ def test_ticker_overview(spark):
     assert out["T"]["week_date"] == wk(1) and out["T"]["prev_close"] == 10.0
     assert out["T"]["change"] == 1.0 and out["T"]["change_pct"] == 10.0
     assert out["U"]["prev_close"] is None and out["U"]["change_pct"] is None
+
+
+def test_box_stats_approx_close_to_exact(spark):
+    df = spark.range(2000).selectExpr("cast(id % 3 as string) AS g", "cast(id AS double) AS p")
+    ex = {r["g"]: r for r in RP.box_stats(df, group_col="g", value_col="p").collect()}
+    ap = {r["g"]: r for r in RP.box_stats(df, group_col="g", value_col="p", exact=False).collect()}
+    for g in ex:
+        assert abs(ex[g]["median"] - ap[g]["median"]) <= 3.0

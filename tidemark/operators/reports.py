@@ -74,14 +74,24 @@ def region_ranking(cmp: DataFrame, *, region_col: str = "region",
     return g.withColumn("spread_rank", F.rank().over(Window.orderBy(F.desc("avg_spread_pct"))))
 
 
-def box_stats(df: DataFrame, *, group_col: str, value_col: str, places: int = 4) -> DataFrame:
-    """F8: quartiles (exact, linear interpolation), range, 1.5 IQR fences and
-    outlier count per group. Groups hold one row per week, so the exact
-    percentile buffer per group is bounded by the number of weeks."""
+def box_stats(df: DataFrame, *, group_col: str, value_col: str, places: int = 4,
+              exact: bool = True, accuracy: int = 10000) -> DataFrame:
+    """F8: quartiles, range, 1.5 IQR fences and outlier count per group.
+
+    ``exact=True`` (default) interpolates linearly between order statistics;
+    its per-group buffer holds the group's values, which is bounded here
+    because a group has one row per week. For groups that grow with the
+    data use ``exact=False``: ``percentile_approx`` keeps a fixed-size sketch
+    per group and merges sketches map-side.
+    """
     v = F.col(value_col)
+    if exact:
+        pct = lambda p: F.percentile(v, p)
+    else:
+        pct = lambda p: F.percentile_approx(v, p, accuracy).cast("double")
     q = (df.filter(v.isNotNull()).groupBy(group_col)
-           .agg(F.percentile(v, 0.25).alias("q1"), F.percentile(v, 0.5).alias("median"),
-                F.percentile(v, 0.75).alias("q3"), F.min(v).alias("min_value"),
+           .agg(pct(0.25).alias("q1"), pct(0.5).alias("median"),
+                pct(0.75).alias("q3"), F.min(v).alias("min_value"),
                 F.max(v).alias("max_value"), F.count(v).alias("n")))
     q = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
           .withColumn("lower_fence", F.col("q1") - F.lit(1.5) * F.col("iqr"))
