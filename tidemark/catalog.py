@@ -226,7 +226,28 @@ def _market_raw_bars(spark, d) -> DataFrame:
                        price_col="p", volume_col="n", places=None)
 
 
+def _vol_many(s, d) -> DataFrame:
+    return price_volatility(fx.many_series(s, d), series_cols="series", price_col="price",
+                            other_cols=())
+
+
+def _ma_many(s, d) -> DataFrame:
+    return price_moving_avg(fx.many_series(s, d), series_cols="series", filter_col="price",
+                            price_cols=("price",), spreads=(), passthrough=())
+
+
+def _pivot(s, d) -> DataFrame:
+    pts = payload_points(s, d).withColumn("_ord", F.struct("page", "pos"))
+    picked = select_series(pts, "series", EVENT_GRADES, "grade")
+    wide = pivot_series(picked, period_col="period", label_col="grade", value_col="value",
+                        order_col="_ord", columns={g: g for g in EVENT_GRADES.values()})
+    return wide.withColumn("period", F.col("period").try_cast("date"))
+
+
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "vol_many_series": _vol_many,
+    "ma_many_series": _ma_many,
+    "pivot_grades": _pivot,
     "vol_weekly": lambda s, d: vol_model(s, d),
     "vol_label_share": lambda s, d: RP.label_share(vol_model(s, d), label_col="volatility_label"),
     "ma_weekly": lambda s, d: ma_model(s, d),
@@ -286,29 +307,6 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-def _vol_many(s, d) -> DataFrame:
-    return price_volatility(fx.many_series(s, d), series_cols="series", price_col="price",
-                            other_cols=())
-
-
-def _ma_many(s, d) -> DataFrame:
-    return price_moving_avg(fx.many_series(s, d), series_cols="series", filter_col="price",
-                            price_cols=("price",), spreads=(), passthrough=())
-
-
-SPARK["vol_many_series"] = _vol_many
-SPARK["ma_many_series"] = _ma_many
-
-
-def _pivot(s, d) -> DataFrame:
-    pts = payload_points(s, d).withColumn("_ord", F.struct("page", "pos"))
-    picked = select_series(pts, "series", EVENT_GRADES, "grade")
-    wide = pivot_series(picked, period_col="period", label_col="grade", value_col="value",
-                        order_col="_ord", columns={g: g for g in EVENT_GRADES.values()})
-    return wide.withColumn("period", F.col("period").try_cast("date"))
-
-
-SPARK["pivot_grades"] = _pivot
 SPARK = {k: SPARK[k] for k in sorted(SPARK)}
 
 
