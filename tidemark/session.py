@@ -115,9 +115,3 @@ def materialize(df, tag: str, *, reuse: bool = True):
     if not fs.exists(hpath):
         df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
