@@ -117,3 +117,29 @@ def test_incremental_load_replays_failed_batch(spark, workdir):
     assert committed_versions(spark, table) == [0, 1]
     assert rows(read_version(spark, table), "week_date", "regular") == [
         (dt.date(2024, 1, 1), 3.1), (dt.date(2024, 1, 8), 3.2)]
+
+
+def test_load_partitions_rewrites_only_touched_years(spark, workdir):
+    import glob
+    from tidemark.plans.publish import load_partitions
+    t = os.path.join(workdir, "big")
+    schema = "week_date date, region string, price double, load_ts timestamp_ntz, year int"
+    base = spark.createDataFrame(
+        [(dt.date(y, 1, 5), "US", float(y), None, y) for y in (2022, 2023, 2024)]
+        + [(dt.date(y, 6, 5), "US", float(y) + 0.5, None, y) for y in (2022, 2023, 2024)], schema)
+    assert sorted(load_partitions(t, base, ["week_date", "region"], partition_col="year",
+                                  run_ts="2026-01-05")) == [2022, 2023, 2024]
+    before = {y: sorted(glob.glob(f"{t}/year={y}/*.parquet")) for y in (2022, 2023, 2024)}
+    batch = spark.createDataFrame([(dt.date(2023, 1, 5), "US", None, None, 2023),
+                                   (dt.date(2023, 9, 4), "US", 9.9, None, 2023)], schema)
+    assert load_partitions(t, batch, ["week_date", "region"], partition_col="year",
+                           run_ts="2026-01-12") == [2023]
+    after = {y: sorted(glob.glob(f"{t}/year={y}/*.parquet")) for y in (2022, 2023, 2024)}
+    assert after[2022] == before[2022] and after[2024] == before[2024]   # untouched files
+    assert after[2023] != before[2023]
+    got = rows(spark.read.parquet(t), "week_date", "price", "year")
+    assert got == [(dt.date(2022, 1, 5), 2022.0, 2022), (dt.date(2022, 6, 5), 2022.5, 2022),
+                   (dt.date(2023, 1, 5), None, 2023), (dt.date(2023, 6, 5), 2023.5, 2023),
+                   (dt.date(2023, 9, 4), 9.9, 2023), (dt.date(2024, 1, 5), 2024.0, 2024),
+                   (dt.date(2024, 6, 5), 2024.5, 2024)]
+    assert load_partitions(t, batch.limit(0), ["week_date", "region"], partition_col="year") == []

@@ -16,6 +16,7 @@ so the same code works on HDFS, object stores and local disk).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _PREFIX = "v="
 
@@ -111,3 +112,45 @@ def load(table_dir: str, batch: DataFrame, keys, *, run_ts=None,
     merged = keyed_upsert(current, batch, keys, run_ts=run_ts, on_duplicate=on_duplicate,
                           order_col=order_col)
     return publish(merged, table_dir)
+
+
+def load_partitions(table_dir: str, batch: DataFrame, keys, *, partition_col: str,
+                    run_ts=None, on_duplicate: str = "error", order_col: str | None = None,
+                    max_partitions: int = 10000) -> list:
+    """Keyed upsert that rewrites only the partitions the batch touches.
+
+    For large targets laid out as ``partitionBy(partition_col)`` (e.g. the
+    year of ``week_date``; every key must map to one partition). Steps:
+
+    1. the batch's distinct partition values (a handful, bounded by
+       ``max_partitions``) select the target partitions to read - static
+       partition pruning, untouched partitions are not read at all;
+    2. the keyed upsert merges those partitions with the batch;
+    3. the merged rows are staged as files (so the table path is not read and
+       overwritten by one job), then written with dynamic partition
+       overwrite, which replaces exactly the touched partitions.
+
+    Returns the partition values written. An empty batch writes nothing.
+    Unlike :func:`load` the swap is per partition, not one atomic version.
+    """
+    from tidemark.plans.upsert import keyed_upsert
+    from tidemark.session import materialize
+
+    spark = batch.sparkSession
+    values = [r[0] for r in batch.select(partition_col).distinct()
+              .limit(max_partitions + 1).collect()]
+    if not values:
+        return []
+    if len(values) > max_partitions:
+        raise ValueError(f"batch touches more than {max_partitions} partitions; use load()")
+    fs, root, jvm = _fs(spark, table_dir)
+    if fs.exists(root):
+        target = spark.read.parquet(table_dir).filter(F.col(partition_col).isin(values))
+    else:
+        target = batch.limit(0)
+    merged = keyed_upsert(target.select(*batch.columns), batch, keys, run_ts=run_ts,
+                          on_duplicate=on_duplicate, order_col=order_col)
+    staged = materialize(merged, "partition-stage", reuse=False)
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(partition_col).parquet(table_dir))
+    return values
