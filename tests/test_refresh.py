@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import catalog
+from tidemark.plans.history import read_history
 from tidemark.plans.publish import read_version
 from tidemark.plans.refresh import ChecksFailed, refresh_warehouse
 from tidemark.sources import fixtures as fx
@@ -21,7 +22,7 @@ def test_refresh_publishes_and_snapshots(spark, workdir):
     wh = os.path.join(workdir, "wh")
     v = refresh_warehouse(spark, wh, checks=catalog.suite_checks(),
                           run_ts="2026-01-05 00:00:00", **_inputs(spark))
-    assert v["price_volatility"] == 0 and v["fuel_prices_history"] == 0
+    assert v["price_volatility"] == 0
     res = spark.read.parquet(os.path.join(wh, "check_results"))
     assert res.count() == 31 and res.filter("status = 'FAIL'").count() == 0
     final = read_version(spark, os.path.join(wh, "fuel_price_final"))
@@ -30,8 +31,8 @@ def test_refresh_publishes_and_snapshots(spark, workdir):
     # a second refresh with the same load times adds versions but no history rows
     v2 = refresh_warehouse(spark, wh, checks=catalog.suite_checks(),
                            run_ts="2026-01-12 00:00:00", **_inputs(spark))
-    assert v2["fuel_prices_history"] == 1
-    h = read_version(spark, os.path.join(wh, "fuel_prices_history"))
+    assert v2["price_volatility"] == 1
+    h = read_history(spark, os.path.join(wh, "fuel_prices_history"))
     assert h.count() == 344 and h.filter("valid_to is null").count() == 344
 
 
@@ -42,4 +43,4 @@ def test_failing_check_stops_before_snapshot(spark, workdir):
     with pytest.raises(ChecksFailed):
         refresh_warehouse(spark, wh, checks=catalog.suite_checks(),
                           run_ts="2026-01-05 00:00:00", **inputs)
-    assert read_version(spark, os.path.join(wh, "fuel_prices_history")) is None
+    assert read_history(spark, os.path.join(wh, "fuel_prices_history")) is None

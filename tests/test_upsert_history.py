@@ -100,3 +100,41 @@ def test_history_check_strategy(spark):
     h = run(h, [(D[0], "US", 1.1, t[2]), (D[1], "US", None, t[2])], t[2])
     got = rows(h, "week_date", "price", "valid_from", "valid_to")
     assert got == [(D[0], 1.0, t[0], t[2]), (D[0], 1.1, t[2], None), (D[1], None, t[0], None)]
+
+
+def test_history_table_form_matches_in_memory(spark, workdir):
+    import os
+    t = [dt.datetime(2026, 1, 5 + 7 * i) for i in range(4)]
+    ts = [x.strftime("%Y-%m-%d %H:%M:%S") for x in t]
+    runs = [
+        [(D[0], "US", 1.0, t[0]), (D[1], "US", 2.0, t[0])],
+        [(D[0], "US", 1.5, t[1]), (D[1], "US", 2.0, t[0])],
+        [(D[0], "US", 1.5, t[1])],
+        [(D[0], "US", 1.5, t[1]), (D[1], "US", 2.2, t[3])],
+    ]
+    hdir = os.path.join(workdir, "hist")
+    mem = None
+    for data, run in zip(runs, ts):
+        H.snapshot_table(spark, hdir, table(spark, data), ["week_date", "region"], run_ts=run)
+        mem = H.snapshot(mem, table(spark, data), ["week_date", "region"], run_ts=run)
+    got = H.read_history(spark, hdir)
+    assert rows(got, *mem.columns) == rows(mem)
+    # closed versions live in per-run folders that later runs never rewrite
+    assert sorted(os.listdir(os.path.join(hdir, "closed"))) == [
+        "run=20260105000000", "run=20260112000000", "run=20260119000000",
+        "run=20260126000000"]
+
+
+def test_history_table_rerun_is_noop(spark, workdir):
+    import os
+    hdir = os.path.join(workdir, "hist")
+    r1 = [(D[0], "US", 1.0, T0), (D[1], "US", 2.0, T0)]
+    r2 = [(D[0], "US", 1.0, T0)]                       # key 1 deleted
+    assert H.snapshot_table(spark, hdir, table(spark, r1), ["week_date", "region"],
+                            run_ts="2026-01-05 00:00:00")
+    assert H.snapshot_table(spark, hdir, table(spark, r2), ["week_date", "region"],
+                            run_ts="2026-01-12 00:00:00")
+    before = rows(H.read_history(spark, hdir))
+    assert not H.snapshot_table(spark, hdir, table(spark, r2), ["week_date", "region"],
+                                run_ts="2026-01-12 00:00:00")
+    assert rows(H.read_history(spark, hdir)) == before and len(before) == 2

@@ -134,3 +134,59 @@ def as_of(history: DataFrame, ts) -> DataFrame:
     t = F.lit(ts).cast(dict(history.dtypes)["valid_from"])
     return history.filter((F.col("valid_from") <= t) &
                           (F.col("valid_to").isNull() | (F.col("valid_to") > t)))
+
+
+# ------------------------------------------------------------ table form --
+def _history_paths(history_dir: str) -> tuple[str, str]:
+    root = history_dir.rstrip("/")
+    return f"{root}/current", f"{root}/closed"
+
+
+def _exists(spark, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_history(spark, history_dir: str) -> DataFrame | None:
+    """The whole history of a table-backed snapshot (current + closed)."""
+    cur, closed = _history_paths(history_dir)
+    if not _exists(spark, f"{cur}/_SUCCESS"):
+        return None
+    out = spark.read.parquet(cur)
+    if _exists(spark, closed):
+        out = out.unionByName(spark.read.parquet(closed).drop("run"), allowMissingColumns=False)
+    return out
+
+
+def snapshot_table(spark, history_dir: str, source: DataFrame, keys: Sequence[str], *,
+                   run_ts: str, run_tag: str | None = None, **options) -> bool:
+    """One snapshot run against a history stored as files, touching only
+    current versions. Returns False if this run was already completed.
+
+    Layout: ``current/`` holds the open versions and is rewritten each run;
+    ``closed/run=<tag>/`` receives the versions this run closed and is never
+    rewritten; ``_runs/<tag>`` marks a finished run. Closed history (the
+    bulk, growing every run) is neither read nor rewritten. The run's output
+    is staged first, so ``current`` is not read and overwritten by one job.
+    Retries are safe: a finished run is skipped, and a committed ``closed``
+    folder is kept (recomputing it gives the same rows).
+    """
+    from tidemark.session import materialize
+
+    cur, closed = _history_paths(history_dir)
+    tag = run_tag or "".join(ch for ch in run_ts if ch.isdigit())
+    marker = f"{history_dir.rstrip('/')}/_runs/{tag}"
+    if _exists(spark, marker):
+        return False
+    previous = spark.read.parquet(cur) if _exists(spark, f"{cur}/_SUCCESS") else None
+    out = snapshot(previous, source, keys, run_ts=run_ts, **options)
+    staged = materialize(out, "snapshot-stage", reuse=False)
+    if not _exists(spark, f"{closed}/run={tag}/_SUCCESS"):
+        (staged.filter(F.col("valid_to").isNotNull())
+               .write.mode("overwrite").parquet(f"{closed}/run={tag}"))
+    staged.filter(F.col("valid_to").isNull()).write.mode("overwrite").parquet(cur)
+    jvm = spark.sparkContext._jvm
+    mp = jvm.org.apache.hadoop.fs.Path(marker)
+    mp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(mp, True).close()
+    return True

@@ -72,10 +72,10 @@ def refresh_warehouse(spark: SparkSession, warehouse: str, *, national: DataFram
     if failed and strict:
         raise ChecksFailed(failed)
 
-    hist_dir = f"{root}/fuel_prices_history"
-    previous = read_version(spark, hist_dir)
-    snap = H.snapshot(previous, pub["fuel_prices"], NATIONAL_KEY, run_ts=run_ts)
-    versions["fuel_prices_history"] = publish(snap, hist_dir)
+    # History: only open versions are read and rewritten; closed ones are
+    # appended once per run (see plans.history.snapshot_table).
+    H.snapshot_table(spark, f"{root}/fuel_prices_history", pub["fuel_prices"], NATIONAL_KEY,
+                     run_ts=run_ts)
 
     train = FC.training_set(pub["fuel_prices"], series_col="region", time_col="week_date",
                             target_col="regular")
