@@ -49,15 +49,23 @@ def build_models(national: DataFrame, regional: DataFrame, market: DataFrame, *,
 def refresh_warehouse(spark: SparkSession, warehouse: str, *, national: DataFrame,
                       regional: DataFrame, market: DataFrame, crude_ticker: str,
                       checks: Sequence[CK.Check], run_ts: str, strict: bool = True,
-                      horizon: int = 12, level: float = 0.95) -> Mapping[str, int]:
-    """Run one refresh; returns the published version of every table."""
+                      horizon: int = 12, level: float = 0.95,
+                      publish_raw: bool = True) -> Mapping[str, int]:
+    """Run one refresh; returns the published version of every table.
+
+    ``publish_raw=False`` takes the three raw tables as already stored (kept
+    by the keyed loads) instead of writing a copy into the warehouse.
+    """
     root = warehouse.rstrip("/")
     versions: dict[str, int] = {}
     raw = {"fuel_prices": national, "regional_fuel_prices": regional,
            "energy_market_prices": market}
-    for name, df in raw.items():
-        versions[name] = publish(df, f"{root}/{name}")
-    pub = {name: read_version(spark, f"{root}/{name}") for name in raw}
+    if publish_raw:
+        for name, df in raw.items():
+            versions[name] = publish(df, f"{root}/{name}")
+        pub = {name: read_version(spark, f"{root}/{name}") for name in raw}
+    else:
+        pub = dict(raw)
     models = build_models(pub["fuel_prices"], pub["regional_fuel_prices"],
                           pub["energy_market_prices"], crude_ticker=crude_ticker)
     for name, df in models.items():
