@@ -55,6 +55,7 @@ HORIZON = 12
 LEVEL = 0.95
 RETENTION_MONTHS = 48
 LATEST_REGIONAL = 104
+LATEST_NATIONAL = 200
 # event type -> grade column, for the series-selection + pivot scenario
 EVENT_GRADES = {"view": "regular", "click": "midgrade", "purchase": "premium", "signup": "diesel"}
 # -----------------------------------------------------------------------------
@@ -133,8 +134,10 @@ def revised_market(spark, d) -> DataFrame:
 
 
 def upserted_national(spark, d) -> DataFrame:
-    return keyed_upsert(national(spark, d), revised_national(spark, d), NATIONAL_KEY,
-                        run_ts=RUN_TS, on_duplicate="assume_unique")
+    """The weekly national load: newest 200 revised weeks merged into the table."""
+    batch = latest_per_series(revised_national(spark, d), "region", "week_date", LATEST_NATIONAL)
+    return keyed_upsert(national(spark, d), batch, NATIONAL_KEY, run_ts=RUN_TS,
+                        on_duplicate="assume_unique")
 
 
 def vol_model(spark, d, price="all_grades") -> DataFrame:
@@ -490,6 +493,13 @@ def sql_revised_national(name="rev") -> str:
   FROM lineitem GROUP BY 1)"""
 
 
+def sql_latest_national(name="revl", src="rev") -> str:
+    return f"""{name} AS (
+  SELECT {', '.join(NAT_COLS)} FROM (
+    SELECT *, row_number() OVER (PARTITION BY region ORDER BY week_date DESC) AS rn FROM {src})
+  WHERE rn <= {LATEST_NATIONAL})"""
+
+
 def sql_upsert(name, target, batch, keys, cols) -> str:
     on = " AND ".join(f"b.{k} = t.{k}" for k in keys)
     c = ", ".join(cols)
@@ -509,7 +519,8 @@ def sql_history(name="hist") -> str:
     all_cols = ", ".join([*data, *H.META])
     return f"""{sql_national('nat')},
 {sql_revised_national('rev')},
-{sql_upsert('ups', 'nat', 'rev', keys, NAT_COLS)},
+{sql_latest_national('revl', 'rev')},
+{sql_upsert('ups', 'nat', 'revl', keys, NAT_COLS)},
 src2 AS (
   SELECT * FROM ups WHERE week_date >= (SELECT max(week_date) FROM ups) - INTERVAL {RETENTION_MONTHS} MONTH),
 h1 AS (
@@ -686,8 +697,8 @@ WHERE week_date >= (SELECT max(week_date) FROM fx_market) - INTERVAL {RETENTION_
   {R('try_cast(value AS double)')} AS price
 FROM fx_points WHERE period IS NOT NULL AND period <> '' AND value IS NOT NULL
   AND {R('try_cast(value AS double)')} IS NOT NULL""",
-    "upsert_fuel": W(O.FX_FUEL, sql_national(), sql_revised_national(),
-                     sql_upsert("ups", "nat", "rev", NATIONAL_KEY, NAT_COLS)) + "SELECT * FROM ups",
+    "upsert_fuel": W(O.FX_FUEL, sql_national(), sql_revised_national(), sql_latest_national(),
+                     sql_upsert("ups", "nat", "revl", NATIONAL_KEY, NAT_COLS)) + "SELECT * FROM ups",
     "upsert_regional": W(O.FX_REGIONAL, _revised_regional_sql(),
                          sql_upsert("ups", "fx_regional", "rreg", REGIONAL_KEY, REG_COLS))
         + "SELECT * FROM ups",
