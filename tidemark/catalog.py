@@ -79,20 +79,23 @@ def national(spark, d) -> DataFrame:
 
 @fx._shared
 def revised_national(spark, d) -> DataFrame:
-    """Second load of the national table: weekly prices from lineitem."""
-    li = read_table(spark, d, "lineitem",
-                    ["l_shipdate", "l_extendedprice", "l_returnflag", "l_linestatus"])
-    p = F.col("l_extendedprice")
-    grades = [round_half_away(F.avg(F.when(F.col("l_returnflag") == F.lit(f), p))
-                              / F.lit(REVISION_SCALE), 4).alias(g)
+    """Second load of the national table: weekly prices from lineitem
+    (re-aggregated from the shared daily lineitem table)."""
+    daily = fx.daily_lines(spark, d)
+
+    def mean_where(cond):
+        return (F.sum(F.when(cond, F.col("s_gross"))) / F.sum(F.when(cond, F.col("n")))
+                / F.lit(REVISION_SCALE))
+
+    grades = [round_half_away(mean_where(F.col("ticker") == F.lit(f)), 4).alias(g)
               for g, f in REVISION_FLAGS.items()]
-    diesel = round_half_away(F.avg(F.when(F.col("l_linestatus") == F.lit(REVISION_DIESEL_STATUS), p))
-                             / F.lit(REVISION_SCALE), 4).alias("diesel")
-    return (li.groupBy(week_start("l_shipdate").alias("week_date")).agg(*grades, diesel)
-              .select("week_date", F.lit(fx.NATIONAL_REGION).alias("region"),
-                      "regular", "midgrade", "premium", "diesel",
-                      F.lit(fx.PRICE_UNIT).alias("price_unit"),
-                      F.lit(fx.NATIONAL_SOURCE).alias("source"), _ts(RUN_TS).alias("load_ts")))
+    diesel = round_half_away(mean_where(F.col("status") == F.lit(REVISION_DIESEL_STATUS)),
+                             4).alias("diesel")
+    return (daily.groupBy(week_start("day").alias("week_date")).agg(*grades, diesel)
+                 .select("week_date", F.lit(fx.NATIONAL_REGION).alias("region"),
+                         "regular", "midgrade", "premium", "diesel",
+                         F.lit(fx.PRICE_UNIT).alias("price_unit"),
+                         F.lit(fx.NATIONAL_SOURCE).alias("source"), _ts(RUN_TS).alias("load_ts")))
 
 
 @fx._shared
@@ -122,12 +125,8 @@ def revised_regional(spark, d) -> DataFrame:
 @fx._shared
 def revised_market(spark, d) -> DataFrame:
     """Second load of the market table: net-price bars, newest 104 per ticker."""
-    li = read_table(spark, d, "lineitem",
-                    ["l_returnflag", "l_shipdate", "l_extendedprice", "l_discount"])
-    daily = (li.groupBy(F.col("l_returnflag").alias("ticker"), F.to_date("l_shipdate").alias("day"))
-               .agg((F.avg(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")))
-                     / F.lit(fx.BAR_SCALE)).alias("p"), F.count(F.lit(1)).alias("n")))
-    bars = weekly_bars(daily, key_cols=["ticker"], time_col="day", price_col="p", volume_col="n")
+    bars = weekly_bars(fx.daily_ticks(spark, d), key_cols=["ticker"], time_col="day",
+                       price_col="p_net", volume_col="n")
     bars = latest_per_series(bars, "ticker", "week_date", LATEST_REGIONAL)
     return bars.select("week_date", "ticker", fx.ticker_name_col().alias("ticker_name"),
                        "open", "high", "low", "close", "volume", _ts(RUN_TS).alias("load_ts"))

@@ -170,15 +170,39 @@ def many_series(spark: SparkSession, base_dir: str) -> DataFrame:
 
 
 @_shared
-def daily_ticks(spark: SparkSession, base_dir: str) -> DataFrame:
-    """Daily mean price and row count per return flag (the 'ticker')."""
-    li = read_table(spark, base_dir, "lineitem", ["l_returnflag", "l_shipdate", "l_extendedprice"])
+def daily_lines(spark: SparkSession, base_dir: str) -> DataFrame:
+    """One pass over lineitem: per (return flag, line status, ship day) the
+    sums of gross and net extended price and the line count.
+
+    Every lineitem-derived table (market bars, their net-price revision, the
+    revised national grades) is re-aggregated from this small table, so the
+    fact table is scanned once, whatever the mix of queries. Sums and counts
+    (not means) keep the re-aggregation exact: a mean over any grouping is
+    sum / count.
+    """
+    li = read_table(spark, base_dir, "lineitem",
+                    ["l_returnflag", "l_linestatus", "l_shipdate", "l_extendedprice",
+                     "l_discount"])
+    p = F.col("l_extendedprice")
     return (li.groupBy(F.col("l_returnflag").alias("ticker"),
+                       F.col("l_linestatus").alias("status"),
                        F.to_date("l_shipdate").alias("day"))
-              .agg((F.avg("l_extendedprice") / F.lit(BAR_SCALE)).alias("p"),
+              .agg(F.sum(p).alias("s_gross"),
+                   F.sum(p * (F.lit(1.0) - F.col("l_discount"))).alias("s_net"),
                    F.count(F.lit(1)).alias("n")))
 
 
+@_shared
+def daily_ticks(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Daily mean price (gross and net) and line count per return flag."""
+    d = daily_lines(spark, base_dir)
+    n = F.sum("n")
+    return (d.groupBy("ticker", "day")
+             .agg((F.sum("s_gross") / n / F.lit(BAR_SCALE)).alias("p"),
+                  (F.sum("s_net") / n / F.lit(BAR_SCALE)).alias("p_net"),
+                  n.alias("n")))
+
+
 def ticker_name_col(c="ticker"):
     mapping = F.create_map(*[F.lit(x) for kv in TICKER_NAMES.items() for x in kv])
     return mapping[F.col(c)]
