@@ -81,5 +81,5 @@ def test_only_fixed_dimensions_are_hinted():
 
 def test_customer_join_sized_by_catalyst(spark):
     # small customer files: Catalyst broadcasts the customer scan by itself
-    p = plan(fx.regional_weekly.lazy(spark, SF))
+    p = plan(fx.orders_by_nation.lazy(spark, SF))
     assert re.search(r"BroadcastHashJoin \[o_custkey#\d+L\], \[c_custkey#\d+L\]", p)

@@ -115,46 +115,51 @@ def fuel_weekly(spark: SparkSession, base_dir: str) -> DataFrame:
                      load_ts_lit().alias("load_ts")))
 
 
-def _customer_areas(spark: SparkSession, base_dir: str, level: str) -> DataFrame:
-    """nation -> area (nation name, or region name): 25 rows by definition."""
+def _nation_regions(spark: SparkSession, base_dir: str) -> DataFrame:
+    """nation -> (nation name, region name): 25 rows by definition."""
     n = read_table(spark, base_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
-    if level == "nation":
-        return n.select("n_nationkey", F.col("n_name").alias("area"))
     r = read_table(spark, base_dir, "region", ["r_regionkey", "r_name"])
     return (n.join(dimension(r, "region"), n.n_regionkey == r.r_regionkey)
-             .select("n_nationkey", F.col("r_name").alias("area")))
-
-
-def _orders_by_area(spark: SparkSession, base_dir: str, level: str,
-                    extra_keys=()) -> DataFrame:
-    """Weekly (sum, count) of order prices per customer area.
-
-    Orders join the customer *scan*, so Catalyst sizes that join from the
-    customer files: broadcast while customer is small, otherwise one shuffle
-    join on the customer key, where AQE's skew-join handling splits the
-    partition of a customer holding a third of all orders into many tasks
-    (its single customer row is replicated to each). The 25-row area map is
-    a fixed-size broadcast, and the aggregation after the joins is partial.
-    Pre-grouping orders per (customer, week) instead would not shrink
-    TPC-H-shaped data (a customer rarely orders twice a week) and would
-    double the shuffle.
+             .select("n_nationkey", "n_name", "r_name"))
+
+
+@_shared
+def orders_by_nation(spark: SparkSession, base_dir: str) -> DataFrame:
+    """One joined pass over orders: per (order week, customer nation and
+    region, order priority) the sum of order prices and the order count.
+
+    The regional table and the nation x priority series re-aggregate this
+    small table (at most weeks x 25 x 5 rows), so orders are joined to
+    customer once. Orders join the customer *scan*, so Catalyst sizes that
+    join from the customer files: broadcast while customer is small,
+    otherwise one shuffle join on the customer key, where AQE's skew-join
+    handling splits the partition of a customer holding a third of all
+    orders into many tasks (its single customer row is replicated to each).
+    The 25-row nation map is a fixed-size broadcast and the aggregation is
+    partial. Pre-grouping orders per (customer, week) instead would not
+    shrink TPC-H-shaped data (a customer rarely orders twice a week) and
+    would double the shuffle. The national table does not need customers
+    and keeps its own join-free pass.
     """
     o = read_table(spark, base_dir, "orders",
-                   ["o_custkey", "o_orderdate", "o_totalprice", *extra_keys])
+                   ["o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority"])
     c = read_table(spark, base_dir, "customer", ["c_custkey", "c_nationkey"])
-    area = dimension(_customer_areas(spark, base_dir, level), "nation")
+    nr = dimension(_nation_regions(spark, base_dir), "nation")
     joined = (o.join(c, o.o_custkey == c.c_custkey)
-               .join(area, c.c_nationkey == area.n_nationkey))
-    return (joined.groupBy(week_start("o_orderdate").alias("week_date"), "area", *extra_keys)
+               .join(nr, c.c_nationkey == nr.n_nationkey))
+    return (joined.groupBy(week_start("o_orderdate").alias("week_date"), "n_name", "r_name",
+                           "o_orderpriority")
                   .agg(F.sum("o_totalprice").alias("s"), F.count(F.lit(1)).alias("n")))
 
 
 @_shared
 def regional_weekly(spark: SparkSession, base_dir: str) -> DataFrame:
     """Regional table: one row per (order week, customer region)."""
-    agg = _orders_by_area(spark, base_dir, "region")
+    agg = (orders_by_nation(spark, base_dir)
+           .groupBy("week_date", F.col("r_name").alias("region"))
+           .agg(F.sum("s").alias("s"), F.sum("n").alias("n")))
     return agg.select(
-        "week_date", F.col("area").alias("region"),
+        "week_date", "region",
         round_half_away(F.col("s") / F.col("n") / F.lit(PRICE_SCALE), 4).alias("price"),
         F.lit(FUEL_TYPE).alias("fuel_type"), F.lit(PRICE_UNIT).alias("price_unit"),
         F.lit(REGIONAL_SOURCE).alias("source"), load_ts_lit().alias("load_ts"))
@@ -163,9 +168,9 @@ def regional_weekly(spark: SparkSession, base_dir: str) -> DataFrame:
 @_shared
 def many_series(spark: SparkSession, base_dir: str) -> DataFrame:
     """125 series: nation x order priority x week (for scale runs)."""
-    agg = _orders_by_area(spark, base_dir, "nation", extra_keys=("o_orderpriority",))
+    agg = orders_by_nation(spark, base_dir)
     return agg.select(
-        "week_date", F.concat_ws("/", "area", "o_orderpriority").alias("series"),
+        "week_date", F.concat_ws("/", "n_name", "o_orderpriority").alias("series"),
         round_half_away(F.col("s") / F.col("n") / F.lit(PRICE_SCALE), 4).alias("price"))
 
 
