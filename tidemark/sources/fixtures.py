@@ -1,10 +1,13 @@
 """Weekly price tables derived from the driver's TPC-H-like tables.
 
 These stand in for the three raw tables (national grades, regional prices,
-market bars) and for landed API payloads. Each is a single aggregation over a
-whole input table; every aggregate is partial (map-side combine), so a hot
-key (one priority, one return flag) is reduced to one row per week and map
-task before any shuffle.
+market bars) and for landed API payloads. Each fact table is read in as few
+passes as possible: ``orders`` once without joins (national) and once joined
+to customer (``orders_by_nation``, re-aggregated into the regional and the
+125-series tables); ``lineitem`` once (``daily_lines``, re-aggregated into the
+market bars and the second loads). Every aggregate is partial (map-side
+combine), so a hot key (one priority, one return flag) is reduced to one row
+per group and map task before any shuffle.
 
 The same definitions exist as SQL text in :mod:`tidemark.oracle` for the
 DuckDB comparison; the two must stay in step.
