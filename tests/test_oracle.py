@@ -41,6 +41,7 @@ def duck():
 def test_registry_is_complete():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(entry.queries()) - set(entry.oracle_sql()) == {"forecast_pooled"}
+    assert len(entry.queries()) == 38
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))

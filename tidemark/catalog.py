@@ -248,6 +248,8 @@ def _pivot(s, d) -> DataFrame:
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vol_many_series": _vol_many,
+    "vol_regular": lambda s, d: vol_model(s, d, "regular"),
+    "crude_margin_regular": lambda s, d: crude_model(s, d, "regular"),
     "ma_many_series": _ma_many,
     "pivot_grades": _pivot,
     "vol_weekly": lambda s, d: vol_model(s, d),
@@ -660,6 +662,9 @@ W = O.with_
 SQL: dict[str, str] = {
     "vol_weekly": W(O.FX_FUEL, sql_vol()) + "SELECT * FROM vol",
     "vol_many_series": W(O.FX_MANY, sql_vol_many()) + "SELECT * FROM vm",
+    "vol_regular": W(O.FX_FUEL, sql_vol("volr", price="regular")) + "SELECT * FROM volr",
+    "crude_margin_regular": W(O.FX_FUEL, O.FX_MARKET, sql_crude("crr", price="regular"))
+        + "SELECT * FROM crr",
     "ma_many_series": W(O.FX_MANY, sql_ma_many()) + "SELECT * FROM mm",
     "vol_label_share": W(O.FX_FUEL, sql_vol()) + f"""SELECT volatility_label, count(*) AS n_weeks,
   {R('count(*) * cast(100 AS double) / (SELECT count(*) FROM vol)', 2)} AS pct_weeks
