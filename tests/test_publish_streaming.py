@@ -143,3 +143,26 @@ def test_load_partitions_rewrites_only_touched_years(spark, workdir):
                    (dt.date(2023, 9, 4), 9.9, 2023), (dt.date(2024, 1, 5), 2024.0, 2024),
                    (dt.date(2024, 6, 5), 2024.5, 2024)]
     assert load_partitions(t, batch.limit(0), ["week_date", "region"], partition_col="year") == []
+
+
+def test_incremental_load_strict_feed_fails_on_malformed(spark, workdir):
+    import pytest
+    landing = os.path.join(workdir, "landing")
+    os.makedirs(landing)
+    with open(os.path.join(landing, "a.json"), "w") as fh:
+        fh.write(_page("reg", [("2024-01-01", "3.1")]) + "\n")
+        fh.write("{broken\n")
+    table = os.path.join(workdir, "t")
+
+    def to_rows(points):
+        return points.select(F.col("period").try_cast("date").alias("week_date"),
+                             F.lit("US_NATIONAL").alias("region"),
+                             F.col("value").try_cast("double").alias("regular"))
+
+    kw = dict(landing_dir=landing, table_dir=table, initial=spark.createDataFrame([], NATIONAL),
+              keys=["week_date", "region"], to_rows=to_rows, run_ts="2026-01-05 00:00:00")
+    with pytest.raises(Exception):
+        run_incremental_load(spark, checkpoint=os.path.join(workdir, "c1"), on_error="fail", **kw)
+    assert committed_versions(spark, table) == [0]
+    run_incremental_load(spark, checkpoint=os.path.join(workdir, "c2"), on_error="skip", **kw)
+    assert rows(read_version(spark, table), "week_date", "regular") == [(dt.date(2024, 1, 1), 3.1)]

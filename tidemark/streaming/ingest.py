@@ -31,15 +31,19 @@ from tidemark.sources.payload import explode_payload
 
 
 def payload_stream(spark: SparkSession, landing_dir: str, *,
-                   label_field: str = "series", max_files_per_trigger: int | None = None
-                   ) -> DataFrame:
+                   label_field: str = "series", max_files_per_trigger: int | None = None,
+                   on_error: str = "skip") -> DataFrame:
     """Streaming read of landed payload pages (one JSON document per line).
 
     Each document carries its series label in ``label_field`` next to
-    ``response``. Malformed lines are skipped (kept out of the batch).
+    ``response``. ``on_error="skip"`` (tolerant feeds) leaves malformed lines
+    out of the batch; ``on_error="fail"`` (strict feeds) stops the stream.
     """
+    if on_error not in ("skip", "fail"):
+        raise ValueError("on_error must be 'skip' or 'fail'")
     schema = StructType([StructField(label_field, StringType()), *PAYLOAD.fields])
-    reader = spark.readStream.schema(schema).option("mode", "DROPMALFORMED")
+    mode = "DROPMALFORMED" if on_error == "skip" else "FAILFAST"
+    reader = spark.readStream.schema(schema).option("mode", mode)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(landing_dir).withColumn("_file", F.col("_metadata.file_path"))
@@ -49,7 +53,8 @@ def run_incremental_load(spark: SparkSession, *, landing_dir: str, table_dir: st
                          initial: DataFrame, keys: Sequence[str],
                          to_rows: Callable[[DataFrame], DataFrame],
                          run_ts: str | None = None, checkpoint: str | None = None,
-                         label_field: str = "series", defaults: dict | None = None) -> None:
+                         label_field: str = "series", defaults: dict | None = None,
+                         on_error: str = "skip") -> None:
     """Process every landed file not yet loaded, then stop (one scheduled run).
 
     ``to_rows`` turns exploded points (label, _file, pos, period, value, and
@@ -76,7 +81,7 @@ def run_incremental_load(spark: SparkSession, *, landing_dir: str, table_dir: st
         merged = keyed_upsert(target, staged, keys, on_duplicate="assume_unique")
         publish(merged, table_dir, version=epoch_id + 1)
 
-    query = (payload_stream(spark, landing_dir, label_field=label_field)
+    query = (payload_stream(spark, landing_dir, label_field=label_field, on_error=on_error)
              .writeStream.foreachBatch(load_batch)
              .option("checkpointLocation", ckpt)
              .trigger(availableNow=True)
