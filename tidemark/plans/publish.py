@@ -95,7 +95,6 @@ def load(table_dir: str, batch: DataFrame, keys, *, run_ts=None,
     failure anywhere before the commit leaves the current version in place.
     """
     from tidemark.plans.upsert import keyed_upsert
-
     from tidemark.session import materialize
 
     spark = batch.sparkSession
