@@ -134,6 +134,7 @@ def revised_market(spark, d) -> DataFrame:
 
 def upserted_national(spark, d) -> DataFrame:
     """The weekly national load: newest 200 revised weeks merged into the table."""
+    fx.prefetch(spark, d, fx.fuel_weekly, revised_national)
     batch = latest_per_series(revised_national(spark, d), "region", "week_date", LATEST_NATIONAL)
     return keyed_upsert(national(spark, d), batch, NATIONAL_KEY, run_ts=RUN_TS,
                         on_duplicate="assume_unique")
@@ -149,11 +150,13 @@ def ma_model(spark, d) -> DataFrame:
 
 
 def crude_model(spark, d, price="all_grades") -> DataFrame:
+    fx.prefetch(spark, d, fx.fuel_weekly, fx.market_weekly)
     return lagged_margin(fx.fuel_weekly(spark, d), fx.market_weekly(spark, d),
                          ticker=fx.CRUDE_TICKER, retail_col=price, other_cols=("diesel",))
 
 
 def regional_model(spark, d) -> DataFrame:
+    fx.prefetch(spark, d, fx.fuel_weekly, fx.regional_weekly)
     return region_spread(fx.regional_weekly(spark, d), fx.fuel_weekly(spark, d),
                          national_price="regular")
 
@@ -174,6 +177,7 @@ def payload_points(spark, d) -> DataFrame:
 
 
 def history_runs(spark, d) -> DataFrame:
+    fx.prefetch(spark, d, fx.fuel_weekly, revised_national)
     h1 = H.initial_history(national(spark, d), NATIONAL_KEY)
     src2 = trailing_window(upserted_national(spark, d), time_col="week_date",
                            months=RETENTION_MONTHS)
@@ -181,6 +185,7 @@ def history_runs(spark, d) -> DataFrame:
 
 
 def published_tables(spark, d) -> dict[str, DataFrame]:
+    fx.prefetch(spark, d, fx.fuel_weekly, fx.regional_weekly, fx.market_weekly)
     return {
         "fuel_prices": national(spark, d),
         "regional_fuel_prices": fx.regional_weekly(spark, d),

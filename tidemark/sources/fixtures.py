@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,6 +94,22 @@ def _shared(fn=None, *, keep: bool = True):
     return wrapper
 
 
+def prefetch(spark: SparkSession, base_dir: str, *builders) -> None:
+    """Build independent shared tables as concurrent Spark jobs.
+
+    Each build is a small job (often one task per stage on small inputs), so
+    submitting them together keeps executors busy; a dependency shared by two
+    builders is still built once (each builder holds its own lock).
+    """
+    if len(builders) < 2:
+        for b in builders:
+            b(spark, base_dir)
+        return
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        for f in [pool.submit(b, spark, base_dir) for b in builders]:
+            f.result()
+
+
 def load_ts_lit(ts: str = FIXTURE_LOAD_TS):
     return F.lit(ts).cast("timestamp_ntz")
 
