@@ -1 +1 @@
-"""Plan-level building blocks: joins with size checks, publish, upsert, history."""
+"""Plan-level building blocks: join policy, publish and loads, history, refresh."""
