@@ -39,3 +39,10 @@ def test_labels_strict_and_null(spark):
     assert [r[0] for r in df.select(lab).collect()] == ["M", "H", "L", "L"]
     lab2 = label_by_thresholds("x", [(0.30, "H")], "L", null_label="N")
     assert [r[0] for r in df.select(lab2).collect()][-1] == "N"
+
+
+def test_materialize_never_reuses_in_memory_data(spark):
+    from tidemark.session import materialize
+    a = materialize(spark.createDataFrame([(1,)], "x int"), "t")
+    b = materialize(spark.createDataFrame([(2,)], "x int"), "t")
+    assert [r[0] for r in a.collect()] == [1] and [r[0] for r in b.collect()] == [2]

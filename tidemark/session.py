@@ -101,13 +101,17 @@ def materialize(df, tag: str, *, reuse: bool = True):
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     app = spark.sparkContext.applicationId
+    files = sorted(df.inputFiles())
+    if not files:
+        # In-memory data: its plan hash is no safe identity, never reuse.
+        reuse = False
     if not reuse:
         path = f"{root}/tables/{app}/{tag}-{uuid.uuid4().hex}"
         df.write.parquet(path)
         return spark.read.parquet(path)
     # The plan hash does not cover file locations: key on the input files too.
-    files = "\n".join(sorted(df.inputFiles()))
-    digest = hashlib.sha1(f"{df.semanticHash()}\n{files}".encode()).hexdigest()[:16]
+    listing = "\n".join(files)
+    digest = hashlib.sha1(f"{df.semanticHash()}\n{listing}".encode()).hexdigest()[:16]
     path = f"{root}/tables/{app}/{tag}-{digest}"
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
