@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import packing, simhash, token_files, tokens
 from tidemark.llm.common import documents
 
 
@@ -15,8 +15,25 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "component_id")
 
 
+def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pieces(documents(spark, sf_dir), tokens.default_path("byte_bpe_50k.json"))
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(digests).select("doc_id", "piece", "start", "length", "ids_crc32",
+                                        "sequence_id", "offset")
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write(documents(spark, sf_dir),
+                                 tokens.default_path("word_bpe_49k.json"))
+    return token_files.read(manifest).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
+    "op4_pattern_packing": op4_pattern_packing,
+    "op6_token_files": op6_token_files,
 }
 
 #: No query of this package has a SQL form; tests/llm compares each with brute force.
