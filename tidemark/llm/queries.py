@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, simhash, token_files, tokens
+from tidemark.llm import decontaminate, packing, secrets, simhash, token_files, tokens
 from tidemark.llm.common import documents
 
 
@@ -15,6 +15,11 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "component_id")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.contaminated(documents(spark, sf_dir), benchmark)
+
+
 def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pieces(documents(spark, sf_dir), tokens.default_path("byte_bpe_50k.json"))
     digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -30,10 +35,23 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"] != "entropy")
+    return secrets.scan(documents(spark, sf_dir)).select(
+        "doc_id", *(count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(secrets.joined(base), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
+    "op2_decontaminate": op2_decontaminate,
     "op4_pattern_packing": op4_pattern_packing,
     "op6_token_files": op6_token_files,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 #: No query of this package has a SQL form; tests/llm compares each with brute force.
