@@ -59,9 +59,8 @@ def pieces(docs: DataFrame, tokenizer: str, *, end_id: int = 2,
                                    names=names)
 
         for b in batches:
-            texts = (t.as_py() or "" for t in b.column(1))
-            for doc_id, ids in zip(b.column(0).to_pylist(), encoded(texts, tokenizer)):
-                ids += end
+            for doc_id, ids in zip(b.column(0).to_pylist(), encoded(b.column(1), tokenizer)):
+                ids = ids.astype("<u4").tobytes() + end
                 n = len(ids) // 4
                 start, length = 0, (n - 1) % capacity + 1
                 for k in range(-(-n // capacity)):

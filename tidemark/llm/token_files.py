@@ -136,12 +136,11 @@ def write(docs: DataFrame, tokenizer: str, *, end_id: int = 2, seq_len: int = 20
                 names=["path", "part", "file", "n_tokens", "n_docs"])
 
         for b in batches:
-            texts = (t.as_py() or "" for t in b.column(1))
-            for doc_id, ids in zip(b.column(0).to_pylist(), encoded(texts, tokenizer)):
+            for doc_id, ids in zip(b.column(0).to_pylist(), encoded(b.column(1), tokenizer)):
                 if out is None:
                     out = _Writer(f"{folder}/part-{part:06d}-{files:05d}-{uuid.uuid4().hex}.arrow",
                                   seq_len, vocab)
-                out.add(doc_id, np.concatenate([np.frombuffer(ids, "<u4"), end]))
+                out.add(doc_id, np.concatenate([ids, end]))
                 if out.n_tokens >= file_tokens:
                     yield closed(out)
                     out, files = None, files + 1

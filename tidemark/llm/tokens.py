@@ -1,23 +1,28 @@
-"""Token ids of texts by the ``tokenizers`` library, each distinct chunk encoded once.
-
-A chunk is a run of ASCII white space with the word after it. Both supplied
-vocabularies cut a text at every place where white space follows a word, so a
-text's ids are the ids of its chunks in order. Texts in which that is not sure
-(other Unicode white space, special-token strings) are encoded whole.
+"""Token ids of texts by the ``tokenizers`` library, each distinct word encoded once.
+
+Texts are cut into words (for vocabularies in which white space counts, each
+with the white-space character before it), a batch's distinct words are encoded
+and the ids are dealt back to the texts. The vocabularies' own rules cut a text
+at the same places, so a text's ids are the ids of its words in order. Texts in
+which that is not sure (longer runs of white space, other white space than
+blanks and line feeds, special-token strings) are encoded whole.
 """
 
 from __future__ import annotations
 
-import re
-from array import array
+import os
+from collections.abc import Iterator
 
-from tidemark.llm.common import WS
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-_CHUNK = re.compile(f"[{WS}]*[^{WS}]+|[{WS}]+")
-_WHOLE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    "
-                    "　﻿]|<\\|")
-#: Punctuation after a letter at the end of a chunk is a token boundary too.
-_TAIL = re.compile(r"[.,;:!?]+\Z")
+#: Texts that are encoded whole where white space counts.
+_WHOLE = (r"[ \n]{3}|[ \n]{2}\z|[\t\r\x0b\x0c\x00\x1c-\x1f\x85\xa0\x{1680}\x{180e}"
+          r"\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]|<\|")
+#: Punctuation after a letter at the end of a word is a token boundary.
+_TAIL = ".,;:!?"
+_MARK = "\x00"
 
 
 def default_path(name: str) -> str:
@@ -28,58 +33,109 @@ def default_path(name: str) -> str:
 
 
 class Encoder:
-    """Encodes lists of texts to little-endian unsigned 32-bit ids (bytes).
-
-    The memory of encoded chunks holds at most twice ``limit`` entries: when a
-    generation is full, the next one takes over only what is used again.
-    """
+    """Encodes arrays of texts; remembers at most twice ``limit`` words: when a
+    generation is full, the next one takes over only what is used again."""
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 400_000):
+        # Spark's tasks are the parallelism; threads below them only add overhead.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tok = Tokenizer.from_file(path)
         self.limit = limit
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for k in range(0, len(texts), 4096):
-            for e in self.tokenizer.encode_batch(texts[k:k + 4096], add_special_tokens=False):
-                out.append(array("I", e.ids).tobytes())
-        return out
-
-    def _learn(self, new: set[str]) -> None:
+        self.spaces = self._ids(["a"]) != self._ids([" a"])
+        names = [self.tok.id_to_token(i) or "" for i in range(self.tok.get_vocab_size())]
+        # Tokens that begin a word after a blank or line feed, or that end a word.
+        self.edge = np.array([n.startswith(("Ġ", "Ċ")) if self.spaces
+                              else n.endswith("</w>") for n in names])
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.uint32).tobytes() for k in range(0, len(texts), 4096)
+                for e in self.tok.encode_batch(texts[k:k + 4096], add_special_tokens=False)]
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        """Ids of words made of letters only, encoded as one running text."""
+        if not words:
+            return []
+        text = ("" if self.spaces else " ").join(words)
+        ids = np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
+        edges = np.flatnonzero(self.edge[ids])
+        if len(edges) != len(words):
+            return self._ids(words)
+        cuts = np.r_[edges, len(ids)] if self.spaces else np.r_[0, edges + 1]
+        raw, cuts = ids.tobytes(), (4 * cuts).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _learn(self, new: list[str]) -> None:
         memo, old = self.memo, self.old
-        parts, ask = {}, set()
-        for c in new:
-            if c in old:
-                memo[c] = old[c]
-                continue
-            m = _TAIL.search(c)
-            if m and m.start() and c[m.start() - 1].isalpha():
-                parts[c] = head, tail = c[:m.start()], m[0]
+        parts, plain, other = {}, set(), set()
+        at = 1 if self.spaces else 0
+        for w in new:
+            if w in old:
+                memo[w] = old[w]
+            elif w[at:].isalpha() and (not at or w[0] in " \n"):
+                plain.add(w)
             else:
-                head, tail = c, None
-            for x in (head, tail):
-                if x and x not in memo:
-                    if x in old:
-                        memo[x] = old[x]
-                    else:
-                        ask.add(x)
-        texts = list(ask)
-        memo.update(zip(texts, self._encode(texts)))
-        for c, (head, tail) in parts.items():
-            memo[c] = memo[head] + memo[tail]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        chunks = [None if _WHOLE.search(t) else _CHUNK.findall(t) for t in texts]
+                head = w.rstrip(_TAIL)
+                if at < len(head) < len(w) and head[-1].isalpha():
+                    parts[w] = pair = head, w[len(head):]
+                    for x in pair:
+                        if x in memo:
+                            continue
+                        if x in old:
+                            memo[x] = old[x]
+                        elif x[at:].isalpha() and (not at or x[0] in " \n"):
+                            plain.add(x)
+                        else:
+                            other.add(x)
+                else:
+                    other.add(w)
+        plain, other = list(plain), list(other)
+        for k in range(0, len(plain), 8192):
+            memo.update(zip(plain[k:k + 8192], self._plain(plain[k:k + 8192])))
+        memo.update(zip(other, self._ids(other)))
+        for w, (head, tail) in parts.items():
+            memo[w] = memo[head] + memo[tail]
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, offsets)``: text ``k`` has ``ids[offsets[k]:offsets[k + 1]]``."""
+        whole: dict[int, np.ndarray] = {}
+        if self.spaces:
+            test = pc.match_substring_regex(texts, _WHOLE)
+            odd = np.flatnonzero(test.to_numpy(zero_copy_only=False))
+            ids = self._ids(texts.take(pa.array(odd)).to_pylist())
+            whole = {k: np.frombuffer(x, np.uint32) for k, x in zip(odd.tolist(), ids)}
+            if whole:
+                texts = pc.if_else(test, "", texts)
+            for c in " \n":
+                texts = pc.replace_substring(texts, c, _MARK + c)
+            lists = pc.split_pattern(texts, _MARK)
+        else:
+            lists = pc.ascii_split_whitespace(texts)
+        words = lists.flatten().dictionary_encode()
+        distinct, codes = words.dictionary.to_pylist(), words.indices.to_numpy()
         if len(self.memo) > self.limit:
             self.old, self.memo = self.memo, {}
-        self._learn(set().union(*(c for c in chunks if c)) - self.memo.keys())
-        get = self.memo.__getitem__
-        whole = iter(self._encode([t for t, c in zip(texts, chunks) if c is None]))
-        return [next(whole) if c is None else b"".join(map(get, c)) for c in chunks]
+        memo = self.memo
+        self._learn([w for w in distinct if w not in memo])
+        coded = [memo[w] for w in distinct]
+        size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        table = np.frombuffer(b"".join(coded), np.uint32)
+        begin = np.cumsum(size) - size
+        n = size[codes]
+        ends = np.r_[0, np.cumsum(n)]
+        at = np.repeat(begin[codes] - ends[:-1], n)
+        at += np.arange(len(at))
+        ids = table[at]
+        bounds = lists.offsets.to_numpy()
+        offsets = ends[bounds - bounds[0]]
+        if whole:
+            parts = [whole.get(k, ids[offsets[k]:offsets[k + 1]]) for k in range(len(texts))]
+            offsets = np.r_[0, np.cumsum([len(p) for p in parts])]
+            ids = np.concatenate(parts)
+        return ids, offsets
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -92,13 +148,17 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def encoded(texts: list[str], path: str, chars: int = 1_000_000):
-    """Ids of each text in order, encoding about ``chars`` characters at a time."""
-    enc, part, size = encoder(path), [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t)
-        if size >= chars:
-            yield from enc(part)
-            part, size = [], 0
-    yield from enc(part)
+def encoded(texts: pa.Array, path: str, size: int = 8_000_000) -> Iterator[np.ndarray]:
+    """Ids (uint32) of each text in order, encoding about ``size`` bytes at a time;
+    a null text is empty."""
+    enc = encoder(path)
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    total = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    k = 0
+    while k < len(texts):
+        done = total[k - 1] if k else 0
+        stop = max(k + 1, int(np.searchsorted(total, done + size, "right")))
+        ids, offsets = enc(texts.slice(k, stop - k))
+        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            yield ids[a:b]
+        k = stop
