@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, packing, secrets, simhash, token_files, tokens
+from tidemark.llm import decontaminate, langid, packing, secrets, simhash, token_files, tokens
 from tidemark.llm.common import documents
 
 
@@ -20,6 +20,14 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf_dir), benchmark)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    part = langid.remainder(F.col("doc_id"), 4)
+    model = langid.train(docs, part != 2)
+    held_out = F.coalesce(part == 2, F.lit(False)).alias("held_out")
+    return langid.predict(docs, model).select("doc_id", held_out, "lang_pred", "score")
+
+
 def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pieces(documents(spark, sf_dir), tokens.default_path("byte_bpe_50k.json"))
     digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -49,6 +57,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_decontaminate": op2_decontaminate,
+    "op3_language_id": op3_language_id,
     "op4_pattern_packing": op4_pattern_packing,
     "op6_token_files": op6_token_files,
     "op10_secret_scan": op10_secret_scan,
