@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, packing, secrets, simhash, token_files, tokens
+from tidemark.llm import decontaminate, langid, packing, quality_rules, secrets, simhash, token_files, tokens
 from tidemark.llm.common import documents
 
 
@@ -43,6 +43,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_rules.assess(docs, quality_rules.train(docs, labels))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     def count(kind):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
@@ -60,6 +65,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_pattern_packing": op4_pattern_packing,
     "op6_token_files": op6_token_files,
+    "op7_quality_rules": op7_quality_rules,
     "op10_secret_scan": op10_secret_scan,
 }
 
