@@ -34,6 +34,14 @@ def save(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(saved: DataFrame) -> None:
+    """Delete the files of a :func:`save` table that no later step reads."""
+    spark = saved.sparkSession
+    for f in {f.rsplit("/", 1)[0] for f in saved.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of steps whose results are written
     (its cleaner acts when the driver has collected the plans that own them)."""

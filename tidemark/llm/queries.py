@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, packing, quality_rules, secrets, simhash, token_files, tokens
+from tidemark.llm import decontaminate, langid, packing, quality_rules, secrets, simhash, substring_dedup, token_files, tokens
 from tidemark.llm.common import documents
 
 
@@ -35,6 +35,11 @@ def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         "sequence_id", "offset")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write(documents(spark, sf_dir),
                                  tokens.default_path("word_bpe_49k.json"))
@@ -64,6 +69,7 @@ QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_language_id": op3_language_id,
     "op4_pattern_packing": op4_pattern_packing,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_token_files": op6_token_files,
     "op7_quality_rules": op7_quality_rules,
     "op10_secret_scan": op10_secret_scan,
