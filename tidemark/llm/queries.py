@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, packing, quality_rules, secrets, simhash, substring_dedup, token_files, tokens
+from tidemark.llm import decontaminate, langid, packing, quality_rules, secrets, simhash, substring_dedup, token_files, tokens, toxicity
 from tidemark.llm.common import documents
 
 
@@ -53,6 +53,15 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(docs, quality_rules.train(docs, labels))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    part = langid.remainder(F.col("doc_id"), 3)
+    model = toxicity.train(docs, labels, part != 1)
+    held_out = F.coalesce(part == 1, F.lit(False)).alias("held_out")
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out, "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     def count(kind):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
@@ -72,6 +81,7 @@ QUERIES = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_token_files": op6_token_files,
     "op7_quality_rules": op7_quality_rules,
+    "op8_toxicity": op8_toxicity,
     "op10_secret_scan": op10_secret_scan,
 }
 

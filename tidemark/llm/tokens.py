@@ -126,8 +126,9 @@ class Encoder:
         begin = np.cumsum(size) - size
         n = size[codes]
         ends = np.r_[0, np.cumsum(n)]
-        at = np.repeat(begin[codes] - ends[:-1], n)
-        at += np.arange(len(at))
+        kind = np.int32 if max(ends[-1], len(table)) < 1 << 31 else np.int64
+        at = np.repeat((begin[codes] - ends[:-1]).astype(kind), n)
+        at += np.arange(len(at), dtype=kind)
         ids = table[at]
         bounds = lists.offsets.to_numpy()
         offsets = ends[bounds - bounds[0]]
@@ -148,7 +149,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def encoded(texts: pa.Array, path: str, size: int = 8_000_000) -> Iterator[np.ndarray]:
+def encoded(texts: pa.Array, path: str, size: int = 10_000_000) -> Iterator[np.ndarray]:
     """Ids (uint32) of each text in order, encoding about ``size`` bytes at a time;
     a null text is empty."""
     enc = encoder(path)
