@@ -61,8 +61,12 @@ class Flat:
 
     def word_hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """64-bit hash of each word."""
-        if not len(starts):
-            return np.empty(0, np.uint64)
+        out = np.empty(len(starts), np.uint64)
+        for k in range(0, len(starts), 100_000):  # bounds the arrays with a number per byte
+            out[k:k + 100_000] = self._hashes(starts[k:k + 100_000], ends[k:k + 100_000])
+        return out
+
+    def _hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         size = ends - starts
         before = np.cumsum(size) - size
         place = np.arange(int(size.sum()), dtype=np.int64)

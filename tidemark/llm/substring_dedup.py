@@ -49,7 +49,7 @@ GRAM = 5
 CROWDED = 200_000
 _U = np.uint64
 _M = _U(0xC2B2AE3D27D4EB4F)
-_SLICE = 16_000_000  # bytes of text that a task looks at together
+_SLICE = 8_000_000  # bytes of text that a task looks at together
 
 
 def _pack(a: np.ndarray) -> bytes:
@@ -328,7 +328,7 @@ def _cut(docs: DataFrame, lost: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lists = b.column(2)
-            for k, texts in slices(b.column(1), _SLICE // 2):
+            for k, texts in slices(b.column(1), _SLICE):
                 w = _Words(texts)
                 part = lists.slice(k, w.flat.n)
                 sizes = np.diff(part.offsets.to_numpy())

@@ -77,12 +77,12 @@ class Words:
 
 
 def vocabulary(texts: list[str]) -> np.ndarray:
-    """Sorted hashes of the words of at least ``MIN_DOCS`` texts."""
+    """Sorted hashes of the words of at least ``MIN_DOCS`` texts and a hundredth of them."""
     w = Words(pa.array(texts, pa.string()))
     owner = np.repeat(np.arange(len(texts)), np.diff(w.bounds))
     pairs = np.unique(np.stack([w.hash[w.codes], owner.astype(np.uint64)], 1), axis=0)
     got, n = np.unique(pairs[:, 0], return_counts=True)
-    return got[n >= MIN_DOCS]
+    return got[n >= max(MIN_DOCS, len(texts) // 100)]
 
 
 class BiGRU:
@@ -242,13 +242,13 @@ class BiGRU:
         np.add.at(g["char"], w.grams[at], each)
         return g
 
-    def fit(self, texts: list[str], y: np.ndarray, epochs: int = 10, batch: int = 32,
+    def fit(self, texts: list[str], y: np.ndarray, steps: int = 400, batch: int = 32,
             rate: float = 0.01, decay: float = 0.05, drop: float = 0.5,
             seed: int = 9) -> BiGRU:
         rng = np.random.default_rng(seed)
         m = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.p.items()}
         step = 0
-        for _ in range(epochs):
+        while step < steps:
             order = rng.permutation(len(texts))
             for k in range(0, len(texts), batch):
                 part = order[k:k + batch]
@@ -266,9 +266,14 @@ class BiGRU:
 
 
 def train(docs: DataFrame, labels: DataFrame, learnable: Column,
-          per_class: int = 600) -> BiGRU | None:
-    """A calibrated network from labelled rows where ``learnable``, or None."""
-    got = labelled_sample(docs, labels.where(learnable), "toxic", per_class, ["text"])
+          per_class: int = 1000) -> BiGRU | None:
+    """A calibrated network from labelled rows where ``learnable``, or None.
+
+    The sample holds both labels alike; the calibration is moved to their shares
+    among all learnable rows.
+    """
+    labels = labels.where(learnable & F.col("toxic").isin(0, 1))
+    got = labelled_sample(docs, labels, "toxic", per_class, ["text"])
     got = [r for r in got if (r["text"] or "").split()]
     y = np.array([r["_y"] for r in got])
     if not len(y) or y.min() == y.max():
@@ -282,7 +287,11 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column,
     check = held if held.any() else ~held
     z = net.text_logits(pa.array([t for t, h in zip(texts, check) if h], pa.string()))
     some = np.isfinite(z)
-    net.platt = Platt(z[some], y[check][some])
+    yc = y[check][some]
+    net.platt = Platt(z[some], yc)
+    n = labels.agg(F.sum("toxic").alias("one"), F.sum(1 - F.col("toxic")).alias("none")).first()
+    net.platt.b += float(np.log(n["one"] / n["none"])
+                         - np.log((yc.sum() + 1) / (len(yc) - yc.sum() + 1)))
     return net
 
 
