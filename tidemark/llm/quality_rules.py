@@ -83,13 +83,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
                     columns: list[str]) -> list:
     """At most ``per_class`` rows of each label with the given document columns."""
     size = F.length(F.col("text").cast("string"))
-    rows = (docs.where(F.col("doc_id").isNotNull() & (size <= SAMPLE_CHARS))
-            .select("doc_id", *columns)
+    # Only ids and sizes are shuffled; the chosen ids are few, so texts stay in place.
+    fits = (docs.where(F.col("doc_id").isNotNull() & (size <= SAMPLE_CHARS)).select("doc_id")
             .join(labels.where(F.col(label).isin(0, 1))
-                  .select("doc_id", F.col(label).cast("int").alias("_y")), "doc_id"))
-    first = Window.partitionBy("_y").orderBy(F.xxhash64("doc_id"), "doc_id", *columns)
-    got = rows.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= per_class)
-    return sorted(got.drop("_nth").collect(), key=lambda r: (r["doc_id"], r["_y"]))
+                  .select("doc_id", F.col(label).cast("int").alias("_y")), "doc_id").distinct())
+    rank = Window.partitionBy("_y").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = (fits.withColumn("_nth", F.row_number().over(rank))
+              .where(F.col("_nth") <= per_class).select("doc_id", "_y"))
+    one = Window.partitionBy("doc_id", "_y").orderBy(*columns)
+    got = (docs.where(size <= SAMPLE_CHARS).select("doc_id", *columns)
+           .join(F.broadcast(chosen), "doc_id")  # at most 2 * per_class rows
+           .withColumn("_nth", F.row_number().over(one)).where("_nth = 1").drop("_nth"))
+    return sorted(got.collect(), key=lambda r: (r["doc_id"], r["_y"]))
 
 
 class Quality:
