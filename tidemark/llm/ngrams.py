@@ -63,6 +63,14 @@ class Platt:
                 break
         self.a, self.b = float(w[0]), float(w[1])
 
+    def moved(self, y: np.ndarray, shares: tuple[int, int]) -> Platt:
+        """From the label shares of the calibration rows ``y`` to those of all
+        labelled rows, ``shares`` = (zeros, ones)."""
+        ones = y.sum()
+        self.b += float(np.log((shares[1] + 1) / (shares[0] + 1))
+                        - np.log((ones + 1) / (len(y) - ones + 1)))
+        return self
+
     def __call__(self, scores: np.ndarray) -> np.ndarray:
         return sigmoid(self.a * scores + self.b)
 

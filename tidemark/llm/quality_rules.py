@@ -5,7 +5,8 @@ in repeated 5-word windows. The classifier is a logistic regression on hashed
 word and character n-grams (:mod:`tidemark.llm.ngrams`), trained on a bounded
 sample of labelled rows (``per_class`` rows of each label, texts of at most
 ``SAMPLE_CHARS`` characters, chosen by a hash of the doc_id), with Platt
-calibration on a fifth of the sample that is not trained on. Whole texts are
+calibration on a fifth of the sample that is not trained on, moved to the label
+shares of all labelled rows. Whole texts are
 scored in Arrow batches; a text is kept if it passes the counts and its
 probability reaches ``THRESHOLD``.
 
@@ -97,10 +98,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     return sorted(got.collect(), key=lambda r: (r["doc_id"], r["_y"]))
 
 
+def label_shares(labels: DataFrame, label: str) -> tuple[int, int]:
+    """How many rows have label 0 and 1."""
+    got = labels.groupBy(F.col(label).cast("int").alias("y")).count().where("y IN (0, 1)")
+    n = {r["y"]: r["count"] for r in got.collect()}
+    return n.get(0, 0), n.get(1, 0)
+
+
 class Quality:
     """The trained classifier; ``None`` weights mean that there was nothing to learn."""
 
-    def __init__(self, texts: list[str], y: np.ndarray):
+    def __init__(self, texts: list[str], y: np.ndarray, shares: tuple[int, int]):
         self.model = self.platt = None
         if not len(y) or y.min() == y.max():
             return
@@ -112,7 +120,8 @@ class Quality:
         self.model = ngrams.Logistic(ngrams.text_model_size()).fit(train, y[~held])
         check = held if held.any() else ~held
         self.platt = ngrams.Platt(
-            self.model.score([r for r, h in zip(rows, check) if h]), y[check])
+            self.model.score([r for r, h in zip(rows, check) if h]), y[check]
+        ).moved(y[check], shares)
 
     def __call__(self, flat: Flat) -> np.ndarray:
         if self.model is None:
@@ -122,7 +131,8 @@ class Quality:
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> Quality:
     got = labelled_sample(docs, labels, "quality", per_class, ["text"])
-    return Quality([r["text"] for r in got], np.array([r["_y"] for r in got]))
+    return Quality([r["text"] for r in got], np.array([r["_y"] for r in got]),
+                   label_shares(labels, "quality"))
 
 
 def assess(docs: DataFrame, model: Quality) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, packing, quality_rules, secrets, simhash, substring_dedup, token_files, tokens, toxicity
+from tidemark.llm import cotrain, decontaminate, langid, packing, quality_rules, secrets, simhash, substring_dedup, token_files, tokens, toxicity
 from tidemark.llm.common import documents
 
 
@@ -62,6 +62,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out, "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op9_quality_cotrain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return cotrain.score(docs, cotrain.train(docs, labels))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     def count(kind):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
@@ -82,6 +87,7 @@ QUERIES = {
     "op6_token_files": op6_token_files,
     "op7_quality_rules": op7_quality_rules,
     "op8_toxicity": op8_toxicity,
+    "op9_quality_cotrain": op9_quality_cotrain,
     "op10_secret_scan": op10_secret_scan,
 }
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.flat import Flat, slices
 from tidemark.llm.ngrams import Platt, _char_slots, sigmoid
-from tidemark.llm.quality_rules import labelled_sample
+from tidemark.llm.quality_rules import label_shares, labelled_sample
 
 SPAN, STRIDE = 32, 24
 HIDDEN, WORD_DIM, CHAR_DIM, ATT = 8, 8, 8, 8
@@ -288,10 +288,7 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column,
     z = net.text_logits(pa.array([t for t, h in zip(texts, check) if h], pa.string()))
     some = np.isfinite(z)
     yc = y[check][some]
-    net.platt = Platt(z[some], yc)
-    n = labels.agg(F.sum("toxic").alias("one"), F.sum(1 - F.col("toxic")).alias("none")).first()
-    net.platt.b += float(np.log(n["one"] / n["none"])
-                         - np.log((yc.sum() + 1) / (len(yc) - yc.sum() + 1)))
+    net.platt = Platt(z[some], yc).moved(yc, label_shares(labels, "toxic"))
     return net
 
 
