@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidemark.llm.flat import Flat, slices
 
@@ -166,30 +167,44 @@ def train(docs: DataFrame, learnable: Column, per_lang: int = 1500) -> ByteCNN |
 
 def predict(docs: DataFrame, model: ByteCNN | None) -> DataFrame:
     """``(doc_id, lang_pred, score)`` of every row of ``docs``, from its text alone."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return annotate(rows, model).drop("text")
+
+
+def annotate(docs: DataFrame, model: ByteCNN | None, lang: str = "lang_pred",
+             score: str = "score") -> DataFrame:
+    """``docs`` as it is with the prediction for ``text`` in two more columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed few hundred KB
+    place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = shared.value
         for b in batches:
-            for k, texts in slices(b.column(1)):
-                flat = Flat(texts)
-                lang, score = ["und"] * flat.n, np.zeros(flat.n)
-                letters = [bool(_LETTER.search(t)) for t in texts.to_pylist()]
-                if net is not None and len(flat.data):
-                    x, first = byte_windows(flat)
-                    p = net.probabilities(x) * (x != 0).sum(axis=1, keepdims=True)
-                    full = np.flatnonzero(np.diff(first))
-                    total = np.zeros((flat.n, len(net.classes)))
-                    total[full] = np.add.reduceat(p, first[full], axis=0)
-                    total /= np.maximum(total.sum(axis=1, keepdims=True), 1e-9)
-                    best = total.argmax(axis=1)
-                    for i in range(flat.n):
-                        if letters[i]:
-                            lang[i] = net.classes[best[i]]
-                            score[i] = min(total[i, best[i]], 1.0)
-                yield pa.record_batch([b.column(0).slice(k, flat.n), pa.array(lang, pa.string()),
-                                       pa.array(score)], names=["doc_id", "lang_pred", "score"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
+            for k, texts in slices(b.column(place)):
+                langs, scores = _predicted(texts, shared.value)
+                part = b.slice(k, len(texts))
+                yield pa.record_batch(
+                    [*part.columns, pa.array(langs, pa.string()), pa.array(scores)],
+                    names=[*b.schema.names, lang, score])
+
+    out = StructType([*docs.schema.fields, StructField(lang, StringType()),
+                      StructField(score, DoubleType())])
+    return docs.mapInArrow(run, out)
+
+
+def _predicted(texts: pa.Array, net: ByteCNN | None) -> tuple[list[str], np.ndarray]:
+    flat = Flat(texts)
+    lang, score = ["und"] * flat.n, np.zeros(flat.n)
+    if net is None or not len(flat.data):
+        return lang, score
+    x, first = byte_windows(flat)
+    p = net.probabilities(x) * (x != 0).sum(axis=1, keepdims=True)
+    full = np.flatnonzero(np.diff(first))
+    total = np.zeros((flat.n, len(net.classes)))
+    total[full] = np.add.reduceat(p, first[full], axis=0)
+    total /= np.maximum(total.sum(axis=1, keepdims=True), 1e-9)
+    best = total.argmax(axis=1)
+    for i, t in enumerate(texts.to_pylist()):
+        if _LETTER.search(t):
+            lang[i] = net.classes[best[i]]
+            score[i] = min(total[i, best[i]], 1.0)
+    return lang, score

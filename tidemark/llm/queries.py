@@ -73,7 +73,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base = F.filter("spans", lambda s: s["kind"] != "entropy")
     return secrets.scan(documents(spark, sf_dir)).select(
-        "doc_id", *(count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.col("row.doc_id").alias("doc_id"), *(count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
         F.sha2(secrets.joined(base), 256).alias("base_sha256"),
         secrets.joined(F.col("spans")).alias("spans"))
 

@@ -110,9 +110,10 @@ def _suspicious(value: Column, window: int) -> Column:
 
 
 def scan(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` rows as ``(doc_id, text, spans)``; ``spans`` is an array of
-    ``(start, rank, end, kind)`` in order of start, then kind."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    """``(row, text, spans)`` for every row of ``docs``: the row as a struct, its
+    text (null is empty) and an array of ``(start, rank, end, kind)`` in order of
+    start, then kind."""
+    rows = docs.select(F.struct("*").alias("row"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     candidate = rf"[A-Za-z0-9+/_-]{{{window},}}={{0,2}}"
     # One look at each text; only texts with something to look at go on.
@@ -124,7 +125,7 @@ def scan(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         return F.when(test, matches).otherwise(none)
 
     found = rows.select(
-        "doc_id", "text",
+        "row", "text",
         where(t.rlike(ASSIGN), F.filter(_matches(t, ASSIGN, 2),
                                         lambda m: F.length(m["value"]) >= 8)).alias("assign"),
         where(t.contains("AKIA"), _matches(t, ACCESS)).alias("access"),
@@ -138,11 +139,11 @@ def scan(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             m["start"].alias("start"), F.lit(k).alias("rank"), m["end"].alias("end"),
             F.lit(name).alias("kind")))
 
-    base = found.select("doc_id", "text", F.array_sort(F.concat(
+    base = found.select("row", "text", F.array_sort(F.concat(
         *(ranked(k) for k in KINDS[:3]))).alias("base"), ranked("entropy").alias("more"))
     free = F.filter("more", lambda e: ~F.exists("base", lambda b: (
         b["start"] < e["end"]) & (e["start"] < b["end"])))
-    return base.select("doc_id", "text", F.array_sort(F.concat("base", free)).alias("spans"))
+    return base.select("row", "text", F.array_sort(F.concat("base", free)).alias("spans"))
 
 
 def joined(spans: Column) -> Column:
