@@ -75,7 +75,7 @@ class ByteCNN:
             out[k:k + 256] = z / z.sum(axis=1, keepdims=True)
         return out
 
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 8, batch: int = 128,
+    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 800, batch: int = 128,
             rate: float = 0.01, seed: int = 11) -> ByteCNN:
         """Adam on cross-entropy; the maximum sends gradients to one place each."""
         rng = np.random.default_rng(seed)
@@ -84,7 +84,7 @@ class ByteCNN:
         m2 = [np.zeros_like(p) for p in params]
         step = 0
         filters = np.arange(FILTERS)
-        for _ in range(epochs):
+        while step < steps:
             order = rng.permutation(len(x))
             for k in range(0, len(x), batch):
                 xb, yb = x[order[k:k + batch]], y[order[k:k + batch]]

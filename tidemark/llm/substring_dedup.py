@@ -281,47 +281,45 @@ def removed_windows(packed: DataFrame, crowded: int = CROWDED) -> DataFrame:
         if not len(heavy):
             break
         longer.append(heavy)
-    names = ["kind", "bucket", "prefix", "rest", "doc"]
-    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    names = ["bucket", "prefix", "rest", "doc"]
+    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+
+    def rows(d, w):
+        for k in range(0, len(d), 500_000):
+            yield pa.record_batch([pa.array(d[k:k + 500_000]),
+                                   pa.array(w[k:k + 500_000].view(np.int64))],
+                                  names=["doc_id", "w"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for kind, p, r, d in zip(*(c.to_pylist() for c in b.columns)):
+            for p, r, d in zip(*(c.to_pylist() for c in b.columns)):
                 p, d = _unpack(p, _U), _unpack(d, np.int64)
-                if kind:
-                    for k, s in _dealt(d.astype(_U) * _M, buckets):
-                        yield _batch([(1, k, _pack(p[s]), b"", _pack(d[s]))], names, kinds)
-                    continue
                 r = _unpack(r, np.uint32).reshape(-1, WINDOW - PREFIX)
-                yield _batch([(0, k, _pack(p[s]), _pack(r[s]), _pack(d[s]))
+                yield _batch([(k, _pack(p[s]), _pack(r[s]), _pack(d[s]))
                               for k, s in _dealt(_keys(p, r, longer), buckets)], names, kinds)
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prefix, rest, doc = [], [], []
-
-        def out(d, w):
-            for k in range(0, len(d), 500_000):
-                yield pa.record_batch([pa.array(d[k:k + 500_000]),
-                                       pa.array(w[k:k + 500_000].view(np.int64))],
-                                      names=["doc_id", "w"])
-
         for b in batches:
-            for kind, p, r, d in zip(*(b.column(c).to_pylist() for c in (0, 2, 3, 4))):
-                p, d = _unpack(p, _U), _unpack(d, np.int64)
-                if kind:
-                    yield from out(d, p)
-                else:
-                    prefix.append(p)
-                    rest.append(_unpack(r, np.uint32).reshape(-1, WINDOW - PREFIX))
-                    doc.append(d)
+            for p, r, d in zip(*(b.column(c).to_pylist() for c in (1, 2, 3))):
+                prefix.append(_unpack(p, _U))
+                rest.append(_unpack(r, np.uint32).reshape(-1, WINDOW - PREFIX))
+                doc.append(_unpack(d, np.int64))
         if prefix:
             prefix, rest, doc = map(np.concatenate, (prefix, rest, doc))
             at = deep_nodes(prefix, rest, doc)
-            yield from out(doc[at], _fold(prefix[at], rest[at]))
+            yield from rows(doc[at], _fold(prefix[at], rest[at]))
 
-    rows = packed.mapInArrow(
-        deal, "kind int, bucket int, prefix binary, rest binary, doc binary")
-    return rows.repartition(n, "bucket").mapInArrow(group, "doc_id long, w long")
+    def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for w, d in zip(*(c.to_pylist() for c in b.columns)):
+                yield from rows(_unpack(d, np.int64), _unpack(w, _U))
+
+    out = "doc_id long, w long"
+    dealt = packed.where("kind = 0").select("prefix", "rest", "doc").mapInArrow(
+        deal, "bucket int, prefix binary, rest binary, doc binary")
+    return dealt.repartition(n, "bucket").mapInArrow(group, out).unionByName(
+        packed.where("kind = 1").select("prefix", "doc").mapInArrow(settled, out))
 
 
 def _cut(docs: DataFrame, lost: DataFrame) -> DataFrame:

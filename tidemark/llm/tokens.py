@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 #: Texts that are encoded whole where white space counts.
 _WHOLE = (r"[ \n]{3}|[ \n]{2}\z|[\t\r\x0b\x0c\x00\x1c-\x1f\x85\xa0\x{1680}\x{180e}"
           r"\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]|<\|")
-#: Punctuation after a letter at the end of a word is a token boundary.
+#: Punctuation after a letter (one in lower case too) ends a word's last token.
 _TAIL = ".,;:!?"
 _MARK = "\x00"
 
