@@ -79,7 +79,7 @@ class Encoder:
                 plain.add(w)
             else:
                 head = w.rstrip(_TAIL)
-                if at < len(head) < len(w) and head[-1].isalpha():
+                if at < len(head) < len(w) and head[-1].lower().isalpha():
                     parts[w] = pair = head, w[len(head):]
                     for x in pair:
                         if x in memo:
