@@ -5,7 +5,7 @@ ids, pieces of ``capacity`` with the remainder first. Only the histogram of
 piece lengths, at most ``capacity`` numbers, reaches the driver. There
 
 1. patterns are listed: all multisets of up to three present lengths that fill
-   a sequence exactly (a length in none of them gets its fullest ones),
+   a sequence exactly (a length in none of them gets one that nothing more fits into),
 2. repeat counts ``x >= 0`` minimise ``|W (A x - histogram)|^2`` (accelerated
    projected gradient over the sparse ``A``), a length weighted by its share of
    a sequence: a long piece left over costs a sequence, a short one fills a gap,
@@ -82,7 +82,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, end_id: int = 2,
 
 def patterns(present: np.ndarray, capacity: int) -> np.ndarray:
     """Rows ``(a, b, c)``, a >= b >= c >= 0, of present lengths: all with sum
-    ``capacity``, and a fullest one for lengths that are in none of those."""
+    ``capacity``, and a full one for lengths that are in none of those."""
     has = np.zeros(capacity + 1, bool)
     has[present] = True
     out = [np.array([[capacity, 0, 0]])] if has[capacity] else []
@@ -94,13 +94,14 @@ def patterns(present: np.ndarray, capacity: int) -> np.ndarray:
         b = b[has[b] & has[capacity - c - b]]
         out.append(np.stack([capacity - c - b, b, np.full_like(b, c)], 1))
     pats = np.concatenate(out)
-    # A length in no exact pattern gets the fullest ones that it has.
+    # A length in no exact pattern gets the ones that nothing more fits into.
     more = []
     for a in np.setdiff1d(present, pats):
         b = present[present <= capacity - a].max(initial=0)
-        c = present[present <= capacity - a - b].max(initial=0) if b else 0
-        more += [sorted((a, b, 0), reverse=True), sorted((a, b, c), reverse=True)]
-    return np.concatenate([pats, np.unique(np.array(more).reshape(-1, 3), axis=0)])
+        c = present[present <= capacity - a - b].max(initial=0)
+        if capacity - a - b - c < present[0]:
+            more.append(np.sort([a, b, c])[::-1])
+    return np.concatenate([pats, np.unique(more, axis=0)]) if more else pats
 
 
 def nnls(pats: np.ndarray, hist: np.ndarray, rounds: int = 400) -> np.ndarray:
