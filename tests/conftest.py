@@ -11,7 +11,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from tidemark.session import build_session
 
-    s = build_session(master="local[4]", app="tidemark-tests", shuffle_partitions=4)
+    s = build_session(master="local[4]", app="tidemark-tests", shuffle_partitions=4,
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tidemark-test-")})
     yield s
     s.stop()
 

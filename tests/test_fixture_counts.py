@@ -41,22 +41,3 @@ def test_label_counts(spark, price, direction, vol, margin, category):
     assert tuple(c[k] for k in ("Significantly Above Average", "Above Average",
                                 "Near National Average", "Below Average",
                                 "Significantly Below Average")) == category
-
-
-def test_prefetch_builds_shared_dependency_once(spark, workdir):
-    import glob
-    import os
-    import shutil
-
-    from tidemark.session import ensure_checkpoint_dir
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    pattern = f"{root}/tables/{spark.sparkContext.applicationId}/daily_lines-*"
-    d = os.path.join(workdir, "sf")
-    shutil.copytree("/root/testdata/sf0.001", d)          # small private copy (~1 MB)
-    before = len(glob.glob(pattern))
-    # three concurrent builders, all depending on daily_lines
-    fx.prefetch(spark, d, fx.market_weekly, catalog.revised_market, fx.daily_ticks)
-    assert len(glob.glob(pattern)) == before + 1
-    fx.prefetch(spark, d, fx.market_weekly, catalog.revised_market)
-    assert len(glob.glob(pattern)) == before + 1
-    assert fx.market_weekly(spark, d).count() == fx.market_weekly.lazy(spark, d).count()

@@ -15,10 +15,11 @@ def test_round_half_away_on_ties(spark):
     assert neg.select(round_half_away("x", 4)).first()[0] == -2.0001
 
 
-def test_round_nan_inf_null(spark):
-    df = spark.createDataFrame([(float("nan"),), (float("inf"),), (None,), (1.23456,)], "x double")
+def test_round_keeps_what_has_no_decimals(spark):
+    df = spark.createDataFrame([(float("nan"),), (float("inf"),), (None,), (1.23456,), (1e19,)],
+                               "x double")
     got = [r[0] for r in df.select(round_half_away("x", 4)).collect()]
-    assert got == [None, None, None, 1.2346]
+    assert got == [None, float("inf"), None, 1.2346, 1e19]
 
 
 def test_nan_to_null(spark):
@@ -41,8 +42,13 @@ def test_labels_strict_and_null(spark):
     assert [r[0] for r in df.select(lab2).collect()][-1] == "N"
 
 
-def test_materialize_never_reuses_in_memory_data(spark):
-    from tidemark.session import materialize
-    a = materialize(spark.createDataFrame([(1,)], "x int"), "t")
-    b = materialize(spark.createDataFrame([(2,)], "x int"), "t")
+def test_staged_tables_are_new_and_discarded(spark):
+    from tidemark.session import staged
+    a, drop_a = staged(spark.createDataFrame([(1,)], "x int"), "t")
+    b, drop_b = staged(spark.createDataFrame([(2,)], "x int"), "t")
     assert [r[0] for r in a.collect()] == [1] and [r[0] for r in b.collect()] == [2]
+    files = a.inputFiles()
+    drop_a()
+    drop_b()
+    import os
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)

@@ -36,7 +36,7 @@ def test_moving_avg_one_exchange_for_all_frames(spark):
 
 
 def test_scan_prunes_columns(spark):
-    p = plan(fx.fuel_weekly.lazy(spark, SF))
+    p = plan(fx.fuel_weekly(spark, SF))
     m = re.search(r"ReadSchema: struct<([^>]*)>", p)
     assert m and sorted(f.split(":")[0] for f in m.group(1).split(",")) == [
         "o_orderdate", "o_orderpriority", "o_totalprice"]
@@ -44,19 +44,47 @@ def test_scan_prunes_columns(spark):
 
 def _bars(spark):
     # lazily all the way down to the lineitem scan (no materialized step)
-    d = fx.daily_lines.lazy(spark, SF)
+    d = fx.daily_lines(spark, SF)
     daily = d.groupBy("ticker", "day").agg((fx.F.sum("s_gross") / fx.F.sum("n")).alias("p"),
                                            fx.F.sum("n").alias("n"))
     return weekly_bars(daily, key_cols=["ticker"], time_col="day", price_col="p", volume_col="n")
 
 
 def test_ticker_filter_reaches_parquet(spark):
-    p = plan(lagged_margin(fx.fuel_weekly.lazy(spark, SF), _bars(spark), ticker="A",
+    p = plan(lagged_margin(fx.fuel_weekly(spark, SF), _bars(spark), ticker="A",
                            retail_col="all_grades"))
     assert "EqualTo(l_returnflag,A)" in p
-    # on the materialized market table the filter reaches that table's scan
+    # the registered query's plan goes down to the fact scan, with the filter in it
     q = plan(entry.queries()["crude_lag_margin"](spark, SF))
-    assert "EqualTo(ticker,A)" in q
+    assert "EqualTo(l_returnflag,A)" in q
+
+
+def test_accepted_values_filter_reaches_parquet_without_expand(spark):
+    from tidemark.operators import checks as CK
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    p = plan(CK.run_checks({"o": orders}, [CK.accepted_values("o", "o_orderstatus", ["F", "O"])]))
+    assert "Expand" not in p and re.search(r"PushedFilters: \[[^]]*Not\(In\(o_orderstatus", p)
+
+
+def test_ticker_overview_scans_once(spark):
+    p = plan(entry.queries()["ticker_overview"](spark, SF))
+    assert len(re.findall(r"FileScan parquet", p)) == 1 and "WindowGroupLimit" in p
+
+
+def test_no_stale_answers(spark, workdir):
+    """A rewritten input file gives new answers: nothing is kept by path."""
+    import os
+    import shutil
+    d = os.path.join(workdir, "sf")
+    shutil.copytree(SF, d)
+    run = entry.queries()["vol_weekly"]
+    before = run(spark, d).count()
+    rows = spark.read.parquet(f"{SF}/orders.parquet").where("o_orderdate < timestamp'1996-01-01'")
+    new = os.path.join(workdir, "new")
+    rows.coalesce(1).write.parquet(new)
+    part = next(f for f in os.listdir(new) if f.endswith(".parquet"))
+    shutil.copy(os.path.join(new, part), os.path.join(d, "orders.parquet"))
+    assert 0 < run(spark, d).count() < before
 
 
 def test_upsert_broadcasts_small_batch_keys(spark):
@@ -81,5 +109,5 @@ def test_only_fixed_dimensions_are_hinted():
 
 def test_customer_join_sized_by_catalyst(spark):
     # small customer files: Catalyst broadcasts the customer scan by itself
-    p = plan(fx.orders_by_nation.lazy(spark, SF))
+    p = plan(fx.orders_by_nation(spark, SF))
     assert re.search(r"BroadcastHashJoin \[o_custkey#\d+L\], \[c_custkey#\d+L\]", p)

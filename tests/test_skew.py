@@ -36,7 +36,7 @@ def _write_tables(spark, d):
 def test_hot_customer_shuffle_path_equals_broadcast_path(spark, workdir):
     d = os.path.join(workdir, "skewed")
     _write_tables(spark, d)
-    expected = rows(fx.orders_by_nation.lazy(spark, d))
+    expected = rows(fx.orders_by_nation(spark, d))
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
@@ -47,7 +47,7 @@ def test_hot_customer_shuffle_path_equals_broadcast_path(spark, workdir):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        df = fx.orders_by_nation.lazy(spark, d)
+        df = fx.orders_by_nation(spark, d)
         got = rows(df)
         plan = df._jdf.queryExecution().executedPlan().toString()
     finally:

@@ -138,3 +138,27 @@ def test_history_table_rerun_is_noop(spark, workdir):
     assert not H.snapshot_table(spark, hdir, table(spark, r2), ["week_date", "region"],
                                 run_ts="2026-01-12 00:00:00")
     assert rows(H.read_history(spark, hdir)) == before and len(before) == 2
+
+
+def test_history_survives_a_crash_in_any_write(spark, workdir, monkeypatch):
+    """Fault injection: the run dies before its marker; readers and the retry see
+    the last finished run, so unchanged keys keep their start."""
+    import os
+    import pytest
+    hdir = os.path.join(workdir, "hist")
+    keys = ["week_date", "region"]
+    r1 = [(D[0], "US", 1.0, T0), (D[1], "US", 2.0, T0)]
+    r2 = [(D[0], "US", 1.0, T0)]
+    H.snapshot_table(spark, hdir, table(spark, r1), keys, run_ts="2026-01-05 00:00:00")
+    before = rows(H.read_history(spark, hdir))
+    real = H.create_once
+    monkeypatch.setattr(H, "create_once", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        H.snapshot_table(spark, hdir, table(spark, r2), keys, run_ts="2026-01-12 00:00:00")
+    assert rows(H.read_history(spark, hdir)) == before
+    monkeypatch.setattr(H, "create_once", real)
+    assert H.snapshot_table(spark, hdir, table(spark, r2), keys, run_ts="2026-01-12 00:00:00")
+    got = H.read_history(spark, hdir)
+    expected = H.snapshot(H.initial_history(table(spark, r1), keys), table(spark, r2), keys,
+                          run_ts="2026-01-12 00:00:00")
+    assert rows(got, *expected.columns) == rows(expected)

@@ -8,6 +8,7 @@ plain SQL; column names match the Spark output one to one.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,10 +28,18 @@ from tidemark.operators.volatility import DIRECTION_LABELS, VOLATILITY_LABELS, p
 from tidemark.operators.margin import MARGIN_LABELS
 from tidemark.plans import history as H
 from tidemark.plans.joins import dimension
-from tidemark.plans.upsert import keyed_upsert
+from tidemark.plans.publish import append_run, publish, read_version, replace_view
+from tidemark.plans.upsert import keyed_upsert, stage
 from tidemark.schemas import MARKET, MARKET_KEY, NATIONAL, NATIONAL_KEY, REGIONAL, REGIONAL_KEY
 from tidemark.sources import fixtures as fx
-from tidemark.sources.payload import explode_payload, parse_payload_text
+from tidemark.session import ensure_checkpoint_dir
+from tidemark.sources.payload import (
+    build_payload_pages,
+    explode_payload,
+    parse_payload_text,
+    payload_rejects,
+    read_payload_files,
+)
 from tidemark.sources.shaping import (
     clean_bars,
     conform,
@@ -56,6 +65,7 @@ LEVEL = 0.95
 RETENTION_MONTHS = 48
 LATEST_REGIONAL = 104
 LATEST_NATIONAL = 200
+WITHDRAWN_DAY = 15                    # weeks that begin on this day leave the source
 # event type -> grade column, for the series-selection + pivot scenario
 EVENT_GRADES = {"view": "regular", "click": "midgrade", "purchase": "premium", "signup": "diesel"}
 # -----------------------------------------------------------------------------
@@ -77,15 +87,14 @@ def national(spark, d) -> DataFrame:
     return fx.fuel_weekly(spark, d).select(*NAT_COLS)
 
 
-@fx._shared
 def revised_national(spark, d) -> DataFrame:
     """Second load of the national table: weekly prices from lineitem
     (re-aggregated from the shared daily lineitem table)."""
     daily = fx.daily_lines(spark, d)
 
     def mean_where(cond):
-        return (F.sum(F.when(cond, F.col("s_gross"))) / F.sum(F.when(cond, F.col("n")))
-                / F.lit(REVISION_SCALE))
+        return (F.sum(F.when(cond, F.col("s_gross"))).cast("double")
+                / F.sum(F.when(cond, F.col("n"))) / F.lit(REVISION_SCALE))
 
     grades = [round_half_away(mean_where(F.col("ticker") == F.lit(f)), 4).alias(g)
               for g, f in REVISION_FLAGS.items()]
@@ -98,9 +107,9 @@ def revised_national(spark, d) -> DataFrame:
                          F.lit(fx.NATIONAL_SOURCE).alias("source"), _ts(RUN_TS).alias("load_ts")))
 
 
-@fx._shared
 def revised_regional(spark, d) -> DataFrame:
-    """Second load of the regional table: lineitem prices by supplier region.
+    """Second load of the regional table: lineitem prices by supplier region,
+    newest 104 weeks of each.
 
     lineitem joins the supplier scan (Catalyst sizes it from the supplier
     files; beyond the threshold a shuffle join whose hot supplier partitions
@@ -115,26 +124,26 @@ def revised_regional(spark, d) -> DataFrame:
     g = (li.join(sup, li.l_suppkey == sup.s_suppkey)
            .join(dimension(dim, "nation"), sup.s_nationkey == dim.n_nationkey)
            .groupBy(week_start("l_shipdate").alias("week_date"), F.col("r_name").alias("region"))
-           .agg(F.sum("l_extendedprice").alias("s"), F.count(F.lit(1)).alias("n")))
+           .agg(F.sum(fx.cents("l_extendedprice")).cast("double").alias("s"),
+                F.count(F.lit(1)).alias("n")))
+    g = latest_per_series(g, "region", "week_date", LATEST_REGIONAL)
     return g.select("week_date", "region",
                     round_half_away(F.col("s") / F.col("n") / F.lit(REVISION_SCALE), 4).alias("price"),
                     F.lit(fx.FUEL_TYPE).alias("fuel_type"), F.lit(fx.PRICE_UNIT).alias("price_unit"),
                     F.lit(fx.REGIONAL_SOURCE).alias("source"), _ts(RUN_TS).alias("load_ts"))
 
 
-@fx._shared
 def revised_market(spark, d) -> DataFrame:
-    """Second load of the market table: net-price bars, newest 104 per ticker."""
+    """Second load of the market table: net-price bars of the last four years."""
     bars = weekly_bars(fx.daily_ticks(spark, d), key_cols=["ticker"], time_col="day",
                        price_col="p_net", volume_col="n")
-    bars = latest_per_series(bars, "ticker", "week_date", LATEST_REGIONAL)
+    bars = trailing_window(bars, time_col="week_date", months=RETENTION_MONTHS)
     return bars.select("week_date", "ticker", fx.ticker_name_col().alias("ticker_name"),
                        "open", "high", "low", "close", "volume", _ts(RUN_TS).alias("load_ts"))
 
 
 def upserted_national(spark, d) -> DataFrame:
     """The weekly national load: newest 200 revised weeks merged into the table."""
-    fx.prefetch(spark, d, fx.fuel_weekly, revised_national)
     batch = latest_per_series(revised_national(spark, d), "region", "week_date", LATEST_NATIONAL)
     return keyed_upsert(national(spark, d), batch, NATIONAL_KEY, run_ts=RUN_TS,
                         on_duplicate="assume_unique")
@@ -150,13 +159,11 @@ def ma_model(spark, d) -> DataFrame:
 
 
 def crude_model(spark, d, price="all_grades") -> DataFrame:
-    fx.prefetch(spark, d, fx.fuel_weekly, fx.market_weekly)
     return lagged_margin(fx.fuel_weekly(spark, d), fx.market_weekly(spark, d),
                          ticker=fx.CRUDE_TICKER, retail_col=price, other_cols=("diesel",))
 
 
 def regional_model(spark, d) -> DataFrame:
-    fx.prefetch(spark, d, fx.fuel_weekly, fx.regional_weekly)
     return region_spread(fx.regional_weekly(spark, d), fx.fuel_weekly(spark, d),
                          national_price="regular")
 
@@ -177,15 +184,13 @@ def payload_points(spark, d) -> DataFrame:
 
 
 def history_runs(spark, d) -> DataFrame:
-    fx.prefetch(spark, d, fx.fuel_weekly, revised_national)
     h1 = H.initial_history(national(spark, d), NATIONAL_KEY)
-    src2 = trailing_window(upserted_national(spark, d), time_col="week_date",
-                           months=RETENTION_MONTHS)
+    # The source lost some weeks between the runs: these are closed as deleted.
+    src2 = upserted_national(spark, d).filter(F.dayofmonth("week_date") != WITHDRAWN_DAY)
     return H.snapshot(h1, src2, NATIONAL_KEY, run_ts=RUN_TS)
 
 
 def published_tables(spark, d) -> dict[str, DataFrame]:
-    fx.prefetch(spark, d, fx.fuel_weekly, fx.regional_weekly, fx.market_weekly)
     return {
         "fuel_prices": national(spark, d),
         "regional_fuel_prices": fx.regional_weekly(spark, d),
@@ -251,6 +256,70 @@ def _pivot(s, d) -> DataFrame:
     return wide.withColumn("period", F.col("period").try_cast("date"))
 
 
+SCOPE = {"region": fx.NATIONAL_REGION}
+GRADES = ["regular", "midgrade", "premium", "diesel"]
+
+
+def _payload_files(s, d) -> DataFrame:
+    """Land real payload files, some of them broken, read them back tolerantly:
+    points and rejected documents per series."""
+    pts = fx.points_dirty(s, d).withColumn("page", F.floor(F.col("event_id") / fx.PAYLOAD_PAGE))
+    pages = build_payload_pages(pts, series_col="series", page_col="page", order_col="event_id")
+    broken = F.col("page") % 7 == 0
+    body = F.when(broken, F.expr("left(body, length(body) - 3)")).otherwise(F.col("body"))
+    root = f"{ensure_checkpoint_dir(s).rstrip('/')}/landing/{uuid.uuid4().hex}"
+    pages.select("series", body.alias("value")).write.partitionBy("series").text(root)
+    read = read_payload_files(s, root, on_error="skip")
+    points = (explode_payload(read, keep_cols=["series"]).groupBy("series")
+              .agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("point")))
+    rejects = (payload_rejects(read, keep_cols=["series"]).groupBy("series")
+               .agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("reject")))
+    return points.unionByName(rejects)
+
+
+def _ohlcv_dirty(s, d) -> DataFrame:
+    bars = weekly_bars(fx.ticks_dirty(s, d), key_cols=["ticker"], time_col="day",
+                       price_col="p", volume_col="n", places=None)
+    return clean_bars(bars)
+
+
+def _stage_typed(s, d) -> DataFrame:
+    """A batch without constant columns and load time, typed and filled."""
+    batch = fx.fuel_weekly(s, d).select(F.col("week_date").cast("string").alias("week_date"),
+                                        F.col("regular").cast("string").alias("regular"), "diesel")
+    return stage(batch, NATIONAL, run_ts=RUN_TS, defaults={
+        "region": fx.NATIONAL_REGION, "price_unit": fx.PRICE_UNIT, "source": fx.NATIONAL_SOURCE})
+
+
+def _readback(s, d) -> DataFrame:
+    """Full refresh twice, a log appended by three runs of which one repeats, and a
+    replaced view, each read back (B4, B5, B6)."""
+    root = f"{ensure_checkpoint_dir(s).rstrip('/')}/readback/{uuid.uuid4().hex}"
+    table = fx.regional_weekly(s, d)
+    publish(table.filter("region = 'ASIA'"), f"{root}/t")
+    publish(table, f"{root}/t")
+    for run in ("r1", "r2", "r2"):
+        append_run(table.groupBy("region").count(), f"{root}/log", run)
+    view = f"readback_{uuid.uuid4().hex}"
+    replace_view(table, view)
+    replace_view(read_version(s, f"{root}/t").filter("price IS NOT NULL"), view)
+    parts = {"table": read_version(s, f"{root}/t"), "log": s.read.parquet(f"{root}/log"),
+             "view": s.table(view)}
+    out = None
+    for name, df in parts.items():
+        one = df.groupBy("region").count().select(F.lit(name).alias("kind"), "region",
+                                                  F.col("count").alias("n"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _final_many(s, d) -> DataFrame:
+    fc = FC.forecast_drift(fx.many_series(s, d), series_col="series", target_col="price",
+                           horizon=HORIZON, level=LEVEL)
+    return FC.history_plus_forecast(fx.many_series(s, d), fc, series_col="series",
+                                    target_col="price")
+
+
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vol_many_series": _vol_many,
     "vol_regular": lambda s, d: vol_model(s, d, "regular"),
@@ -266,8 +335,8 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "region_spread": lambda s, d: regional_model(s, d),
     "region_rank": lambda s, d: RP.region_ranking(regional_model(s, d))
         .withColumn("spread_rank", F.col("spread_rank").cast("long")),
-    "region_box": lambda s, d: RP.box_stats(regional_model(s, d), group_col="region",
-                                            value_col="regional_price"),
+    "region_box": lambda s, d: RP.box_stats(fx.regional_weekly(s, d), group_col="region",
+                                            value_col="price"),
     "latest_n_per_series": lambda s, d: latest_per_series(
         fx.regional_weekly(s, d), "region", "week_date", LATEST_REGIONAL),
     "ohlcv_weekly": lambda s, d: fx.market_weekly(s, d),
@@ -313,6 +382,26 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "crude_scatter_stats": lambda s, d: RP.relation_stats(
         crude_model(s, d), x="crude_lag2_gal", y="all_grades"),
     "ticker_overview": lambda s, d: RP.ticker_overview(fx.market_weekly(s, d)),
+    "tolerant_parse": lambda s, d: flatten_series(
+        fx.points_dirty(s, d), period_col="period", value_col="value", keep_cols=["series"],
+    ).withColumn("period", F.col("period").try_cast("date")),
+    "payload_files": _payload_files,
+    "ohlcv_dirty": _ohlcv_dirty,
+    "stage_typed": _stage_typed,
+    "publish_readback": _readback,
+    "vol_national_scope": lambda s, d: price_volatility(fx.national_dirty(s, d), scope=SCOPE),
+    "ma_national_scope": lambda s, d: price_moving_avg(fx.national_dirty(s, d), scope=SCOPE),
+    "crude_national_scope": lambda s, d: lagged_margin(
+        fx.national_dirty(s, d), fx.market_weekly(s, d), ticker=fx.CRUDE_TICKER, scope=SCOPE),
+    "train_national_scope": lambda s, d: FC.training_set(fx.national_dirty(s, d), scope=SCOPE),
+    "forecast_drift_nulls": lambda s, d: FC.forecast_drift(
+        fx.national_dirty(s, d), horizon=HORIZON, level=LEVEL),
+    "forecast_trend_nulls": lambda s, d: FC.forecast_trend(
+        fx.national_dirty(s, d), horizon=HORIZON, level=LEVEL),
+    "crude_margin_many": lambda s, d: lagged_margin(
+        fx.many_series(s, d), fx.market_weekly(s, d), ticker=fx.CRUDE_TICKER, retail_col="price",
+        other_cols=(), retail_keys=("series",)),
+    "final_many": _final_many,
 }
 
 
@@ -328,27 +417,57 @@ def sql_national(name="nat", src="fx_fuel") -> str:
     return f"{name} AS (SELECT {', '.join(NAT_COLS)} FROM {src})"
 
 
-def sql_vol(name="vol", src="fx_fuel", price="all_grades", other="diesel") -> str:
-    w = "PARTITION BY region ORDER BY week_date"
-    return f"""{name}_base AS (
-  SELECT week_date, region, {price}, {other},
-    lag({price}) OVER ({w}) AS prev_p, lag({other}) OVER ({w}) AS prev_o
-  FROM {src} WHERE {price} IS NOT NULL),
-{name}_ch AS (
-  SELECT *, {R(f'{price} - prev_p')} AS {price}_wow_change, {R(f'{other} - prev_o')} AS {other}_wow_change,
-    avg({price}) OVER (PARTITION BY region) AS hist,
-    stddev_samp({price}) OVER ({w} {_frame(12)}) AS sd
-  FROM {name}_base),
+def _numbered(name: str, src: str, key: str, cols: str, where: str) -> str:
+    """Rows of each series numbered by week: lags and frames become joins on the number."""
+    return (f"{name} AS (SELECT {key} AS k, week_date, {cols}, row_number() OVER "
+            f"(PARTITION BY {key} ORDER BY week_date) AS i FROM {src} WHERE {where})")
+
+
+def _bands(name: str, rows: list[tuple[str, str, str]]) -> str:
+    """Label table: a value belongs to the row with above < value <= upto."""
+    return (f"{name}(above, upto, label) AS (VALUES "
+            + ", ".join(f"({lo}, {hi}, {q(label)})" for lo, hi, label in rows) + ")")
+
+
+_INF = "cast('infinity' AS double)"
+
+
+def _label(bands: str, value: str) -> str:
+    """Label of ``value``; NULL gets the table's lowest row."""
+    return (f"(SELECT b.label FROM {bands} b WHERE coalesce({value}, -{_INF}) > b.above "
+            f"AND coalesce({value}, -{_INF}) <= b.upto OR (b.above = -{_INF} "
+            f"AND coalesce({value}, -{_INF}) = -{_INF}))")
+
+
+def sql_vol(name="vol", src="fx_fuel", price="all_grades", other="diesel", key="region",
+            scope="") -> str:
+    has = f"{price} IS NOT NULL{scope}"
+    cols = f"{price} AS p" + (f", {other} AS o" if other else "")
+    more = f", r.o AS {other}" if other else ""
+    d_other = f", {R('r.o - e.o')} AS {other}_wow_change" if other else ""
+    direction = f"CASE WHEN d < -0.05 THEN 'Falling' WHEN d > 0.05 THEN 'Rising' ELSE 'Stable' END"
+    vol = _bands(f"{name}_b", [("0.3", _INF, VOLATILITY_LABELS[0]),
+                               ("0.15", "0.3", VOLATILITY_LABELS[1]),
+                               (f"-{_INF}", "0.15", VOLATILITY_LABELS[2])])
+    o_out = (f"{other}, ", f"{other}_wow_change, ") if other else ("", "")
+    return f"""{_numbered(f'{name}_n', src, key, cols, has)},
+{vol},
+{name}_a AS (SELECT k, avg(p) AS mean FROM {name}_n GROUP BY k),
+{name}_s AS (
+  SELECT r.k, r.i, stddev_samp(f.p) AS sd
+  FROM {name}_n r JOIN {name}_n f ON f.k = r.k AND f.i BETWEEN r.i - 11 AND r.i GROUP BY r.k, r.i),
+{name}_d AS (
+  SELECT r.k AS {key}, r.week_date, r.p AS {price}{more}, {R('r.p - e.p')} AS d{d_other},
+    CASE WHEN e.p > 0 THEN {R('100 * ((r.p - e.p) / e.p)')} END AS pct,
+    a.mean AS mean, s.sd AS sd
+  FROM {name}_n r LEFT JOIN {name}_n e ON e.k = r.k AND e.i = r.i - 1
+  JOIN {name}_a a ON a.k = r.k JOIN {name}_s s ON s.k = r.k AND s.i = r.i),
 {name} AS (
-  SELECT week_date, region, {price}, {other}, {price}_wow_change, {other}_wow_change,
-    CASE WHEN prev_p > 0 THEN {R(f'(({price} - prev_p) / prev_p) * 100')} END AS {price}_wow_pct_change,
-    {R('hist')} AS hist_avg_{price}, {R(f'{price} - hist')} AS price_anomaly,
-    {R('sd')} AS rolling_12wk_stddev,
-    CASE WHEN {price}_wow_change > 0.05 THEN 'Rising' WHEN {price}_wow_change < -0.05 THEN 'Falling'
-         ELSE 'Stable' END AS price_direction,
-    CASE WHEN sd > 0.3 THEN 'High Volatility' WHEN sd > 0.15 THEN 'Moderate Volatility'
-         ELSE 'Low Volatility' END AS volatility_label
-  FROM {name}_ch)"""
+  SELECT {key}, week_date, {price}, {o_out[0]}d AS {price}_wow_change, {o_out[1]}
+    pct AS {price}_wow_pct_change, {direction} AS price_direction,
+    {_label(f'{name}_b', 'sd')} AS volatility_label, {R('sd')} AS rolling_12wk_stddev,
+    {R('mean')} AS hist_avg_{price}, {R(f'{price} - mean')} AS price_anomaly
+  FROM {name}_d)"""
 
 
 def sql_ma(name="ma", src="fx_fuel") -> str:
@@ -363,25 +482,7 @@ def sql_ma(name="ma", src="fx_fuel") -> str:
 
 
 def sql_vol_many(name="vm", src="fx_many") -> str:
-    w = "PARTITION BY series ORDER BY week_date"
-    return f"""{name}_base AS (
-  SELECT week_date, series, price, lag(price) OVER ({w}) AS prev_p
-  FROM {src} WHERE price IS NOT NULL),
-{name}_ch AS (
-  SELECT *, {R('price - prev_p')} AS price_wow_change,
-    avg(price) OVER (PARTITION BY series) AS hist,
-    stddev_samp(price) OVER ({w} {_frame(12)}) AS sd
-  FROM {name}_base),
-{name} AS (
-  SELECT week_date, series, price, price_wow_change,
-    CASE WHEN prev_p > 0 THEN {R('((price - prev_p) / prev_p) * 100')} END AS price_wow_pct_change,
-    {R('hist')} AS hist_avg_price, {R('price - hist')} AS price_anomaly,
-    {R('sd')} AS rolling_12wk_stddev,
-    CASE WHEN price_wow_change > 0.05 THEN 'Rising' WHEN price_wow_change < -0.05 THEN 'Falling'
-         ELSE 'Stable' END AS price_direction,
-    CASE WHEN sd > 0.3 THEN 'High Volatility' WHEN sd > 0.15 THEN 'Moderate Volatility'
-         ELSE 'Low Volatility' END AS volatility_label
-  FROM {name}_ch)"""
+    return sql_vol(name, src, price="price", other="", key="series")
 
 
 def sql_ma_many(name="mm", src="fx_many") -> str:
@@ -391,43 +492,49 @@ def sql_ma_many(name="mm", src="fx_many") -> str:
   SELECT week_date, series, price, {', '.join(cols)} FROM {src} WHERE price IS NOT NULL)"""
 
 
-def sql_crude(name="crude", price="all_grades") -> str:
-    m = R(f"f.{price} - coalesce(c.crude_lag2_gal, c.crude_usd_per_gallon)")
-    return f"""{name}_c AS (
-  SELECT week_date, close AS crude_close_usd_bbl, {R('close / 42.0')} AS crude_usd_per_gallon
-  FROM fx_market WHERE ticker = {q(fx.CRUDE_TICKER)} AND close IS NOT NULL),
-{name}_l AS (
-  SELECT *, lag(crude_close_usd_bbl, 2) OVER (ORDER BY week_date) AS crude_lag2_bbl,
-    lag(crude_usd_per_gallon, 2) OVER (ORDER BY week_date) AS crude_lag2_gal
-  FROM {name}_c),
+def sql_crude(name="crude", price="all_grades", src="fx_fuel", scope="", keep="") -> str:
+    keep = f"{keep}, " if keep else ""
+    bands = _bands(f"{name}_b", [("1.5", _INF, MARGIN_LABELS[0]), ("0.8", "1.5", MARGIN_LABELS[1]),
+                                 (f"-{_INF}", "0.8", MARGIN_LABELS[2])])
+    return f"""{_numbered(f'{name}_n', 'fx_market', 'ticker',
+                          f"close AS bbl, {R('close / 42.0')} AS gal",
+                          f'close IS NOT NULL AND ticker = {q(fx.CRUDE_TICKER)}')},
+{bands},
+{name}_two AS (
+  SELECT b.week_date, b.bbl, b.gal, e.bbl AS bbl2, e.gal AS gal2
+  FROM {name}_n b LEFT JOIN {name}_n e ON e.i + 2 = b.i),
+{name}_m AS (
+  SELECT {keep}f.week_date, f.{price}, f.diesel, t.* EXCLUDE (week_date),
+    {R(f'f.{price} - CASE WHEN t.gal2 IS NULL THEN t.gal ELSE t.gal2 END')} AS margin
+  FROM {src} f LEFT JOIN {name}_two t USING (week_date) WHERE f.{price} IS NOT NULL{scope}),
 {name} AS (
-  SELECT f.week_date, f.{price}, f.diesel, c.crude_close_usd_bbl, c.crude_usd_per_gallon,
-    c.crude_lag2_bbl, c.crude_lag2_gal, {m} AS pump_to_crude_margin,
-    CASE WHEN {m} > 1.5 THEN 'Wide Margin' WHEN {m} > 0.8 THEN 'Normal Margin'
-         ELSE 'Tight Margin' END AS margin_category
-  FROM (SELECT week_date, {price}, diesel FROM fx_fuel WHERE {price} IS NOT NULL) f
-  LEFT JOIN {name}_l c ON f.week_date = c.week_date)"""
-
-
-def sql_regcmp(name="rc") -> str:
-    w = "PARTITION BY region ORDER BY week_date"
-    return f"""{name}_j AS (
-  SELECT r.week_date, r.region, r.price AS regional_price, n.regular AS national_price,
-    {R('r.price - n.regular')} AS price_spread,
-    CASE WHEN n.regular > 0 THEN {R('((r.price - n.regular) / n.regular) * 100', 2)} END AS price_spread_pct
-  FROM (SELECT * FROM fx_regional WHERE fuel_type = {q(fx.FUEL_TYPE)} AND price IS NOT NULL) r
-  LEFT JOIN (SELECT week_date, regular FROM fx_fuel WHERE regular IS NOT NULL) n
-    ON r.week_date = n.week_date),
+  SELECT {keep}week_date, {price}, diesel, bbl AS crude_close_usd_bbl, gal AS crude_usd_per_gallon,
+    bbl2 AS crude_lag2_bbl, gal2 AS crude_lag2_gal, margin AS pump_to_crude_margin,
+    {_label(f'{name}_b', 'margin')} AS margin_category
+  FROM {name}_m)"""
+
+
+def sql_regcmp(name="rc", src="fx_fuel", scope="") -> str:
+    edges = ["0.3", "0.1", "-0.1", "-0.3"]
+    bands = _bands(f"{name}_b", [
+        (lo, hi, label) for lo, hi, label in zip(edges + [f"-{_INF}"], [_INF] + edges,
+                                                 CATEGORY_LABELS)])
+    return f"""{_numbered(f'{name}_n', 'fx_regional', 'region', 'price',
+                          f'price IS NOT NULL AND fuel_type = {q(fx.FUEL_TYPE)}')},
+{bands},
+{name}_w AS (SELECT week_date, regular AS base FROM {src} WHERE regular IS NOT NULL{scope}),
+{name}_p AS (
+  SELECT r.*, w.base, {R('r.price - w.base')} AS gap,
+    CASE WHEN w.base > 0 THEN {R('100 * ((r.price - w.base) / w.base)', 2)} END AS gap_pct
+  FROM {name}_n r LEFT JOIN {name}_w w USING (week_date)),
+{name}_f AS (
+  SELECT r.k, r.i, avg(f.price) FILTER (WHERE f.i > r.i - 4) AS mean4, max(f.gap) AS widest
+  FROM {name}_p r JOIN {name}_p f ON f.k = r.k AND f.i <= r.i GROUP BY r.k, r.i),
 {name} AS (
-  SELECT week_date, region, regional_price, national_price, price_spread, price_spread_pct,
-    {R(f'avg(regional_price) OVER ({w} {_frame(4)})')} AS regional_4wk_avg,
-    {R(f'max(price_spread) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)')} AS max_spread_seen,
-    CASE WHEN price_spread > 0.3 THEN {q(CATEGORY_LABELS[0])}
-         WHEN price_spread > 0.1 THEN {q(CATEGORY_LABELS[1])}
-         WHEN price_spread > -0.1 THEN {q(CATEGORY_LABELS[2])}
-         WHEN price_spread > -0.3 THEN {q(CATEGORY_LABELS[3])}
-         ELSE {q(CATEGORY_LABELS[4])} END AS price_category
-  FROM {name}_j)"""
+  SELECT p.week_date, p.k AS region, p.price AS regional_price, p.base AS national_price,
+    p.gap AS price_spread, p.gap_pct AS price_spread_pct, {R('f.mean4')} AS regional_4wk_avg,
+    {R('f.widest')} AS max_spread_seen, {_label(f'{name}_b', 'p.gap')} AS price_category
+  FROM {name}_p p JOIN {name}_f f ON f.k = p.k AND f.i = p.i)"""
 
 
 def sql_drift(name, src, s, t, y) -> str:
@@ -487,10 +594,10 @@ def sql_final(name="final") -> str:
 
 def sql_revised_national(name="rev") -> str:
     grades = ",\n    ".join(
-        f"{R(f'avg(l_extendedprice) FILTER (WHERE l_returnflag = {q(f)}) / {REVISION_SCALE}')} AS {g}"
+        f"{R(O.MEAN('cast(l_extendedprice AS decimal(12,2))', f'l_returnflag = {q(f)}') + f' / {REVISION_SCALE}')} AS {g}"
         for g, f in REVISION_FLAGS.items())
-    diesel = R(f"avg(l_extendedprice) FILTER (WHERE l_linestatus = {q(REVISION_DIESEL_STATUS)}) "
-               f"/ {REVISION_SCALE}")
+    diesel = R(O.MEAN("cast(l_extendedprice AS decimal(12,2))",
+                      f"l_linestatus = {q(REVISION_DIESEL_STATUS)}") + f" / {REVISION_SCALE}")
     return f"""{name} AS (
   SELECT {WEEK('l_shipdate')} AS week_date, {q(fx.NATIONAL_REGION)} AS region,
     {grades},
@@ -527,8 +634,7 @@ def sql_history(name="hist") -> str:
 {sql_revised_national('rev')},
 {sql_latest_national('revl', 'rev')},
 {sql_upsert('ups', 'nat', 'revl', keys, NAT_COLS)},
-src2 AS (
-  SELECT * FROM ups WHERE week_date >= (SELECT max(week_date) FROM ups) - INTERVAL {RETENTION_MONTHS} MONTH),
+src2 AS (SELECT * FROM ups WHERE extract(day FROM week_date) <> {WITHDRAWN_DAY}),
 h1 AS (
   SELECT {', '.join(data)}, {sid('')} AS scd_id, load_ts AS updated_at, load_ts AS valid_from,
     cast(NULL AS timestamp) AS valid_to
@@ -549,6 +655,52 @@ hj AS (
   FROM hj WHERE c_in)"""
 
 
+def sql_pooled(name="pool", src="fx_many") -> str:
+    held = f"a.rd > {HORIZON} AND a.rd <= {2 * HORIZON}"
+    return f"""{name}_n AS (
+  SELECT series, week_date, price AS y,
+    row_number() OVER (PARTITION BY series ORDER BY week_date) AS i,
+    row_number() OVER (PARTITION BY series ORDER BY week_date DESC) AS rd
+  FROM {src} WHERE price IS NOT NULL),
+{name}_x AS (
+  SELECT a.series, a.week_date, a.i, a.rd, a.y, a.y - avg(b.y) AS x
+  FROM {name}_n a JOIN {name}_n b
+    ON a.series = b.series AND b.i BETWEEN a.i - {FC.POOLED_MEAN - 1} AND a.i
+  GROUP BY a.series, a.week_date, a.i, a.rd, a.y),
+{name}_p AS (
+  SELECT b.i - a.i AS h, a.rd, a.x, b.y - a.y AS t FROM {name}_x a JOIN {name}_n b
+    ON a.series = b.series AND b.i BETWEEN a.i + 1 AND a.i + {HORIZON}),
+{name}_all AS (
+  SELECT h, regr_intercept(t, x) AS a, regr_slope(t, x) AS b FROM {name}_p GROUP BY h),
+{name}_old AS (
+  SELECT h, regr_intercept(t, x) AS a, regr_slope(t, x) AS b FROM {name}_p
+  WHERE rd > {3 * HORIZON} GROUP BY h),
+{name}_err AS (
+  SELECT a.h, sqrt(avg((a.t - o.a - o.b * a.x) * (a.t - o.a - o.b * a.x))) AS rms
+  FROM {name}_p a JOIN {name}_old o ON a.h = o.h WHERE {held} GROUP BY a.h),
+{name} AS (
+  SELECT n.series, cast(n.week_date + cast(7 * l.h AS integer) AS timestamp) AS ts,
+    {R('n.y + l.a + l.b * n.x')} AS forecast,
+    {R(f'n.y + l.a + l.b * n.x - {ZSQL} * e.rms')} AS lower_bound,
+    {R(f'n.y + l.a + l.b * n.x + {ZSQL} * e.rms')} AS upper_bound
+  FROM {name}_x n JOIN {name}_all l ON n.rd = 1 LEFT JOIN {name}_err e ON e.h = l.h)"""
+
+
+def _readback_sql() -> str:
+    return W(O.FX_REGIONAL) + """SELECT 'table' AS kind, region, count(*) AS n FROM fx_regional GROUP BY region
+UNION ALL SELECT 'log', region, 2 FROM fx_regional GROUP BY region
+UNION ALL SELECT 'view', region, count(*) FROM fx_regional WHERE price IS NOT NULL GROUP BY region"""
+
+
+def _final_many_sql() -> str:
+    none = "cast(NULL AS double)"
+    return W(O.FX_MANY, sql_drift("fc", "fx_many", "series", "week_date", "price")) + f"""
+SELECT series AS region, week_date, price AS actual, {none} AS forecast, {none} AS lower_bound,
+  {none} AS upper_bound, 'HISTORICAL' AS record_type FROM fx_many
+UNION ALL
+SELECT series, cast(ts AS date), {none}, forecast, lower_bound, upper_bound, 'FORECAST' FROM fc"""
+
+
 def sql_backtest(name="bt") -> str:
     return f"""{name}_r AS (
   SELECT series, week_date, price,
@@ -637,20 +789,24 @@ GROUP BY period"""
 
 
 def _revised_regional_sql() -> str:
-    return f"""rreg AS (
+    return f"""rreg_all AS (
   SELECT {WEEK('l.l_shipdate')} AS week_date, r.r_name AS region,
-    {R(f'avg(l.l_extendedprice) / {REVISION_SCALE}')} AS price,
+    {R(O.MEAN('cast(l.l_extendedprice AS decimal(12,2))') + f' / {REVISION_SCALE}')} AS price,
     {q(fx.FUEL_TYPE)} AS fuel_type, {q(fx.PRICE_UNIT)} AS price_unit,
     {q(fx.REGIONAL_SOURCE)} AS source, {RUN_TS_SQL} AS load_ts
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
-  GROUP BY 1, 2)"""
+  GROUP BY 1, 2),
+rreg AS (
+  SELECT {', '.join(REG_COLS)} FROM (
+    SELECT *, row_number() OVER (PARTITION BY region ORDER BY week_date DESC) AS rn FROM rreg_all)
+  WHERE rn <= {LATEST_REGIONAL})"""
 
 
 def _revised_market_sql() -> str:
     return f"""rdaily AS (
   SELECT l_returnflag AS ticker, cast(l_shipdate AS date) AS day,
-    avg(l_extendedprice * (1.0 - l_discount)) / {fx.BAR_SCALE} AS p, count(*) AS n
+    {O.MEAN('cast(l_extendedprice AS decimal(12,2)) * (1 - cast(l_discount AS decimal(3,2)))')} / {fx.BAR_SCALE} AS p, count(*) AS n
   FROM lineitem GROUP BY 1, 2),
 rbars AS (
   SELECT {WEEK('day')} AS week_date, ticker, {O._TICKER_CASE} AS ticker_name,
@@ -658,12 +814,12 @@ rbars AS (
     {R('arg_max(p, day)')} AS close, cast(sum(n) AS bigint) AS volume, {RUN_TS_SQL} AS load_ts
   FROM rdaily GROUP BY 1, 2),
 rmkt AS (
-  SELECT {', '.join(MKT_COLS)} FROM (
-    SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY week_date DESC) AS rn FROM rbars)
-  WHERE rn <= {LATEST_REGIONAL})"""
+  SELECT {', '.join(MKT_COLS)} FROM rbars
+  WHERE week_date >= (SELECT max(week_date) FROM rbars) - INTERVAL {RETENTION_MONTHS} MONTH)"""
 
 
 W = O.with_
+NATIONAL_ONLY = f" AND region = {q(fx.NATIONAL_REGION)}"
 SQL: dict[str, str] = {
     "vol_weekly": W(O.FX_FUEL, sql_vol()) + "SELECT * FROM vol",
     "vol_many_series": W(O.FX_MANY, sql_vol_many()) + "SELECT * FROM vm",
@@ -759,4 +915,41 @@ LEFT JOIN (SELECT m.ticker, arg_max(m.close, m.week_date) AS prev_close FROM fx_
            JOIN (SELECT ticker, max(week_date) AS last_w FROM fx_market GROUP BY ticker) l2
              ON m.ticker = l2.ticker AND m.week_date < l2.last_w
            GROUP BY m.ticker) p ON b.ticker = p.ticker""",
+    "forecast_pooled": W(O.FX_MANY, sql_pooled()) + "SELECT * FROM pool",
+    "tolerant_parse": W(O.FX_POINTS, O.FX_POINTS_DIRTY) + f"""SELECT series,
+  try_cast(period AS date) AS period, {R('try_cast(value AS double)')} AS price
+FROM fx_points_dirty WHERE period IS NOT NULL AND period <> '' AND value IS NOT NULL
+  AND {R('try_cast(value AS double)')} IS NOT NULL""",
+    "payload_files": W(O.FX_POINTS, O.FX_POINTS_DIRTY) + f"""
+SELECT series, 'point' AS kind, count(*) AS n FROM fx_points_dirty
+WHERE (event_id // {fx.PAYLOAD_PAGE}) % 7 <> 0 GROUP BY series
+UNION ALL
+SELECT series, 'reject', count(DISTINCT event_id // {fx.PAYLOAD_PAGE}) FROM fx_points_dirty
+WHERE (event_id // {fx.PAYLOAD_PAGE}) % 7 = 0 GROUP BY series""",
+    "ohlcv_dirty": W(O.FX_DAILY, O.FX_TICKS_DIRTY) + f"""SELECT {WEEK('day')} AS week_date, ticker,
+  {R('arg_min(p, day) FILTER (WHERE p IS NOT NULL)')} AS open, {R('max(p)')} AS high,
+  {R('min(p)')} AS low, {R('arg_max(p, day) FILTER (WHERE p IS NOT NULL)')} AS close,
+  cast(sum(n) AS bigint) AS volume
+FROM fx_ticks_dirty GROUP BY 1, 2 HAVING count(p) > 0""",
+    "stage_typed": W(O.FX_FUEL) + f"""SELECT week_date, {q(fx.NATIONAL_REGION)} AS region, regular,
+  cast(NULL AS double) AS midgrade, cast(NULL AS double) AS premium, diesel,
+  {q(fx.PRICE_UNIT)} AS price_unit, {q(fx.NATIONAL_SOURCE)} AS source, {RUN_TS_SQL} AS load_ts
+FROM fx_fuel""",
+    "publish_readback": _readback_sql(),
+    "vol_national_scope": W(O.FX_FUEL_DIRTY, sql_vol(
+        src="fx_fuel_dirty", price="regular", scope=NATIONAL_ONLY)) + "SELECT * FROM vol",
+    "ma_national_scope": W(O.FX_FUEL_DIRTY, sql_ma(
+        src=f"(SELECT * FROM fx_fuel_dirty WHERE true{NATIONAL_ONLY})")) + "SELECT * FROM ma",
+    "crude_national_scope": W(O.FX_FUEL_DIRTY, O.FX_MARKET, sql_crude(
+        price="regular", src="fx_fuel_dirty", scope=NATIONAL_ONLY)) + "SELECT * FROM crude",
+    "train_national_scope": W(O.FX_FUEL_DIRTY) + f"""SELECT region, week_date, regular
+FROM fx_fuel_dirty WHERE regular IS NOT NULL{NATIONAL_ONLY}""",
+    "forecast_drift_nulls": W(O.FX_FUEL_DIRTY, sql_drift(
+        "fc", "fx_fuel_dirty", "region", "week_date", "regular")) + "SELECT * FROM fc",
+    "forecast_trend_nulls": W(O.FX_FUEL_DIRTY, sql_trend(
+        "fc", "fx_fuel_dirty", "region", "week_date", "regular")) + "SELECT * FROM fc",
+    "crude_margin_many": W(O.FX_MANY, O.FX_MARKET, sql_crude(
+        price="price", src="(SELECT *, cast(NULL AS double) AS diesel FROM fx_many)", keep="series"))
+        + "SELECT * EXCLUDE (diesel) FROM crude",
+    "final_many": _final_many_sql(),
 }

@@ -14,8 +14,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-# Wide enough for prices, spreads and percentages; values whose magnitude
-# does not fit (>= 1e18) become NULL, as do NaN and infinities.
+# Wide enough for prices, spreads and percentages. A double that does not fit
+# (1e18 and more, infinities) has no fourth decimal and stays as it is.
 _ROUND_TYPE = DecimalType(28, 10)
 
 
@@ -24,8 +24,10 @@ def _col(c) -> Column:
 
 
 def round_half_away(c, places: int) -> Column:
-    """``round(x, n)`` with half-away-from-zero ties; NaN / inf give NULL."""
-    return F.round(_col(c).try_cast(_ROUND_TYPE), places).cast("double")
+    """``round(x, n)`` with half-away-from-zero ties; NaN gives NULL."""
+    x = _col(c)
+    return F.coalesce(F.round(x.try_cast(_ROUND_TYPE), places).cast("double"),
+                      nan_to_null(x.cast("double")))
 
 
 def nan_to_null(c) -> Column:

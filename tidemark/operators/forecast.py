@@ -7,8 +7,8 @@ models are explicit and distributed:
   (first / last value, count, deviation of one-step changes);
 * ``trend``: straight line by least squares per series (``regr_*``
   aggregates), classical prediction interval;
-* ``pooled``: one ``pyspark.ml`` regression fitted over all series at once on
-  lag features, direct multi-step (see :func:`forecast_pooled`).
+* ``pooled``: one least-squares line per step over all series at once, direct
+  multi-step (see :func:`forecast_pooled`).
 
 Fitting is a ``groupBy(series)`` whose aggregates are all partial, so a
 series holding a third of all rows is still combined map-side. The horizon
@@ -19,12 +19,14 @@ skipped, like the reference's ON_ERROR SKIP; :func:`skipped_series` lists them.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from statistics import NormalDist
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import round_half_away
+from tidemark.functions.scope import within
 
 # Monday used as the origin of the week index of the trend model.
 WEEK_ORIGIN = "2000-01-03"
@@ -36,9 +38,10 @@ def z_value(level: float) -> float:
 
 
 def training_set(df: DataFrame, *, series_col: str = "region", time_col: str = "week_date",
-                 target_col: str = "regular") -> DataFrame:
-    """Series, time, target with NULL targets removed."""
-    return (df.filter(F.col(target_col).isNotNull())
+                 target_col: str = "regular",
+                 scope: Mapping[str, str] | None = None) -> DataFrame:
+    """Series, time, target of the rows within ``scope``, NULL targets removed."""
+    return (within(df, scope).filter(F.col(target_col).isNotNull())
               .select(series_col, time_col, target_col))
 
 
@@ -60,7 +63,7 @@ def drift_fit(train: DataFrame, *, series_col: str, time_col: str, target_col: s
     """Per-series drift fit: T, first, last, drift d, deviation s of changes."""
     w = Window.partitionBy(series_col).orderBy(time_col)
     y = F.col(target_col)
-    steps = train.select(series_col, time_col, target_col,
+    steps = train.filter(y.isNotNull()).select(series_col, time_col, target_col,
                          (y - F.lag(y, 1).over(w)).alias("_dy"))
     return (steps.groupBy(series_col)
                  .agg(F.count(y).alias("n"),
@@ -88,7 +91,7 @@ def forecast_drift(train: DataFrame, *, series_col: str = "region",
 def trend_fit(train: DataFrame, *, series_col: str, time_col: str, target_col: str) -> DataFrame:
     x = (F.datediff(F.col(time_col), F.lit(WEEK_ORIGIN).cast("date")) / F.lit(7.0))
     y = F.col(target_col)
-    pts = train.select(series_col, time_col, y.alias("y"), x.alias("x"))
+    pts = train.filter(y.isNotNull()).select(series_col, time_col, y.alias("y"), x.alias("x"))
     return (pts.groupBy(series_col)
                .agg(F.regr_count("y", "x").alias("n"),
                     F.regr_slope("y", "x").alias("b"),
@@ -130,9 +133,10 @@ def clean_series_name(c="series"):
 
 def history_plus_forecast(history: DataFrame, forecast: DataFrame, *,
                           series_col: str = "region", time_col: str = "week_date",
-                          target_col: str = "regular") -> DataFrame:
-    """History rows (NULL targets kept) UNION ALL forecast rows."""
-    hist = history.select(
+                          target_col: str = "regular",
+                          scope: Mapping[str, str] | None = None) -> DataFrame:
+    """History rows within ``scope`` (NULL targets kept) UNION ALL forecast rows."""
+    hist = within(history, scope).select(
         F.col(series_col).alias("region"), F.col(time_col).cast("date").alias("week_date"),
         F.col(target_col).cast("double").alias("actual"),
         F.lit(None).cast("double").alias("forecast"),
@@ -147,72 +151,55 @@ def history_plus_forecast(history: DataFrame, forecast: DataFrame, *,
 
 
 # ------------------------------------------------------------------ pooled --
-POOLED_LAGS = (1, 2, 4, 12)
-
-
-def _lag_features(df: DataFrame, series_col: str, time_col: str, target_col: str,
-                  horizon: int) -> DataFrame:
-    """Per row: lagged changes (features) and the next ``horizon`` values.
-
-    All lags and leads share one window (one Exchange + Sort).
-    """
-    w = Window.partitionBy(series_col).orderBy(time_col)
-    y = F.col(target_col)
-    feats = [(y - F.lag(y, k).over(w)).alias(f"dy{k}") for k in POOLED_LAGS]
-    leads = F.array(*[F.lead(y, k).over(w) for k in range(1, horizon + 1)]).alias("_leads")
-    return df.select(series_col, time_col, y.alias("y"), *feats, leads)
+POOLED_MEAN = 12   # weeks whose mean a price is compared with
 
 
 def forecast_pooled(train: DataFrame, *, series_col: str = "series",
                     time_col: str = "week_date", target_col: str = "price",
-                    horizon: int = 12, level: float = 0.95, places: int = 4,
-                    reg_param: float = 0.01) -> DataFrame:
-    """One linear model for all series: change over ``h`` steps ~ step + lagged changes.
-
-    Training rows are every (series, week, step) with a known future value;
-    fitting is ``pyspark.ml`` LinearRegression with the normal-equation
-    solver (ridge penalty): one distributed aggregation pass builds the small
-    Gram matrix, nothing row-level reaches the driver. Intervals come from the absolute training
-    residuals per step (``percentile_approx``), so lower <= forecast <= upper.
+                    horizon: int = 12, level: float = 0.95, places: int = 4) -> DataFrame:
+    """One model for all series: the change over ``h`` weeks is a line in the gap
+    between the newest price and its series' mean of ``POOLED_MEAN`` weeks.
+
+    The lines are fitted by least squares over the weeks of all series, one line a
+    step. The band is ``z`` times the root mean square of errors on held-out
+    weeks: a second fit sees only targets older than ``2 * horizon`` rows, and its
+    errors are taken where the targets are newer; without such weeks the bounds
+    are NULL. All sums come out of one
+    partial aggregation, so only ``horizon`` rows exist after it; nothing runs
+    before the result is asked for.
     """
-    from pyspark import StorageLevel
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    base = _lag_features(train, series_col, time_col, target_col, horizon)
-    feat_cols = ["h"] + [f"dy{k}" for k in POOLED_LAGS]
-    rows = (base.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
-                .withColumn("future", F.element_at("_leads", F.col("h")))
-                .withColumn("label", F.col("future") - F.col("y"))
-                .withColumn("h", F.col("h").cast("double")))
-    complete = F.lit(True)
-    for c in feat_cols:
-        complete = complete & F.col(c).isNotNull()
-    fit_rows = rows.filter(complete & F.col("label").isNotNull()).select(*feat_cols, "label")
-    assembler = VectorAssembler(inputCols=feat_cols, outputCol="features")
-    # Fit and residual pass read the same rows: keep them for these two passes
-    # only (a lost executor recomputes its blocks from lineage).
-    staged = assembler.transform(fit_rows).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = LinearRegression(featuresCol="features", labelCol="label", regParam=reg_param,
-                                 elasticNetParam=0.0, solver="normal").fit(staged)
-        # One quantile per step: at most ``horizon`` numbers reach the driver.
-        spread = (model.transform(staged)
-                       .groupBy("h")
-                       .agg(F.percentile_approx(F.abs(F.col("label") - F.col("prediction")),
-                                                level, 10000).alias("q"))
-                       .collect())
-    finally:
-        staged.unpersist()
-    qmap = F.create_map(*[F.lit(x) for r in spread for x in (float(r["h"]), float(r["q"]))])
-    # Newest row of each series by a partial max_by aggregate (no second sort).
-    newest = F.max_by(F.struct(*[F.col(c) for c in base.columns]), F.col(time_col))
-    last = (base.groupBy(F.col(series_col).alias("_k")).agg(newest.alias("_r"))
-                .select("_r.*")
-                .withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
-                .withColumn("h", F.col("h").cast("double"))
-                .withColumn("ts", F.date_add(F.col(time_col), F.col("h").cast("int") * 7)))
-    ready = last.filter(complete)
-    pred = model.transform(assembler.transform(ready)).withColumn("q", qmap[F.col("h")])
-    center = F.col("y") + F.col("prediction")
-    return _out(pred, series_col, center, F.col("q"), places)
+    w = Window.partitionBy(series_col).orderBy(time_col)
+    back = Window.partitionBy(series_col).orderBy(F.col(time_col).desc())
+    y = F.col(target_col)
+    x = y - F.avg(y).over(w.rowsBetween(1 - POOLED_MEAN, Window.currentRow))
+    base = train.filter(y.isNotNull()).select(
+        series_col, time_col, y.alias("y"), x.alias("x"), F.row_number().over(back).alias("rd"),
+        *[(F.lead(y, h).over(w) - y).alias(f"l{h}") for h in range(1, horizon + 1)])
+    old = F.col("rd") > 3 * horizon
+    held = (F.col("rd") > horizon) & (F.col("rd") <= 2 * horizon)
+    aggs = []
+    for h in range(1, horizon + 1):
+        t, x_ = F.col(f"l{h}"), F.col("x")
+        t_old, t_held = F.when(old, t), F.when(held, t)
+        x_held = F.when(held & t.isNotNull(), x_)
+        aggs += [F.regr_slope(t, x_).alias(f"b{h}"), F.regr_intercept(t, x_).alias(f"a{h}"),
+                 F.regr_slope(t_old, x_).alias(f"bo{h}"),
+                 F.regr_intercept(t_old, x_).alias(f"ao{h}"),
+                 F.count(t_held).alias(f"n{h}"), F.sum(t_held).alias(f"t{h}"),
+                 F.sum(x_held).alias(f"x{h}"), F.sum(t_held * t_held).alias(f"tt{h}"),
+                 F.sum(x_held * x_held).alias(f"xx{h}"), F.sum(t_held * x_held).alias(f"tx{h}")]
+
+    def step(h):
+        a, b, n = F.col(f"ao{h}"), F.col(f"bo{h}"), F.col(f"n{h}")
+        t, x_, tt, xx, tx = (F.col(f"{k}{h}") for k in ("t", "x", "tt", "xx", "tx"))
+        sse = tt + n * a * a + b * b * xx - 2 * a * t - 2 * b * tx + 2 * a * b * x_
+        rms = F.when(sse.isNotNull() & (n > 0), F.sqrt(F.greatest(sse, F.lit(0.0)) / n))
+        return F.struct(F.lit(h).alias("h"), F.col(f"a{h}").alias("a"),
+                        F.col(f"b{h}").alias("b"), rms.alias("rms"))
+
+    lines = base.agg(*aggs).select(F.inline(F.array(*map(step, range(1, horizon + 1)))))
+    newest = (base.filter("rd = 1")
+              .select(series_col, "y", "x", F.col(time_col).alias("last_t")))
+    steps = _horizon(newest, horizon).join(F.broadcast(lines), "h")  # `horizon` rows
+    center = F.col("y") + F.col("a") + F.col("b") * F.col("x")
+    return _out(steps, series_col, center, F.lit(z_value(level)) * F.col("rms"), places)

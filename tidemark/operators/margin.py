@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import label_by_thresholds, round_half_away
+from tidemark.functions.scope import within
 
 # ---- fixed values -----------------------------------------------------------
 MARGIN_LABELS = ("Wide Margin", "Normal Margin", "Tight Margin")
@@ -21,14 +22,15 @@ def lagged_margin(retail: DataFrame, bars: DataFrame, *, ticker: str,
                   ticker_col: str = "ticker", close_col: str = "close", lag: int = 2,
                   divisor: float = GALLONS_PER_BARREL,
                   bands: tuple[float, float] = (0.80, 1.50), places: int = 4,
-                  null_label: str | None = None) -> DataFrame:
+                  null_label: str | None = None,
+                  scope: Mapping[str, str] | None = None) -> DataFrame:
     """Retail price minus the crude price of ``lag`` bars earlier, per gallon.
 
     * crude bars of one ticker with a close; per-gallon price = close /
       ``divisor`` rounded;
     * both forms lagged by ``lag`` rows of that ticker (a window partitioned
       by ticker, never an unpartitioned one-task window);
-    * retail rows (price not NULL) left-joined on equal week; unmatched weeks
+    * retail rows within ``scope`` (price not NULL) left-joined on equal week; unmatched weeks
       keep NULL crude columns;
     * margin = retail - coalesce(lagged, same-week) rounded; label tests the
       rounded margin; a NULL margin falls to the last label.
@@ -36,7 +38,7 @@ def lagged_margin(retail: DataFrame, bars: DataFrame, *, ticker: str,
     The crude side holds at most one row per week of one ticker; AQE turns
     the join into a broadcast join from that side's measured size.
     """
-    fuel = (retail.filter(F.col(retail_col).isNotNull())
+    fuel = (within(retail, scope).filter(F.col(retail_col).isNotNull())
                   .select(time_col, *retail_keys, retail_col, *other_cols))
     crude = (bars.filter((F.col(ticker_col) == F.lit(ticker)) & F.col(close_col).isNotNull())
                  .select(ticker_col, time_col,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import round_half_away
+from tidemark.functions.scope import within
 
 
 def _cols(cols) -> list[str]:
@@ -22,8 +23,9 @@ def price_moving_avg(df: DataFrame, *, series_cols="region", time_col: str = "we
                          ("premium_spread", "premium", "regular"),
                          ("diesel_spread", "diesel", "regular")),
                      passthrough: Sequence[str] = ("midgrade", "premium"),
-                     places: int = 4) -> DataFrame:
+                     places: int = 4, scope: Mapping[str, str] | None = None) -> DataFrame:
     """Trailing means over the last ``n`` rows of each series, plus spreads.
+    ``scope`` keeps one series out of several (see :func:`within`).
 
     Rows with NULL ``filter_col`` are removed first, so frames count rows, not
     calendar weeks. Partial frames at the start still give a value; NULLs
@@ -32,7 +34,7 @@ def price_moving_avg(df: DataFrame, *, series_cols="region", time_col: str = "we
     Rows per series are bounded by the number of weeks (unique series/week).
     """
     keys = _cols(series_cols)
-    base = df.filter(F.col(filter_col).isNotNull())
+    base = within(df, scope).filter(F.col(filter_col).isNotNull())
     w = Window.partitionBy(*keys).orderBy(time_col)
     out = []
     for n in windows:

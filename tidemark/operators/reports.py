@@ -119,16 +119,14 @@ def ticker_overview(bars: DataFrame, *, ticker_col: str = "ticker",
                     time_col: str = "week_date", places: int = 2) -> DataFrame:
     """newest bar per ticker with its change from the bar before.
 
-    Two partial ``max_by`` aggregates (newest, and newest before it) instead
-    of a per-ticker sort.
+    The two newest rows of each ticker (Spark keeps two per task and ticker
+    before the shuffle), then one lag over them: a single scan.
     """
-    t = F.col(time_col)
-    last = bars.groupBy(ticker_col).agg(F.max(t).alias("_last"))
-    prev = (bars.join(last, on=ticker_col).filter(t < F.col("_last"))
-                .groupBy(ticker_col).agg(F.max_by(F.col("close"), t).alias("prev_close")))
-    newest = (bars.join(last, on=ticker_col).filter(t == F.col("_last"))
-                  .select(ticker_col, time_col, "open", "high", "low", "close", "volume"))
-    out = newest.join(prev, on=ticker_col, how="left")
+    newest = Window.partitionBy(ticker_col).orderBy(F.col(time_col).desc())
+    prev = F.lead("close", 1).over(newest)
+    two = bars.withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= 2)
+    out = (two.select(ticker_col, time_col, "open", "high", "low", "close", "volume",
+                      prev.alias("prev_close"), "_rn").filter(F.col("_rn") == 1).drop("_rn"))
     return out.select(
         "*", round_half_away(F.col("close") - F.col("prev_close"), 4).alias("change"),
         F.when(F.col("prev_close") > 0,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import guarded_pct_change, label_by_thresholds, round_half_away
+from tidemark.functions.scope import within
 
 # ---- fixed values -----------------------------------------------------------
 DIRECTION_LABELS = ("Rising", "Falling", "Stable")
@@ -24,8 +25,9 @@ def price_volatility(df: DataFrame, *, series_cols="region", time_col: str = "we
                      window: int = 12, move: float = 0.05,
                      bands: tuple[float, float] = (0.15, 0.30), places: int = 4,
                      null_direction: str | None = None,
-                     null_volatility: str | None = None) -> DataFrame:
-    """Volatility model for any number of series.
+                     null_volatility: str | None = None,
+                     scope: Mapping[str, str] | None = None) -> DataFrame:
+    """Volatility model for any number of series (or those within ``scope``).
 
     * change = price - previous row's price (``lag 1``, rows after the NULL
       filter), rounded; percent change only when the previous price > 0;
@@ -40,7 +42,7 @@ def price_volatility(df: DataFrame, *, series_cols="region", time_col: str = "we
     """
     keys = _cols(series_cols)
     p = F.col(price_col)
-    base = df.filter(p.isNotNull())
+    base = within(df, scope).filter(p.isNotNull())
     ordered = Window.partitionBy(*keys).orderBy(time_col)
     whole = Window.partitionBy(*keys)
     frame = ordered.rowsBetween(-(window - 1), Window.currentRow)

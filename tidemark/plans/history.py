@@ -30,6 +30,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.publish import _fs, create_once
+
 META = ("scd_id", "updated_at", "valid_from", "valid_to")
 
 
@@ -137,26 +139,23 @@ def as_of(history: DataFrame, ts) -> DataFrame:
 
 
 # ------------------------------------------------------------ table form --
-def _history_paths(history_dir: str) -> tuple[str, str]:
-    root = history_dir.rstrip("/")
-    return f"{root}/current", f"{root}/closed"
-
-
-def _exists(spark, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _runs(spark, history_dir: str) -> list[str]:
+    """Tags of the finished runs, oldest first."""
+    fs, root, _ = _fs(spark, f"{history_dir.rstrip('/')}/_runs")
+    if not fs.exists(root):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(root) if st.getLen() > 0)
 
 
 def read_history(spark, history_dir: str) -> DataFrame | None:
-    """The whole history of a table-backed snapshot (current + closed)."""
-    cur, closed = _history_paths(history_dir)
-    if not _exists(spark, f"{cur}/_SUCCESS"):
+    """The whole history of a table-backed snapshot: the open versions of the last
+    finished run and the closed ones of all finished runs."""
+    runs, root = _runs(spark, history_dir), history_dir.rstrip("/")
+    if not runs:
         return None
-    out = spark.read.parquet(cur)
-    if _exists(spark, closed):
-        out = out.unionByName(spark.read.parquet(closed).drop("run"), allowMissingColumns=False)
-    return out
+    current = spark.read.parquet(f"{root}/current/run={runs[-1]}")
+    return current.unionByName(
+        spark.read.schema(current.schema).parquet(*(f"{root}/closed/run={t}" for t in runs)))
 
 
 def snapshot_table(spark, history_dir: str, source: DataFrame, keys: Sequence[str], *,
@@ -164,29 +163,29 @@ def snapshot_table(spark, history_dir: str, source: DataFrame, keys: Sequence[st
     """One snapshot run against a history stored as files, touching only
     current versions. Returns False if this run was already completed.
 
-    Layout: ``current/`` holds the open versions and is rewritten each run;
-    ``closed/run=<tag>/`` receives the versions this run closed and is never
-    rewritten; ``_runs/<tag>`` marks a finished run. Closed history (the
-    bulk, growing every run) is neither read nor rewritten. The run's output
-    is staged first, so ``current`` is not read and overwritten by one job.
-    Retries are safe: a finished run is skipped, and a committed ``closed``
-    folder is kept (recomputing it gives the same rows).
+    Layout: ``current/run=<tag>/`` holds the open versions after a run,
+    ``closed/run=<tag>/`` the versions it closed, ``_runs/<tag>`` is made last
+    and makes both count (tags sort by time). Nothing that a reader uses is
+    overwritten: after a crash the last finished run is still whole, and the
+    retry writes the unfinished run's folders anew from it. The open versions
+    of the run before are deleted once the new ones count.
     """
-    from tidemark.session import materialize
+    from tidemark.session import staged
 
-    cur, closed = _history_paths(history_dir)
+    root = history_dir.rstrip("/")
     tag = run_tag or "".join(ch for ch in run_ts if ch.isdigit())
-    marker = f"{history_dir.rstrip('/')}/_runs/{tag}"
-    if _exists(spark, marker):
+    runs = _runs(spark, history_dir)
+    if tag in runs:
         return False
-    previous = spark.read.parquet(cur) if _exists(spark, f"{cur}/_SUCCESS") else None
-    out = snapshot(previous, source, keys, run_ts=run_ts, **options)
-    staged = materialize(out, "snapshot-stage", reuse=False)
-    if not _exists(spark, f"{closed}/run={tag}/_SUCCESS"):
-        (staged.filter(F.col("valid_to").isNotNull())
-               .write.mode("overwrite").parquet(f"{closed}/run={tag}"))
-    staged.filter(F.col("valid_to").isNull()).write.mode("overwrite").parquet(cur)
-    jvm = spark.sparkContext._jvm
-    mp = jvm.org.apache.hadoop.fs.Path(marker)
-    mp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(mp, True).close()
+    previous = spark.read.parquet(f"{root}/current/run={runs[-1]}") if runs else None
+    out, discard = staged(snapshot(previous, source, keys, run_ts=run_ts, **options),
+                          "snapshot-stage")
+    is_open = F.col("valid_to").isNull()
+    out.filter(~is_open).write.mode("overwrite").parquet(f"{root}/closed/run={tag}")
+    out.filter(is_open).write.mode("overwrite").parquet(f"{root}/current/run={tag}")
+    create_once(spark, f"{root}/_runs/{tag}", "done")
+    discard()
+    if runs:
+        fs, path, _ = _fs(spark, f"{root}/current/run={runs[-1]}")
+        fs.delete(path, True)
     return True

@@ -9,7 +9,7 @@ sort-merge joins. Our part is to keep those statistics accurate and cheap:
 * join a fact table to the dimension *scan* (customer, supplier), so the
   estimate is the dimension's own size, not a product of join inputs;
 * write small derived tables and staged batches as files
-  (:func:`tidemark.session.materialize`) before they are joined;
+  (:func:`tidemark.session.staged`) before they are joined;
 * hint ``broadcast`` by hand only for dimensions whose size is fixed by the
   schema, listed below.
 """

@@ -1,24 +1,31 @@
 """Publishing tables as immutable versions.
 
-A table is a folder of versions ``<table>/v=<n>/``. A version counts once its
-write job committed (Spark's committer writes ``_SUCCESS`` last), so
+A table is a folder with data folders and one small file per committed version:
+
+    <table>/data/<unique>/      what one attempt wrote
+    <table>/_versions/<n>       names the data folder of version n
+
+The version file is made last, and only if it does not exist yet. So
 
 * a load that fails before commit leaves no visible change (rollback);
-* readers always see one complete version (the highest committed one);
-* a retried load overwrites its own uncommitted folder (idempotent), and
-  tasks lost with their executor are retried by the committer.
+* readers always see one complete version (the highest);
+* of two writers that start from one version only one commits; the other's
+  attempt raises :class:`ConcurrentWrite` and nothing of it is visible;
+* a retried load writes a folder of its own.
 
-Writing a new version never reads and overwrites the same path, which Spark
-refuses. Only folder listing happens on the driver (Hadoop FileSystem API,
-so the same code works on HDFS, object stores and local disk).
+Only folder listing happens on the driver (Hadoop FileSystem API, so the same
+code works on HDFS, object stores and local disk).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-_PREFIX = "v="
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer has committed this version."""
 
 
 def _fs(spark: SparkSession, path: str):
@@ -28,36 +35,66 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(conf), hpath, jvm
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hpath, jvm = _fs(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file with ``text``; False if it exists already."""
+    fs, hpath, jvm = _fs(spark, path)
+    try:
+        stream = fs.create(hpath, False)
+    except Exception as e:  # the file system's own exception arrives through py4j
+        if fs.exists(hpath):
+            return False
+        raise e
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
 def committed_versions(spark: SparkSession, table_dir: str) -> list[int]:
-    fs, root, jvm = _fs(spark, table_dir)
+    fs, root, _ = _fs(spark, f"{table_dir.rstrip('/')}/_versions")
     if not fs.exists(root):
         return []
-    out = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(_PREFIX) and name[len(_PREFIX):].isdigit():
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[len(_PREFIX):]))
-    return sorted(out)
+    # A file without content belongs to a writer that died while committing.
+    found = [(st.getPath().getName(), st.getLen()) for st in fs.listStatus(root)]
+    return sorted(int(name) for name, size in found if name.isdigit() and size > 0)
 
 
-def version_path(table_dir: str, version: int) -> str:
-    return f"{table_dir.rstrip('/')}/{_PREFIX}{version}"
+def version_path(spark: SparkSession, table_dir: str, version: int) -> str:
+    root = table_dir.rstrip("/")
+    return f"{root}/data/{read_text(spark, f'{root}/_versions/{version}')}"
 
 
 def publish(df: DataFrame, table_dir: str, *, version: int | None = None,
             partition_by=None) -> int:
-    """Write ``df`` as the next version (or the given one) and return its number."""
+    """Write ``df`` as the next version (or as ``version``, which must not exist)
+    and return its number."""
     spark = df.sparkSession
-    if version is None:
-        done = committed_versions(spark, table_dir)
-        version = (done[-1] + 1) if done else 0
-    writer = df.write.mode("overwrite")
+    root = table_dir.rstrip("/")
+    folder = uuid.uuid4().hex
+    writer = df.write
     if partition_by:
         writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str)
                                       else partition_by))
-    writer.parquet(version_path(table_dir, version))
-    return version
+    writer.parquet(f"{root}/data/{folder}")
+    while True:
+        done = committed_versions(spark, table_dir)
+        n = version if version is not None else (done[-1] + 1 if done else 0)
+        if create_once(spark, f"{root}/_versions/{n}", folder):
+            return n
+        if version is not None or n not in committed_versions(spark, table_dir):
+            fs, path, _ = _fs(spark, f"{root}/data/{folder}")
+            fs.delete(path, True)
+            raise ConcurrentWrite(f"version {n} of {table_dir} has another writer")
 
 
 def read_version(spark: SparkSession, table_dir: str, version: int | None = None,
@@ -71,12 +108,17 @@ def read_version(spark: SparkSession, table_dir: str, version: int | None = None
     elif version not in done:
         return None
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(version_path(table_dir, version))
+    return reader.parquet(version_path(spark, table_dir, version))
 
 
-def append_run(df: DataFrame, table_dir: str) -> None:
-    """Append-only log table (B5): create on first write, then append."""
-    df.write.mode("append").parquet(table_dir)
+def append_run(df: DataFrame, table_dir: str, run: str | None = None) -> None:
+    """Append-only log table (B5). With ``run`` the rows go to a folder of that
+    run, and a repeated run replaces them instead of adding them twice."""
+    if run is None:
+        df.write.mode("append").parquet(table_dir)
+    else:
+        tag = "".join(ch for ch in run if ch.isalnum())
+        df.write.mode("overwrite").parquet(f"{table_dir.rstrip('/')}/run={tag}")
 
 
 def replace_view(df: DataFrame, name: str) -> DataFrame:
@@ -92,64 +134,26 @@ def load(table_dir: str, batch: DataFrame, keys, *, run_ts=None,
 
     An empty batch is a no-op: no new version is written and the current
     version number is returned (None if the table does not exist yet). A
-    failure anywhere before the commit leaves the current version in place.
+    failure anywhere before the commit leaves the current version in place. The
+    merge counts only if it is still the next version: if another writer was
+    faster, :class:`ConcurrentWrite` is raised and the load can be run again.
     """
     from tidemark.plans.upsert import keyed_upsert
-    from tidemark.session import materialize
+    from tidemark.session import staged
 
     spark = batch.sparkSession
-    current = read_version(spark, table_dir)
     done = committed_versions(spark, table_dir)
-    if batch.isEmpty():
-        return done[-1] if done else None
-    # Typed stage as files (B1): the merge then plans from the stage's real size.
-    batch = materialize(batch, "stage", reuse=False)
-    if current is None:
-        if initial is None:
+    base = done[-1] if done else None
+    # Typed stage as files (B1): evaluated once, and the merge plans from its real size.
+    batch, discard = staged(batch, "stage")
+    try:
+        if batch.isEmpty():
+            return base
+        current = initial if base is None else read_version(spark, table_dir, base)
+        if current is None:
             raise ValueError("table does not exist; pass an empty `initial` frame with its schema")
-        current = initial
-    merged = keyed_upsert(current, batch, keys, run_ts=run_ts, on_duplicate=on_duplicate,
-                          order_col=order_col)
-    return publish(merged, table_dir)
-
-
-def load_partitions(table_dir: str, batch: DataFrame, keys, *, partition_col: str,
-                    run_ts=None, on_duplicate: str = "error", order_col: str | None = None,
-                    max_partitions: int = 10000) -> list:
-    """Keyed upsert that rewrites only the partitions the batch touches.
-
-    For large targets laid out as ``partitionBy(partition_col)`` (e.g. the
-    year of ``week_date``; every key must map to one partition). Steps:
-
-    1. the batch's distinct partition values (a handful, bounded by
-       ``max_partitions``) select the target partitions to read - static
-       partition pruning, untouched partitions are not read at all;
-    2. the keyed upsert merges those partitions with the batch;
-    3. the merged rows are staged as files (so the table path is not read and
-       overwritten by one job), then written with dynamic partition
-       overwrite, which replaces exactly the touched partitions.
-
-    Returns the partition values written. An empty batch writes nothing.
-    Unlike :func:`load` the swap is per partition, not one atomic version.
-    """
-    from tidemark.plans.upsert import keyed_upsert
-    from tidemark.session import materialize
-
-    spark = batch.sparkSession
-    values = [r[0] for r in batch.select(partition_col).distinct()
-              .limit(max_partitions + 1).collect()]
-    if not values:
-        return []
-    if len(values) > max_partitions:
-        raise ValueError(f"batch touches more than {max_partitions} partitions; use load()")
-    fs, root, jvm = _fs(spark, table_dir)
-    if fs.exists(root):
-        target = spark.read.parquet(table_dir).filter(F.col(partition_col).isin(values))
-    else:
-        target = batch.limit(0)
-    merged = keyed_upsert(target.select(*batch.columns), batch, keys, run_ts=run_ts,
-                          on_duplicate=on_duplicate, order_col=order_col)
-    staged = materialize(merged, "partition-stage", reuse=False)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(partition_col).parquet(table_dir))
-    return values
+        merged = keyed_upsert(current, batch, keys, run_ts=run_ts, on_duplicate=on_duplicate,
+                              order_col=order_col)
+        return publish(merged, table_dir, version=0 if base is None else base + 1)
+    finally:
+        discard()

@@ -36,12 +36,14 @@ class ChecksFailed(RuntimeError):
 
 
 def build_models(national: DataFrame, regional: DataFrame, market: DataFrame, *,
-                 crude_ticker: str, series_col: str = "region") -> dict[str, DataFrame]:
-    """The four models over the raw tables (lazy DataFrames)."""
+                 crude_ticker: str, series_col: str = "region",
+                 scope: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+    """The four models over the raw tables (lazy DataFrames); the first three are
+    about the national rows that ``scope`` names."""
     return {
-        "price_moving_avg": price_moving_avg(national, series_cols=series_col),
-        "price_volatility": price_volatility(national, series_cols=series_col),
-        "crude_correlation": lagged_margin(national, market, ticker=crude_ticker),
+        "price_moving_avg": price_moving_avg(national, series_cols=series_col, scope=scope),
+        "price_volatility": price_volatility(national, series_cols=series_col, scope=scope),
+        "crude_correlation": lagged_margin(national, market, ticker=crude_ticker, scope=scope),
         "regional_comparison": region_spread(regional, national),
     }
 
@@ -50,7 +52,8 @@ def refresh_warehouse(spark: SparkSession, warehouse: str, *, national: DataFram
                       regional: DataFrame, market: DataFrame, crude_ticker: str,
                       checks: Sequence[CK.Check], run_ts: str, strict: bool = True,
                       horizon: int = 12, level: float = 0.95,
-                      publish_raw: bool = True) -> Mapping[str, int]:
+                      publish_raw: bool = True,
+                      scope: Mapping[str, str] | None = None) -> Mapping[str, int]:
     """Run one refresh; returns the published version of every table.
 
     ``publish_raw=False`` takes the three raw tables as already stored (kept
@@ -67,13 +70,13 @@ def refresh_warehouse(spark: SparkSession, warehouse: str, *, national: DataFram
     else:
         pub = dict(raw)
     models = build_models(pub["fuel_prices"], pub["regional_fuel_prices"],
-                          pub["energy_market_prices"], crude_ticker=crude_ticker)
+                          pub["energy_market_prices"], crude_ticker=crude_ticker, scope=scope)
     for name, df in models.items():
         versions[name] = publish(df, f"{root}/{name}")
         pub[name] = read_version(spark, f"{root}/{name}")
 
     report = CK.run_checks(pub, checks).withColumn("run_ts", F.lit(run_ts).cast("timestamp_ntz"))
-    append_run(report, f"{root}/check_results")
+    append_run(report, f"{root}/check_results", run_ts)
     # a bounded read: one row per configured check
     failed = [(r["table_name"], r["column_name"], r["test_name"], r["failures"])
               for r in report.filter(F.col("status") == "FAIL").collect()]
@@ -86,14 +89,16 @@ def refresh_warehouse(spark: SparkSession, warehouse: str, *, national: DataFram
                      run_ts=run_ts)
 
     train = FC.training_set(pub["fuel_prices"], series_col="region", time_col="week_date",
-                            target_col="regular")
+                            target_col="regular", scope=scope)
     fc = FC.forecast_drift(train, series_col="region", horizon=horizon, level=level)
     versions["fuel_price_forecast"] = publish(fc, f"{root}/fuel_price_forecast")
     fc_pub = read_version(spark, f"{root}/fuel_price_forecast")
-    final = FC.history_plus_forecast(pub["fuel_prices"], fc_pub)
+    final = FC.history_plus_forecast(pub["fuel_prices"], fc_pub, scope=scope)
     versions["fuel_price_final"] = publish(final, f"{root}/fuel_price_final")
     bt = MT.backtest_drift(train, series_col="region", target_col="regular",
                            horizon=horizon, level=level)
     append_run(MT.error_metrics(bt, series_col="region", run_ts=run_ts),
-               f"{root}/forecast_metrics")
+               f"{root}/forecast_metrics", run_ts)
+    skipped = FC.skipped_series(pub["fuel_prices"], fc_pub, series_col="region")
+    versions["fuel_price_skipped"] = publish(skipped, f"{root}/fuel_price_skipped")
     return versions

@@ -7,18 +7,17 @@ that are unset, so a cluster's choices always win.
 
 from __future__ import annotations
 
-import hashlib
 import os
-import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of the package relies on. Values are the defaults we want
 # when nothing else is configured; the session's own values take precedence.
 _BASE_CONF = {
-    # Timestamps in the inputs are zone-less; keep the session on UTC so that
-    # date_trunc / casts give the same calendar weeks on every executor.
+    # Timestamps in the inputs are zone-less; with the session on UTC date_trunc
+    # and casts give the same calendar weeks on every executor.
     "spark.sql.session.timeZone": "UTC",
     # Runtime re-planning: coalesce small shuffle partitions, split skewed
     # join partitions, turn sort-merge joins into broadcast joins when a side
@@ -27,9 +26,6 @@ _BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    # Size-checked broadcast helper (plans.joins) decides explicitly; keep the
-    # automatic threshold modest so Catalyst never broadcasts a grown table.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.ui.enabled": "false",
     # Per-call Python call-site capture (error context for notebooks) costs
     # two JVM round trips per column function while plans are built.
@@ -61,61 +57,37 @@ def tune(spark: SparkSession) -> SparkSession:
         if not spark.conf.isModifiable(k) or spark.conf.get(k, None) is not None:
             continue
         spark.conf.set(k, v)
-    # The one setting that must hold for results to be right.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    ensure_checkpoint_dir(spark)
+    # Weeks and days are cut in UTC, unless the caller has chosen a zone.
+    if not spark.sparkContext.getConf().contains("spark.sql.session.timeZone"):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder: read from the session, set only if unset.
+    """Shared folder for written intermediate tables.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared file system folder;
-    we never invent a machine-local one there. Only a local test session with
-    nothing configured gets a private temporary folder.
+    ``spark.checkpoint.dir`` as the session has it; where it is unset, a folder
+    below the warehouse, which driver and executors share as well.
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if configured:
-        path = configured
-    else:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+    path = (spark.conf.get("spark.checkpoint.dir", None)
+            or sc.getConf().get("spark.checkpoint.dir", None)
+            or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
 
 
-def materialize(df, tag: str, *, reuse: bool = True):
-    """Write ``df`` as a Parquet table in the shared checkpoint folder and read
-    it back (a lineage cut with file statistics and filter pushdown).
-
-    ``reuse=True`` is for small tables derived from files and used by several
-    plans: the folder is keyed by the application, the plan hash and the
-    input files, so a later call in the same application finds the committed
-    table (``_SUCCESS``) and skips the write; nothing is shared across
-    applications. ``reuse=False`` (staged batches) always writes a new folder.
-    """
+def staged(df, tag: str) -> tuple[DataFrame, Callable[[], None]]:
+    """Write ``df`` as a new Parquet table in the shared folder; return it read
+    back, and a function that deletes its files when no plan needs them."""
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    app = spark.sparkContext.applicationId
-    files = sorted(df.inputFiles())
-    if not files:
-        # In-memory data: its plan hash is no safe identity, never reuse.
-        reuse = False
-    if not reuse:
-        path = f"{root}/tables/{app}/{tag}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return spark.read.parquet(path)
-    # The plan hash does not cover file locations: key on the input files too.
-    listing = "\n".join(files)
-    digest = hashlib.sha1(f"{df.semanticHash()}\n{listing}".encode()).hexdigest()[:16]
-    path = f"{root}/tables/{app}/{tag}-{digest}"
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = f"{root}/tables/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+
+    def discard() -> None:
+        hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+    return spark.read.schema(df.schema).parquet(path), discard

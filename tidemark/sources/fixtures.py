@@ -2,10 +2,8 @@
 
 These stand in for the three raw tables (national grades, regional prices,
 market bars) and for landed API payloads. Each fact table is read in as few
-passes as possible: ``orders`` once without joins (national) and once joined
-to customer (``orders_by_nation``, re-aggregated into the regional and the
-125-series tables); ``lineitem`` once (``daily_lines``, re-aggregated into the
-market bars and the second loads). Every aggregate is partial (map-side
+passes as possible, and every function returns a lazy plan down to the scans, so
+``explain()`` of a query shows all of its work. Every aggregate is partial (map-side
 combine), so a hot key (one priority, one return flag) is reduced to one row
 per group and map task before any shuffle.
 
@@ -15,17 +13,12 @@ DuckDB comparison; the two must stay in step.
 
 from __future__ import annotations
 
-import functools
-import threading
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import round_half_away
 from tidemark.functions.time import week_start
 from tidemark.plans.joins import dimension
-from tidemark.session import materialize
 from tidemark.sources.payload import build_payload_pages
 from tidemark.sources.shaping import weekly_bars
 from tidemark.sources.tables import read_table
@@ -34,6 +27,7 @@ from tidemark.sources.tables import read_table
 # Domain constants of the published raw tables (unit, source tags, national
 # region name, regional fuel type).
 NATIONAL_REGION = "US_NATIONAL"
+OTHER_REGION = "TEST_REGION"   # ours: a second region of the dirty national table
 PRICE_UNIT = "USD_PER_GALLON"
 NATIONAL_SOURCE = "EIA_WEEKLY"
 REGIONAL_SOURCE = "EIA_REGIONAL"
@@ -60,74 +54,35 @@ FIXTURE_LOAD_TS = "2026-01-05 00:00:00"
 # -----------------------------------------------------------------------------
 
 
-def _shared(fn=None, *, keep: bool = True):
-    """Build each fixture once per (session, folder).
+def load_ts_lit(ts: str = FIXTURE_LOAD_TS):
+    return F.lit(ts).cast("timestamp_ntz")
 
-    ``keep=True`` marks small tables (one row per series and week, or per
-    ticker and day, at any scale): they are computed once from the whole
-    input table and written as a Parquet table in the shared checkpoint
-    folder, so every query that uses them reads a few KB instead of
-    re-scanning the fact table (Catalyst prunes each use to different
-    columns, so shuffle reuse alone would not share the scan). Other
-    fixtures are shared as lazy plans. ``<fixture>.lazy(spark, dir)`` gives
-    the plain lazy plan (for plan inspection).
-    """
-    if fn is None:
-        return functools.partial(_shared, keep=keep)
-    cache: dict = {}
-    lock = threading.Lock()
-
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, base_dir: str, *args):
-        key = (id(spark), spark.sparkContext.applicationId, base_dir, args)
-        with lock:
-            df = cache.get(key)
-            if df is None:
-                df = fn(spark, base_dir, *args)
-                if keep:
-                    df = materialize(df, fn.__name__)
-                cache[key] = df
-        return df
-
-    wrapper.lazy = fn
-    wrapper.cache_clear = cache.clear
-    return wrapper
-
-
-def prefetch(spark: SparkSession, base_dir: str, *builders) -> None:
-    """Build independent shared tables as concurrent Spark jobs.
-
-    Each build is a small job (often one task per stage on small inputs), so
-    submitting them together keeps executors busy; a dependency shared by two
-    builders is still built once (each builder holds its own lock).
-    """
-    if len(builders) < 2:
-        for b in builders:
-            b(spark, base_dir)
-        return
-    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
-        for f in [pool.submit(b, spark, base_dir) for b in builders]:
-            f.result()
 
+def cents(c):
+    """Money as DECIMAL: sums do not depend on the order of the rows, so a value
+    on a rounding tie or label limit cannot flip from run to run."""
+    return F.col(c).cast("decimal(12,2)")
 
-def load_ts_lit(ts: str = FIXTURE_LOAD_TS):
-    return F.lit(ts).cast("timestamp_ntz")
+
+def mean(c, condition=None):
+    """Exact sum / count, of the rows where ``condition`` (default: all)."""
+    x = cents(c) if condition is None else F.when(condition, cents(c))
+    return F.sum(x).cast("double") / F.count(x)
 
 
 def _price(avg_expr):
     return round_half_away(avg_expr / F.lit(PRICE_SCALE), 4)
 
 
-@_shared
 def fuel_weekly(spark: SparkSession, base_dir: str) -> DataFrame:
     """National table: one row per order week, four grades + all_grades."""
     o = read_table(spark, base_dir, "orders", ["o_orderdate", "o_totalprice", "o_orderpriority"])
     grades = [
-        _price(F.avg(F.when(F.col("o_orderpriority") == F.lit(prio), F.col("o_totalprice")))).alias(g)
+        _price(mean("o_totalprice", F.col("o_orderpriority") == F.lit(prio))).alias(g)
         for g, prio in GRADE_PRIORITY.items()
     ]
     return (o.groupBy(week_start("o_orderdate").alias("week_date"))
-             .agg(*grades, _price(F.avg("o_totalprice")).alias("all_grades"))
+             .agg(*grades, _price(mean("o_totalprice")).alias("all_grades"))
              .select("week_date", F.lit(NATIONAL_REGION).alias("region"),
                      *GRADE_PRIORITY, "all_grades",
                      F.lit(PRICE_UNIT).alias("price_unit"),
@@ -143,7 +98,6 @@ def _nation_regions(spark: SparkSession, base_dir: str) -> DataFrame:
              .select("n_nationkey", "n_name", "r_name"))
 
 
-@_shared
 def orders_by_nation(spark: SparkSession, base_dir: str) -> DataFrame:
     """One joined pass over orders: per (order week, customer nation and
     region, order priority) the sum of order prices and the order count.
@@ -169,10 +123,10 @@ def orders_by_nation(spark: SparkSession, base_dir: str) -> DataFrame:
                .join(nr, c.c_nationkey == nr.n_nationkey))
     return (joined.groupBy(week_start("o_orderdate").alias("week_date"), "n_name", "r_name",
                            "o_orderpriority")
-                  .agg(F.sum("o_totalprice").alias("s"), F.count(F.lit(1)).alias("n")))
+                  .agg(F.sum(cents("o_totalprice")).cast("double").alias("s"),
+                       F.count(F.lit(1)).alias("n")))
 
 
-@_shared
 def regional_weekly(spark: SparkSession, base_dir: str) -> DataFrame:
     """Regional table: one row per (order week, customer region)."""
     agg = (orders_by_nation(spark, base_dir)
@@ -185,7 +139,6 @@ def regional_weekly(spark: SparkSession, base_dir: str) -> DataFrame:
         F.lit(REGIONAL_SOURCE).alias("source"), load_ts_lit().alias("load_ts"))
 
 
-@_shared
 def many_series(spark: SparkSession, base_dir: str) -> DataFrame:
     """125 series: nation x order priority x week (for scale runs)."""
     agg = orders_by_nation(spark, base_dir)
@@ -194,7 +147,6 @@ def many_series(spark: SparkSession, base_dir: str) -> DataFrame:
         round_half_away(F.col("s") / F.col("n") / F.lit(PRICE_SCALE), 4).alias("price"))
 
 
-@_shared
 def daily_lines(spark: SparkSession, base_dir: str) -> DataFrame:
     """One pass over lineitem: per (return flag, line status, ship day) the
     sums of gross and net extended price and the line count.
@@ -208,23 +160,22 @@ def daily_lines(spark: SparkSession, base_dir: str) -> DataFrame:
     li = read_table(spark, base_dir, "lineitem",
                     ["l_returnflag", "l_linestatus", "l_shipdate", "l_extendedprice",
                      "l_discount"])
-    p = F.col("l_extendedprice")
+    p, rate = cents("l_extendedprice"), F.col("l_discount").cast("decimal(3,2)")
     return (li.groupBy(F.col("l_returnflag").alias("ticker"),
                        F.col("l_linestatus").alias("status"),
                        F.to_date("l_shipdate").alias("day"))
               .agg(F.sum(p).alias("s_gross"),
-                   F.sum(p * (F.lit(1.0) - F.col("l_discount"))).alias("s_net"),
+                   F.sum(p * (F.lit(1).cast("decimal(3,2)") - rate)).alias("s_net"),
                    F.count(F.lit(1)).alias("n")))
 
 
-@_shared
 def daily_ticks(spark: SparkSession, base_dir: str) -> DataFrame:
     """Daily mean price (gross and net) and line count per return flag."""
     d = daily_lines(spark, base_dir)
     n = F.sum("n")
     return (d.groupBy("ticker", "day")
-             .agg((F.sum("s_gross") / n / F.lit(BAR_SCALE)).alias("p"),
-                  (F.sum("s_net") / n / F.lit(BAR_SCALE)).alias("p_net"),
+             .agg((F.sum("s_gross").cast("double") / n / F.lit(BAR_SCALE)).alias("p"),
+                  (F.sum("s_net").cast("double") / n / F.lit(BAR_SCALE)).alias("p_net"),
                   n.alias("n")))
 
 
@@ -233,7 +184,6 @@ def ticker_name_col(c="ticker"):
     return mapping[F.col(c)]
 
 
-@_shared
 def market_weekly(spark: SparkSession, base_dir: str) -> DataFrame:
     """Market table: weekly OHLCV bars per ticker (A7 over daily means)."""
     bars = weekly_bars(daily_ticks(spark, base_dir), key_cols=["ticker"], time_col="day",
@@ -243,7 +193,6 @@ def market_weekly(spark: SparkSession, base_dir: str) -> DataFrame:
                        load_ts_lit().alias("load_ts"))
 
 
-@_shared(keep=False)
 def event_points(spark: SparkSession, base_dir: str) -> DataFrame:
     """Series points from the events table: (series, id, ts, period, value text)."""
     e = read_table(spark, base_dir, "events", ["event_id", "ts", "event_type", "props"])
@@ -252,9 +201,52 @@ def event_points(spark: SparkSession, base_dir: str) -> DataFrame:
                     F.get_json_object("props", "$.k").alias("value"))
 
 
-@_shared(keep=False)
 def payload_pages(spark: SparkSession, base_dir: str) -> DataFrame:
     """Landed payload documents: one JSON text per (series, page of ids)."""
     pts = event_points(spark, base_dir).withColumn(
         "page", F.floor(F.col("event_id") / F.lit(PAYLOAD_PAGE)))
     return build_payload_pages(pts, series_col="series", page_col="page", order_col="event_id")
+
+
+# ---- dirty tables ------------------------------------------------------------
+# The driver's tables hold no bad value, so these derive some by rules on keys.
+def national_dirty(spark: SparkSession, base_dir: str) -> DataFrame:
+    """The national table with a second region (order keys divisible by 17) and
+    NULL prices in weeks that begin on the 29th or later (the newest one does)."""
+    o = read_table(spark, base_dir, "orders",
+                   ["o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority"])
+    region = F.when(F.col("o_orderkey") % 17 == 0, F.lit(OTHER_REGION)).otherwise(
+        F.lit(NATIONAL_REGION))
+    out = (o.groupBy(week_start("o_orderdate").alias("week_date"), region.alias("region"))
+           .agg(*[_price(mean("o_totalprice", F.col("o_orderpriority") == F.lit(prio))).alias(g)
+                  for g, prio in GRADE_PRIORITY.items()]))
+    return out.withColumn("regular", F.when(F.dayofmonth("week_date") < 29, F.col("regular")))
+
+
+def ticks_dirty(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Daily prices per return flag with NaN and NULL: a day of the month divisible
+    by 7 has no price, one divisible by 11 no volume, one divisible by 13 is NULL."""
+    day = F.dayofmonth("day")
+    nan = F.lit(float("nan"))
+    return daily_ticks(spark, base_dir).select(
+        "ticker", "day",
+        F.when(day % 7 == 0, nan).when(day % 13 != 0, F.col("p")).alias("p"),
+        F.when(day % 11 == 0, nan).otherwise(F.col("n").cast("double")).alias("n"))
+
+
+#: Values of a dirty point by ``event_id % 17`` and its period by ``event_id % 19``.
+DIRTY_VALUES = {0: "x", 1: "", 2: None, 3: "nan", 4: "1e19", 5: "-7.00005", 6: " 3 "}
+DIRTY_PERIODS = {0: "", 1: None}
+
+
+def points_dirty(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Points with unparseable, missing and huge values and with empty periods."""
+    def replaced(column, rule, m):
+        out = F.col(column)
+        for k, v in rule.items():
+            out = F.when(F.col("event_id") % m == k, F.lit(v).cast("string")).otherwise(out)
+        return out.alias(column)
+
+    return event_points(spark, base_dir).select(
+        "series", "event_id", "ts", replaced("period", DIRTY_PERIODS, 19),
+        replaced("value", DIRTY_VALUES, 17))

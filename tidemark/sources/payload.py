@@ -48,14 +48,15 @@ def read_payload_files(spark: SparkSession, path, *, on_error: str = "fail",
 def parse_payload_text(df: DataFrame, body_col: str, *, on_error: str = "fail") -> DataFrame:
     """Parse a JSON text column into the payload struct (``response``)."""
     opts = {"mode": _mode(on_error)}
-    parsed = F.from_json(F.col(body_col), PAYLOAD, opts)
-    out = df.withColumn("response", parsed.getField("response"))
+    schema = PAYLOAD
     if on_error == "skip":
-        # PERMISSIVE gives a NULL struct for text that is not JSON at all.
-        out = out.withColumn("_corrupt_record",
-                             F.when(F.col("response").isNull() & F.col(body_col).isNotNull(),
-                                    F.col(body_col)))
-    return out.drop(body_col)
+        schema = StructType([*PAYLOAD.fields, StructField("_corrupt_record", StringType())])
+        opts["columnNameOfCorruptRecord"] = "_corrupt_record"
+    out = df.withColumn("_parsed", F.from_json(F.col(body_col), schema, opts))
+    out = out.withColumn("response", F.col("_parsed.response"))
+    if on_error == "skip":
+        out = out.withColumn("_corrupt_record", F.col("_parsed._corrupt_record"))
+    return out.drop(body_col, "_parsed")
 
 
 def explode_payload(df: DataFrame, keep_cols: Sequence[str] = ()) -> DataFrame:
@@ -73,13 +74,18 @@ def explode_payload(df: DataFrame, keep_cols: Sequence[str] = ()) -> DataFrame:
 
 
 def payload_rejects(df: DataFrame, keep_cols: Sequence[str] = ()) -> DataFrame:
-    """Documents that could not be parsed under ``on_error="skip"``."""
+    """Documents that could not be parsed, or not wholly, under ``on_error="skip"``.
+
+    A missing level is no error. A document with one mistyped point is reported
+    here even where its other points could be read.
+    """
     if "_corrupt_record" not in df.columns:
         return df.limit(0).select(*keep_cols)
-    # Referencing a parsed column too keeps Spark from rejecting a query that
-    # reads only the corrupt-record column of raw JSON.
-    bad = F.col("_corrupt_record").isNotNull() & F.col("response").isNull()
-    return df.filter(bad).select(*keep_cols, "_corrupt_record")
+    # Spark rejects a query that reads only the corrupt-record column of raw JSON:
+    # name a parsed column too, in a condition that always holds.
+    parsed = F.col("response").isNull() | F.col("response").isNotNull()
+    return df.filter(F.col("_corrupt_record").isNotNull() & parsed).select(
+        *keep_cols, "_corrupt_record")
 
 
 def build_payload_pages(points: DataFrame, *, series_col: str, page_col: str,

@@ -136,18 +136,22 @@ def weekly_bars(ticks: DataFrame, *, key_cols, time_col: str, price_col: str,
     """Daily (or tick) prices to weekly OHLCV bars.
 
     open / close are the price at the earliest / latest time of the week
-    (``min_by`` / ``max_by``), high / low the extremes, volume the sum.
+    (``min_by`` / ``max_by``), high / low the extremes, volume the sum; NULL and
+    NaN prices and volumes are left out.
     Times must be distinct within a key and week for open / close to be
     deterministic. One partial + final aggregation: a key holding a third of
     all rows is combined map-side to one row per week and task.
     """
     keys = _cols(key_cols)
-    p, t = F.col(price_col), F.col(time_col)
+    # Bad ticks go before the week is formed: one NaN must not spoil a bar.
+    p, t = nan_to_null(F.col(price_col).cast("double")), F.col(time_col)
+    at = F.when(p.isNotNull(), t)
     rnd = (lambda c: round_half_away(c, places)) if places is not None else (lambda c: c)
-    aggs = [rnd(F.min_by(p, t)).alias("open"), rnd(F.max(p)).alias("high"),
-            rnd(F.min(p)).alias("low"), rnd(F.max_by(p, t)).alias("close")]
+    aggs = [rnd(F.min_by(p, at)).alias("open"), rnd(F.max(p)).alias("high"),
+            rnd(F.min(p)).alias("low"), rnd(F.max_by(p, at)).alias("close")]
     if volume_col is not None:
-        aggs.append(F.sum(volume_col).cast("long").alias("volume"))
+        volume = nan_to_null(F.col(volume_col).cast("double"))
+        aggs.append(F.sum(volume).try_cast("long").alias("volume"))
     return ticks.groupBy(week_start(t).alias(out_time_col), *keys).agg(*aggs)
 
 
