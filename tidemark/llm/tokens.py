@@ -11,6 +11,7 @@ blanks and line feeds, special-token strings) are encoded whole.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ import pyarrow.compute as pc
 _WHOLE = (r"[ \n]{3}|[ \n]{2}\z|[\t\r\x0b\x0c\x00\x1c-\x1f\x85\xa0\x{1680}\x{180e}"
           r"\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]|<\|")
 #: Punctuation after a letter (one in lower case too) ends a word's last token.
-_TAIL = ".,;:!?"
+_TAIL = ".,;:!?#*$%&()[]{}\"-_/+=~^@`"
 _MARK = "\x00"
 
 
@@ -52,15 +53,17 @@ class Encoder:
                               else n.endswith("</w>") for n in names])
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for k in range(0, len(texts), 4096)
-                for e in self.tok.encode_batch(texts[k:k + 4096], add_special_tokens=False)]
+        # The "fast" call gives the same ids and leaves character offsets out.
+        return [array("I", e.ids).tobytes() for k in range(0, len(texts), 4096)
+                for e in self.tok.encode_batch_fast(texts[k:k + 4096], add_special_tokens=False)]
 
     def _plain(self, words: list[str]) -> list[bytes]:
         """Ids of words made of letters only, encoded as one running text."""
         if not words:
             return []
         text = ("" if self.spaces else " ").join(words)
-        ids = np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
+        one = self.tok.encode_batch_fast([text], add_special_tokens=False)[0]
+        ids = np.array(one.ids, np.uint32)
         edges = np.flatnonzero(self.edge[ids])
         if len(edges) != len(words):
             return self._ids(words)
