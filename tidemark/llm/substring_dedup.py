@@ -8,7 +8,7 @@ internal nodes of depth ``WINDOW`` and more of the suffix tree of all texts, so:
    least one stands for it, so equal windows have equal ones. A suffix goes on
    only if its least hash is met in two documents (about a fifth of the
    positions are shuffled, as 8-byte hashes).
-2. The suffixes left are put in groups by prefix: ``PREFIX`` (8) words, and one
+2. The suffixes left are put in groups by prefix: ``PREFIX`` (10) words, and one
    word more at a time for prefixes with over ``CROWDED`` suffixes, so that a
    group fits in a task's memory.
 3. Each group is one subtree per prefix: its suffixes are sorted by their next
@@ -44,7 +44,7 @@ from tidemark.llm.common import discard, release, save, shuffle_partitions
 from tidemark.llm.flat import Flat, rolling, runs_inside, slices
 
 WINDOW = 13
-PREFIX = 8
+PREFIX = 10
 GRAM = 5
 CROWDED = 200_000
 _U = np.uint64
