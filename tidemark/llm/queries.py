@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import cotrain, decontaminate, langid, packing, quality_rules, secrets, simhash, substring_dedup, token_files, tokens, toxicity
 from tidemark.llm.common import documents
+from tidemark.llm.sql import SQL  # noqa: F401
 
 
 def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +91,3 @@ QUERIES = {
     "op9_quality_cotrain": op9_quality_cotrain,
     "op10_secret_scan": op10_secret_scan,
 }
-
-#: No query of this package has a SQL form; tests/llm compares each with brute force.
-SQL: dict[str, str] = {}

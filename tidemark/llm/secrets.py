@@ -106,7 +106,7 @@ def _suspicious(value: Column, window: int) -> Column:
     for pattern in ALLOW:
         allowed = allowed | value.rlike(pattern)
     mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
-    return F.when(mixed & ~allowed, window_entropy(value, window) >= limit).otherwise(False)
+    return F.when(mixed & ~allowed, window_entropy(value, window) >= limit - 1e-9).otherwise(False)
 
 
 def scan(docs: DataFrame, window: int = WINDOW) -> DataFrame:
