@@ -249,7 +249,8 @@ def _ma_many(s, d) -> DataFrame:
 
 
 def _pivot(s, d) -> DataFrame:
-    pts = payload_points(s, d).withColumn("_ord", F.struct("page", "pos"))
+    # One number for the order in the documents: the aggregate stays a hash aggregate.
+    pts = payload_points(s, d).withColumn("_ord", F.col("page") * (1 << 32) + F.col("pos"))
     picked = select_series(pts, "series", EVENT_GRADES, "grade")
     wide = pivot_series(picked, period_col="period", label_col="grade", value_col="value",
                         order_col="_ord", columns={g: g for g in EVENT_GRADES.values()})

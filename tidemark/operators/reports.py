@@ -27,8 +27,8 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def count_by(df: DataFrame, col: str) -> DataFrame:
-    """rows per value (e.g. per ticker)."""
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias("row_count"))
+    """rows per value (e.g. per ticker), in order of the value."""
+    return df.groupBy(col).agg(F.count(F.lit(1)).alias("row_count")).orderBy(col)
 
 
 def latest_value(df: DataFrame, *, series_col: str, time_col: str, value_col: str) -> DataFrame:

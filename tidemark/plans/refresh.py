@@ -26,7 +26,8 @@ from tidemark.operators.region_spread import region_spread
 from tidemark.operators.volatility import price_volatility
 from tidemark.plans import history as H
 from tidemark.plans.publish import append_run, publish, read_version
-from tidemark.schemas import NATIONAL_KEY
+from tidemark.schemas import FINAL, FORECAST, METRICS, NATIONAL_KEY
+from tidemark.sources.shaping import conform
 
 
 class ChecksFailed(RuntimeError):
@@ -91,13 +92,13 @@ def refresh_warehouse(spark: SparkSession, warehouse: str, *, national: DataFram
     train = FC.training_set(pub["fuel_prices"], series_col="region", time_col="week_date",
                             target_col="regular", scope=scope)
     fc = FC.forecast_drift(train, series_col="region", horizon=horizon, level=level)
-    versions["fuel_price_forecast"] = publish(fc, f"{root}/fuel_price_forecast")
+    versions["fuel_price_forecast"] = publish(conform(fc, FORECAST), f"{root}/fuel_price_forecast")
     fc_pub = read_version(spark, f"{root}/fuel_price_forecast")
     final = FC.history_plus_forecast(pub["fuel_prices"], fc_pub, scope=scope)
-    versions["fuel_price_final"] = publish(final, f"{root}/fuel_price_final")
+    versions["fuel_price_final"] = publish(conform(final, FINAL), f"{root}/fuel_price_final")
     bt = MT.backtest_drift(train, series_col="region", target_col="regular",
                            horizon=horizon, level=level)
-    append_run(MT.error_metrics(bt, series_col="region", run_ts=run_ts),
+    append_run(conform(MT.error_metrics(bt, series_col="region", run_ts=run_ts), METRICS),
                f"{root}/forecast_metrics", run_ts)
     skipped = FC.skipped_series(pub["fuel_prices"], fc_pub, series_col="region")
     versions["fuel_price_skipped"] = publish(skipped, f"{root}/fuel_price_skipped")
