@@ -122,7 +122,7 @@ def toxic_sample(n, seed=0):
 
 def test_toxicity_learns_and_gradients_are_right():
     texts, y = toxic_sample(160)
-    net = toxicity.BiGRU(toxicity.vocabulary(texts))
+    net = toxicity.BiGRU(*toxicity.vocabulary(texts, y))
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
     some, label = texts[:4], y[:4]
 
@@ -143,7 +143,7 @@ def test_toxicity_learns_and_gradients_are_right():
         down = loss()
         v[at] = old
         assert abs((up - down) / 2e-3 - g[name][at]) < 1e-3 + 0.05 * abs(g[name][at]), name
-    net = toxicity.BiGRU(toxicity.vocabulary(texts)).fit(texts, y, steps=150)
+    net = toxicity.BiGRU(*toxicity.vocabulary(texts, y)).fit(texts, y, steps=150)
     new, yn = toxic_sample(100, seed=1)
     z = net.text_logits(pa.array(new))
     assert z[yn == 1].min() > z[yn == 0].max() - 2 and np.mean(

@@ -1,7 +1,7 @@
 """Toxicity by a bidirectional gated recurrent network over words and characters.
 
 A word's input is its word vector (words of at least ``MIN_DOCS`` documents of the
-sample have one, all others share one) next to the mean of its hashed character
+sample have one, which starts from log-odds of counts; all others share one) next to the mean of its hashed character
 trigram vectors. A window is ``SPAN`` words, the next one starts ``STRIDE``
 words on, so neighbours overlap; every window of every text is scored. Over a
 window one network reads forwards and one backwards, attention pools their
@@ -76,19 +76,24 @@ class Words:
         return index, first
 
 
-def vocabulary(texts: list[str]) -> np.ndarray:
-    """Sorted hashes of the words of at least ``MIN_DOCS`` texts and a hundredth of them."""
+def vocabulary(texts: list[str], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the words of at least ``MIN_DOCS`` texts and a hundredth of
+    them, and for each how much likelier a toxic text has it (smoothed log-odds)."""
     w = Words(pa.array(texts, pa.string()))
     owner = np.repeat(np.arange(len(texts)), np.diff(w.bounds))
     pairs = np.unique(np.stack([w.hash[w.codes], owner.astype(np.uint64)], 1), axis=0)
-    got, n = np.unique(pairs[:, 0], return_counts=True)
-    return got[n >= max(MIN_DOCS, len(texts) // 100)]
+    got, at, n = np.unique(pairs[:, 0], return_inverse=True, return_counts=True)
+    one = np.bincount(at, y[pairs[:, 1].astype(np.int64)], len(got))
+    odds = (np.log((one + 0.5) / (y.sum() + 1))
+            - np.log((n - one + 0.5) / (len(y) - y.sum() + 1)))
+    often = n >= max(MIN_DOCS, len(texts) // 100)
+    return got[often], odds[often]
 
 
 class BiGRU:
     """The network; ``p`` holds its arrays."""
 
-    def __init__(self, vocab: np.ndarray, seed: int = 3):
+    def __init__(self, vocab: np.ndarray, odds: np.ndarray, seed: int = 3):
         self.vocab = vocab
         rng = np.random.default_rng(seed)
         x, h = WORD_DIM + CHAR_DIM, HIDDEN
@@ -102,6 +107,8 @@ class BiGRU:
             "att": normal(2 * h, ATT, scale=0.3), "att_v": normal(ATT, scale=0.3),
             "out": normal(2 * h, scale=0.3), "out_b": np.array([-3.0], np.float32),
         }
+        # Word vectors start from what counting knows; training goes on from there.
+        self.p["word"][1:, 0] = np.clip(odds, -4, 4) / 2
         for d in "fb":
             self.p |= {f"W{d}": normal(x, 3 * h, scale=x ** -0.5),
                        f"U{d}": normal(h, 3 * h, scale=h ** -0.5),
@@ -283,7 +290,7 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column,
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held = np.zeros(len(y), bool)
     learn = [t for t, h in zip(texts, held) if not h]
-    net = BiGRU(vocabulary(learn)).fit(learn, y[~held])
+    net = BiGRU(*vocabulary(learn, y[~held])).fit(learn, y[~held])
     check = held if held.any() else ~held
     z = net.text_logits(pa.array([t for t, h in zip(texts, check) if h], pa.string()))
     some = np.isfinite(z)
