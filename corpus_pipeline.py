@@ -36,7 +36,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = save(simhash.near_duplicates(docs), "groups")
     stay = groups.where("doc_id = component_id").groupBy("doc_id").count()
     stay = save(stay, "stay")
-    kept = docs.join(stay.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    # The ids grow with the corpus, so they are joined by a shuffle at every size.
+    ids = stay.select("doc_id").hint("merge")
+    kept = docs.join(ids, "doc_id", "left_semi").select(docs.columns)
     if not stay.where("count > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id", "text"])
     return kept.unionByName(docs.where("doc_id IS NULL"))
@@ -45,8 +47,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a window similar to a benchmark item go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(save(found, "contaminated"), "doc_id", "left_anti").select(docs.columns)
+    found = save(decontaminate.contaminated(docs, benchmark).select("doc_id").distinct(),
+                 "contaminated")
+    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
 
 
 def secrets_redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

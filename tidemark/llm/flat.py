@@ -26,6 +26,8 @@ def slices(texts: pa.Array, size: int = 4_000_000) -> Iterator[tuple[int, pa.Arr
     total = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     k = 0
     while k < len(texts):
+        # A reused worker holds what an earlier slice needed: give it back.
+        pa.default_memory_pool().release_unused()
         done = total[k - 1] if k else 0
         stop = max(k + 1, int(np.searchsorted(total, done + size, "right")))
         yield k, texts.slice(k, stop - k)

@@ -37,7 +37,7 @@ class Encoder:
     """Encodes arrays of texts; remembers at most twice ``limit`` words: when a
     generation is full, the next one takes over only what is used again."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 250_000):
         # Spark's tasks are the parallelism; threads below them only add overhead.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -152,7 +152,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def encoded(texts: pa.Array, path: str, size: int = 10_000_000) -> Iterator[np.ndarray]:
+def encoded(texts: pa.Array, path: str, size: int = 6_000_000) -> Iterator[np.ndarray]:
     """Ids (uint32) of each text in order, encoding about ``size`` bytes at a time;
     a null text is empty."""
     enc = encoder(path)
@@ -162,6 +162,7 @@ def encoded(texts: pa.Array, path: str, size: int = 10_000_000) -> Iterator[np.n
     while k < len(texts):
         done = total[k - 1] if k else 0
         stop = max(k + 1, int(np.searchsorted(total, done + size, "right")))
+        pa.default_memory_pool().release_unused()
         ids, offsets = enc(texts.slice(k, stop - k))
         for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
             yield ids[a:b]
