@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import cotrain, decontaminate, langid, packing, quality_rules, secrets, simhash, substring_dedup, token_files, tokens, toxicity
+from tidemark.llm import (
+    cotrain,
+    decontaminate,
+    langid,
+    packing,
+    quality_rules,
+    secrets,
+    simhash,
+    substring_dedup,
+    token_files,
+    tokens,
+    toxicity,
+)
 from tidemark.llm.common import documents
 from tidemark.llm.sql import SQL  # noqa: F401
 
