@@ -2,11 +2,12 @@
 
 A word's input is its word vector next to the mean of its hashed character
 trigram vectors. Words of at least ``MIN_DOCS`` documents of the sample have a
-vector, which starts from log-odds of counts; all others share one. A window is ``SPAN`` words, the next one starts ``STRIDE``
-words on, so neighbours overlap; every window of every text is scored. Over a
-window one network reads forwards and one backwards, attention pools their
-states, and a linear layer gives the window's logit. A text's logit is its
-windows' greatest, made a probability by Platt calibration.
+vector, which starts from log-odds of counts; all others share one. A window is
+``SPAN`` words, the next one starts ``STRIDE`` words on, so neighbours overlap;
+every window of every text is scored. Over a window one network reads forwards
+and one backwards, attention pools their states, and a linear layer gives the
+window's logit. A text's logit is its windows' greatest, made a probability by
+Platt calibration.
 
 Training (numpy, Adam): a document is toxic if any window is, so the loss is
 that of a noisy "or" over all its windows. The sample is bounded: ``per_class``
