@@ -111,3 +111,11 @@ def test_customer_join_sized_by_catalyst(spark):
     # small customer files: Catalyst broadcasts the customer scan by itself
     p = plan(fx.orders_by_nation(spark, SF))
     assert re.search(r"BroadcastHashJoin \[o_custkey#\d+L\], \[c_custkey#\d+L\]", p)
+
+
+def test_backtest_is_one_exchange_and_one_sort(spark):
+    from tidemark.operators.metrics import backtest_drift
+    df = spark.createDataFrame([], "series string, week_date date, price double")
+    p = plan(backtest_drift(df))
+    assert len(re.findall(r"Exchange hashpartitioning", p)) == 1
+    assert len(re.findall(r"\+- Sort |^Sort ", p)) == 1 and "Join" not in p

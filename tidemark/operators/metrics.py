@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import round_half_away
-from tidemark.operators.forecast import drift_fit, z_value
+from tidemark.operators.forecast import z_value
 
 METRIC_NAMES = ("MAE", "MAPE", "SMAPE", "MSE", "MDA", "COVERAGE", "WINKLER")
 
@@ -22,23 +22,27 @@ def backtest_drift(train: DataFrame, *, series_col: str = "series",
                    time_col: str = "week_date", target_col: str = "price",
                    horizon: int = 12, level: float = 0.95, places: int = 4) -> DataFrame:
     """Per (series, step h): actual, previous actual, forecast and bounds."""
-    y = F.col(target_col)
-    w = Window.partitionBy(series_col).orderBy(time_col)
-    ranked = train.filter(y.isNotNull()).select(
-        series_col, time_col, target_col,
-        F.lag(y, 1).over(w).alias("prev_actual"),
-        F.row_number().over(Window.partitionBy(series_col).orderBy(F.col(time_col).desc()))
-        .alias("_rd"))
-    fit = drift_fit(ranked.filter(F.col("_rd") > horizon), series_col=series_col,
-                    time_col=time_col, target_col=target_col)
-    test = (ranked.filter(F.col("_rd") <= horizon)
-                  .select(series_col, (F.lit(horizon + 1) - F.col("_rd")).alias("h"),
-                          y.alias("actual"), "prev_actual"))
-    j = test.join(fit, on=series_col)
+    # One exchange and one sort: the fit is a set of window aggregates over the
+    # older rows of the same partition, so no row meets another scan of its series.
+    y, whole = F.col(target_col), Window.partitionBy(series_col)
+    w = whole.orderBy(time_col)
+    rows = train.filter(y.isNotNull()).select(
+        series_col, time_col, y.alias("_y"), F.lag(y, 1).over(w).alias("prev_actual"),
+        (F.count(F.lit(1)).over(whole) - F.row_number().over(w) + 1).alias("_rd"))
+    old = F.col("_rd") > horizon
+    at, v = F.when(old, F.col(time_col)), F.col("_y")
+    fitted = rows.select(
+        series_col, "_rd", "_y", "prev_actual",
+        F.count(at).over(whole).alias("n"), F.min_by(v, at).over(whole).alias("y_first"),
+        F.max_by(v, at).over(whole).alias("y_last"),
+        F.stddev_samp(F.when(old, v - F.col("prev_actual"))).over(whole).alias("s"))
+    j = (fitted.filter((F.col("_rd") <= horizon) & (F.col("n") >= 3))
+         .withColumn("h", F.lit(horizon + 1) - F.col("_rd"))
+         .withColumn("d", (F.col("y_last") - F.col("y_first")) / (F.col("n") - 1)))
     h = F.col("h")
     center = F.col("y_last") + h * F.col("d")
     half = F.lit(z_value(level)) * F.col("s") * F.sqrt(h * (F.lit(1.0) + h / (F.col("n") - 1)))
-    return j.select(series_col, "h", "actual", "prev_actual",
+    return j.select(series_col, "h", F.col("_y").alias("actual"), "prev_actual",
                     round_half_away(center, places).alias("forecast"),
                     round_half_away(center - half, places).alias("lower_bound"),
                     round_half_away(center + half, places).alias("upper_bound"))
