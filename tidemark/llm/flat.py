@@ -7,6 +7,7 @@ hashes with probability 2^-64.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,14 +21,24 @@ _RANDOM_FLAT = _RANDOM.ravel()
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: glibc's call that returns free heap pages; other C libraries have none.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return what an earlier slice or task of this reused worker needed to the system."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def slices(texts: pa.Array, size: int = 4_000_000) -> Iterator[tuple[int, pa.Array]]:
     """Consecutive parts ``(first, texts)`` of about ``size`` bytes; null is empty."""
     texts = pc.fill_null(texts.cast(pa.string()), "")
     total = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     k = 0
     while k < len(texts):
-        # A reused worker holds what an earlier slice needed: give it back.
-        pa.default_memory_pool().release_unused()
+        give_back()
         done = total[k - 1] if k else 0
         stop = max(k + 1, int(np.searchsorted(total, done + size, "right")))
         yield k, texts.slice(k, stop - k)

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import connected_components, save, shuffle_partitions
+from tidemark.llm.flat import give_back
 
 #: Largest number of fingerprints of a trie node that one task walks.
 NODE = 2048
@@ -63,6 +64,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """``(doc_id, fp)`` of every row of ``docs`` (columns ``doc_id``, ``text``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            give_back()
             texts = b.column(1).cast(pa.binary())
             fps = pa.array([fingerprint(t.as_py(), shingle) for t in texts], pa.int64())
             yield pa.record_batch([b.column(0), fps], names=["doc_id", "fp"])

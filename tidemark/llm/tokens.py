@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tidemark.llm.flat import give_back
+
 #: Texts that are encoded whole where white space counts.
 _WHOLE = (r"[ \n]{3}|[ \n]{2}\z|[\t\r\x0b\x0c\x00\x1c-\x1f\x85\xa0\x{1680}\x{180e}"
           r"\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]|<\|")
@@ -162,7 +164,7 @@ def encoded(texts: pa.Array, path: str, size: int = 6_000_000) -> Iterator[np.nd
     while k < len(texts):
         done = total[k - 1] if k else 0
         stop = max(k + 1, int(np.searchsorted(total, done + size, "right")))
-        pa.default_memory_pool().release_unused()
+        give_back()
         ids, offsets = enc(texts.slice(k, stop - k))
         for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
             yield ids[a:b]
