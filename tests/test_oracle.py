@@ -46,7 +46,7 @@ def test_registry_is_complete():
     assert len(own) == 51
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(entry.catalog.SQL))
 def test_query_matches_duckdb(spark, duck, name):
     df = entry.queries()[name](spark, SF_DIR)
     srows = [tuple(r) for r in df.collect()]
