@@ -174,3 +174,29 @@ def test_calibration_is_between_the_shares():
     y = (rng.random(4000) < 0.3).astype(int)
     p = ngrams.Platt(rng.normal(size=4000) + 2 * y, y)(np.array([-2.0, 1.0, 4.0]))
     assert p[0] < 0.05 and 0.2 < p[1] < 0.6 and p[2] > 0.95
+
+
+def test_samples_hold_long_texts(spark, frame):
+    """A label whose texts are all long is learned as well, from the whole texts."""
+    texts, y = toxic_sample(60)
+    long = [f"{t} " * 60 if v else t for t, v in zip(texts, y)]
+    assert min(len(t) for t, v in zip(long, y) if v) > 8000
+    docs = frame(list(enumerate(long)))
+    lab = labels(spark, [(k, int(v), int(v)) for k, v in enumerate(y)])
+    got = quality_rules.labelled_sample(docs, lab, "toxic", 1000, ["text"]).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == list(enumerate(long))
+    p = {r["doc_id"]: r["score"] for r in toxicity.score(
+        docs, toxicity.train(docs, lab, F.lit(True))).collect()}
+    assert np.mean([(p[k] > 0.5) == v for k, v in enumerate(y)]) > 0.9
+    p = {r["doc_id"]: r["probability"] for r in quality_rules.assess(
+        docs, quality_rules.train(docs, lab)).collect()}
+    assert np.mean([(p[k] > 0.5) == v for k, v in enumerate(y)]) > 0.9
+
+
+def test_toxicity_gradients_by_parts(monkeypatch):
+    texts, y = toxic_sample(20)
+    net = toxicity.BiGRU(*toxicity.vocabulary(texts, y))
+    whole = net._gradients(texts, y)
+    monkeypatch.setattr(toxicity, "MOST", 7)
+    for name, v in net._gradients(texts, y).items():
+        assert np.allclose(v, whole[name], atol=1e-5), name

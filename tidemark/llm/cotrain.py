@@ -6,7 +6,7 @@ logistic regression on source, language, size class and their pairs.
 
 Training: a bounded sample of labelled rows (``per_class`` of each label) and a
 bounded pool of unlabelled ones (``pool`` rows), both chosen by a hash of the
-doc_id, texts of at most ``SAMPLE_CHARS`` characters. In each round both views
+doc_id, whole texts of any length. In each round both views
 are fitted and calibrated on labelled rows that they do not learn from; each
 then labels the pool rows it is surest of (``SURE``), which join the *other*
 view's training rows with that label. At the end the calibrated log-odds of
@@ -25,7 +25,7 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import ngrams
 from tidemark.llm.flat import Flat, slices
 from tidemark.llm.langid import remainder
-from tidemark.llm.quality_rules import SAMPLE_CHARS, label_shares, labelled_sample
+from tidemark.llm.quality_rules import label_shares, labelled_sample, with_ngrams
+from tidemark.llm.sample import Records, Some, bring, in_order
 
 META_BITS = 14
 ROUNDS = 4
@@ -58,7 +59,7 @@ def metadata_row(lang, source, n_chars) -> tuple[np.ndarray, np.ndarray]:
 class View:
     """One view: its rows, its training set, its model and calibration."""
 
-    def __init__(self, rows: list, size: int, y: np.ndarray, train: np.ndarray,
+    def __init__(self, rows: Sequence, size: int, y: np.ndarray, train: np.ndarray,
                  check: np.ndarray, l2: float):
         self.rows, self.size, self.y, self.check, self.l2 = rows, size, y, check, l2
         self.train = {int(k): int(y[k]) for k in train}
@@ -66,8 +67,8 @@ class View:
     def fit(self) -> None:
         at = sorted(self.train)
         self.model = ngrams.Logistic(self.size).fit(
-            [self.rows[k] for k in at], np.array([self.train[k] for k in at]), l2=self.l2)
-        score = self.model.score([self.rows[k] for k in self.check])
+            Some(self.rows, at), np.array([self.train[k] for k in at]), l2=self.l2)
+        score = self.model.score(Some(self.rows, self.check))
         self.platt = ngrams.Platt(score, self.y[self.check])
         # A calibration that turns the score round means that it tells nothing.
         if self.platt.a < 0:
@@ -76,13 +77,13 @@ class View:
             self.platt.b = float(np.log(share / (1 - share)))
 
     def probability(self, at: np.ndarray) -> np.ndarray:
-        return self.platt(self.model.score([self.rows[k] for k in at]))
+        return self.platt(self.model.score(Some(self.rows, at)))
 
 
 class CoTrained:
     """Both trained views, and how many pseudo-labels each gave."""
 
-    def __init__(self, labelled: list, pool: list, shares: tuple[int, int]):
+    def __init__(self, labelled: list, pool: list, texts: Sequence, shares: tuple[int, int]):
         y = np.array([r["_y"] for r in labelled] + [-1] * len(pool))
         self.text = self.meta = None
         self.given = {"text": 0, "meta": 0}
@@ -90,7 +91,6 @@ class CoTrained:
         if n == 0 or y[:n].min() == y[:n].max():
             return
         rows = labelled + pool
-        texts = ngrams.rows([r["text"] or "" for r in rows])
         meta = [metadata_row(r["lang"], r["source"], r["n_chars"]) for r in rows]
         check = np.flatnonzero(np.arange(n) % 4 == 0)
         train = np.flatnonzero(np.arange(n) % 4 != 0)
@@ -152,16 +152,21 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1200,
     docs = _with_metadata(docs).where(~held_out(F.col("doc_id")))
     labelled = labelled_sample(docs, labels, "quality", per_class, _COLUMNS)
     known = labels.where(F.col("quality").isin(0, 1)).select("doc_id").distinct()
-    size = F.length("text")
     # Ids first: a fixed number of them comes out of a distributed top-n.
-    ids = (docs.where(F.col("doc_id").isNotNull() & (size <= SAMPLE_CHARS)).select("doc_id")
+    ids = (docs.where(F.col("doc_id").isNotNull()).select("doc_id")
            .join(known, "doc_id", "left_anti").distinct()
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool))
     one = Window.partitionBy("doc_id").orderBy(*_COLUMNS)
-    free = (docs.where(size <= SAMPLE_CHARS).join(F.broadcast(ids), "doc_id")
+    free = (docs.join(F.broadcast(ids), "doc_id")
             .withColumn("_nth", F.row_number().over(one)).where("_nth = 1").drop("_nth"))
-    return CoTrained(labelled, sorted(free.collect(), key=lambda r: r["doc_id"]),
-                     label_shares(labels, "quality"))
+    texts, got = Records(ngrams.unpacked), []
+    for part in (labelled, free.withColumn("_y", F.lit(-1))):
+        got += bring(with_ngrams(part), "sample", ["slots", "shares"], texts)
+    for r in got:
+        r["kind"] = r["_y"] < 0
+    got, texts = in_order(got, texts, "kind", "doc_id", "_y")
+    n = sum(not r["kind"] for r in got)
+    return CoTrained(got[:n], got[n:], texts, label_shares(labels, "quality"))
 
 
 def score(docs: DataFrame, model: CoTrained) -> DataFrame:

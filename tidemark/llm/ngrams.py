@@ -7,6 +7,9 @@ and long texts are alike. Nothing here depends on Spark.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+from itertools import islice
+
 import numpy as np
 import pyarrow as pa
 
@@ -79,44 +82,58 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+def flat_rows(rows: Sequence, size: int = 1 << 21) -> Iterator[tuple]:
+    """``(which, row, slot, value)`` of consecutive rows of about ``size`` slots together."""
+    part, n, first = [], 0, 0
+    for k in range(len(rows)):
+        part.append(rows[k])
+        n += len(part[-1][0])
+        if n >= size or k + 1 == len(rows):
+            yield (slice(first, k + 1), np.repeat(np.arange(len(part)), [len(s) for s, _ in part]),
+                   np.concatenate([s for s, _ in part]), np.concatenate([v for _, v in part]))
+            part, n, first = [], 0, k + 1
+
+
 class Logistic:
-    """Sparse logistic regression: rows are lists of ``(slot, value)``."""
+    """Sparse logistic regression: rows are a sequence of ``(slots, values)``, read
+    a part at a time."""
 
     def __init__(self, size: int):
         self.w = np.zeros(size, np.float32)
         self.b = 0.0
 
-    def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, rounds: int = 80,
+    def fit(self, rows: Sequence, y: np.ndarray, rounds: int = 80,
             rate: float = 0.3, l2: float = 1e-6) -> Logistic:
         """Adagrad on the full batch, classes weighted alike."""
-        row = np.repeat(np.arange(len(rows)), [len(s) for s, _ in rows])
-        slot = np.concatenate([s for s, _ in rows])
-        value = np.concatenate([v for _, v in rows])
-        used, slot = np.unique(slot, return_inverse=True)
         y = np.asarray(y, float)
         weight = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
-        w, b = np.zeros(len(used)), 0.0
-        g2, gb2 = np.full(len(used), 1e-12), 1e-12
+        size = len(self.w)
+        w, b = np.zeros(size), 0.0
+        g2, gb2 = np.full(size, 1e-12), 1e-12
+        few = list(islice(flat_rows(rows), 2))  # one part is kept, more are read each round
         for _ in range(rounds):
-            z = np.bincount(row, value * w[slot], len(rows)) + b
-            err = (sigmoid(z) - y) * weight
-            g = np.bincount(slot, value * err[row], len(used)) + l2 * w
+            g, gb = l2 * w, 0.0
+            for which, row, slot, value in few if len(few) < 2 else flat_rows(rows):
+                z = np.bincount(row, value * w[slot], which.stop - which.start) + b
+                err = (sigmoid(z) - y[which]) * weight[which]
+                g += np.bincount(slot, value * err[row], size)
+                gb += err.sum()
             g2 += g * g
             w -= rate * g / np.sqrt(g2)
-            gb2 += err.sum() ** 2
-            b -= rate * err.sum() / gb2 ** 0.5
-        self.w[used] = w
+            gb2 += gb ** 2
+            b -= rate * gb / gb2 ** 0.5
+        self.w[:] = w
         self.b = float(b)
         return self
 
-    def score(self, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        return np.array([float(v @ self.w[s]) + self.b for s, v in rows])
+    def score(self, rows: Sequence) -> np.ndarray:
+        return np.array([float(v.astype(float) @ self.w[s]) + self.b for s, v in rows])
 
 
 def rows(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Training rows of texts: slots (by family) with their shares."""
+    """Training rows of whole texts: slots (by family) with their shares."""
     out = []
-    for _, part in slices(pa.array(texts, pa.string())):
+    for _, part in slices(pa.array(texts, pa.string()), 1_000_000):
         flat = Flat(part)
         fams = list(families(flat))
         for k in range(flat.n):
@@ -129,6 +146,14 @@ def rows(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
+def packed(row: tuple[np.ndarray, np.ndarray]) -> tuple[bytes, bytes]:
+    return row[0].astype(np.int32).tobytes(), row[1].astype(np.float32).tobytes()
+
+
+def unpacked(slots: bytes, shares: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(slots, np.int32), np.frombuffer(shares, np.float32)
+
+
 def text_scores(flat: Flat, model: Logistic) -> np.ndarray:
     """Uncalibrated scores of all texts of a slice, every n-gram counted."""
     z = np.full(flat.n, model.b)

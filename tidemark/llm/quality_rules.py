@@ -3,9 +3,9 @@
 Counts of a text: words, code points in words, symbols, repeated lines, words
 in repeated 5-word windows. The classifier is a logistic regression on hashed
 word and character n-grams (:mod:`tidemark.llm.ngrams`), trained on a bounded
-sample of labelled rows (``per_class`` rows of each label, texts of at most
-``SAMPLE_CHARS`` characters, chosen by a hash of the doc_id), with Platt
-calibration on a fifth of the sample that is not trained on, moved to the label
+sample of labelled rows (``per_class`` rows of each label, chosen by a hash of
+the doc_id, whole texts of any length: their n-grams are counted in tasks and
+lie on the driver's disk, see :mod:`tidemark.llm.sample`), with Platt calibration on a fifth of the sample that is not trained on, moved to the label
 shares of all labelled rows. Whole texts are
 scored in Arrow batches; a text is kept if it passes the counts and its
 probability reaches ``THRESHOLD``.
@@ -17,7 +17,7 @@ returned each; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import ngrams
 from tidemark.llm.flat import Flat, rolling, runs_inside, slices
+from tidemark.llm.sample import Records, Some, bring, in_order
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 THRESHOLD = 0.5
-SAMPLE_CHARS = 8000
 #: Fixed value: the characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
 _SYMBOL = np.zeros(256, bool)
@@ -81,21 +81,37 @@ def counts(texts: pa.Array, flat: Flat) -> dict[str, np.ndarray]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int,
-                    columns: list[str]) -> list:
-    """At most ``per_class`` rows of each label with the given document columns."""
-    size = F.length(F.col("text").cast("string"))
-    # Only ids and sizes are shuffled; the chosen ids are few, so texts stay in place.
-    fits = (docs.where(F.col("doc_id").isNotNull() & (size <= SAMPLE_CHARS)).select("doc_id")
-            .join(labels.where(F.col(label).isin(0, 1))
-                  .select("doc_id", F.col(label).cast("int").alias("_y")), "doc_id").distinct())
+                    columns: list[str]) -> DataFrame:
+    """At most ``per_class`` rows of each label: ``doc_id``, the given document
+    columns, the label ``_y``."""
+    # Only ids are shuffled; the chosen ids are few, so texts stay in place.
+    known = (docs.where(F.col("doc_id").isNotNull()).select("doc_id")
+             .join(labels.where(F.col(label).isin(0, 1))
+                   .select("doc_id", F.col(label).cast("int").alias("_y")), "doc_id").distinct())
     rank = Window.partitionBy("_y").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (fits.withColumn("_nth", F.row_number().over(rank))
+    chosen = (known.withColumn("_nth", F.row_number().over(rank))
               .where(F.col("_nth") <= per_class).select("doc_id", "_y"))
     one = Window.partitionBy("doc_id", "_y").orderBy(*columns)
-    got = (docs.where(size <= SAMPLE_CHARS).select("doc_id", *columns)
-           .join(F.broadcast(chosen), "doc_id")  # at most 2 * per_class rows
-           .withColumn("_nth", F.row_number().over(one)).where("_nth = 1").drop("_nth"))
-    return sorted(got.collect(), key=lambda r: (r["doc_id"], r["_y"]))
+    return (docs.select("doc_id", *columns)
+            .join(F.broadcast(chosen), "doc_id")  # at most 2 * per_class rows
+            .withColumn("_nth", F.row_number().over(one)).where("_nth = 1").drop("_nth"))
+
+
+def with_ngrams(rows: DataFrame) -> DataFrame:
+    """``rows`` with the n-grams of the whole ``text`` (``slots``, ``shares``) in its stead."""
+    place = rows.columns.index("text")
+    out = rows.drop("text").withColumns({c: F.lit(b"") for c in ("slots", "shares")}).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k, texts in slices(b.column(place), 1_000_000):
+                got = [ngrams.packed(r) for r in ngrams.rows(texts.to_pylist())]
+                part = b.slice(k, len(texts))
+                yield pa.record_batch(
+                    [*(c for j, c in enumerate(part.columns) if j != place),
+                     *(pa.array(x, pa.binary()) for x in zip(*got))], names=out.names)
+
+    return rows.withColumn("text", F.col("text").cast("string")).mapInArrow(run, out)
 
 
 def label_shares(labels: DataFrame, label: str) -> tuple[int, int]:
@@ -108,19 +124,18 @@ def label_shares(labels: DataFrame, label: str) -> tuple[int, int]:
 class Quality:
     """The trained classifier; ``None`` weights mean that there was nothing to learn."""
 
-    def __init__(self, texts: list[str], y: np.ndarray, shares: tuple[int, int]):
+    def __init__(self, rows: Sequence, y: np.ndarray, shares: tuple[int, int]):
         self.model = self.platt = None
         if not len(y) or y.min() == y.max():
             return
-        rows = ngrams.rows(texts)
         held = np.arange(len(y)) % 5 == 0
         if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
             held = np.zeros(len(y), bool)
-        train = [r for r, h in zip(rows, held) if not h]
-        self.model = ngrams.Logistic(ngrams.text_model_size()).fit(train, y[~held])
+        self.model = ngrams.Logistic(ngrams.text_model_size()).fit(
+            Some(rows, np.flatnonzero(~held)), y[~held])
         check = held if held.any() else ~held
         self.platt = ngrams.Platt(
-            self.model.score([r for r, h in zip(rows, check) if h]), y[check]
+            self.model.score(Some(rows, np.flatnonzero(check))), y[check]
         ).moved(y[check], shares)
 
     def __call__(self, flat: Flat) -> np.ndarray:
@@ -130,9 +145,11 @@ class Quality:
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> Quality:
-    got = labelled_sample(docs, labels, "quality", per_class, ["text"])
-    return Quality([r["text"] for r in got], np.array([r["_y"] for r in got]),
-                   label_shares(labels, "quality"))
+    rows = Records(ngrams.unpacked)
+    got = bring(with_ngrams(labelled_sample(docs, labels, "quality", per_class, ["text"])),
+                "sample", ["slots", "shares"], rows)
+    got, rows = in_order(got, rows, "doc_id", "_y")
+    return Quality(rows, np.array([r["_y"] for r in got]), label_shares(labels, "quality"))
 
 
 def assess(docs: DataFrame, model: Quality) -> DataFrame:

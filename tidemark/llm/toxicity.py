@@ -11,9 +11,10 @@ Platt calibration.
 
 Training (numpy, Adam): a document is toxic if any window is, so the loss is
 that of a noisy "or" over all its windows. The sample is bounded: ``per_class``
-labelled documents of each label of at most ``SAMPLE_CHARS`` characters, chosen
-by a hash of the doc_id among the learnable ones; a fifth of them only
-calibrates.
+labelled documents of each label, chosen by a hash of the doc_id among the
+learnable ones, whole texts of any length; a fifth of them only calibrates.
+The texts lie on the driver's disk (:mod:`tidemark.llm.sample`), and a step goes
+through at most ``MOST`` windows at once.
 
 Defined cases: a null or wordless text has score 0; so has every text if there
 is nothing to learn from; repeated rows are returned each; an empty table gives
@@ -22,7 +23,7 @@ an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +34,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.flat import Flat, slices
 from tidemark.llm.ngrams import Platt, _char_slots, sigmoid
 from tidemark.llm.quality_rules import label_shares, labelled_sample
+from tidemark.llm.sample import Records, Some, bring, in_order
 
 SPAN, STRIDE = 32, 24
 HIDDEN, WORD_DIM, CHAR_DIM, ATT = 8, 8, 8, 8
 MIN_DOCS, CHAR_BITS = 5, 12
+#: Windows that a training step holds the states of.
+MOST = 4096
 _PUNCT = ".,;:!?\"'()[]{}*#$%&|<>"
 
 
@@ -77,14 +81,28 @@ class Words:
         return index, first
 
 
-def vocabulary(texts: list[str], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def batches(texts: Sequence, size: int = 4_000_000) -> Iterator[tuple[int, list[str]]]:
+    """Consecutive texts ``(first, texts)`` of about ``size`` characters."""
+    part, n, first = [], 0, 0
+    for k in range(len(texts)):
+        part.append(texts[k])
+        n += len(part[-1])
+        if n >= size or k + 1 == len(texts):
+            yield first, part
+            part, n, first = [], 0, k + 1
+
+
+def vocabulary(texts: Sequence, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of the words of at least ``MIN_DOCS`` texts and a hundredth of
     them, and for each how much likelier a toxic text has it (smoothed log-odds)."""
-    w = Words(pa.array(texts, pa.string()))
-    owner = np.repeat(np.arange(len(texts)), np.diff(w.bounds))
-    pairs = np.unique(np.stack([w.hash[w.codes], owner.astype(np.uint64)], 1), axis=0)
-    got, at, n = np.unique(pairs[:, 0], return_inverse=True, return_counts=True)
-    one = np.bincount(at, y[pairs[:, 1].astype(np.int64)], len(got))
+    got, n, one = np.empty(0, np.uint64), np.empty(0), np.empty(0)
+    for first, part in batches(texts):
+        w = Words(pa.array(part, pa.string()))
+        owner = np.repeat(np.arange(len(part)), np.diff(w.bounds))
+        pairs = np.unique(np.stack([w.hash[w.codes], owner.astype(np.uint64)], 1), axis=0)
+        got, at = np.unique(np.r_[got, pairs[:, 0]], return_inverse=True)
+        n = np.bincount(at, np.r_[n, np.ones(len(pairs))], len(got))
+        one = np.bincount(at, np.r_[one, y[first + pairs[:, 1].astype(np.int64)]], len(got))
     odds = (np.log((one + 0.5) / (y.sum() + 1))
             - np.log((n - one + 0.5) / (len(y) - y.sum() + 1)))
     often = n >= max(MIN_DOCS, len(texts) // 100)
@@ -182,48 +200,34 @@ class BiGRU:
             out[full] = np.maximum.reduceat(self.window_logits(w, index), first[full])
         return out
 
-    def _gradients(self, texts: list[str], y: np.ndarray, rng=None, drop: float = 0.0) -> dict:
-        """Gradients of the mean loss; a share ``drop`` of words lacks its characters
-        and one of known words counts as unknown, so that neither is learned by heart."""
-        p = self.p
-        w = Words(pa.array(texts, pa.string()))
-        index, first = w.windows()
-        rows, x = self.rows(w), self.inputs(w)
-        seen = np.ones(len(x), bool) if rng is None else rng.random(len(x)) >= drop
-        x[~seen, WORD_DIM:] = 0
-        if rng is not None:
-            unknown = rng.random(len(x)) < drop / 5
-            rows[unknown] = 0
-            x[unknown, :WORD_DIM] = p["word"][0]
+    def _forward(self, proj: dict, index: np.ndarray) -> tuple:
+        """What the backward pass needs of the windows ``index``, their logits last."""
         kept = {d: [] for d in "fb"}
-        sides = [self._run(d, self._projected(x, d), index, kept[d]) for d in "fb"]
-        states = np.concatenate(sides, axis=2)
+        states = np.concatenate([self._run(d, proj[d], index, kept[d]) for d in "fb"], axis=2)
         u, a, pooled = self._pooled(states, index)
-        logit = pooled @ p["out"] + p["out_b"]
-        # Noisy or: 1 - P(toxic) = product of (1 - sigmoid(logit)).
-        count = np.diff(first)
-        owner = np.repeat(np.arange(len(texts)), count)
-        s = np.bincount(owner, np.logaddexp(0, logit), len(texts))
-        slope = np.where(y > 0, -1 / np.expm1(np.maximum(s, 1e-6)), 1.0) / len(texts)
-        dl = (slope[owner] * sigmoid(logit)).astype(np.float32)
+        return kept, states, u, a, pooled, pooled @ self.p["out"] + self.p["out_b"]
 
-        g = {"out": dl @ pooled, "out_b": np.array([dl.sum()], np.float32)}
+    def _backward(self, forward: tuple, index: np.ndarray, dl: np.ndarray, x: np.ndarray,
+                  g: dict, dx: np.ndarray) -> None:
+        """Add the gradients of the windows ``index`` to ``g`` and of their inputs to ``dx``."""
+        p = self.p
+        kept, states, u, a, pooled, _ = forward
+        g["out"] += dl @ pooled
+        g["out_b"] += dl.sum()
         dpool = dl[:, None] * p["out"]
         dstates = a[:, :, None] * dpool
         da = np.einsum("nh,tnh->tn", dpool, states)
         de = a * (da - (a * da).sum(axis=0))
         du = de[:, :, None] * p["att_v"] * (1 - u * u)
-        g["att_v"] = np.einsum("tn,tna->a", de, u)
-        g["att"] = np.einsum("tnh,tna->ha", states, du)
+        g["att_v"] += np.einsum("tn,tna->a", de, u)
+        g["att"] += np.einsum("tnh,tna->ha", states, du)
         dstates += du @ p["att"].T
-        dx = np.zeros(x.shape)
         # Steps of one word are summed; steps of padding are left out.
         flat = index.T.ravel()
         order = np.argsort(flat, kind="stable")[np.count_nonzero(flat < 0):]
         words, begins = np.unique(flat[order], return_index=True)
         for k, d in enumerate("fb"):
             dg = np.zeros((SPAN, len(index), 3 * HIDDEN), np.float32)
-            gu = np.zeros_like(p[f"U{d}"])
             dh = np.zeros((len(index), HIDDEN), np.float32)
             for t, h, z, r, n, hun, real in reversed(kept[d]):
                 dh = dh + dstates[t, :, k * HIDDEN:(k + 1) * HIDDEN]
@@ -233,24 +237,52 @@ class BiGRU:
                 dr = dn * hun * r * (1 - r)
                 dg[t] = np.concatenate([dz, dr, dn], axis=1)
                 dhu = np.concatenate([dz, dr, dn * r], axis=1)
-                gu += h.T @ dhu
+                g[f"U{d}"] += h.T @ dhu
                 dh = np.where(real, dnew * z, dh) + dhu @ p[f"U{d}"].T
             dproj = np.zeros((len(x), 3 * HIDDEN))
             dproj[words] = np.add.reduceat(dg.reshape(-1, 3 * HIDDEN)[order], begins)
-            g[f"U{d}"], g[f"B{d}"] = gu, dproj.sum(axis=0)
-            g[f"W{d}"] = x.T @ dproj
+            g[f"B{d}"] += dproj.sum(axis=0)
+            g[f"W{d}"] += x.T @ dproj
             dx += dproj @ p[f"W{d}"].T
-        g["word"] = np.zeros_like(p["word"])
+
+    def _gradients(self, texts: list[str], y: np.ndarray, rng=None, drop: float = 0.0) -> dict:
+        """Gradients of the mean loss; a share ``drop`` of words lacks its characters
+        and one of known words counts as unknown, so that neither is learned by heart."""
+        p = self.p
+        w = Words(pa.array(texts, pa.string()))
+        index, first = w.windows()
+        rows, x = self.rows(w), self.inputs(w)
+        seen = np.ones(len(x), bool) if rng is None else rng.random(len(x)) >= drop
+        x[~seen, WORD_DIM:] = 0
+        if rng is not None:
+            unknown = rng.random(len(x)) < drop / 5
+            rows[unknown] = 0
+            x[unknown, :WORD_DIM] = p["word"][0]
+        proj = {d: self._projected(x, d) for d in "fb"}
+        cuts = range(0, len(index), MOST)
+        # Noisy or: 1 - P(toxic) = product of (1 - sigmoid(logit)), over all windows of a text.
+        count = np.diff(first)
+        owner = np.repeat(np.arange(len(texts)), count)
+        once = self._forward(proj, index) if len(cuts) < 2 else None
+        logit = once[-1] if once else np.concatenate(
+            [self._forward(proj, index[k:k + MOST])[-1] for k in cuts])
+        s = np.bincount(owner, np.logaddexp(0, logit), len(texts))
+        slope = np.where(y > 0, -1 / np.expm1(np.maximum(s, 1e-6)), 1.0) / len(texts)
+        dl = (slope[owner] * sigmoid(logit)).astype(np.float32)
+        g = {name: np.zeros_like(v) for name, v in p.items()}
+        dx = np.zeros(x.shape)
+        for k in cuts:
+            i = index[k:k + MOST]
+            self._backward(once or self._forward(proj, i), i, dl[k:k + MOST], x, g, dx)
         np.add.at(g["word"], rows, dx[:, :WORD_DIM])
         dx[~seen] = 0
         size = w.last - w.first
         each = np.repeat(dx[:, WORD_DIM:] / np.maximum(size, 1)[:, None], size, axis=0)
         at = np.arange(int(size.sum())) + np.repeat(w.first - (np.cumsum(size) - size), size)
-        g["char"] = np.zeros_like(p["char"])
         np.add.at(g["char"], w.grams[at], each)
         return g
 
-    def fit(self, texts: list[str], y: np.ndarray, steps: int = 400, batch: int = 32,
+    def fit(self, texts: Sequence, y: np.ndarray, steps: int = 400, batch: int = 32,
             rate: float = 0.01, decay: float = 0.05, drop: float = 0.5,
             seed: int = 9) -> BiGRU:
         rng = np.random.default_rng(seed)
@@ -281,19 +313,22 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column,
     among all learnable rows.
     """
     labels = labels.where(learnable & F.col("toxic").isin(0, 1))
-    got = labelled_sample(docs, labels, "toxic", per_class, ["text"])
-    got = [r for r in got if (r["text"] or "").split()]
-    y = np.array([r["_y"] for r in got])
+    texts = Records(lambda raw: raw.decode(errors="replace"))
+    rows = labelled_sample(docs, labels, "toxic", per_class, ["text"]).withColumn(
+        "text", F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    got, texts = in_order(bring(rows, "sample", ["text"], texts), texts, "doc_id", "_y")
+    worded = [k for k in range(len(got)) if texts[k].split()]
+    texts, y = Some(texts, worded), np.array([got[k]["_y"] for k in worded])
     if not len(y) or y.min() == y.max():
         return None
-    texts = [r["text"] for r in got]
     held = np.arange(len(y)) % 5 == 0
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held = np.zeros(len(y), bool)
-    learn = [t for t, h in zip(texts, held) if not h]
+    learn = Some(texts, np.flatnonzero(~held))
     net = BiGRU(*vocabulary(learn, y[~held])).fit(learn, y[~held])
     check = held if held.any() else ~held
-    z = net.text_logits(pa.array([t for t, h in zip(texts, check) if h], pa.string()))
+    z = np.concatenate([net.text_logits(pa.array(part, pa.string()))
+                        for _, part in batches(Some(texts, np.flatnonzero(check)))])
     some = np.isfinite(z)
     yc = y[check][some]
     net.platt = Platt(z[some], yc).moved(yc, label_shares(labels, "toxic"))
