@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tests.llm.conftest import rows
+from tests.llm.conftest import DOCS, rows
 from tidemark.llm import cotrain, langid, ngrams, quality_rules, queries, toxicity
 
 SF = "/root/testdata/sf0.01"
@@ -200,3 +200,17 @@ def test_toxicity_gradients_by_parts(monkeypatch):
     monkeypatch.setattr(toxicity, "MOST", 7)
     for name, v in net._gradients(texts, y).items():
         assert np.allclose(v, whole[name], atol=1e-5), name
+
+
+def test_cotraining_looks_at_all_unlabelled_documents(spark):
+    """A source far behind in the order of hashes is labelled and learned too."""
+    texts, y = toxic_sample(600)
+    ids = [r[0] for r in spark.range(240, 600).orderBy(F.xxhash64("id")).collect()]
+    rare = set([k for k in ids if y[k]][-20:])  # of one label, else its weight stays 0
+    texts = [t + " nasty vile" * 20 if k in rare else t for k, t in enumerate(texts)]
+    docs = spark.createDataFrame([(k, t, "xx", "rare" if k in rare else "s", len(t))
+                                  for k, t in enumerate(texts)], DOCS)
+    lab = labels(spark, [(k, int(v), 0) for k, v in enumerate(y[:240])])
+    model = cotrain.train(docs, lab, pool=8)
+    slot = cotrain.xxhash.xxh64_intdigest("srare") >> (64 - cotrain.META_BITS)
+    assert model.given["text"] > 0 and model.meta[0].w[slot] != 0

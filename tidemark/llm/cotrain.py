@@ -4,14 +4,15 @@ The text view is a logistic regression on hashed n-grams of the content
 (:mod:`tidemark.llm.ngrams`). The metadata view sees none of the text: it is a
 logistic regression on source, language, size class and their pairs.
 
-Training: a bounded sample of labelled rows (``per_class`` of each label) and a
-bounded pool of unlabelled ones (``pool`` rows), both chosen by a hash of the
-doc_id, whole texts of any length. In each round both views
-are fitted and calibrated on labelled rows that they do not learn from; each
-then labels the pool rows it is surest of (``SURE``), which join the *other*
-view's training rows with that label. At the end the calibrated log-odds of
-both views, less the sample's, are added to those of all labelled rows, and all
-documents are scored.
+Training: a bounded sample of labelled rows (``per_class`` of each label, chosen
+by a hash of the doc_id, whole texts of any length). In each round both views are
+fitted and calibrated on labelled rows that they do not learn from; then every
+unlabelled document is scored in tasks by both, and each view labels those it is
+surest of (``SURE``), taken in turn from every source and language. They join the
+*other* view's training rows with that label; only they reach the driver, at most
+``EACH_ROUND`` a label, view and round and at most ``pool`` rows a round. At the
+end the calibrated log-odds of both views, less the sample's, are added to those
+of all labelled rows, and all documents are scored.
 
 A view that cannot tell the classes apart is calibrated to the prior: it is
 never sure, gives no pseudo-labels and adds nothing to the sum.
@@ -19,13 +20,14 @@ never sure, gives no pseudo-labels and adds nothing to the sum.
 Defined cases: null text, source, language or size count as a value of their
 own; without labelled rows of both classes every score is 0.5 and every row is
 kept; rows whose crc32 of the doc_id is 0 modulo 5 are ``held_out`` of all
-learning; repeated rows are returned each; an empty table gives an empty
+learning; rows without a doc_id are scored and not learned from; of unlabelled
+rows of one doc_id the surest counts; repeated rows are returned each; an empty table gives an empty
 result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,8 @@ ROUNDS = 4
 SURE = 0.95
 EACH_ROUND = 200
 THRESHOLD = 0.5
+#: Who labels, and how.
+KINDS = (("text", 1), ("text", 0), ("meta", 1), ("meta", 0))
 _COLUMNS = ["text", "lang", "source", "n_chars"]
 
 
@@ -63,6 +67,7 @@ class View:
                  check: np.ndarray, l2: float):
         self.rows, self.size, self.y, self.check, self.l2 = rows, size, y, check, l2
         self.train = {int(k): int(y[k]) for k in train}
+        self.taken = []  # doc_ids that this view has labelled for the other one
 
     def fit(self) -> None:
         at = sorted(self.train)
@@ -76,58 +81,61 @@ class View:
             share = np.clip(self.y[self.check].mean(), 1e-3, 1 - 1e-3)
             self.platt.b = float(np.log(share / (1 - share)))
 
-    def probability(self, at: np.ndarray) -> np.ndarray:
-        return self.platt(self.model.score(Some(self.rows, at)))
-
 
 class CoTrained:
     """Both trained views, and how many pseudo-labels each gave."""
 
-    def __init__(self, labelled: list, pool: list, texts: Sequence, shares: tuple[int, int]):
-        y = np.array([r["_y"] for r in labelled] + [-1] * len(pool))
+    def __init__(self, labelled: list, texts: Some, shares: tuple[int, int],
+                 surest: Callable, fetch: Callable):
+        """``surest`` gives the documents to label, ``fetch`` adds their texts' n-grams
+        to ``texts`` and returns their other fields."""
         self.text = self.meta = None
         self.given = {"text": 0, "meta": 0}
-        n = len(labelled)
-        if n == 0 or y[:n].min() == y[:n].max():
+        y = np.array([r["_y"] for r in labelled])
+        n = len(y)
+        if n == 0 or y.min() == y.max():
             return
-        rows = labelled + pool
-        meta = [metadata_row(r["lang"], r["source"], r["n_chars"]) for r in rows]
+        meta = [metadata_row(r["lang"], r["source"], r["n_chars"]) for r in labelled]
         check = np.flatnonzero(np.arange(n) % 4 == 0)
         train = np.flatnonzero(np.arange(n) % 4 != 0)
         if len(set(y[check])) < 2 or len(set(y[train])) < 2:
             check = train = np.arange(n)
         self.prior = float(np.clip(y[check].mean(), 1e-3, 1 - 1e-3))
+        self.base = float(np.log((shares[1] + 1) / (shares[0] + 1)))
         views = {"text": View(texts, ngrams.text_model_size(), y, train, check, 1e-6),
                  "meta": View(meta, 1 << META_BITS, y, train, check, 1e-3)}
         others = {"text": "meta", "meta": "text"}
-        free = np.arange(n, len(rows))
-        for _ in range(ROUNDS):
+        place = {}
+        for k in range(ROUNDS + 1):
             for v in views.values():
                 v.fit()
-            for name, v in views.items():
-                open_ = np.array([k for k in free if int(k) not in views[others[name]].train],
-                                 np.int64)
-                if not len(open_):
-                    continue
-                p = v.probability(open_)
-                for label, sure in ((1, p), (0, 1 - p)):
-                    best = np.argsort(-sure, kind="stable")[:EACH_ROUND]
-                    for k in best[sure[best] >= SURE]:
-                        views[others[name]].train[int(open_[k])] = label
-                        self.given[name] += 1
-        for v in views.values():
-            v.fit()
-        self.base = float(np.log((shares[1] + 1) / (shares[0] + 1)))
-        self.text = (views["text"].model, views["text"].platt)
-        self.meta = (views["meta"].model, views["meta"].platt)
+            self.text = (views["text"].model, views["text"].platt)
+            self.meta = (views["meta"].model, views["meta"].platt)
+            chosen = surest(self, {name: v.taken for name, v in views.items()}) if (
+                k < ROUNDS) else []
+            if not chosen:
+                break
+            new = {(r["doc_id"], r["key"]) for r in chosen} - place.keys()
+            for r in fetch(sorted(new)):
+                place[r["doc_id"], r["key"]] = len(meta)
+                meta.append(metadata_row(r["lang"], r["source"], r["n_chars"]))
+            for r in chosen:
+                name, label = KINDS[r["kind"]]
+                views[others[name]].train[place[r["doc_id"], r["key"]]] = label
+                views[name].taken.append(r["doc_id"])
+                self.given[name] += 1
+
+    def views(self, flat: Flat, meta: list) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities of good quality by the text and the metadata view."""
+        return (self.text[1](ngrams.text_scores(flat, self.text[0])),
+                self.meta[1](self.meta[0].score([metadata_row(*m) for m in meta])))
 
     def scores(self, flat: Flat, meta: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probabilities of good quality: text view, metadata view, both."""
         if self.text is None:
             half = np.full(flat.n, 0.5)
             return half, half, half
-        pt = self.text[1](ngrams.text_scores(flat, self.text[0]))
-        pm = self.meta[1](self.meta[0].score([metadata_row(*m) for m in meta]))
+        pt, pm = self.views(flat, meta)
 
         def odds(p):
             return np.log(np.clip(p, 1e-9, 1 - 1e-9) / np.clip(1 - p, 1e-9, 1))
@@ -147,26 +155,79 @@ def _with_metadata(docs: DataFrame) -> DataFrame:
         for c, t in kinds.items()))
 
 
+def surest_rows(docs: DataFrame, known: DataFrame, model: CoTrained, taken: dict,
+                each: int) -> DataFrame:
+    """At most ``each`` rows ``(kind, doc_id, key)`` of each of ``KINDS``: of all documents
+    of ``docs`` but ``known`` and, by view, ``taken`` ones, the surest of every source and
+    language, then the next ones."""
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (model, {name: np.array(ids, np.int64) for name, ids in taken.items()}))  # about 4 MB
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net, gone = shared.value
+        for b in batches:
+            meta = list(zip(*(b.column(c).to_pylist() for c in (2, 3, 4))))
+            for k, texts in slices(b.column(1)):
+                n = len(texts)
+                ids = b.column(0).slice(k, n).to_numpy()
+                p = [np.where(np.isin(ids, gone[name]), 0.5, x) for name, x in zip(
+                    ("text", "meta"), net.views(Flat(texts), meta[k:k + n]))]
+                yield pa.record_batch([*(b.column(c).slice(k, n) for c in (0, 5, 2, 3)),
+                                       *map(pa.array, p)],
+                                      names=["doc_id", "key", "lang", "source", "text", "meta"])
+
+    scored = docs.where("doc_id IS NOT NULL").withColumn(
+        "key", F.xxhash64(*_COLUMNS)).mapInArrow(
+        run, "doc_id long, key long, lang string, source string, text double, meta double")
+
+    def best(kind: int) -> Column:
+        name, label = KINDS[kind]
+        # Rounded, so that the order does not hang on how texts are batched.
+        sure = F.round(F.col(name) if label else 1 - F.col(name), 6)
+        return F.max(F.when(sure >= SURE, F.struct(
+            F.lit(kind).alias("kind"), sure.alias("sure"), "key", "source", "lang")))
+
+    found = (scored.groupBy("doc_id").agg(*(best(k).alias(f"k{k}") for k in range(len(KINDS))))
+             .join(known, "doc_id", "left_anti")
+             .select("doc_id", F.explode(F.array(*(f"k{k}" for k in range(len(KINDS)))))
+                     .alias("best")).where("best IS NOT NULL").select("doc_id", "best.*"))
+    order = [F.desc("sure"), F.xxhash64("doc_id"), "doc_id"]
+    # Both windows keep each task's first rows before their shuffle (EACH_ROUND is small).
+    turn = Window.partitionBy("kind", "source", "lang").orderBy(*order)
+    rank = Window.partitionBy("kind").orderBy("turn", *order)
+    return (found.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= each)
+            .withColumn("nth", F.row_number().over(rank)).where(F.col("nth") <= each)
+            .select("kind", "doc_id", "key"))
+
+
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 1200,
           pool: int = 2000) -> CoTrained:
     docs = _with_metadata(docs).where(~held_out(F.col("doc_id")))
-    labelled = labelled_sample(docs, labels, "quality", per_class, _COLUMNS)
     known = labels.where(F.col("quality").isin(0, 1)).select("doc_id").distinct()
-    # Ids first: a fixed number of them comes out of a distributed top-n.
-    ids = (docs.where(F.col("doc_id").isNotNull()).select("doc_id")
-           .join(known, "doc_id", "left_anti").distinct()
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool))
-    one = Window.partitionBy("doc_id").orderBy(*_COLUMNS)
-    free = (docs.join(F.broadcast(ids), "doc_id")
-            .withColumn("_nth", F.row_number().over(one)).where("_nth = 1").drop("_nth"))
-    texts, got = Records(ngrams.unpacked), []
-    for part in (labelled, free.withColumn("_y", F.lit(-1))):
-        got += bring(with_ngrams(part), "sample", ["slots", "shares"], texts)
-    for r in got:
-        r["kind"] = r["_y"] < 0
-    got, texts = in_order(got, texts, "kind", "doc_id", "_y")
-    n = sum(not r["kind"] for r in got)
-    return CoTrained(got[:n], got[n:], texts, label_shares(labels, "quality"))
+    each = min(EACH_ROUND, max(1, pool // len(KINDS)))
+    store, long = Records(ngrams.unpacked), ["slots", "shares"]
+    labelled = bring(with_ngrams(labelled_sample(docs, labels, "quality", per_class, _COLUMNS)),
+                     "sample", long, store)
+    labelled, texts = in_order(labelled, store, "doc_id", "_y")
+
+    def surest(model: CoTrained, taken: dict) -> list:
+        got = surest_rows(docs, known, model, taken, each).collect()
+        return sorted(got, key=lambda r: (r["kind"], r["doc_id"]))
+
+    def fetch(new: list) -> list:
+        if not new:
+            return []
+        ids = docs.sparkSession.createDataFrame(new, "doc_id long, key long")
+        rows = (docs.withColumn("key", F.xxhash64(*_COLUMNS))
+                .join(F.broadcast(ids), ["doc_id", "key"])  # at most pool rows
+                .dropDuplicates(["doc_id", "key"]))
+        before = len(store)
+        got, more = in_order(bring(with_ngrams(rows), "sample", long, store),
+                             store, "doc_id", "key")
+        texts.at += [before + k for k in more.at]
+        return got
+
+    return CoTrained(labelled, texts, label_shares(labels, "quality"), surest, fetch)
 
 
 def score(docs: DataFrame, model: CoTrained) -> DataFrame:
