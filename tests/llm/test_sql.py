@@ -12,7 +12,7 @@ from tidemark.llm import secrets
 def test_every_query_is_registered():
     names = entry.queries()
     assert [n for n in names if n.startswith("op")] == list(queries.QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert "pipeline" in names and set(queries.SQL) <= set(entry.oracle_sql())
 
 
@@ -20,7 +20,8 @@ def test_every_query_is_registered():
 def test_query_matches_duckdb(spark, name):
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     df = queries.QUERIES[name](spark, sf)
     got = rows(df)
     res = con.execute(queries.SQL[name])

@@ -11,8 +11,10 @@ from tidemark.llm import (
     langid,
     packing,
     quality_rules,
+    search,
     secrets,
     simhash,
+    spelling,
     substring_dedup,
     token_files,
     tokens,
@@ -91,6 +93,16 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.joined(F.col("spans")).alias("spans"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(documents(spark, sf_dir),
+                         spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.corpus_words(documents(spark, sf_dir), change=spelling.dropped_letter)
+    return spelling.variants(words)
+
+
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -102,4 +114,6 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_cotrain": op9_quality_cotrain,
     "op10_secret_scan": op10_secret_scan,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_spelling_variants": op13_spelling_variants,
 }

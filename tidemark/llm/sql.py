@@ -3,7 +3,7 @@ brute force in tests/llm)."""
 
 from __future__ import annotations
 
-from tidemark.llm import secrets
+from tidemark.llm import search, secrets
 from tidemark.llm.common import WORD_RE
 from tidemark.llm.substring_dedup import WINDOW
 
@@ -76,7 +76,79 @@ SELECT d.doc_id, count(*) FILTER (WHERE rank = 0) AS n_assign,
 FROM d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id"""
 
 
+_LOWER = f"translate(text, {_q(search._UPPER)}, {_q(search._LOWER)})"
+
+SEARCH = f"""WITH words AS (
+  SELECT doc_id, row, unnest(regexp_extract_all({_LOWER}, {_q(search.TERM_RE)})) AS term
+  FROM (SELECT *, row_number() OVER () AS row FROM documents)),
+tf AS (SELECT row, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM words GROUP BY row, term),
+long AS (SELECT row, count(*) AS n FROM words GROUP BY row),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM long),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+item AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, {_q(search.TERM_RE)})) AS term
+  FROM benchmark),
+weight AS (
+  SELECT item_id, term, floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2 * df + 1)))::BIGINT AS w
+  FROM item JOIN df USING (term), total),
+scores AS (
+  SELECT item_id, row, any_value(doc_id) AS doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+  FROM weight JOIN tf USING (term) JOIN long USING (row), total GROUP BY item_id, row)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (
+    PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+  FROM scores WHERE score > 0) WHERE rank <= 10"""
+
+
+#: Near words here are words that share a word with one letter left out: at the same
+#: place (one letter replaced) or with the word itself (one inserted or deleted). The
+#: table of the checksum follows from its polynomial.
+SPELLING = f"""WITH RECURSIVE table256 AS (
+  SELECT list(list_reduce(range(8), lambda a, i: CASE WHEN a & 1 = 1
+    THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, k) ORDER BY k) AS tab FROM range(256) r(k)),
+runs AS (
+  SELECT id, run, count(*) AS n FROM (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id,
+      unnest(regexp_extract_all({_LOWER}, '[a-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 5 GROUP BY id, run),
+sums AS (
+  SELECT run, n, xor(list_reduce(list_transform(range(length(bytes) // 2),
+      lambda i: ('0x' || substr(bytes, 2 * i + 1, 2))::BIGINT),
+    lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) AS h
+  FROM (SELECT run, n, hex(encode(id || ':' || run)) AS bytes FROM runs), table256),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INTEGER)
+      || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word FROM sums)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS part
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word AS a, b.word AS b, b.n AS b_n FROM cut a JOIN cut b
+    ON a.i = b.i AND a.part = b.part AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.part = w.word
+  UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.part = w.word),
+best AS (
+  SELECT a, b, b_n, count(*) OVER (PARTITION BY a) AS n_near,
+    row_number() OVER (PARTITION BY a ORDER BY b_n DESC, b) AS place FROM near),
+forms AS (
+  SELECT word, CASE WHEN b_n >= 2 * n THEN b END AS form, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN b_n >= 2 * n THEN b_n END AS form_n
+  FROM words LEFT JOIN (SELECT * FROM best WHERE place = 1) ON a = word),
+ways AS (
+  SELECT word, form AS last FROM forms WHERE form IS NOT NULL
+  UNION ALL SELECT w.word, f.form FROM ways w JOIN forms f ON f.word = w.last
+    WHERE f.form IS NOT NULL),
+ends AS (SELECT w.word, w.last FROM ways w JOIN forms f ON f.word = w.last WHERE f.form IS NULL)
+SELECT word, form, coalesce(last, word) AS root, n, n_near, form_n
+FROM forms LEFT JOIN ends USING (word)"""
+
+
 SQL = {
     "op5_substring_dedup": SUBSTRING_DEDUP,
     "op10_secret_scan": secret_scan(),
+    "op12_lexical_search": SEARCH,
+    "op13_spelling_variants": SPELLING,
 }
