@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     cotrain,
     decontaminate,
+    html_extract,
     langid,
     packing,
     quality_rules,
@@ -93,6 +94,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.joined(F.col("spans")).alias("spans"))
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return html_extract.extract(pages, html_extract.train(pages)).withColumn(
+        "n_chars", F.length("text").cast("long"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(documents(spark, sf_dir),
                          spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -114,6 +121,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_cotrain": op9_quality_cotrain,
     "op10_secret_scan": op10_secret_scan,
+    "op11_main_text": op11_main_text,
     "op12_lexical_search": op12_lexical_search,
     "op13_spelling_variants": op13_spelling_variants,
 }
