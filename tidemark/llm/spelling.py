@@ -10,10 +10,11 @@ inserted, deleted or replaced code point:
    positions chooses the two disjoint ones with the least total count: the pivots.
 3. One edit touches at most one of two disjoint grams, so of two near words the
    one whose prefix ends at the lower rank has a pivot that is in the other's
-   prefix. What lies on the pivot's far side of the edit is equal in both words.
-   So the index key is the pivot's side and place, counted from that end of the
-   word (the position limit), with a hash of the part up to and including the
-   gram. A gram in a third of all words is so split by place and context.
+   prefix. The edit lies before both pivots, in one of them, between or after them;
+   in each case a beginning and an end of the word, pivot included, are equal in
+   both words, at places that one edit can shift by one (the position limit). A key
+   is a hash of these parts with their lengths. So a gram that a third of all words
+   hold is split by its place and surroundings.
 4. Key matches whose lengths differ by one at most are verified by edit distance
    inside the join; only true pairs leave it.
 
@@ -110,63 +111,104 @@ def choose_disjoint(places: list[int], cost: list[int], need: int, width: int) -
     return out[::-1]
 
 
-def index_rows(word: str, counts: np.ndarray, ranks: np.ndarray) -> tuple[int, list, list]:
-    """``(rank of the prefix's end, pivot keys, prefix keys)`` of a word."""
-    m = len(word) - _Q + 1
-    buckets = [zlib.crc32(word[i:i + _Q].encode()) % _BUCKETS for i in range(m)]
-    rank = [int(ranks[b]) for b in buckets]
-    last = sorted(rank)[_Q * _EDITS]
-    prefix = [i for i in range(m) if rank[i] <= last]
-    chosen = choose_disjoint(prefix, [int(counts[buckets[i]]) for i in prefix], _EDITS + 1, _Q)
-    # Hashes of all parts from either end, each from the one before.
-    left, h = [], 0
+class Grams:
+    """Ranks and costs of bigrams, from their counts by hash bucket."""
+
+    def __init__(self, counts: np.ndarray):
+        self.counts, self.ranks = counts.tolist(), [0] * _BUCKETS
+        for k, b in enumerate(np.lexsort((np.arange(_BUCKETS), counts)).tolist()):
+            self.ranks[b] = k
+
+    def prefix(self, word: str) -> tuple[int, list[int], list[int]]:
+        """``(rank of the prefix's end, places of its grams, their costs)``."""
+        buckets = [zlib.crc32(word[i:i + _Q].encode()) % _BUCKETS
+                   for i in range(len(word) - _Q + 1)]
+        rank = [self.ranks[b] for b in buckets]
+        last = sorted(rank)[_Q * _EDITS]
+        places = [i for i, r in enumerate(rank) if r <= last]
+        return last, places, [self.counts[buckets[i]] for i in places]
+
+
+def _parts(word: str) -> tuple[list[int], list[int]]:
+    """Hashes of the word's beginnings ``[:k]`` and ends ``[k:]``."""
+    left, right, h, g = [0], [0], 0, 0
     for c in word:
         h = zlib.crc32(c.encode(), h)
         left.append(h)
-    right, h = [], 0
     for c in reversed(word):
-        h = zlib.crc32(c.encode(), h)
-        right.append(h)
-
-    def keys(i):
-        size = len(word) - i
-        return ((left[i + _Q - 1] << 24 ^ (i + _Q) << 1, right[size - 1] << 24 ^ size << 1 | 1))
-
-    return (last, [k for i in chosen for k in keys(prefix[i])],
-            [k for i in prefix for k in keys(i)])
+        g = zlib.crc32(c.encode(), g)
+        right.append(g)
+    return left, right[::-1]
+
+
+def _key(left: int, right: int, begin: int, rest: int) -> int:
+    """Of a beginning of ``begin`` and an end of ``rest`` code points, with their hashes."""
+    h = (left << 29) ^ right ^ (begin * 0x9E3779B97F4A7C15) ^ (rest * 0xC2B2AE3D27D4EB4F)
+    h = (h ^ h >> 31) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF
+    return (h ^ h >> 29) - (1 << 63)
+
+
+def pivot_keys(word: str, grams: Grams) -> tuple[int, list[int]]:
+    """The rank of the prefix's end and, for each place an edit can have beside the two
+    pivots, a key of what it leaves alone."""
+    last, places, cost = grams.prefix(word)
+    p1, p2 = (places[i] for i in choose_disjoint(places, cost, _EDITS + 1, _Q))
+    left, right = _parts(word)
+    n = len(word)
+    return last, [
+        _key(0, right[p1], 0, n - p1),                               # before both
+        _key(left[p1], right[p1 + _Q], p1, n - p1 - _Q),             # in the first
+        _key(left[p1 + _Q], right[p2], p1 + _Q, n - p2),             # between them
+        _key(left[p2], right[p2 + _Q], p2, n - p2 - _Q),             # in the second
+        _key(left[p2 + _Q], 0, p2 + _Q, 0)]                          # after both
+
+
+def prefix_keys(word: str, grams: Grams) -> tuple[int, list[int]]:
+    """The rank of the prefix's end and the keys under which a near word's pivots meet it."""
+    last, places, _ = grams.prefix(word)
+    left, right = _parts(word)
+    n = len(word)
+    out = {_key(0, right[i], 0, n - i) for i in places}
+    out.update(_key(left[i + _Q], 0, i + _Q, 0) for i in places)
+    out.update(_key(left[i + _Q], right[j], i + _Q, n - j)
+               for i in places for j in places if i + _Q <= j)
+    low, high = places[0] + _Q, places[-1]
+    # The other's lost gram has become one to three code points here; a gram of the
+    # prefix is left beside them.
+    out.update(_key(left[i], right[i + gap], i, n - i - gap)
+               for gap in range(_Q - _EDITS, _Q + _EDITS + 1) for i in range(n - gap + 1)
+               if low <= i or i + gap <= high)
+    return last, list(out)
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """``(a, a_n, b, b_n)``: every pair of distinct ``words`` (``word``, ``n``; each word
     once) at edit distance one, in both orders."""
-    counts = gram_counts(words)
-    order = np.lexsort((np.arange(_BUCKETS), counts))
-    ranks = np.empty(_BUCKETS, np.int64)
-    ranks[order] = np.arange(_BUCKETS)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows: list[tuple] = []
-            for word, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                last, pivots, prefix = index_rows(word, counts, ranks)
-                rows += [(True, k, last, word, n) for k in pivots]
-                rows += [(False, k, last, word, n) for k in prefix]
-                if len(rows) > 50_000:
+    grams = Grams(gram_counts(words))
+    words = words.where(F.length("word") >= _Q * (_EDITS + 1)).select("word", "n")
+
+    def keyed(keys):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for first in range(0, whole.num_rows, 2000):
+                    b = whole.slice(first, 2000)
+                    found = [keys(w, grams) for w in b.column(0).to_pylist()]
+                    owner = np.repeat(np.arange(len(found)), [len(k) for _, k in found])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in zip(*rows)], ["pivot", "key", "last", "word", "n"])
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in zip(*rows)], ["pivot", "key", "last", "word", "n"])
-
-    index = save(words.where(F.length("word") >= _Q * (_EDITS + 1)).select("word", "n").mapInArrow(
-        run, "pivot boolean, key long, last long, word string, n long"), "word-grams")
-    pivots, grams = index.where("pivot").alias("p"), index.where("NOT pivot").alias("g")
+                        [pa.array([x for _, k in found for x in k], pa.int64()),
+                         pa.array([last for last, _ in found], pa.int64()).take(pa.array(owner)),
+                         *(b.column(c).take(pa.array(owner)) for c in (0, 1))],
+                        ["key", "last", "word", "n"])
+
+        return words.mapInArrow(run, "key long, last long, word string, n long")
+
     near = ((F.col("p.key") == F.col("g.key")) & (F.col("p.last") <= F.col("g.last"))
             & (F.abs(F.length("p.word") - F.length("g.word")) <= _EDITS)
             & (F.col("p.word") != F.col("g.word"))
             & (F.levenshtein(F.col("p.word"), F.col("g.word"), _EDITS) == _EDITS))
-    found = pivots.join(grams.hint("merge"), near)
+    # No key is hot: it holds nearly a whole word. The words' table grows with the corpus, so
+    # this is a shuffle join at every size.
+    found = keyed(pivot_keys).alias("p").join(keyed(prefix_keys).alias("g").hint("merge"), near)
     both = F.explode(F.array(*(F.struct(
         F.col(f"{x}.word").alias("a"), F.col(f"{x}.n").alias("a_n"),
         F.col(f"{y}.word").alias("b"), F.col(f"{y}.n").alias("b_n")) for x, y in ("pg", "gp"))))
