@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import catalog_forecast as CF
 from tidemark import oracle as O
 from tidemark.functions.numeric import round_half_away
 from tidemark.functions.time import week_start
@@ -406,6 +407,7 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+SPARK |= CF.SPARK
 SPARK = {k: SPARK[k] for k in sorted(SPARK)}
 
 
@@ -728,7 +730,8 @@ def sql_backtest(name="bt") -> str:
   FROM {name}_j)"""
 
 
-def sql_metrics(bt="bt") -> str:
+def sql_metrics(by=(), bt="bt") -> str:
+    by = "".join(f", {c}" for c in by)
     one, zero = "cast(1 AS double)", "cast(0 AS double)"
     terms = {
         "MAE": "abs(actual - forecast)",
@@ -739,10 +742,10 @@ def sql_metrics(bt="bt") -> str:
         "COVERAGE": f"CASE WHEN actual >= lower_bound AND actual <= upper_bound THEN {one} ELSE {zero} END",
         "WINKLER": f"(upper_bound - lower_bound) + CASE WHEN actual < lower_bound THEN cast(40.0 AS double) * (lower_bound - actual) ELSE {zero} END + CASE WHEN actual > upper_bound THEN cast(40.0 AS double) * (actual - upper_bound) ELSE {zero} END",
     }
-    parts = [f"""SELECT {RUN_TS_SQL} AS run_ts, series, {q(n)} AS error_metric,
+    parts = [f"""SELECT {RUN_TS_SQL} AS run_ts, series{by}, {q(n)} AS error_metric,
     {R(f'avg({e})')} AS metric_value, {R(f'stddev_samp({e})')} AS standard_deviation,
     cast(NULL AS varchar) AS logs
-  FROM {bt} GROUP BY series""" for n, e in terms.items()]
+  FROM {bt} GROUP BY series{by}""" for n, e in terms.items()]
     return "\nUNION ALL\n".join(parts)
 
 
@@ -954,3 +957,4 @@ FROM fx_fuel_dirty WHERE regular IS NOT NULL{NATIONAL_ONLY}""",
         + "SELECT * EXCLUDE (diesel) FROM crude",
     "final_many": _final_many_sql(),
 }
+SQL |= CF.sql(sql_metrics)
