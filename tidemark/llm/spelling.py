@@ -44,6 +44,7 @@ LETTERS = "a-zÀ-ÿ"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BUCKETS = 1 << 16
 _Q, _EDITS = 2, 1
+_MANY = 0x5BD1E995  # tells keys of one pivot alone from those of a word's beginning
 
 
 def dropped_letter(doc_id: Column, run: Column, every: int = 97) -> Column:
@@ -72,9 +73,10 @@ def corpus_words(docs: DataFrame, *, min_chars: int = 5, min_count: int = 3,
 
 def gram_counts(words: DataFrame) -> np.ndarray:
     """How often the bigrams of each hash bucket occur in the distinct ``words``."""
-    at = F.sequence(F.lit(1), F.length("word") - 1)
-    grams = words.where(F.length("word") >= _Q).select(F.explode(F.transform(
-        at, lambda i: F.substring(F.col("word"), i, F.lit(_Q)))).alias("gram"))
+    letters = F.split("word", "", -1)  # cut once, so that long words take linear time
+    grams = words.where(F.length("word") >= _Q).select(letters.alias("c")).select(F.explode(
+        F.transform(F.sequence(F.lit(0), F.size("c") - _Q), lambda i: F.concat(
+            *(F.get("c", i + k) for k in range(_Q))))).alias("gram"))
     bucket = (F.crc32("gram") % _BUCKETS).cast("int").alias("bucket")
     out = np.zeros(_BUCKETS, np.int64)
     for r in grams.groupBy(bucket).count().collect():  # at most 2^16 rows
@@ -160,7 +162,8 @@ def pivot_keys(word: str, grams: Grams) -> tuple[int, list[int]]:
         _key(left[p1], right[p1 + _Q], p1, n - p1 - _Q),             # in the first
         _key(left[p1 + _Q], right[p2], p1 + _Q, n - p2),             # between them
         _key(left[p2], right[p2 + _Q], p2, n - p2 - _Q),             # in the second
-        _key(left[p2 + _Q], 0, p2 + _Q, 0)]                          # after both
+        _key(left[p2 + _Q], 0, p2 + _Q, 0),                          # after both
+        _key(left[p1 + _Q], _MANY, p1 + _Q, 0)]                      # between, see below
 
 
 def prefix_keys(word: str, grams: Grams) -> tuple[int, list[int]]:
@@ -170,8 +173,11 @@ def prefix_keys(word: str, grams: Grams) -> tuple[int, list[int]]:
     n = len(word)
     out = {_key(0, right[i], 0, n - i) for i in places}
     out.update(_key(left[i + _Q], 0, i + _Q, 0) for i in places)
-    out.update(_key(left[i + _Q], right[j], i + _Q, n - j)
-               for i in places for j in places if i + _Q <= j)
+    if len(places) <= 16:
+        out.update(_key(left[i + _Q], right[j], i + _Q, n - j)
+                   for i in places for j in places if i + _Q <= j)
+    else:  # a word of one gram over and over: the first pivot alone, not all pairs
+        out.update(_key(left[i + _Q], _MANY, i + _Q, 0) for i in places)
     low, high = places[0] + _Q, places[-1]
     # The other's lost gram has become one to three code points here; a gram of the
     # prefix is left beside them.
@@ -185,33 +191,39 @@ def near_pairs(words: DataFrame) -> DataFrame:
     """``(a, a_n, b, b_n)``: every pair of distinct ``words`` (``word``, ``n``; each word
     once) at edit distance one, in both orders."""
     grams = Grams(gram_counts(words))
-    words = words.where(F.length("word") >= _Q * (_EDITS + 1)).select("word", "n")
+    # Numbers stand for the words in the index, as a word has keys in its length.
+    words = save(words.where(F.length("word") >= _Q * (_EDITS + 1)).select(
+        F.monotonically_increasing_id().alias("id"), "word", "n"), "numbered")
 
-    def keyed(keys):
+    def keyed(keys, id_name, last_name):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for first in range(0, whole.num_rows, 2000):
-                    b = whole.slice(first, 2000)
-                    found = [keys(w, grams) for w in b.column(0).to_pylist()]
-                    owner = np.repeat(np.arange(len(found)), [len(k) for _, k in found])
+                for first in range(0, whole.num_rows, 1000):
+                    b = whole.slice(first, 1000)
+                    found = [keys(w, grams) for w in b.column(1).to_pylist()]
+                    size = [len(k) for _, k in found]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([x for _, k in found for x in k], pa.int64()),
-                         pa.array([last for last, _ in found], pa.int64()).take(pa.array(owner)),
-                         *(b.column(c).take(pa.array(owner)) for c in (0, 1))],
-                        ["key", "last", "word", "n"])
+                        [pa.array(np.fromiter((x for _, k in found for x in k), np.int64, sum(size))),
+                         pa.array(np.repeat([last for last, _ in found], size), pa.int64()),
+                         pa.array(np.repeat(b.column(0).to_numpy(), size))],
+                        ["key", last_name, id_name])
 
-        return words.mapInArrow(run, "key long, last long, word string, n long")
+        return words.select("id", "word").mapInArrow(
+            run, f"key long, {last_name} long, {id_name} long")
 
-    near = ((F.col("p.key") == F.col("g.key")) & (F.col("p.last") <= F.col("g.last"))
-            & (F.abs(F.length("p.word") - F.length("g.word")) <= _EDITS)
-            & (F.col("p.word") != F.col("g.word"))
-            & (F.levenshtein(F.col("p.word"), F.col("g.word"), _EDITS) == _EDITS))
     # No key is hot: it holds nearly a whole word. The words' table grows with the corpus, so
-    # this is a shuffle join at every size.
-    found = keyed(pivot_keys).alias("p").join(keyed(prefix_keys).alias("g").hint("merge"), near)
+    # these are shuffle joins at every size.
+    pairs = (keyed(pivot_keys, "a", "a_last").join(
+        keyed(prefix_keys, "b", "b_last").hint("merge"), "key")
+        .where((F.col("a") != F.col("b")) & (F.col("a_last") <= F.col("b_last")))
+        .select("a", "b").distinct())
+    left, right = (words.select(F.col("id").alias(x), F.col("word").alias(f"{x}_word"),
+                                F.col("n").alias(f"{x}_n")) for x in "ab")
+    near = F.levenshtein(F.col("a_word"), F.col("b_word"), _EDITS) == _EDITS
+    found = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(near)
     both = F.explode(F.array(*(F.struct(
-        F.col(f"{x}.word").alias("a"), F.col(f"{x}.n").alias("a_n"),
-        F.col(f"{y}.word").alias("b"), F.col(f"{y}.n").alias("b_n")) for x, y in ("pg", "gp"))))
+        F.col(f"{x}_word").alias("a"), F.col(f"{x}_n").alias("a_n"),
+        F.col(f"{y}_word").alias("b"), F.col(f"{y}_n").alias("b_n")) for x, y in ("ab", "ba"))))
     return found.select(both.alias("r")).select("r.*").distinct()
 
 
