@@ -29,6 +29,7 @@ from tidemark.operators.volatility import DIRECTION_LABELS, VOLATILITY_LABELS, p
 from tidemark.operators.margin import MARGIN_LABELS
 from tidemark.plans import history as H
 from tidemark.plans.joins import dimension
+from tidemark.plans.ordering import chunked
 from tidemark.plans.publish import append_run, publish, read_version, replace_view
 from tidemark.plans.upsert import keyed_upsert, stage
 from tidemark.schemas import MARKET, MARKET_KEY, NATIONAL, NATIONAL_KEY, REGIONAL, REGIONAL_KEY
@@ -66,6 +67,7 @@ LEVEL = 0.95
 RETENTION_MONTHS = 48
 LATEST_REGIONAL = 104
 LATEST_NATIONAL = 200
+EVENT_CHUNK = 500                     # rows of a series that one task window sees
 WITHDRAWN_DAY = 15                    # weeks that begin on this day leave the source
 # event type -> grade column, for the series-selection + pivot scenario
 EVENT_GRADES = {"view": "regular", "click": "midgrade", "purchase": "premium", "signup": "diesel"}
@@ -169,6 +171,25 @@ def regional_model(spark, d) -> DataFrame:
                          national_price="regular")
 
 
+def many_model(spark, d) -> DataFrame:
+    """Every nation and order priority against the national series."""
+    return region_spread(fx.many_series(spark, d), fx.fuel_weekly(spark, d), region_col="series",
+                         fuel_type=None)
+
+
+def long_series(spark, d) -> DataFrame:
+    """Rolling figures of the raw events, one series a type: as long as the table is."""
+    events = read_table(spark, d, "events", ["event_id", "event_type", "ts", "value"])
+    out = chunked(
+        events, ["event_type"], "ts", rows_before=51, chunk=EVENT_CHUNK,
+        windows={"mean_52": lambda w: F.avg("value").over(w.rowsBetween(-51, 0)),
+                 "sd_12": lambda w: F.stddev_samp("value").over(w.rowsBetween(-11, 0)),
+                 "change": lambda w: F.col("value") - F.lag("value", 1).over(w)},
+        running={"highest": ("max", "value")})
+    return out.select("event_id", "event_type", "value", *(
+        round_half_away(c, 4).alias(c) for c in ("mean_52", "sd_12", "change", "highest")))
+
+
 def national_forecast(spark, d) -> DataFrame:
     train = FC.training_set(fx.fuel_weekly(spark, d), series_col="region",
                             time_col="week_date", target_col="regular")
@@ -404,6 +425,12 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fx.many_series(s, d), fx.market_weekly(s, d), ticker=fx.CRUDE_TICKER, retail_col="price",
         other_cols=(), retail_keys=("series",)),
     "final_many": _final_many,
+    "region_spread_many": many_model,
+    "series_rank": lambda s, d: RP.series_ranking(many_model(s, d), region_col="series"),
+    "price_box": lambda s, d: RP.box_stats_unbounded(
+        read_table(s, d, "orders", ["o_orderpriority", "o_totalprice"]),
+        group_col="o_orderpriority", value_col="o_totalprice"),
+    "events_rolling": long_series,
 }
 
 
@@ -517,13 +544,13 @@ def sql_crude(name="crude", price="all_grades", src="fx_fuel", scope="", keep=""
   FROM {name}_m)"""
 
 
-def sql_regcmp(name="rc", src="fx_fuel", scope="") -> str:
+def sql_regcmp(name="rc", src="fx_fuel", scope="", table="fx_regional", key="region",
+               kind=f" AND fuel_type = {q(fx.FUEL_TYPE)}") -> str:
     edges = ["0.3", "0.1", "-0.1", "-0.3"]
     bands = _bands(f"{name}_b", [
         (lo, hi, label) for lo, hi, label in zip(edges + [f"-{_INF}"], [_INF] + edges,
                                                  CATEGORY_LABELS)])
-    return f"""{_numbered(f'{name}_n', 'fx_regional', 'region', 'price',
-                          f'price IS NOT NULL AND fuel_type = {q(fx.FUEL_TYPE)}')},
+    return f"""{_numbered(f'{name}_n', table, key, 'price', f'price IS NOT NULL{kind}')},
 {bands},
 {name}_w AS (SELECT week_date, regular AS base FROM {src} WHERE regular IS NOT NULL{scope}),
 {name}_p AS (
@@ -534,7 +561,7 @@ def sql_regcmp(name="rc", src="fx_fuel", scope="") -> str:
   SELECT r.k, r.i, avg(f.price) FILTER (WHERE f.i > r.i - 4) AS mean4, max(f.gap) AS widest
   FROM {name}_p r JOIN {name}_p f ON f.k = r.k AND f.i <= r.i GROUP BY r.k, r.i),
 {name} AS (
-  SELECT p.week_date, p.k AS region, p.price AS regional_price, p.base AS national_price,
+  SELECT p.week_date, p.k AS {key}, p.price AS regional_price, p.base AS national_price,
     p.gap AS price_spread, p.gap_pct AS price_spread_pct, {R('f.mean4')} AS regional_4wk_avg,
     {R('f.widest')} AS max_spread_seen, {_label(f'{name}_b', 'p.gap')} AS price_category
   FROM {name}_p p JOIN {name}_f f ON f.k = p.k AND f.i = p.i)"""
@@ -823,6 +850,7 @@ rmkt AS (
 
 
 W = O.with_
+MANY_SPREAD = sql_regcmp("rm", table="fx_many", key="series", kind="")
 NATIONAL_ONLY = f" AND region = {q(fx.NATIONAL_REGION)}"
 SQL: dict[str, str] = {
     "vol_weekly": W(O.FX_FUEL, sql_vol()) + "SELECT * FROM vol",
@@ -956,5 +984,29 @@ FROM fx_fuel_dirty WHERE regular IS NOT NULL{NATIONAL_ONLY}""",
         price="price", src="(SELECT *, cast(NULL AS double) AS diesel FROM fx_many)", keep="series"))
         + "SELECT * EXCLUDE (diesel) FROM crude",
     "final_many": _final_many_sql(),
+    "region_spread_many": W(O.FX_FUEL, O.FX_MANY, MANY_SPREAD) + "SELECT * FROM rm",
+    "series_rank": W(O.FX_FUEL, O.FX_MANY, MANY_SPREAD) + f"""SELECT *,
+  1 + (SELECT count(*) FROM g o WHERE o.avg_spread_pct > g.avg_spread_pct
+       OR (g.avg_spread_pct IS NULL AND o.avg_spread_pct IS NOT NULL)) AS spread_rank
+FROM g""".replace("SELECT *,", f""", g AS (SELECT series, {R('avg(price_spread_pct)')} AS avg_spread_pct,
+    min(price_spread_pct) AS min_spread_pct, max(price_spread_pct) AS max_spread_pct,
+    count(price_spread_pct) AS n_weeks FROM rm GROUP BY series)
+SELECT *,""", 1),
+    "price_box": f"""WITH q AS (
+  SELECT o_orderpriority, count(*) AS n, min(o_totalprice) AS lo, max(o_totalprice) AS hi,
+    quantile_cont(o_totalprice, 0.25) AS q1, quantile_cont(o_totalprice, 0.5) AS median,
+    quantile_cont(o_totalprice, 0.75) AS q3
+  FROM orders WHERE o_totalprice IS NOT NULL GROUP BY 1)
+SELECT o_orderpriority, n, {R('lo')} AS min_value, {R('q1')} AS q1, {R('median')} AS median,
+  {R('q3')} AS q3, {R('hi')} AS max_value, {R('q3 - q1')} AS iqr,
+  {R('q1 - 1.5 * (q3 - q1)')} AS lower_fence, {R('q3 + 1.5 * (q3 - q1)')} AS upper_fence,
+  (SELECT count(*) FROM orders o WHERE o.o_orderpriority = q.o_orderpriority AND (
+    o.o_totalprice < q1 - 1.5 * (q3 - q1) OR o.o_totalprice > q3 + 1.5 * (q3 - q1))) AS n_outliers
+FROM q""",
+    "events_rolling": f"""SELECT event_id, event_type, value,
+  {R('avg(value) OVER (w ROWS BETWEEN 51 PRECEDING AND CURRENT ROW)')} AS mean_52,
+  {R('stddev_samp(value) OVER (w ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)')} AS sd_12,
+  {R('value - lag(value) OVER w')} AS change, {R('max(value) OVER w')} AS highest
+FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts)""",
 }
 SQL |= CF.sql(sql_metrics)

@@ -4,9 +4,11 @@
 ``accepted_values``: failures = distinct non-NULL values outside the list
 (NULL passes, as with ``NOT IN`` in SQL).
 
-The not-null checks of one table run in a single aggregation pass (partial per
-map task). An accepted-values check first filters for values outside its list,
-which reaches the Parquet scan, so the distinct count sees the few bad rows.
+All checks of a table run in one scan of it. A scan keeps only rows that break some
+check (the condition reaches the Parquet reader, so row groups without such rows are
+skipped), makes one row of each broken check, and combines equal ones before the one
+shuffle that all tables share: a clean table sends nothing, and a bad value in a third
+of all rows is one row a task.
 """
 
 from __future__ import annotations
@@ -37,38 +39,47 @@ def accepted_values(table: str, column: str, values: Sequence) -> Check:
     return Check(table, column, ACCEPTED, tuple(values))
 
 
-def _failure_expr(check: Check):
+def _broken(check: Check):
+    c = F.col(check.column)
     if check.test == NOT_NULL:
-        return F.count_if(F.col(check.column).isNull())
+        return c.isNull()
+    if check.test == ACCEPTED:
+        return ~c.isin(list(check.values))  # NULL for a NULL value: not broken
     raise ValueError(f"unknown test {check.test!r}")
 
 
-def _outside(table: DataFrame, check: Check) -> DataFrame:
-    c = F.col(check.column)
-    bad = table.filter(~c.isin(list(check.values))).select(c.alias("v")).distinct()
-    return bad.agg(F.count("v").alias("failures")).select(
-        F.lit(check.table).alias("table_name"), F.lit(check.column).alias("column_name"),
-        F.lit(check.test).alias("test_name"), "failures")
+def _failures(table: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
+    """``(check, value)`` for every broken check of every row of ``table``."""
+    any_, marks = None, []
+    for i, ch in checks:
+        bad = _broken(ch)
+        any_ = bad if any_ is None else any_ | bad
+        value = F.col(ch.column).cast("string") if ch.test == ACCEPTED else F.lit(None).cast("string")
+        marks.append(F.when(bad, F.struct(F.lit(i).alias("check"), value.alias("value"))))
+    # array_compact leaves the broken ones.
+    return table.filter(any_).select(F.inline(F.array_compact(F.array(*marks))))
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """One row per check: table_name, column_name, test_name, failures, status."""
-    parts = []
-    by_table: dict[str, list[Check]] = {}
-    for ch in checks:
-        if ch.test == ACCEPTED:
-            parts.append(_outside(tables[ch.table], ch))
-        else:
-            by_table.setdefault(ch.table, []).append(ch)
-    for table, chs in by_table.items():
-        aggs = [_failure_expr(ch).cast("long").alias(f"f{i}") for i, ch in enumerate(chs)]
-        rows = F.array(*[
-            F.struct(F.lit(ch.table).alias("table_name"), F.lit(ch.column).alias("column_name"),
-                     F.lit(ch.test).alias("test_name"), F.col(f"f{i}").alias("failures"))
-            for i, ch in enumerate(chs)])
-        parts.append(tables[table].agg(*aggs).select(F.inline(rows)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    by_table: dict[str, list[tuple[int, Check]]] = {}
+    for i, ch in enumerate(checks):
+        by_table.setdefault(ch.table, []).append((i, ch))
+    found = None
+    for name, own in by_table.items():
+        part = _failures(tables[name], own)
+        found = part if found is None else found.unionByName(part)
+    distinct = [i for i, ch in enumerate(checks) if ch.test == ACCEPTED]
+    counted = found.groupBy("check", "value").count()
+    failures = counted.groupBy("check").agg(
+        F.when(F.col("check").isin(distinct), F.count("value")).otherwise(F.sum("count"))
+        .alias("failures"))
+    spark = next(iter(tables.values())).sparkSession
+    listed = spark.createDataFrame(
+        [(i, ch.table, ch.column, ch.test) for i, ch in enumerate(checks)],
+        "check int, table_name string, column_name string, test_name string")
+    out = listed.join(failures, "check", "left").select(
+        "table_name", "column_name", "test_name",
+        F.coalesce("failures", F.lit(0)).cast("long").alias("failures"))
     return out.withColumn("status", F.when(F.col("failures") == 0, F.lit("PASS"))
                                      .otherwise(F.lit("FAIL")))

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import round_half_away
+from tidemark.plans.ordering import exact_quantiles, ranked
+from tidemark.session import staged
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -107,6 +109,38 @@ def box_stats(df: DataFrame, *, group_col: str, value_col: str, places: int = 4,
         "n_outliers")
 
 
+def box_stats_unbounded(df: DataFrame, *, group_col: str, value_col: str,
+                        places: int = 4) -> DataFrame:
+    """F8 for groups that grow with the data: the same exact figures as :func:`box_stats`,
+    from ranks over range partitions instead of a buffer per group. The input is read
+    once; outliers are counted from the counts of distinct values."""
+    q, counted = exact_quantiles(df, group_col, value_col, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    q = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
+          .withColumn("lower_fence", F.col("q1") - F.lit(1.5) * F.col("iqr"))
+          .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * F.col("iqr")))
+    v, fences = F.col(value_col), q.select(F.col(group_col).alias("_g"), "lower_fence", "upper_fence")
+    outside = F.when((v < F.col("lower_fence")) | (v > F.col("upper_fence")), F.col("times"))
+    outl = (counted.join(fences, F.col(group_col).eqNullSafe(F.col("_g"))).groupBy("_g")
+            .agg(F.coalesce(F.sum(outside), F.lit(0)).alias("n_outliers")))
+    return q.join(outl, F.col(group_col).eqNullSafe(F.col("_g"))).select(
+        group_col, "n", *[round_half_away(c, places).alias(c) for c in
+                          ("min_value", "q1", "median", "q3", "max_value", "iqr",
+                           "lower_fence", "upper_fence")],
+        "n_outliers")
+
+
+def series_ranking(cmp: DataFrame, *, region_col: str = "region",
+                   pct_col: str = "price_spread_pct", places: int = 4) -> DataFrame:
+    """F7 for any number of series: :func:`region_ranking` without a one-task window."""
+    g = cmp.groupBy(region_col).agg(
+        round_half_away(F.avg(pct_col), places).alias("avg_spread_pct"),
+        F.min(pct_col).alias("min_spread_pct"), F.max(pct_col).alias("max_spread_pct"),
+        F.count(F.col(pct_col)).alias("n_weeks"))
+    # Written once: the ranges and the rows that get their ranks are the same values.
+    g, _ = staged(g, "ranking")
+    return ranked(g, "avg_spread_pct", name="spread_rank")
+
+
 def label_share(df: DataFrame, *, label_col: str, places: int = 2) -> DataFrame:
     """percent of rows per label. The total is a scalar subquery."""
     total = df.select(F.count(F.lit(1))).scalar()
