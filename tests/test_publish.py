@@ -77,3 +77,75 @@ def test_load_empty_is_noop_and_failure_keeps_version(spark, workdir):
         load(t, dup, ["week_date", "region"])                      # repeated key: abort
     assert committed_versions(spark, t) == [0]
     assert read_version(spark, t).count() == 1
+
+
+def test_a_writer_that_died_blocks_nobody(spark, workdir):
+    """An empty version file is no version and keeps no number; nor does a half-made one."""
+    t = os.path.join(workdir, "tbl")
+    publish(spark.range(3), t)
+    open(os.path.join(t, "_versions", "1"), "w").close()
+    open(os.path.join(t, "_versions", ".half"), "w").close()
+    assert committed_versions(spark, t) == [0]
+    assert publish(spark.range(4), t) == 1 and publish(spark.range(5), t) == 2
+    assert [read_version(spark, t, n).count() for n in range(3)] == [3, 4, 5]
+    assert not [f for f in os.listdir(os.path.join(t, "_versions"))
+                if f.startswith(".") and not f.endswith(".crc") and f != ".half"]
+
+
+def test_version_file_appears_whole(spark, workdir, monkeypatch):
+    """A writer that dies while it writes the marker leaves no version."""
+    t = os.path.join(workdir, "tbl")
+    publish(spark.range(3), t)
+    real = P._fs
+
+    class Broken:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def create(self, *a):
+            self.fs.create(*a).close()  # an empty file, then the writer is gone
+            raise OSError("lost")
+
+    monkeypatch.setattr(P, "_fs", lambda s, p: (lambda x: (Broken(x[0]), *x[1:]))(real(s, p)))
+    with pytest.raises(OSError):
+        publish(spark.range(9), t)
+    monkeypatch.setattr(P, "_fs", real)
+    assert committed_versions(spark, t) == [0] and read_version(spark, t).count() == 3
+    assert publish(spark.range(4), t) == 1
+
+
+def test_run_names_keep_apart(spark, workdir):
+    t = os.path.join(workdir, "log")
+    for run, n in (("r-1", 2), ("r1", 1), ("r/1 ä", 3), ("r-1", 4)):
+        P.append_run(spark.range(n), t, run)
+    P.append_run(spark.range(5), t)
+    P.append_run(spark.range(6), t)
+    got = spark.read.parquet(t)
+    assert {(r["run"], r["count"]) for r in got.groupBy("run").count().collect()} == {
+        ("r-1", 4), ("r1", 1), ("r/1 ä", 3), (None, 11)}
+
+
+def test_appended_rows_take_the_tables_types(spark, workdir):
+    t = os.path.join(workdir, "log")
+    P.append_run(spark.createDataFrame([(1, "a")], "n long, s string"), t, "one")
+    P.append_run(spark.createDataFrame([("b", 2)], "s string, n int"), t, "two")
+    got = spark.read.parquet(t).drop("run")
+    assert got.dtypes == [("n", "bigint"), ("s", "string")] and rows(got) == [(1, "a"), (2, "b")]
+    for odd in ("n long", "n long, s string, more int"):
+        with pytest.raises(ValueError):
+            P.append_run(spark.createDataFrame([], odd), t, "three")
+    with pytest.raises(Exception):  # a value that does not fit is no NULL
+        P.append_run(spark.createDataFrame([("x", "c")], "n string, s string"), t, "four")
+    assert spark.read.parquet(t).count() == 2
+
+
+def test_old_versions_go(spark, workdir):
+    t = os.path.join(workdir, "tbl")
+    for n in range(4):
+        publish(spark.range(n), t)
+    assert P.drop_old_versions(spark, t, keep=2) == [0, 1]
+    assert committed_versions(spark, t) == [2, 3] and len(os.listdir(os.path.join(t, "data"))) == 2
+    assert publish(spark.range(9), t) == 4 and read_version(spark, t, 2).count() == 2

@@ -162,3 +162,31 @@ def test_history_survives_a_crash_in_any_write(spark, workdir, monkeypatch):
     expected = H.snapshot(H.initial_history(table(spark, r1), keys), table(spark, r2), keys,
                           run_ts="2026-01-12 00:00:00")
     assert rows(got, *expected.columns) == rows(expected)
+
+
+def test_history_survives_a_dead_writers_marker(spark, workdir):
+    """An empty run marker is no finished run: the last one stays whole and the retry counts."""
+    import os
+    hdir, keys = os.path.join(workdir, "hist"), ["week_date", "region"]
+    r1 = [(D[0], "US", 1.0, T0), (D[1], "US", 2.0, T0)]
+    r2 = [(D[0], "US", 1.0, T0)]
+    H.snapshot_table(spark, hdir, table(spark, r1), keys, run_ts="2026-01-05 00:00:00")
+    open(os.path.join(hdir, "_runs", "20260112000000"), "w").close()
+    assert H.read_history(spark, hdir).count() == 2
+    assert H.snapshot_table(spark, hdir, table(spark, r2), keys, run_ts="2026-01-12 00:00:00")
+    expected = H.snapshot(H.initial_history(table(spark, r1), keys), table(spark, r2), keys,
+                          run_ts="2026-01-12 00:00:00")
+    assert rows(H.read_history(spark, hdir), *expected.columns) == rows(expected)
+
+
+def test_history_run_overtaken_by_another_writer(spark, workdir, monkeypatch):
+    """Another writer finishes the same run first: ours raises, nothing is deleted."""
+    import os
+    import pytest
+    hdir, keys = os.path.join(workdir, "hist"), ["week_date", "region"]
+    r1 = [(D[0], "US", 1.0, T0), (D[1], "US", 2.0, T0)]
+    H.snapshot_table(spark, hdir, table(spark, r1), keys, run_ts="2026-01-05 00:00:00")
+    monkeypatch.setattr(H, "create_once", lambda *a: False)
+    with pytest.raises(H.ConcurrentWrite):
+        H.snapshot_table(spark, hdir, table(spark, r1[:1]), keys, run_ts="2026-01-12 00:00:00")
+    assert H.read_history(spark, hdir).count() == 2

@@ -48,6 +48,9 @@ SPARK = {
     "forecast_bands": lambda s, d: BD.forecast_bands(
         fx.many_series(s, d), horizon=HORIZON, folds=BAND_FOLDS, stride=BAND_STRIDE,
         min_rows=BAND_ROWS, level=LEVEL),
+    "forecast_skipped": lambda s, d: FC.skip_reasons(
+        fx.many_series(s, d), SPARK["forecast_smoothing_fixed"](s, d), series_col="series",
+        target_col="price", least=2 * SEASON + 4),
 }
 
 _NUMBERED = """n AS (
@@ -203,4 +206,8 @@ def sql(metrics) -> dict[str, str]:
         "backtest_folds_drift": sql_folds(_DRIFT, metrics(("fold",))),
         "backtest_folds_trend": sql_folds(_TREND, metrics(("fold",))),
         "forecast_bands": sql_bands(),
+        "forecast_skipped": W(O.FX_MANY) + f"""SELECT series, count(*) AS n_rows,
+  count(price) AS n_values, CASE WHEN count(price) = 0 THEN 'no value'
+    ELSE 'fewer than {2 * SEASON + 4} values' END AS reason
+FROM fx_many GROUP BY series HAVING count(price) < {2 * SEASON + 4}""",
     }

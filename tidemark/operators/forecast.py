@@ -14,7 +14,8 @@ Fitting is a ``groupBy(series)`` whose aggregates are all partial, so a
 series holding a third of all rows is still combined map-side. The horizon
 is produced by ``explode(sequence(1, h))`` on the one-row-per-series fit
 (at most ``h`` rows per series, no cross join). Series too short to fit are
-skipped, like the reference's ON_ERROR SKIP; :func:`skipped_series` lists them.
+skipped, like the reference's ON_ERROR SKIP; :func:`skipped_series` lists them and
+:func:`skip_reasons` says why.
 """
 
 from __future__ import annotations
@@ -126,6 +127,21 @@ def skipped_series(train: DataFrame, forecast: DataFrame, *, series_col: str) ->
     return train.select(series_col).distinct().join(have, on=series_col, how="left_anti")
 
 
+def skip_reasons(table: DataFrame, forecast: DataFrame, *, series_col: str, target_col: str,
+                 least: int = 3) -> DataFrame:
+    """The series of ``table`` that ``forecast`` leaves out, with the reason: ``no value``,
+    ``fewer than N values`` for a model that needs ``least``, or ``no fit``."""
+    have = forecast.select(clean_series_name("series").alias("_have")).distinct()
+    counts = table.groupBy(series_col).agg(F.count(F.lit(1)).alias("n_rows"),
+                                           F.count(target_col).alias("n_values"))
+    name = clean_series_name(F.col(series_col).cast("string"))
+    reason = (F.when(F.col("n_values") == 0, F.lit("no value"))
+              .when(F.col("n_values") < least, F.lit(f"fewer than {least} values"))
+              .otherwise(F.lit("no fit")))
+    return (counts.join(have, name.eqNullSafe(F.col("_have")), "left_anti")
+            .select(F.col(series_col).alias("series"), "n_rows", "n_values", reason.alias("reason")))
+
+
 def clean_series_name(c="series"):
     """Strip double quotes from series names."""
     return F.regexp_replace(F.col(c) if isinstance(c, str) else c, '"', "")

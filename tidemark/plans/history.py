@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.plans.publish import _fs, create_once
+from tidemark.plans.publish import ConcurrentWrite, _fs, create_once
 
 META = ("scd_id", "updated_at", "valid_from", "valid_to")
 
@@ -144,7 +144,8 @@ def _runs(spark, history_dir: str) -> list[str]:
     fs, root, _ = _fs(spark, f"{history_dir.rstrip('/')}/_runs")
     if not fs.exists(root):
         return []
-    return sorted(st.getPath().getName() for st in fs.listStatus(root) if st.getLen() > 0)
+    return sorted(st.getPath().getName() for st in fs.listStatus(root)
+                  if st.getLen() > 0 and not st.getPath().getName().startswith("."))
 
 
 def read_history(spark, history_dir: str) -> DataFrame | None:
@@ -183,9 +184,11 @@ def snapshot_table(spark, history_dir: str, source: DataFrame, keys: Sequence[st
     is_open = F.col("valid_to").isNull()
     out.filter(~is_open).write.mode("overwrite").parquet(f"{root}/closed/run={tag}")
     out.filter(is_open).write.mode("overwrite").parquet(f"{root}/current/run={tag}")
-    create_once(spark, f"{root}/_runs/{tag}", "done")
     discard()
-    if runs:
+    if not create_once(spark, f"{root}/_runs/{tag}", "done"):
+        raise ConcurrentWrite(f"run {tag} of {history_dir} has another writer")
+    # The open versions before this run go only when readers see those after it.
+    if runs and _runs(spark, history_dir)[-1] == tag:
         fs, path, _ = _fs(spark, f"{root}/current/run={runs[-1]}")
         fs.delete(path, True)
     return True

@@ -5,16 +5,21 @@ A table is a folder with data folders and one small file per committed version:
     <table>/data/<unique>/      what one attempt wrote
     <table>/_versions/<n>       names the data folder of version n
 
-The version file is made last, and only if it does not exist yet. So
+The version file is written under another name and renamed when it is whole. So
 
-* a load that fails before commit leaves no visible change (rollback);
+* a load that fails before commit leaves no visible change (rollback), wherever it
+  dies: a half-written file never has a version's name;
 * readers always see one complete version (the highest);
 * of two writers that start from one version only one commits; the other's
   attempt raises :class:`ConcurrentWrite` and nothing of it is visible;
 * a retried load writes a folder of its own.
 
-Only folder listing happens on the driver (Hadoop FileSystem API, so the same
-code works on HDFS, object stores and local disk).
+The guard between writers is the file system's rename, which does not replace a file: that
+is atomic on HDFS. On a local disk the test and the rename are two steps, and most object
+stores have no such rename: there, let one writer at a time load a table.
+
+Only folder listing happens on the driver (Hadoop file API, so the same code works on
+HDFS, object stores and local disk).
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 class ConcurrentWrite(RuntimeError):
@@ -45,18 +51,33 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def create_once(spark: SparkSession, path: str, text: str) -> bool:
-    """Make a file with ``text``; False if it exists already."""
+    """Make a file with ``text``; False if there is one already.
+
+    It gets its name when it is whole. An empty file under that name is none of ours
+    (a writer of another kind died on it) and makes way.
+    """
     fs, hpath, jvm = _fs(spark, path)
-    try:
-        stream = fs.create(hpath, False)
-    except Exception as e:  # the file system's own exception arrives through py4j
-        if fs.exists(hpath):
+    if fs.exists(hpath):
+        if fs.getFileStatus(hpath).getLen() > 0:
             return False
-        raise e
+        fs.delete(hpath, False)
+    part = jvm.org.apache.hadoop.fs.Path(hpath.getParent(), f".{uuid.uuid4().hex}")
+    stream = fs.create(part, False)
     try:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
+    plain = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        part, hpath = fs.makeQualified(part), fs.makeQualified(hpath)
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            part.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+        context.rename(part, hpath, plain)  # fails where the target exists
+    except Exception as e:  # the file system's own exception arrives through py4j
+        fs.delete(part, False)
+        if fs.exists(hpath):
+            return False
+        raise e
     return True
 
 
@@ -111,14 +132,50 @@ def read_version(spark: SparkSession, table_dir: str, version: int | None = None
     return reader.parquet(version_path(spark, table_dir, version))
 
 
-def append_run(df: DataFrame, table_dir: str, run: str | None = None) -> None:
-    """Append-only log table (B5). With ``run`` the rows go to a folder of that
-    run, and a repeated run replaces them instead of adding them twice."""
+def drop_old_versions(spark: SparkSession, table_dir: str, keep: int = 2) -> list[int]:
+    """Delete the data of all but the newest ``keep`` versions and return their numbers.
+    Readers of a version that goes fail, so keep as many as reads may be behind."""
+    if keep < 1:
+        raise ValueError("the newest version stays")
+    old = committed_versions(spark, table_dir)[:-keep]
+    for n in old:
+        path = version_path(spark, table_dir, n)
+        fs, marker, _ = _fs(spark, f"{table_dir.rstrip('/')}/_versions/{n}")
+        fs.delete(marker, False)  # first, so that no reader starts on it
+        fs.delete(_fs(spark, path)[1], True)
+    return old
+
+
+def append_run(df: DataFrame, table_dir: str, run: str | None = None,
+               schema: StructType | None = None) -> None:
+    """Append-only log table (B5), typed like the table (its typed clone).
+
+    Rows are brought to ``schema``, or else to that of the rows already there: columns are put
+    in its order and cast; a missing or unknown column raises, so one frame cannot make the
+    table a mixed one. With ``run`` the rows go to a folder of that run, and a repeated run
+    replaces them instead of adding them twice.
+    """
+    spark, root = df.sparkSession, table_dir.rstrip("/")
+    if schema is None:
+        schema = _log_schema(spark, root)
+    if schema is not None:
+        odd = {f.name for f in schema.fields} ^ set(df.columns)
+        if odd:
+            raise ValueError(f"columns {sorted(odd)} are in the rows or in {table_dir}, not in both")
+        df = df.select(*(df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields))
     if run is None:
-        df.write.mode("append").parquet(table_dir)
-    else:
-        tag = "".join(ch for ch in run if ch.isalnum())
-        df.write.mode("overwrite").parquet(f"{table_dir.rstrip('/')}/run={tag}")
+        df.write.mode("append").parquet(f"{root}/run=__HIVE_DEFAULT_PARTITION__")  # run is NULL
+    else:  # escaped as Spark reads partition values, so no two names share a folder
+        name = "".join(c if ord(c) > 127 or c.isalnum() or c in "-_" else f"%{ord(c):02X}" for c in run)
+        df.write.mode("overwrite").parquet(f"{root}/run={name}")
+
+
+def _log_schema(spark: SparkSession, root: str) -> StructType | None:
+    fs, path, _ = _fs(spark, root)
+    if not fs.exists(path) or not any(st.getPath().getName().startswith("run=")
+                                      for st in fs.listStatus(path)):
+        return None
+    return StructType([f for f in spark.read.parquet(root).schema.fields if f.name != "run"])
 
 
 def replace_view(df: DataFrame, name: str) -> DataFrame:

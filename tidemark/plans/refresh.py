@@ -99,7 +99,8 @@ def refresh_warehouse(spark: SparkSession, warehouse: str, *, national: DataFram
     bt = MT.backtest_drift(train, series_col="region", target_col="regular",
                            horizon=horizon, level=level)
     append_run(conform(MT.error_metrics(bt, series_col="region", run_ts=run_ts), METRICS),
-               f"{root}/forecast_metrics", run_ts)
-    skipped = FC.skipped_series(pub["fuel_prices"], fc_pub, series_col="region")
+               f"{root}/forecast_metrics", run_ts, schema=METRICS)
+    skipped = FC.skip_reasons(pub["fuel_prices"], fc_pub, series_col="region",
+                              target_col="regular")
     versions["fuel_price_skipped"] = publish(skipped, f"{root}/fuel_price_skipped")
     return versions
