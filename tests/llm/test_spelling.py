@@ -84,6 +84,18 @@ def test_odd_rows(odd, clashing, empty, frame):
     assert run(frame(long)) == brute(counted(long))
 
 
+def test_words_of_any_length_meet(spark):
+    """Short and long words take different ways; pairs across the border are found."""
+    rng = random.Random(8)
+    base = ["".join(rng.choices("abcé", k=n)) for n in (4, 5, 7, 8, 9, 10, 20, 63, 64, 65, 66, 200)]
+    table = {w + t: rng.randint(1, 9) for w in base for t in ("", "a", "b", "bb")}
+    df = spark.createDataFrame(list(table.items()), "word string, n long")
+    expected = {(a, b) for a in table for b in table if is_near(a, b)}
+    for border in (6, 8, 64):
+        got = spelling.near_pairs(df, long_word=border).select("a", "b").collect()
+        assert len(got) == len(expected) and {tuple(r) for r in got} == expected
+
+
 def test_ties_and_short_words(spark):
     table = [("kappe", 4), ("kappa", 8), ("kappo", 8), ("kapp", 8), ("ab", 3), ("abc", 9), ("", 1)]
     found = rows(spelling.variants(spark.createDataFrame(table, "word string, n long")))

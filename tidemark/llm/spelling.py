@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -187,40 +188,57 @@ def prefix_keys(word: str, grams: Grams) -> tuple[int, list[int]]:
     return last, list(out)
 
 
-def near_pairs(words: DataFrame) -> DataFrame:
+def _keyed(words: DataFrame, keys: Callable, carried: tuple[str, ...], side: str) -> DataFrame:
+    """``key`` and ``<side>_last`` for each key of every word, with the columns ``carried``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for first in range(0, whole.num_rows, 1000):
+                b = whole.slice(first, 1000)
+                found = [keys(w) for w in b.column(0).to_pylist()]
+                size = [len(k) for _, k in found]
+                owner = pa.array(np.repeat(np.arange(len(found)), size))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.fromiter((x for _, k in found for x in k), np.int64, sum(size))),
+                     pa.array(np.repeat([last for last, _ in found], size), pa.int64()),
+                     *(b.column(k + 1).take(owner) for k in range(len(carried)))],
+                    names)
+
+    names = ["key", f"{side}_last", *(f"{side}_{c}" for c in carried)]
+    types = dict(words.dtypes)
+    schema = ", ".join(["key long", f"{side}_last long",
+                        *(f"{side}_{c} {types[c]}" for c in carried)])
+    return words.select("word", *(F.col(c).alias(f"c{k}") for k, c in enumerate(carried))
+                        ).mapInArrow(run, schema)
+
+
+def near_pairs(words: DataFrame, *, long_word: int = 64) -> DataFrame:
     """``(a, a_n, b, b_n)``: every pair of distinct ``words`` (``word``, ``n``; each word
-    once) at edit distance one, in both orders."""
+    once) at edit distance one, in both orders.
+
+    A word has some keys for each of its code points. Words up to ``long_word`` code points
+    go with their keys; for longer ones a number does, and they are looked up for the
+    pairs that meet.
+    """
     grams = Grams(gram_counts(words))
-    # Numbers stand for the words in the index, as a word has keys in its length.
-    words = save(words.where(F.length("word") >= _Q * (_EDITS + 1)).select(
-        F.monotonically_increasing_id().alias("id"), "word", "n"), "numbered")
-
-    def keyed(keys, id_name, last_name):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for first in range(0, whole.num_rows, 1000):
-                    b = whole.slice(first, 1000)
-                    found = [keys(w, grams) for w in b.column(1).to_pylist()]
-                    size = [len(k) for _, k in found]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.fromiter((x for _, k in found for x in k), np.int64, sum(size))),
-                         pa.array(np.repeat([last for last, _ in found], size), pa.int64()),
-                         pa.array(np.repeat(b.column(0).to_numpy(), size))],
-                        ["key", last_name, id_name])
-
-        return words.select("id", "word").mapInArrow(
-            run, f"key long, {last_name} long, {id_name} long")
+    ways = (partial(pivot_keys, grams=grams), partial(prefix_keys, grams=grams))
+    size, far = F.length("word"), F.levenshtein("a_word", "b_word", _EDITS)
 
     # No key is hot: it holds nearly a whole word. The words' table grows with the corpus, so
     # these are shuffle joins at every size.
-    pairs = (keyed(pivot_keys, "a", "a_last").join(
-        keyed(prefix_keys, "b", "b_last").hint("merge"), "key")
-        .where((F.col("a") != F.col("b")) & (F.col("a_last") <= F.col("b_last")))
-        .select("a", "b").distinct())
-    left, right = (words.select(F.col("id").alias(x), F.col("word").alias(f"{x}_word"),
-                                F.col("n").alias(f"{x}_n")) for x in "ab")
-    near = F.levenshtein(F.col("a_word"), F.col("b_word"), _EDITS) == _EDITS
-    found = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(near)
+    def met(table, carried, differ):
+        a, b = (_keyed(table, k, carried, x) for k, x in zip(ways, "ab"))
+        return a.join(b.hint("merge"), "key").where(
+            (F.col("a_last") <= F.col("b_last")) & differ).drop("key", "a_last", "b_last")
+
+    short = words.where((size >= _Q * (_EDITS + 1)) & (size <= long_word + 1))
+    found = met(short, ("word", "n"), (far == _EDITS))
+    numbered = save(words.where(size >= long_word).select(
+        F.monotonically_increasing_id().alias("id"), "word", "n"), "long-words")
+    pairs = met(numbered, ("id",), F.col("a_id") != F.col("b_id")).distinct()
+    for x in "ab":
+        pairs = pairs.join(numbered.select(*(F.col(c).alias(f"{x}_{c}") for c in numbered.columns))
+                           .hint("merge"), f"{x}_id").drop(f"{x}_id")
+    found = found.unionByName(pairs.where(far == _EDITS))
     both = F.explode(F.array(*(F.struct(
         F.col(f"{x}_word").alias("a"), F.col(f"{x}_n").alias("a_n"),
         F.col(f"{y}_word").alias("b"), F.col(f"{y}_n").alias("b_n")) for x, y in ("ab", "ba"))))
