@@ -42,7 +42,7 @@ def test_memory_of_words_is_bounded():
         texts = [f"word{k} again{j} and more of them {j * k}" for j in range(5)]
         ids, off = enc(pa.array(texts))
         assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == library(texts, NAMES[1])
-    assert len(enc.memo) < 60
+    assert len(enc.known) == len(enc.ids) < 60
 
 
 def test_token_files_round_trip(odd, clashing, empty, spark):
@@ -137,3 +137,16 @@ def test_nnls_fits_an_exact_histogram():
     fit = dict(zip(map(tuple, pats.tolist()), x))
     assert fit[32, 16, 0] == pytest.approx(100, abs=0.5)
     assert fit[16, 16, 16] == pytest.approx(10, abs=0.5)
+
+
+@pytest.mark.parametrize("n", [10_000, 60_000])
+def test_patterns_place_most_pieces(n):
+    """Long-tailed lengths: patterns do the packing, best fit the rest, in no more sequences."""
+    lens = np.clip(np.exp(np.random.default_rng(n).normal(5.6, 1.0, n)), 2, None).astype(int)
+    hist = np.bincount((lens - 1) % 1024 + 1, minlength=1025)
+    hist[1024] += int(((lens - 1) // 1024).sum())
+    out, left = packing.fitted(hist, 1024)
+    assert left.sum() <= 0.15 * hist.sum()
+    alone = sum(k for _, k in packing.best_fit(hist, 1024))
+    assert sum(k for _, k in packing.plan(hist, 1024)) <= 1.001 * alone + 2
+    assert sum(k for _, k in out) * 1024 >= sum(k * sum(p) for p, k in out)

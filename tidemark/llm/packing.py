@@ -6,10 +6,11 @@ piece lengths, at most ``capacity`` numbers, reaches the driver. There
 
 1. patterns are listed: all multisets of up to three present lengths that fill
    a sequence exactly (a length in none of them gets one that nothing more fits into),
-2. repeat counts ``x >= 0`` minimise ``|W (A x - histogram)|^2`` (accelerated
-   projected gradient over the sparse ``A``), a length weighted by its share of
-   a sequence: a long piece left over costs a sequence, a short one fills a gap,
-3. counts are rounded down, never above what is left of a length,
+2. repeat counts ``x >= 0`` minimise ``|W (A x - histogram)|^2`` by an active set, which
+   ends at fewer patterns than lengths; long lengths weigh more: a long piece left over
+   costs a sequence, a short one fills a gap,
+3. counts are rounded, never above what is left of a length, and what rounding leaves is
+   fitted in the same way while that places pieces in number,
 4. residual lengths are packed best fit, longest first, on counts.
 
 The plan (patterns with counts) is turned into slots by length and rank, and
@@ -104,33 +105,46 @@ def patterns(present: np.ndarray, capacity: int) -> np.ndarray:
     return np.concatenate([pats, np.unique(more, axis=0)]) if more else pats
 
 
-def nnls(pats: np.ndarray, hist: np.ndarray, rounds: int = 400) -> np.ndarray:
-    """Repeat counts >= 0 that fit ``hist`` in weighted least squares."""
+def nnls(pats: np.ndarray, hist: np.ndarray, rounds: int = 6, close: float = 1e-3) -> np.ndarray:
+    """Repeat counts >= 0 that fit ``hist`` in weighted least squares, few of them above zero.
+
+    Active set: of the patterns that the residual asks for, the ones asked for most with each
+    longest and with each shortest length join the set; the set is solved by normal
+    equations; what becomes negative leaves it. So counts gather on fewer patterns than
+    there are lengths, and rounding them loses little. Ends after ``rounds`` or when the
+    residual is ``close`` to nothing.
+    """
     n = len(hist)
-    weight = np.arange(n) / (n - 1)
+    weight = np.r_[0.0, 0.3 + 0.7 * np.arange(1, n) / (n - 1)]  # zeros fill short patterns
     goal = hist * weight
-
-    def up(x):  # W A x; the zeros that fill short patterns weigh nothing
-        return np.bincount(pats.ravel(), np.repeat(x, 3), n) * weight
-
-    def down(r):  # A' W r
-        return (r * weight)[pats].sum(1)
-
-    # Power iteration gives the step size.
-    v = np.ones(len(pats))
-    for _ in range(20):
-        v = down(up(v))
-        norm = np.linalg.norm(v)
-        v /= norm
-    step = 1 / (1.05 * norm)
-    x = np.zeros(len(pats))
-    y, t = x, 1.0
+    chosen, x, left = np.empty(0, np.int64), np.empty(0), goal
     for _ in range(rounds):
-        new = np.maximum(0, y - step * down(up(y) - goal))
-        t2 = (1 + (1 + 4 * t * t) ** 0.5) / 2
-        y = new + (t - 1) / t2 * (new - x)
-        x, t = new, t2
-    return x
+        asked = (left * weight)[pats].sum(1)
+        most = []
+        for end in (pats[:, 0], pats[:, 2]):
+            order = np.lexsort((asked, end))
+            most.append(order[np.r_[end[order[1:]] != end[order[:-1]], True]])
+        new = np.unique(np.concatenate(most))
+        new = np.setdiff1d(new[asked[new] > 1e-9 * (goal @ goal)], chosen)
+        if not len(new):
+            break
+        chosen = np.concatenate([chosen, new])
+        while len(chosen):
+            own = np.zeros((n, len(chosen)))
+            np.add.at(own, (pats[chosen].ravel(), np.repeat(np.arange(len(chosen)), 3)), 1.0)
+            own *= weight[:, None]
+            square = own.T @ own
+            square[np.diag_indices_from(square)] += 1e-9
+            x = np.linalg.solve(square, own.T @ goal)
+            if (x > 0).all():
+                break
+            chosen = chosen[x > 0]
+        left = goal - (own @ x if len(chosen) else 0)
+        if not len(chosen) or left @ left <= close ** 2 * (goal @ goal):
+            break
+    out = np.zeros(len(pats))
+    out[chosen] = x[:len(chosen)]
+    return out
 
 
 def best_fit(hist: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -159,19 +173,19 @@ def best_fit(hist: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int
     return [(tuple(p), n) for group in open_.values() for p, n in group]
 
 
-def plan(hist: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """``(lengths of a sequence, how many such sequences)`` for the histogram."""
-    hist = np.asarray(hist, np.int64)
-    left = hist.copy()
-    left[0] = 0
-    out = []
-    present = np.flatnonzero(left)
-    pats = patterns(present, capacity) if len(present) else np.empty((0, 3), np.int64)
-    if len(pats):
+def fitted(hist: np.ndarray, capacity: int, least: float = 0.01) -> tuple[list, np.ndarray]:
+    """Patterns with counts, and what they leave of ``hist``. The residual of rounding is
+    fitted again as long as that places the share ``least`` of all pieces."""
+    left, out, total = hist.copy(), [], int(hist.sum())
+    while left.any():
+        before = int(left.sum())
+        pats = patterns(np.flatnonzero(left), capacity)
+        if not len(pats):
+            break
         x = nnls(pats, left.astype(float))
         # Longest lengths first: they fit least patterns.
         for k in np.lexsort((-pats[:, 1], -pats[:, 0])):
-            n = int(x[k])
+            n = int(x[k] + 0.5)
             if n == 0:
                 continue
             lens, need = np.unique(pats[k][pats[k] > 0], return_counts=True)
@@ -179,6 +193,16 @@ def plan(hist: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
             if n > 0:
                 left[lens] -= n * need
                 out.append((tuple(int(v) for v in pats[k] if v), n))
+        if before - int(left.sum()) < least * total:
+            break
+    return out, left
+
+
+def plan(hist: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """``(lengths of a sequence, how many such sequences)`` for the histogram."""
+    left = np.asarray(hist, np.int64).copy()
+    left[0] = 0
+    out, left = fitted(left, capacity)
     return out + best_fit(left, capacity)
 
 
@@ -214,7 +238,8 @@ def pack(piece_table: DataFrame, capacity: int = 1024) -> DataFrame:
         Window.unboundedPreceding, -1)
     base = counts.select("task", "length", F.coalesce(
         F.sum("count").over(before), F.lit(0)).cast("long").alias("base"))
-    out = piece_table.join(base, ["task", "length"]).withColumn(
+    # The bases grow with the number of tasks: a shuffle join at every size.
+    out = piece_table.join(base.hint("merge"), ["task", "length"]).withColumn(
         "rank", F.col("base") + F.col("nth")).drop("base", "task", "nth")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
