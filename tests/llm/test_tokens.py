@@ -73,6 +73,29 @@ def test_sequences_and_masks(odd):
             token_files.sequence(r["path"], n)
 
 
+def test_random_access_over_many_batches(frame):
+    texts = [(i, "a b c d e f g h " * (i % 7 + 1)) for i in range(900)]
+    manifest = token_files.write(frame(texts), tokens.default_path(NAMES[1]), seq_len=16)
+    r = manifest.orderBy("part").first()
+    reader = pa.ipc.open_file(pa.memory_map(r["path"].removeprefix("file://")))
+    sizes = [reader.get_batch(k).num_rows for k in range(reader.num_record_batches)]
+    assert len(sizes) > 1 and set(sizes[:-1]) == {token_files._BATCH}
+    flat = np.concatenate([reader.get_batch(k).column("ids").flatten().to_numpy() for k in range(len(sizes))])
+    for k in (0, 255, 256, sum(sizes) - 1):
+        ids, mask = token_files.sequence(r["path"], k)
+        assert ids.tolist() == flat[16 * k:16 * k + 16].tolist()
+        assert not ids.flags.owndata and not mask.flags.owndata
+
+
+def test_wide_ids_do_not_wrap(frame):
+    """An end id beyond 16 bits makes the ids 32 bits wide."""
+    manifest = token_files.write(frame([(1, "a b"), (2, None)]), tokens.default_path(NAMES[1]),
+                                 end_id=70_000, seq_len=16)
+    got = {r["doc_id"]: np.frombuffer(bytes(r["ids"]), "<u4").tolist()
+           for r in token_files.read(manifest).collect()}
+    assert got == {1: library(["a b"], NAMES[1])[0] + [70_000], 2: [70_000]}
+
+
 def test_files_of_lost_attempts_are_not_read(odd):
     manifest = token_files.write(odd, tokens.default_path(NAMES[1]), seq_len=64)
     before = rows(token_files.read(manifest).select("doc_id", "start"))

@@ -4,13 +4,14 @@ Each file is in Arrow's random-access file format. A row is one sequence:
 
 * ``ids``: fixed-size list of ``seq_len`` token ids, 16 bits wide where the
   vocabulary allows, else 32,
-* ``mask``: fixed-size list of booleans, false on padding (only a file's last
-  sequence has any),
+* ``mask``: fixed-size list of bytes, 0 on padding (only a file's last sequence has
+  any), else 1,
 * ``docs``: which document has which part: ``(doc_id, at, n, left)``; ``left`` ids of
   that document follow in the next sequences.
 
-Columns are not compressed, so a memory-mapped file gives any sequence and its
-mask without copying (:func:`sequence`). Documents follow each other in
+Record batches hold ``_BATCH`` sequences each but the last, and columns are not
+compressed, so a memory-mapped file gives any sequence and its mask by place and
+without copying (:func:`sequence`). Documents follow each other in
 ascending ``doc_id`` (ties by text, null first), each ended by ``end_id``.
 
 Writing: a range partition of documents goes to files of its own, which stay
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import save, shared_path, shuffle_partitions
-from tidemark.llm.tokens import encoded
+from tidemark.llm.tokens import encoded, encoder
 
 MANIFEST = "path string, part int, file int, n_tokens long, n_docs long"
 _BATCH = 256  # sequences in a record batch
@@ -51,7 +52,7 @@ def schema(seq_len: int, vocab: int) -> pa.Schema:
     ids = pa.uint16() if vocab <= 1 << 16 else pa.uint32()
     return pa.schema([
         ("ids", pa.list_(pa.field("id", ids, nullable=False), seq_len)),
-        ("mask", pa.list_(pa.field("real", pa.bool_(), nullable=False), seq_len)),
+        ("mask", pa.list_(pa.field("real", pa.uint8(), nullable=False), seq_len)),
         ("docs", pa.list_(pa.struct([("doc_id", pa.int64()), ("at", pa.int32()),
                                      ("n", pa.int32()), ("left", pa.int32())]))),
     ])
@@ -76,8 +77,9 @@ class _Writer:
         self.n_held += len(ids)
         self.n_tokens += len(ids)
         self.n_docs += 1
-        if self.n_held >= _BATCH * self.seq_len:
-            self._flush(self.n_held // self.seq_len * self.seq_len)
+        whole = _BATCH * self.seq_len
+        if self.n_held >= whole:
+            self._flush(self.n_held // whole * whole)
 
     def _flush(self, n: int) -> None:
         """Write the first ``n`` held ids, padded to whole sequences."""
@@ -100,7 +102,7 @@ class _Writer:
                 rest.append((doc_id, start, size))
         self.docs, self.written = rest, first + n
         lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), type=self.schema.field(k).type)
-                 for k, x in (("ids", flat), ("mask", np.arange(len(flat)) < n))]
+                 for k, x in (("ids", flat), ("mask", (np.arange(len(flat)) < n).astype(np.uint8)))]
         names = ("doc_id", "at", "n", "left")
         docs = [[dict(zip(names, p)) for p in row] for row in parts]
         batch = pa.record_batch([*lists, pa.array(docs, self.schema.field("docs").type)],
@@ -116,8 +118,9 @@ class _Writer:
 
 
 def write(docs: DataFrame, tokenizer: str, *, end_id: int = 2, seq_len: int = 2048,
-          file_tokens: int = 8_000_000, vocab: int = 49_408) -> DataFrame:
-    """Write all of ``docs`` (``doc_id``, ``text``); return the manifest.
+          file_tokens: int = 8_000_000) -> DataFrame:
+    """Write all of ``docs`` (``doc_id``, ``text``); return the manifest. The width of ids
+    follows from the tokenizer's largest one.
 
     ``start`` in the manifest is the number of ids before a file's first one.
     """
@@ -127,6 +130,7 @@ def write(docs: DataFrame, tokenizer: str, *, end_id: int = 2, seq_len: int = 20
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, out, files = TaskContext.get().partitionId(), None, 0
         end = np.array([end_id], np.uint32)
+        vocab = max(encoder(tokenizer).max_id, end_id) + 1
 
         def closed(w):
             w.close()
@@ -203,14 +207,12 @@ def _documents(reader, base: int) -> Iterator[pa.RecordBatch]:
 
 
 def sequence(path: str, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids (a view of the mapped file) and mask of sequence ``k`` of a local file."""
+    """Ids and mask (views of the mapped file) of sequence ``k`` of a local file."""
     reader = pa.ipc.open_file(pa.memory_map(path.removeprefix("file://")))
-    for i in range(reader.num_record_batches):
-        b = reader.get_batch(i)
-        if k < b.num_rows:
-            row = b.slice(k, 1)
-            return (row.column("ids").flatten().to_numpy(zero_copy_only=True),
-                    row.column("mask").flatten().to_numpy(zero_copy_only=False))
-        k -= b.num_rows
-    raise IndexError(k)
-
+    if not 0 <= k // _BATCH < reader.num_record_batches:
+        raise IndexError(k)
+    b, at = reader.get_batch(k // _BATCH), k % _BATCH
+    if at >= b.num_rows:
+        raise IndexError(k)
+    row = b.slice(at, 1)
+    return tuple(row.column(c).flatten().to_numpy(zero_copy_only=True) for c in ("ids", "mask"))

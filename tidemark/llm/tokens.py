@@ -52,6 +52,7 @@ class Encoder:
         self.ids = pa.array([], pa.list_(pa.uint32()))  # of the known words
         self.spaces = self._each(["a"])[0].tolist() != self._each([" a"])[0].tolist()
         names = [self.tok.id_to_token(i) or "" for i in range(self.tok.get_vocab_size())]
+        self.max_id = max(self.tok.get_vocab().values(), default=0)
         # Tokens that begin a word after a blank or line feed, or that end a word.
         self.edge = np.array([n.startswith(("Ġ", "Ċ")) if self.spaces
                               else n.endswith("</w>") for n in names])
