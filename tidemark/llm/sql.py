@@ -49,8 +49,10 @@ def _found(name: str, rank: int, kind: str, pattern: str, group: int = 0, where:
 
 
 def secret_scan(window: int = secrets.WINDOW) -> str:
-    limit = " ".join(f"WHEN regexp_matches(hit, {_q(p)}) THEN {bits}"
-                     for p, bits in secrets.CLASSES)
+    """Entropy here is counted anew for each window. A candidate's class is told by the
+    kinds of characters it has, not by the operator's patterns."""
+    kinds = {"digit": "0-9", "low": "a-z", "up": "A-Z", "sign": "+/_-", "above_f": "g-zG-Z"}
+    has = ", ".join(f"regexp_matches(rtrim(hit, '='), '[{c}]') AS {k}" for k, c in kinds.items())
     allowed = " OR ".join(f"regexp_matches(hit, {_q(p)})" for p in secrets.ALLOW)
     return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 {_found('assigned', 0, 'assign', secrets.ASSIGN, 2, ' AND length(vals[i]) >= 8')},
@@ -58,13 +60,17 @@ def secret_scan(window: int = secrets.WINDOW) -> str:
 {_found('hexes', 2, 'hex', secrets.HEX)},
 {_found('runs', 3, 'entropy', f'[A-Za-z0-9+/_-]{{{window},}}={{0,2}}')},
 base AS (SELECT * FROM assigned UNION ALL SELECT * FROM access UNION ALL SELECT * FROM hexes),
+classed AS (
+  SELECT *, CASE WHEN digit AND NOT (low OR up) THEN NULL WHEN NOT digit AND NOT (low AND up) THEN NULL
+    WHEN NOT digit AND sign THEN 4.2 WHEN NOT digit THEN 4.0
+    WHEN sign OR contains(hit, '=') THEN 3.8 WHEN above_f THEN 3.7 ELSE 3.0 END AS bits
+  FROM (SELECT *, {has} FROM runs WHERE NOT ({allowed}))),
 odd AS (
-  SELECT * FROM runs r
-  WHERE regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') AND NOT ({allowed})
-    AND list_max(list_transform(range(1, length(hit) - {window - 2}),
-      lambda k: list_entropy(string_split(substr(hit, k, {window}), '')))) >= (CASE {limit} END) - 1e-9
+  SELECT doc_id, rank, kind, hit, s FROM classed r
+  WHERE bits IS NOT NULL AND list_max(list_transform(range(1, length(hit) - {window - 2}),
+      lambda k: list_entropy(string_split(substr(hit, k, {window}), '')))) >= bits - 1e-9
     AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = r.doc_id
-      AND b.s < r.s + length(r.hit) AND r.s < b.s + length(b.hit))),
+      AND b.s <= r.s AND r.s + length(r.hit) <= b.s + length(b.hit))),
 spans AS (
   SELECT *, kind || ':' || s || ':' || (s + length(hit)) AS span
   FROM (SELECT * FROM base UNION ALL SELECT * FROM odd))
