@@ -4,8 +4,8 @@ Each file is in Arrow's random-access file format. A row is one sequence:
 
 * ``ids``: fixed-size list of ``seq_len`` token ids, 16 bits wide where the
   vocabulary allows, else 32,
-* ``mask``: fixed-size list of bytes, 0 on padding (only a file's last sequence has
-  any), else 1,
+* ``mask``: fixed-size list of ``seq_len // 8`` bytes, a bit for each id from the lowest
+  on, 0 on padding (only a file's last sequence has any),
 * ``docs``: which document has which part: ``(doc_id, at, n, left)``; ``left`` ids of
   that document follow in the next sequences.
 
@@ -49,10 +49,12 @@ def _open(path: str):
 
 
 def schema(seq_len: int, vocab: int) -> pa.Schema:
+    if seq_len % 8:
+        raise ValueError("masks are whole bytes: seq_len must be a multiple of 8")
     ids = pa.uint16() if vocab <= 1 << 16 else pa.uint32()
     return pa.schema([
         ("ids", pa.list_(pa.field("id", ids, nullable=False), seq_len)),
-        ("mask", pa.list_(pa.field("real", pa.uint8(), nullable=False), seq_len)),
+        ("mask", pa.list_(pa.field("real", pa.uint8(), nullable=False), seq_len // 8)),
         ("docs", pa.list_(pa.struct([("doc_id", pa.int64()), ("at", pa.int32()),
                                      ("n", pa.int32()), ("left", pa.int32())]))),
     ])
@@ -102,7 +104,7 @@ class _Writer:
                 rest.append((doc_id, start, size))
         self.docs, self.written = rest, first + n
         lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), type=self.schema.field(k).type)
-                 for k, x in (("ids", flat), ("mask", (np.arange(len(flat)) < n).astype(np.uint8)))]
+                 for k, x in (("ids", flat), ("mask", np.packbits(np.arange(len(flat)) < n, bitorder="little")))]
         names = ("doc_id", "at", "n", "left")
         docs = [[dict(zip(names, p)) for p in row] for row in parts]
         batch = pa.record_batch([*lists, pa.array(docs, self.schema.field("docs").type)],
@@ -207,7 +209,8 @@ def _documents(reader, base: int) -> Iterator[pa.RecordBatch]:
 
 
 def sequence(path: str, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask (views of the mapped file) of sequence ``k`` of a local file."""
+    """Ids and mask bits (views of the mapped file) of sequence ``k`` of a local file;
+    ``numpy.unpackbits(mask, bitorder="little")`` has a number for each id."""
     reader = pa.ipc.open_file(pa.memory_map(path.removeprefix("file://")))
     if not 0 <= k // _BATCH < reader.num_record_batches:
         raise IndexError(k)
