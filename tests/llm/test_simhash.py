@@ -95,6 +95,19 @@ def test_trie_links_of_crowded_blocks(spark, monkeypatch):
     assert {f: find(f) for f in fps} == components(fps)
 
 
+def test_a_crowded_root_is_split_by_need(spark, monkeypatch):
+    """Somewhat more keys than a node holds are copied a few times, not by the hundred."""
+    rng, n = random.Random(6), 2 * simhash.NODE + 100
+    keys = [(rng.getrandbits(48),) for _ in range(n)]  # one root: equal first 16 bits
+    members = spark.createDataFrame(keys, "key long").selectExpr("0L AS root", "0 AS r", "key")
+    tasks = simhash._split(members, 16, 3, n)
+    assert n <= tasks.count() <= 12 * n
+    assert tasks.select("task").distinct().count() <= 40
+    sizes = tasks.groupBy("task", "side").count().agg({"count": "max"}).first()[0]
+    assert sizes <= simhash.NODE
+    assert [simhash._bits(k * simhash.NODE) for k in (1.1, 2, 5, 10 ** 6)] == [1, 1, 3, 8]
+
+
 def test_walk_equals_all_pairs():
     rng = np.random.default_rng(0)
     keys = np.unique(rng.integers(0, 1 << 12, 300).astype(np.uint64))

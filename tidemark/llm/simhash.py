@@ -23,6 +23,7 @@ an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -205,12 +206,13 @@ def trie_links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
     turns = fps.select(F.explode(F.array(*turned)).alias("t")).select("t.r", "t.key")
     members = turns.withColumn("root", F.col("r") * F.lit(1 << width)
                                + _prefix(F.col("key"), width)).select("root", "r", "key")
-    heavy = save(members.groupBy("root").count().where(F.col("count") > NODE).select("root"),
-                 "roots")
+    heavy = save(members.groupBy("root").count().where(F.col("count") > NODE), "roots")
     tasks = members.select(F.col("root").alias("task"), (2 * F.col("r")).alias("side"), "key")
     if not heavy.isEmpty():
         tasks = tasks.join(heavy.select(F.col("root").alias("task")), "task", "left_anti")
-        split = _split(save(members.join(heavy, "root"), "crowded"), width, max_bits)
+        most = heavy.agg(F.max("count")).first()[0]
+        split = _split(save(members.join(heavy.select("root"), "root"), "crowded"), width,
+                       max_bits, most)
         tasks = tasks.unionByName(split)
     tasks = (tasks.repartition(shuffle_partitions(spark), "task")
              .sortWithinPartitions("task", "side", "key"))
@@ -218,19 +220,27 @@ def trie_links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
     return links
 
 
-def _split(members: DataFrame, width: int, budget: int) -> DataFrame:
-    """Tasks of node pairs below crowded roots, every node at most ``NODE`` keys."""
+def _bits(most: int) -> int:
+    """By how many bits to split so that nodes of ``most`` keys come near ``NODE``: each bit
+    more copies keys into more pairs of nodes."""
+    return min(max(math.ceil(math.log2(most / NODE)), 1), 8)
+
+
+def _split(members: DataFrame, width: int, budget: int, most: int) -> DataFrame:
+    """Tasks of node pairs below crowded roots, every node at most ``NODE`` keys; ``most``
+    is the number of keys of the largest root."""
     depth = width
     top = members.groupBy("root").agg(F.min(_prefix(F.col("key"), width)).alias("pa"))
     frontier = top.select("root", "pa", F.col("pa").alias("pb"))
     done = None
     while True:
-        depth = min(depth + 8, 64)
+        bits = min(_bits(most), 64 - depth)
+        depth += bits
         nodes = save(members.groupBy("root", _prefix(F.col("key"), depth).alias("p"))
                      .agg(F.count(F.lit(1)).alias("n")), "nodes")
 
         def child(col: str, as_col: str, n: str):
-            up = F.shiftrightunsigned("p", 8)
+            up = F.shiftrightunsigned("p", bits)
             return nodes.select("root", up.alias(col), F.col("p").alias(as_col),
                                 F.col("n").alias(n))
 
@@ -243,12 +253,13 @@ def _split(members: DataFrame, width: int, budget: int) -> DataFrame:
                                 F.lit(depth).alias("depth")), "pairs")
         small = step.where(F.col("most") <= NODE) if depth < 64 else step
         done = small if done is None else done.unionByName(small)
+        most = step.agg(F.max("most")).first()[0]
         frontier = step.where(F.col("most") > NODE).select("root", "pa", "pb")
-        if depth == 64 or frontier.isEmpty():
+        if depth == 64 or most is None or most <= NODE:
             break
     done = save(done.withColumn("task", F.lit(-1) - F.monotonically_increasing_id()), "pairs")
     parts = None
-    depths = [r[0] for r in done.select("depth").distinct().collect()]  # at most six
+    depths = [r[0] for r in done.select("depth").distinct().collect()]  # at most 48
     for d in depths:
         keyed = members.withColumn("p", _prefix(F.col("key"), d))
         at = done.where(F.col("depth") == d)
