@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import rows, words
 from tidemark.llm import substring_dedup
@@ -59,3 +60,11 @@ def test_odd_rows(odd, clashing, empty):
     assert rows(substring_dedup.dedup(odd)) == brute(docs)
     assert rows(substring_dedup.dedup(clashing)) == brute(docs)
     assert substring_dedup.dedup(empty).count() == 0
+
+
+def test_partitions_follow_the_data(spark, monkeypatch, odd):
+    """More windows than a task holds go to more partitions; the result stays."""
+    before = rows(substring_dedup.dedup(odd))
+    monkeypatch.setattr(substring_dedup, "GROUP", 500)
+    assert substring_dedup._groups(odd, F.octet_length("text") / 20) > 4
+    assert rows(substring_dedup.dedup(odd)) == before

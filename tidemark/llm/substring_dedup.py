@@ -9,8 +9,8 @@ internal nodes of depth ``WINDOW`` and more of the suffix tree of all texts, so:
    only if its least hash is met in two documents (about a fifth of the
    positions are shuffled, as 8-byte hashes).
 2. The suffixes left are put in groups by prefix: ``PREFIX`` (10) words, and one
-   word more at a time for prefixes with over ``CROWDED`` suffixes, so that a
-   group fits in a task's memory.
+   word more at a time for prefixes with over ``CROWDED`` suffixes, and dealt to as
+   many partitions as their number asks for, so that a group fits in a task's memory.
 3. Each group is one subtree per prefix: its suffixes are sorted by their next
    words, lengths of common prefixes of neighbours give the internal nodes, and
    a node of depth ``WINDOW`` names the documents under it. All but the
@@ -32,6 +32,7 @@ returned each; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +48,7 @@ WINDOW = 13
 PREFIX = 10
 GRAM = 5
 CROWDED = 200_000
+GROUP = 4_000_000  # hashes or suffixes that a task holds, about
 _U = np.uint64
 _M = _U(0xC2B2AE3D27D4EB4F)
 _SLICE = 8_000_000  # bytes of text that a task looks at together
@@ -130,9 +132,17 @@ def _named(docs: DataFrame) -> DataFrame:
                        F.col("text").cast("string").alias("text"))
 
 
+def _groups(rows: DataFrame, windows) -> int:
+    """How many partitions to deal ``windows`` (a sum over ``rows``) to, so that what one
+    task holds does not grow with the data."""
+    total = rows.agg(F.sum(windows)).first()[0] or 0
+    return max(shuffle_partitions(rows.sparkSession), math.ceil(total / GROUP))
+
+
 def repeated_hashes(docs: DataFrame) -> DataFrame:
     """``(doc_id, h)``: least hashes of a document's windows that another one has."""
-    n = shuffle_partitions(docs.sparkSession)
+    # About every fifth word sends a hash; a word has four bytes or more with its blank.
+    n = _groups(_named(docs), F.octet_length("text") / 20)
     buckets = 4 * n
     names, kinds = ["kind", "bucket", "h", "doc"], [pa.int32(), pa.int32(), pa.binary(),
                                                     pa.binary()]
@@ -273,7 +283,7 @@ def deep_nodes(prefix: np.ndarray, rest: np.ndarray, doc: np.ndarray) -> np.ndar
 
 def removed_windows(packed: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """``(doc_id, w)``: hashes of the windows that a document loses."""
-    n = shuffle_partitions(packed.sparkSession)
+    n = _groups(packed.where("kind = 0"), F.octet_length("prefix") / 8)
     buckets = 4 * n
     longer: list[np.ndarray] = []
     for extra in range(WINDOW - PREFIX):
