@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import DOCS, rows
@@ -38,6 +39,45 @@ def test_language_odd_rows(spark, odd, clashing, empty):
     assert {r["lang_pred"] for r in langid.predict(odd, None).collect()} == {"und"}
 
 
+def test_language_needs_a_letter(spark, frame):
+    """Digits in other forms, and letters that are numbers, are no letters."""
+    model = langid.train(spark.read.parquet(f"{SF}/documents.parquet"), F.lit(True), per_lang=60)
+    texts = ["½ 12 ² ① Ⅷ", "!? 1_2", "½ a ½", "ª", "٣", "我"]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"])
+           for r in langid.predict(frame(list(enumerate(texts))), model).collect()}
+    assert [got[k][0] == "und" for k in range(6)] == [True, True, False, False, True, False]
+    assert all((lang == "und") == (score == 0) for lang, score in got.values())
+
+
+def test_language_forward_pass(spark, frame):
+    """Probabilities by a plain re-statement of the network."""
+    model = langid.train(spark.read.parquet(f"{SF}/documents.parquet"), F.lit(True), per_lang=60)
+    texts = ["the words of a text " * 30, "de la", "é"]
+
+    def window(raw):
+        feats = []
+        for k, w in enumerate(langid.WIDTHS):
+            best = np.zeros(langid.FILTERS)
+            for at in range(langid.WINDOW - w + 1):
+                v = model.bias[k] + sum(model.tables[k][j][raw[at + j]] for j in range(w))
+                best = np.maximum(best, v)
+            feats.append(best)
+        z = np.concatenate(feats) @ model.dense + model.dense_bias
+        e = np.exp(z - z.max())
+        return e / e.sum()
+
+    got = {r["doc_id"]: r for r in langid.predict(frame(list(enumerate(texts))), model).collect()}
+    for k, t in enumerate(texts):
+        raw, total, size = t.encode(), 0, 0
+        for at in range(0, len(raw), langid.WINDOW):
+            part = raw[at:at + langid.WINDOW]
+            total = total + window(part.ljust(langid.WINDOW, b"\0")) * len(part)
+            size += len(part)
+        p = total / size
+        assert got[k]["lang_pred"] == model.classes[p.argmax()]
+        assert got[k]["score"] == pytest.approx(p.max(), abs=1e-3)
+
+
 def test_language_gradients():
     """The filters learn: training lowers the loss on separable windows."""
     rng = np.random.default_rng(0)
@@ -202,6 +242,45 @@ def test_toxicity_gradients_by_parts(monkeypatch):
         assert np.allclose(v, whole[name], atol=1e-5), name
 
 
+def test_cotraining_forward_pass(spark):
+    """The final score by a plain re-statement: both views' calibrated log-odds added."""
+    import math
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    lab = spark.read.parquet(f"{SF}/labels.parquet")
+    model = cotrain.train(docs, lab, per_class=60, pool=40)
+    rows = docs.limit(25).collect()
+
+    def calibrated(platt, z):
+        return 1 / (1 + math.exp(-(platt.a * z + platt.b)))
+
+    def odds(p):
+        return math.log(p / (1 - p))
+
+    got = {r["doc_id"]: r for r in cotrain.score(docs, model).collect()}
+    for r in rows:
+        (slots, shares), = ngrams.rows([r["text"]])
+        text, platt = model.text
+        pt = calibrated(platt, sum(float(text.w[s]) * v for s, v in zip(slots, shares)) + text.b)
+        meta, platt = model.meta
+        slots, n = cotrain.metadata_row(r["lang"], r["source"], r["n_chars"])
+        pm = calibrated(platt, sum(float(meta.w[s]) * v for s, v in zip(slots, n)) + meta.b)
+        z = odds(pt) + odds(pm) - 2 * odds(model.prior) + model.base
+        own = got[r["doc_id"]]
+        assert own["text_score"] == pytest.approx(pt, abs=1e-4)
+        assert own["metadata_score"] == pytest.approx(pm, abs=1e-4)
+        assert own["score"] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-4)
+
+
+def test_cotraining_prior_ignores_held_out_labels(spark):
+    """Turned labels of held-out rows change nothing."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    lab = spark.read.parquet(f"{SF}/labels.parquet")
+    turned = lab.withColumn("quality", F.when(cotrain.held_out(F.col("doc_id")), F.lit(0))
+                            .otherwise(F.col("quality")))
+    a, b = (cotrain.train(docs, x, per_class=60, pool=40) for x in (lab, turned))
+    assert a.base == b.base and (a.text[0].w == b.text[0].w).all()
+
+
 def test_cotraining_looks_at_all_unlabelled_documents(spark):
     """A source far behind in the order of hashes is labelled and learned too."""
     texts, y = toxic_sample(600)

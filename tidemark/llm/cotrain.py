@@ -10,7 +10,7 @@ fitted and calibrated on labelled rows that they do not learn from; then every
 unlabelled document is scored in tasks by both, and each view labels those it is
 surest of (``SURE``), taken in turn from every source and language. They join the
 *other* view's training rows with that label; only they reach the driver, at most
-``EACH_ROUND`` a label, view and round and at most ``pool`` rows a round. At the
+``each_round`` a label, view and round and at most ``pool`` rows a round. At the
 end the calibrated log-odds of both views, less the sample's, are added to those
 of all labelled rows, and all documents are scored.
 
@@ -27,6 +27,7 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -44,16 +45,22 @@ from tidemark.llm.sample import Records, Some, bring, in_order
 META_BITS = 14
 ROUNDS = 4
 SURE = 0.95
-EACH_ROUND = 200
 THRESHOLD = 0.5
 #: Who labels, and how.
 KINDS = (("text", 1), ("text", 0), ("meta", 1), ("meta", 0))
 _COLUMNS = ["text", "lang", "source", "n_chars"]
 
 
+def size_class(n_chars) -> str:
+    return "-" if n_chars is None else str(int(math.log2(max(n_chars, 0) + 1) * 2))
+
+
 def metadata_row(lang, source, n_chars) -> tuple[np.ndarray, np.ndarray]:
     """Hashed slots of a document's metadata."""
-    size = "-" if n_chars is None else str(int(np.log2(max(n_chars, 0) + 1) * 2))
+    return _slots(lang, source, size_class(n_chars))
+
+
+def _slots(lang, source, size: str) -> tuple[np.ndarray, np.ndarray]:
     parts = (f"l{lang}", f"s{source}", f"n{size}", f"l{lang}|n{size}", f"s{source}|l{lang}")
     slots = [xxhash.xxh64_intdigest(p) >> (64 - META_BITS) for p in parts]
     got, n = np.unique(np.array(slots, np.int64), return_counts=True)
@@ -127,8 +134,11 @@ class CoTrained:
 
     def views(self, flat: Flat, meta: list) -> tuple[np.ndarray, np.ndarray]:
         """Probabilities of good quality by the text and the metadata view."""
+        kinds = [(lang, source, size_class(n)) for lang, source, n in meta]
+        known = {k: j for j, k in enumerate(dict.fromkeys(kinds))}  # scored once each
+        each = self.meta[1](self.meta[0].score([_slots(*k) for k in known]))
         return (self.text[1](ngrams.text_scores(flat, self.text[0])),
-                self.meta[1](self.meta[0].score([metadata_row(*m) for m in meta])))
+                each[[known[k] for k in kinds]])
 
     def scores(self, flat: Flat, meta: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probabilities of good quality: text view, metadata view, both."""
@@ -192,7 +202,7 @@ def surest_rows(docs: DataFrame, known: DataFrame, model: CoTrained, taken: dict
              .select("doc_id", F.explode(F.array(*(f"k{k}" for k in range(len(KINDS)))))
                      .alias("best")).where("best IS NOT NULL").select("doc_id", "best.*"))
     order = [F.desc("sure"), F.xxhash64("doc_id"), "doc_id"]
-    # Both windows keep each task's first rows before their shuffle (EACH_ROUND is small).
+    # Both windows keep each task's first rows before their shuffle (`each` is small).
     turn = Window.partitionBy("kind", "source", "lang").orderBy(*order)
     rank = Window.partitionBy("kind").orderBy("turn", *order)
     return (found.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= each)
@@ -200,11 +210,13 @@ def surest_rows(docs: DataFrame, known: DataFrame, model: CoTrained, taken: dict
             .select("kind", "doc_id", "key"))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 1200,
-          pool: int = 2000) -> CoTrained:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 1200, pool: int = 2000,
+          each_round: int = 200) -> CoTrained:
+    # Held-out rows count nowhere, not in the labels' shares either.
+    labels = labels.where(~held_out(F.col("doc_id")))
     docs = _with_metadata(docs).where(~held_out(F.col("doc_id")))
     known = labels.where(F.col("quality").isin(0, 1)).select("doc_id").distinct()
-    each = min(EACH_ROUND, max(1, pool // len(KINDS)))
+    each = min(each_round, max(1, pool // len(KINDS)))
     store, long = Records(ngrams.unpacked), ["slots", "shares"]
     labelled = bring(with_ngrams(labelled_sample(docs, labels, "quality", per_class, _COLUMNS)),
                      "sample", long, store)

@@ -19,7 +19,6 @@ language in alphabetical order.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,12 +28,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidemark.llm.flat import Flat, slices
+from tidemark.llm.sample import parts
 
 WINDOW = 128
 PASSAGE = 160
 WIDTHS = (2, 3, 4)
 FILTERS = 16
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def remainder(doc_id: Column, m: int) -> Column:
@@ -133,7 +132,7 @@ def byte_windows(flat: Flat) -> tuple[np.ndarray, np.ndarray]:
     return out.reshape(-1, WINDOW), first
 
 
-def train(docs: DataFrame, learnable: Column, per_lang: int = 1500) -> ByteCNN | None:
+def train(docs: DataFrame, learnable: Column, per_lang: int = 1504) -> ByteCNN | None:
     """A network from ``docs`` (``doc_id``, ``text``, ``lang``) where ``learnable``."""
     text, size = F.col("text").cast("string"), F.length(F.col("text").cast("string"))
 
@@ -146,9 +145,10 @@ def train(docs: DataFrame, learnable: Column, per_lang: int = 1500) -> ByteCNN |
             .select(F.col("lang").cast("string").alias("lang"),
                     F.xxhash64("doc_id").alias("h"), passage(1).alias("a"),
                     passage(2).alias("b")))
-    first = Window.partitionBy("lang").orderBy("h", "a")
-    got = (rows.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_lang)
-           .select("lang", "a", "b").collect())
+    # Each task keeps its first rows of a part before the shuffle, which knows no hot key.
+    first = Window.partitionBy("lang", F.pmod("h", F.lit(parts(per_lang)))).orderBy("h", "a")
+    got = (rows.withColumn("nth", F.row_number().over(first))
+           .where(F.col("nth") <= per_lang // parts(per_lang)).select("lang", "a", "b").collect())
     if not got:
         return None
     got.sort()
@@ -204,7 +204,7 @@ def _predicted(texts: pa.Array, net: ByteCNN | None) -> tuple[list[str], np.ndar
     total /= np.maximum(total.sum(axis=1, keepdims=True), 1e-9)
     best = total.argmax(axis=1)
     for i, t in enumerate(texts.to_pylist()):
-        if _LETTER.search(t):
+        if any(map(str.isalpha, t)):  # a letter in Unicode's sense, as the training's
             lang[i] = net.classes[best[i]]
             score[i] = min(total[i, best[i]], 1.0)
     return lang, score

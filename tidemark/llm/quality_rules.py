@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import ngrams
 from tidemark.llm.flat import Flat, rolling, runs_inside, slices
-from tidemark.llm.sample import Records, Some, bring, in_order
+from tidemark.llm.sample import Records, Some, bring, in_order, parts
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -88,9 +88,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     known = (docs.where(F.col("doc_id").isNotNull()).select("doc_id")
              .join(labels.where(F.col(label).isin(0, 1))
                    .select("doc_id", F.col(label).cast("int").alias("_y")), "doc_id").distinct())
-    rank = Window.partitionBy("_y").orderBy(F.xxhash64("doc_id"), "doc_id")
+    # A label's rows are ranked in parts by hash; each task keeps its first ones of a part
+    # before the shuffle. So no label is a hot key.
+    rank = Window.partitionBy("_y", F.pmod(F.xxhash64("doc_id"), F.lit(parts(per_class)))).orderBy(
+        F.xxhash64("doc_id"), "doc_id")
     chosen = (known.withColumn("_nth", F.row_number().over(rank))
-              .where(F.col("_nth") <= per_class).select("doc_id", "_y"))
+              .where(F.col("_nth") <= per_class // parts(per_class)).select("doc_id", "_y"))
     one = Window.partitionBy("doc_id", "_y").orderBy(*columns)
     return (docs.select("doc_id", *columns)
             .join(F.broadcast(chosen), "doc_id")  # at most 2 * per_class rows
@@ -144,7 +147,7 @@ class Quality:
         return self.platt(ngrams.text_scores(flat, self.model))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> Quality:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 1504) -> Quality:
     rows = Records(ngrams.unpacked)
     got = bring(with_ngrams(labelled_sample(docs, labels, "quality", per_class, ["text"])),
                 "sample", ["slots", "shares"], rows)

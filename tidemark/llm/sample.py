@@ -16,6 +16,17 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import discard, save
 
 
+#: A label's rows are ranked in so many parts at most, each by itself.
+PARTS = 16
+
+
+def parts(bound: int) -> int:
+    """Parts for a sample of ``bound`` rows: its first ``bound // parts`` rows by hash of
+    each part make the sample. No task sorts all rows of a label, and tasks drop what
+    cannot be chosen before the shuffle."""
+    return min(PARTS, max(1, bound // 60))
+
+
 class Records(Sequence):
     """Byte records in a file; ``read`` makes an item of a record's parts."""
 

@@ -306,7 +306,7 @@ class BiGRU:
 
 
 def train(docs: DataFrame, labels: DataFrame, learnable: Column,
-          per_class: int = 1000) -> BiGRU | None:
+          per_class: int = 1008) -> BiGRU | None:
     """A calibrated network from labelled rows where ``learnable``, or None.
 
     The sample holds both labels alike; the calibration is moved to their shares
