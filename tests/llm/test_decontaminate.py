@@ -75,10 +75,48 @@ def test_blocks_miss_no_pair_within_the_radius(spark):
             f ^= 1 << b
         return f - (1 << 64) if f >> 63 else f
 
-    items = [(k, 10, rng.getrandbits(63)) for k in range(4)]
-    wins = [(n, 10, far(items[n % 4][2], n)) for n in range(40)]
-    i = spark.createDataFrame(items, "item_id long, size int, item_fp long")
-    w = spark.createDataFrame(wins, "content long, size int, fp long")
+    items = [(k, rng.getrandbits(63)) for k in range(4)]
+    wins = [(n % 4, n, far(items[n % 4][1], n)) for n in range(40)]
+    i = spark.createDataFrame(items, "item_id long, item_fp long")
+    w = spark.createDataFrame(wins, "item_id long, content long, fp long")
     got = {(r["content"], r["item_id"]) for r in decontaminate.block_join(w, i, 23).collect()}
-    assert got == {(c, k) for c, _, f in wins for k, _, g in items
-                   if ((f ^ g) % 2 ** 64).bit_count() <= 23}
+    assert got == {(n, n % 4) for n in range(24)}
+
+
+def test_near_threshold_passages_and_candidates(spark, frame, monkeypatch):
+    """Passages just over the threshold are all found, and no window meets an item that
+    it shares nothing with: pairs grow with the passages, not with windows times items."""
+    rng = random.Random(9)
+    items = [(k, " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(60))) for k in range(60)]
+    docs = []
+    for d in range(400):
+        w = [f"x{rng.randrange(10 ** 6)}" for _ in range(40)]
+        v = split(items[d % 60][1])
+        v[rng.randrange(6, 54)] = "zzz"  # five of 56 shingles go: similarity 51 / 61
+        if d % 3 == 0:
+            v[0] = "yyy"  # one more: 50 / 62
+        w[20:20] = v
+        docs.append((d, " ".join(w)))
+    seen = []
+    real = decontaminate.block_join
+    monkeypatch.setattr(decontaminate, "block_join", lambda w, i, r: seen.append(
+        (w.count(), i.count())) or real(w, i, r))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in
+           decontaminate.contaminated(frame(docs), bench).collect()}
+    expected = set(brute(docs, items))
+    assert len(expected) == 400 and len(got & expected) >= 0.99 * len(expected)
+    assert got <= expected
+    (windows, n_items), = seen  # a window's row names its item: one pair of sixty at most
+    assert n_items == 60 and windows <= 15 * len(docs)
+
+
+def test_marks_drop_shingles_that_no_item_has(spark):
+    own = spark.range(1000).selectExpr("xxhash64(id) AS s")
+    marks, longs = decontaminate._marked(own)
+    from pyspark.sql import functions as F
+    hit = F.getbit(F.get(marks, decontaminate._long(F.col("s"), longs)),
+                   F.col("s").bitwiseAND(F.lit(63)).cast("int")) == 1
+    assert own.where(hit).count() == 1000
+    assert spark.range(10 ** 6, 10 ** 6 + 20_000).selectExpr("xxhash64(id) AS s").where(
+        hit).count() < 2500

@@ -14,12 +14,14 @@ fewer words is one shingle); a shingle's weight is how often it occurs.
 3. Multi-index Hamming blocks: fingerprints within ``radius`` (23) bits agree on
    one of eight 8-bit blocks up to ``radius // 8`` (2) bits, so items are listed
    under all block values that near and windows under their own: no pair within
-   the radius is missed. At similarity 0.8 the expected distance is under 10
-   bits, far within the radius.
+   the radius is missed. At similarity 0.8 the distance is 10 bits on average with a
+   deviation of 3, so the radius lies over four deviations off. Blocks of a radius that
+   wide select little by themselves; the anchors' item is part of the key, so a window
+   meets the items it shares shingles with and no others.
 4. Candidates are verified by exact weighted similarity,
    sum of least weights / sum of greatest weights >= ``similarity``.
 
-Equal windows are joined once by content and dealt back to their documents, so
+Equal windows of an item are compared once by content and dealt back to their documents, so
 a passage in a third of all documents is compared once.
 
 Defined cases: null or wordless texts and items match nothing; repeated rows
@@ -82,8 +84,8 @@ def _block(fp: Column, k: int) -> Column:
 
 
 def block_join(windows: DataFrame, items: DataFrame, radius: int) -> DataFrame:
-    """Pairs of ``windows`` and ``items`` of one ``size`` whose ``fp`` / ``item_fp``
-    differ in at most ``radius`` bits."""
+    """``windows`` (``item_id``, ``content``, ``fp``) whose ``fp`` differs in at most ``radius``
+    bits from the ``item_fp`` of the item that anchored them."""
     near = radius // _BLOCKS
     masks = [sum(1 << b for b in bits) for n in range(near + 1)
              for bits in combinations(range(_BITS), n)]
@@ -95,13 +97,29 @@ def block_join(windows: DataFrame, items: DataFrame, radius: int) -> DataFrame:
         return df.select("*", F.explode(F.array(*keys)).alias("_b")).select(
             *df.columns, "_b.block", "_b.value")
 
-    keys = listed(windows.select("size", "content", "fp"), "fp", [0])
-    probes = listed(items.select("size", "item_id", "item_fp"), "item_fp", masks)
-    return (keys.join(probes, ["size", "block", "value"])
-            .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
-            .select("size", "content", "item_id",
-                    F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))).alias("bits"))
-            .distinct())
+    keys = listed(windows.select("item_id", "content", "fp"), "fp", [0])
+    probes = listed(items.select("item_id", "item_fp"), "item_fp", masks)
+    bits = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
+    return (keys.join(probes, ["item_id", "block", "value"]).where(bits <= radius)
+            .select("item_id", "content", bits.alias("bits")).distinct())
+
+
+def _marked(shingles: DataFrame) -> tuple[Column, int]:
+    """A bit for each hash of ``shingles`` (``s``) as an array of longs, and how many longs:
+    16 bits a shingle, 8 MB at most."""
+    n = shingles.count()
+    longs = 1 << min(max(n, 64).bit_length(), 20) - 2
+    bit = F.expr("shiftleft(1L, cast(s & 63 AS int))")
+    words = shingles.groupBy(_long(F.col("s"), longs).alias("k")).agg(F.bit_or(bit).alias("w"))
+    spark = shingles.sparkSession
+    every = spark.range(longs).select(F.col("id").cast("int").alias("k")).join(words, "k", "left")
+    row = F.array_sort(F.collect_list(F.struct("k", F.coalesce("w", F.lit(0).cast("long")).alias("w"))))
+    return save(every.agg(row.alias("r")).select(F.transform("r", lambda x: x["w"]).alias("w")),
+                "marks").scalar(), longs
+
+
+def _long(s: Column, longs: int) -> Column:
+    return F.shiftrightunsigned(s, 6).bitwiseAND(F.lit(longs - 1).cast("long")).cast("int")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, shingle: int = 5,
@@ -129,9 +147,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, shingle: int = 5,
         own = items.where(F.col("k") == k)
         probe = own.select(F.explode(F.array_distinct("item_shingles")).alias("s"), "item_id",
                            "size", F.size("item_shingles").alias("n"))
+        marks, longs = _marked(probe.select("s").distinct())
+        # The marks drop nearly all shingles before a join that may have to shuffle them.
+        may = F.getbit(F.get(marks, _long(F.col("s"), longs)),
+                       F.col("s").bitwiseAND(F.lit(63)).cast("int")) == 1
         at = (hashed.select("doc_id", "th", F.size("h").alias("len"),
                             F.posexplode(shingle_hashes(F.col("h"), k)).alias("p", "s"))
-              .join(probe, "s"))
+              .where(may).join(probe, "s"))
         per = (at.groupBy("doc_id", "th", "len", "item_id", "size", "n")
                .agg(F.sort_array(F.collect_set("p")).alias("p")))
         least = F.when(F.col("len") >= F.col("size"),
@@ -145,14 +167,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, shingle: int = 5,
             F.greatest(x - (F.col("n") - F.col("need")), F.lit(0)), x)))
         begin = F.when(F.col("len") >= F.col("size"), F.filter(
             begin, lambda s: s + F.col("size") <= F.col("len"))).otherwise(F.array(F.lit(0)))
-        part = per.select("doc_id", "th", F.lit(k).alias("k"), "size",
+        part = per.select("doc_id", "th", F.lit(k).alias("k"), "item_id", "size",
                           F.explode(F.array_distinct(begin)).alias("start"))
         starts = part if starts is None else starts.unionByName(part)
     if starts is None:
-        starts = hashed.limit(0).select("doc_id", "th", F.lit(1).alias("k"),
-                                        F.lit(1).alias("size"), F.lit(0).alias("start"))
+        starts = hashed.limit(0).crossJoin(items.limit(0).select("item_id")).select(
+            "doc_id", "th", F.lit(1).alias("k"), "item_id", F.lit(1).alias("size"),
+            F.lit(0).alias("start"))
     listed = save(starts.groupBy("doc_id", "th").agg(
-        F.collect_set(F.struct("k", "size", "start")).alias("at")), "starts")
+        F.collect_set(F.struct("k", "item_id", "size", "start")).alias("at")), "starts")
 
     # 2. Fingerprints of the windows, once for each content.
     same = [F.col("d.doc_id").eqNullSafe(F.col("a.doc_id")), F.col("d.th") == F.col("a.th")]
@@ -162,22 +185,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, shingle: int = 5,
                                                F.col("at.size")).alias("h")))
     shingles = F.coalesce(*(F.when(F.col("k") == k, shingle_hashes(F.col("h"), k))
                             for k in sizes or [1]))
-    found = found.select("doc_id", "size", "start", F.size("h").alias("n_words"),
+    found = found.select("doc_id", "item_id", "start", F.size("h").alias("n_words"),
                          shingles.alias("shingles"))
     found = save(found.withColumn("content", F.xxhash64("shingles")), "windows")
-    contents = found.groupBy("size", "content").agg(F.first("shingles").alias("shingles"))
+    contents = found.groupBy("item_id", "content").agg(F.first("shingles").alias("shingles"))
     contents = save(contents.withColumn("fp", simhash(F.col("shingles"))), "contents")
 
     # 3. and 4. Blocks find the candidates, the weighted shingles decide.
     pairs = block_join(contents, items, radius)
-    checked = (pairs.join(contents.select("size", "content", "shingles"), ["size", "content"])
+    checked = (pairs.join(contents.select("item_id", "content", "shingles"),
+                          ["item_id", "content"])
                .join(items.select("item_id", "item_shingles"), "item_id")
                .withColumn("similarity",
                            weighted_similarity(F.col("shingles"), F.col("item_shingles")))
                .where(F.col("similarity") >= similarity)
-               .select("size", "content", "item_id", "bits", "similarity"))
-    hits = found.select("doc_id", "size", "content", "start", "n_words").join(
-        checked, ["size", "content"])
+               .select("item_id", "content", "bits", "similarity"))
+    hits = found.select("doc_id", "item_id", "content", "start", "n_words").join(
+        checked, ["item_id", "content"])
     best = F.max(F.struct("similarity", (-F.col("start")).alias("before"), "n_words", "bits"))
     return (hits.groupBy("doc_id", "item_id").agg(best.alias("b"))
             .select("doc_id", "item_id", "b.similarity", "b.bits",
