@@ -52,3 +52,17 @@ def test_staged_tables_are_new_and_discarded(spark):
     drop_b()
     import os
     assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
+
+
+def test_the_callers_time_zone_stays(spark):
+    from tidemark.session import tune
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert tune(spark).conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+        spark.conf.unset("spark.sql.session.timeZone")
+        other = spark.newSession()
+        other.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert tune(other).conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

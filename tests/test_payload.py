@@ -2,11 +2,13 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.sources.payload import (
     build_payload_pages,
     explode_payload,
     parse_payload_text,
+    parse_points,
     payload_rejects,
     read_payload_files,
 )
@@ -55,3 +57,33 @@ def test_build_pages_round_trip(spark):
                                 page_col="page", order_col="id")
     back = explode_payload(parse_payload_text(pages, "body"), keep_cols=["series"])
     assert sorted(r["value"] for r in back.collect()) == ["0", "1", "2", "3", "4"]
+
+
+def test_points_are_judged_one_by_one(spark):
+    docs = {
+        "mixed": {"response": {"data": [
+            {"period": "2024-01-01", "value": "3.1"}, "stray", {"period": 7, "value": "1"},
+            {"value": "2"}, {"period": "2024-01-08", "value": {"v": 1}}, None,
+            {"period": "2024-01-15", "value": 4.5}, {"period": "2024-01-22", "value": None},
+            {"period": "2024-01-29"}, {"period": None, "value": "1"}, {"period": "", "value": "x"}]}},
+        "no list": {"response": {"data": "none"}}, "null list": {"response": {"data": None}},
+        "no data": {"response": {}}, "no response": {}, "empty": {"response": {"data": []}},
+        "other": [1, 2]}
+    rows_in = [(k, json.dumps(v)) for k, v in docs.items()] + [("broken", '{"response": {"da'),
+                                                               ("null", None), ("blank", "")]
+    df = spark.createDataFrame(rows_in, "series string, body string")
+    got = parse_points(df.withColumn("pos", F.lit("clash")).drop("pos"), "body", ["series"])
+    by = {}
+    for r in got.collect():
+        by.setdefault(r["series"], []).append((r["pos"], r["period"], r["value"], r["reject"]))
+    assert sorted(by.pop("mixed")) == [
+        (0, "2024-01-01", "3.1", None), (1, None, None, "point"), (2, "7", "1", "period"),
+        (3, None, "2", "period"), (4, "2024-01-08", '{"v":1}', "value"), (5, None, None, "point"),
+        (6, "2024-01-15", "4.5", None), (7, "2024-01-22", None, None), (8, "2024-01-29", None, None),
+        (9, None, "1", "period"), (10, "", "x", None)]
+    assert {k: v[0][3] for k, v in by.items()} == {
+        "no list": "list", "broken": "document", "blank": "document"}
+    # Good documents: the same points as by the fixed schema.
+    good = spark.createDataFrame([("a", json.dumps(DOC))], "series string, body string")
+    assert rows(parse_points(good, "body", ["series"]).drop("reject")) == rows(
+        explode_payload(parse_payload_text(good, "body"), ["series"]))

@@ -39,6 +39,7 @@ from tidemark.sources.payload import (
     build_payload_pages,
     explode_payload,
     parse_payload_text,
+    parse_points,
     payload_rejects,
     read_payload_files,
 )
@@ -300,6 +301,24 @@ def _payload_files(s, d) -> DataFrame:
     return points.unionByName(rejects)
 
 
+def _payload_points(s, d) -> DataFrame:
+    """Documents with strays among their points and values of another shape, and documents
+    cut short: each point judged by itself, counted by series and reason."""
+    pts = fx.points_dirty(s, d).withColumn("page", F.floor(F.col("event_id") / fx.PAYLOAD_PAGE))
+    entry = (F.when(F.col("event_id") % 11 == 3, F.lit('"stray"'))
+             .when(F.col("event_id") % 13 == 5, F.to_json(F.struct(
+                 "period", F.struct(F.lit(1).alias("v")).alias("value"))))
+             .otherwise(F.to_json(F.struct("period", "value"))))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("event_id", entry.alias("e")))),
+                         lambda x: x["e"])  # a page is a range of ids: its size is bounded
+    body = F.concat(F.lit('{"response":{"data":['), F.array_join(listed, ","), F.lit("]}}"))
+    pages = pts.groupBy("series", "page").agg(body.alias("body"))
+    cut = F.when(F.col("page") % 7 == 0, F.expr("left(body, length(body) - 3)")).otherwise(F.col("body"))
+    points = parse_points(pages.select("series", cut.alias("body")), "body", ["series"])
+    return (points.groupBy("series", F.coalesce("reject", F.lit("ok")).alias("kind"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def _ohlcv_dirty(s, d) -> DataFrame:
     bars = weekly_bars(fx.ticks_dirty(s, d), key_cols=["ticker"], time_col="day",
                        price_col="p", volume_col="n", places=None)
@@ -409,6 +428,7 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fx.points_dirty(s, d), period_col="period", value_col="value", keep_cols=["series"],
     ).withColumn("period", F.col("period").try_cast("date")),
     "payload_files": _payload_files,
+    "payload_points": _payload_points,
     "ohlcv_dirty": _ohlcv_dirty,
     "stage_typed": _stage_typed,
     "publish_readback": _readback,
@@ -957,6 +977,13 @@ SELECT series, 'point' AS kind, count(*) AS n FROM fx_points_dirty
 WHERE (event_id // {fx.PAYLOAD_PAGE}) % 7 <> 0 GROUP BY series
 UNION ALL
 SELECT series, 'reject', count(DISTINCT event_id // {fx.PAYLOAD_PAGE}) FROM fx_points_dirty
+WHERE (event_id // {fx.PAYLOAD_PAGE}) % 7 = 0 GROUP BY series""",
+    "payload_points": W(O.FX_POINTS, O.FX_POINTS_DIRTY) + f"""
+SELECT series, CASE WHEN event_id % 11 = 3 THEN 'point' WHEN period IS NULL THEN 'period'
+  WHEN event_id % 13 = 5 THEN 'value' ELSE 'ok' END AS kind, count(*) AS n
+FROM fx_points_dirty WHERE (event_id // {fx.PAYLOAD_PAGE}) % 7 <> 0 GROUP BY 1, 2
+UNION ALL
+SELECT series, 'document', count(DISTINCT event_id // {fx.PAYLOAD_PAGE}) FROM fx_points_dirty
 WHERE (event_id // {fx.PAYLOAD_PAGE}) % 7 = 0 GROUP BY series""",
     "ohlcv_dirty": W(O.FX_DAILY, O.FX_TICKS_DIRTY) + f"""SELECT {WEEK('day')} AS week_date, ticker,
   {R('arg_min(p, day) FILTER (WHERE p IS NOT NULL)')} AS open, {R('max(p)')} AS high,

@@ -57,8 +57,9 @@ def tune(spark: SparkSession) -> SparkSession:
         if not spark.conf.isModifiable(k) or spark.conf.get(k, None) is not None:
             continue
         spark.conf.set(k, v)
-    # Weeks and days are cut in UTC, unless the caller has chosen a zone.
-    if not spark.sparkContext.getConf().contains("spark.sql.session.timeZone"):
+    # Weeks and days are cut in UTC, unless the caller has chosen a zone, in the context's
+    # settings or on the session.
+    if not spark._jsparkSession.sessionState().conf().contains("spark.sql.session.timeZone"):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 

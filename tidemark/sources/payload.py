@@ -88,6 +88,49 @@ def payload_rejects(df: DataFrame, keep_cols: Sequence[str] = ()) -> DataFrame:
         *keep_cols, "_corrupt_record")
 
 
+def parse_points(df: DataFrame, body_col: str, keep_cols: Sequence[str] = ()) -> DataFrame:
+    """Points of JSON documents, each judged by itself: keep_cols, pos, period, value, reject.
+
+    A document is read as it is (VARIANT), so one bad point takes no other with it. ``reject``
+    is NULL for a point that can be used, else the reason:
+
+    * ``document``: the text is no JSON (one row, ``pos`` NULL);
+    * ``list``: ``response.data`` is there but no list (one row, ``pos`` NULL);
+    * ``point``: the entry is no object;
+    * ``period``: its period is missing, NULL or no string;
+    * ``value``: its value is a list or an object.
+
+    A missing level, an empty list or a NULL text gives no rows; a missing or NULL value is no
+    error, as in :func:`explode_payload`. Values that are no numbers are left to the shaping
+    steps. Purely a per-row operation (no shuffle).
+    """
+    docs = df.select(*keep_cols, F.col(body_col).alias("_body"),
+                     F.try_parse_json(body_col).alias("_doc"))
+    data = F.try_variant_get("_doc", "$.response.data", "variant")
+    listed = F.try_variant_get("_doc", "$.response.data", "array<variant>")
+    empty = F.array().cast("array<struct<pos:int,p:variant,whole:string>>")
+    entries = F.transform(listed, lambda p, i: F.struct(
+        i.alias("pos"), p.alias("p"), F.lit(None).cast("string").alias("whole")))
+
+    def whole(reason):
+        return F.array(F.struct(F.lit(None).cast("int").alias("pos"),
+                                F.lit(None).cast("variant").alias("p"), F.lit(reason).alias("whole")))
+
+    rows = (F.when(F.col("_body").isNotNull() & F.col("_doc").isNull(), whole("document"))
+            .when(listed.isNotNull(), entries)
+            .when(data.isNotNull() & ~F.is_variant_null(data), whole("list")).otherwise(empty))
+    points = docs.select(*keep_cols, F.inline(rows))
+    kind = F.schema_of_variant("p")
+    period, value = (F.try_variant_get("p", f"$.{k}", "variant") for k in ("period", "value"))
+    reject = (F.when(F.col("whole").isNotNull(), F.col("whole"))
+              .when(~F.coalesce(kind.startswith("OBJECT"), F.lit(False)), F.lit("point"))
+              .when(F.coalesce(F.schema_of_variant(period), F.lit("VOID")) != "STRING", F.lit("period"))
+              .when(F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)"), F.lit("value")))
+    return points.select(
+        *keep_cols, "pos", F.try_variant_get("p", "$.period", "string").alias("period"),
+        F.try_variant_get("p", "$.value", "string").alias("value"), reject.alias("reject"))
+
+
 def build_payload_pages(points: DataFrame, *, series_col: str, page_col: str,
                         order_col: str) -> DataFrame:
     """Nest (series, page, period, value) rows into payload documents.
