@@ -185,11 +185,13 @@ def forecast_pooled(train: DataFrame, *, series_col: str = "series",
     before the result is asked for.
     """
     w = Window.partitionBy(series_col).orderBy(time_col)
-    back = Window.partitionBy(series_col).orderBy(F.col(time_col).desc())
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     y = F.col(target_col)
+    # The place from the end without a second sort; both uses of `base` read one exchange.
+    back = F.count(F.lit(1)).over(whole) - F.row_number().over(w) + 1
     x = y - F.avg(y).over(w.rowsBetween(1 - POOLED_MEAN, Window.currentRow))
     base = train.filter(y.isNotNull()).select(
-        series_col, time_col, y.alias("y"), x.alias("x"), F.row_number().over(back).alias("rd"),
+        series_col, time_col, y.alias("y"), x.alias("x"), back.alias("rd"),
         *[(F.lead(y, h).over(w) - y).alias(f"l{h}") for h in range(1, horizon + 1)])
     old = F.col("rd") > 3 * horizon
     held = (F.col("rd") > horizon) & (F.col("rd") <= 2 * horizon)
