@@ -379,7 +379,9 @@ def variant(rng: random.Random, blocks: list[str], others: list[str]) -> str:
             items = "".join(f'<li><a href="/x">{t}</a></li>' for t in short(rng.randint(2, 9)))
             inside = f"<ul>{items}</ul>"
         elif role == "header":
-            inside = f"<h1><a href='/'>{short(1)[0]}</a></h1><p>{short(1)[0]}</p>"
+            inside = rng.choice(("<h1><a href='/'>{}</a></h1><p>{}</p>", "<h1>{}</h1><p>{}</p>",
+                                 "<h1>{}</h1><ul><li><a href='/'>{}</a></li></ul>", "<h2>{}</h2>{}",
+                                 "<a href='/'>{}</a> {}")).format(*short(2))
         elif role == "footer":
             inside = f"&copy; {short(1)[0]} &middot; " + rng.choice(some(1, 1))
         elif role == "sidebar":
@@ -395,7 +397,8 @@ def variant(rng: random.Random, blocks: list[str], others: list[str]) -> str:
                 for t in some(1, 5))
             inside = f"<h3>{short(1)[0]}</h3>" + inside
         else:
-            inside = rng.choice(("<p>{}</p>", "{}", "<a href='/x'>{}</a>")).format(some(1, 1)[0])
+            said = rng.choice((some, lambda a, b: short(1)))(1, 1)[0]
+            inside = rng.choice(("<p>{}</p>", "{}", "<a href='/x'>{}</a>")).format(said)
         return _box(rng, role, inside, "data-other")
 
     body = []
@@ -418,7 +421,7 @@ def variant(rng: random.Random, blocks: list[str], others: list[str]) -> str:
         else:
             body.append(rng.choice(("<p>{}</p>",) * 8 + ("<p>{}", "<div>{}</div>", "<h2>{}</h2>",
                         "<blockquote>{}</blockquote>", "<ul><li>{}</li></ul>", "<pre>{}</pre>")).format(t))
-    for role in ("ad", "sidebar", "notice", "share", "form"):
+    for role in ("ad", "ad", "sidebar", "notice", "share", "form"):
         if rng.random() < 0.25:
             body.insert(rng.randint(0, len(body)), part(role))
     if rng.random() < 0.3:
@@ -462,7 +465,7 @@ def fit(examples: list[tuple[Page, np.ndarray]], *, epochs: int = 40, batch: int
     return model
 
 
-def train(pages: DataFrame, *, n_pages: int = 240, n_variants: int = 3, seed: int = 7) -> Model | None:
+def train(pages: DataFrame, *, n_pages: int = 240, n_variants: int = 5, seed: int = 7) -> Model | None:
     """The model learned from at most ``n_pages`` different labelled ``pages`` (``html``) and
     ``n_variants`` layouts of each; None if no page is labelled."""
     rows = pages.select(F.col("html").cast("string").alias("html")).where(
