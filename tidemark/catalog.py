@@ -29,7 +29,7 @@ from tidemark.operators.volatility import DIRECTION_LABELS, VOLATILITY_LABELS, p
 from tidemark.operators.margin import MARGIN_LABELS
 from tidemark.plans import history as H
 from tidemark.plans.joins import dimension
-from tidemark.plans.ordering import chunked
+from tidemark.plans.ordering import chunked, read_in_order, write_ordered
 from tidemark.plans.publish import append_run, publish, read_version, replace_view
 from tidemark.plans.upsert import keyed_upsert, stage
 from tidemark.schemas import MARKET, MARKET_KEY, NATIONAL, NATIONAL_KEY, REGIONAL, REGIONAL_KEY
@@ -191,6 +191,13 @@ def long_series(spark, d) -> DataFrame:
         round_half_away(c, 4).alias(c) for c in ("mean_52", "sd_12", "change", "highest")))
 
 
+def spread_in_order(spark, d) -> DataFrame:
+    """The regional model as ordered files, and each row's place in them."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ordered/{uuid.uuid4().hex}"
+    write_ordered(regional_model(spark, d), path, ["week_date", "region"])
+    return read_in_order(spark, path).select("row_no", "week_date", "region", "price_spread")
+
+
 def national_forecast(spark, d) -> DataFrame:
     train = FC.training_set(fx.fuel_weekly(spark, d), series_col="region",
                             time_col="week_date", target_col="regular")
@@ -446,6 +453,7 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         other_cols=(), retail_keys=("series",)),
     "final_many": _final_many,
     "region_spread_many": many_model,
+    "region_spread_ordered": spread_in_order,
     "series_rank": lambda s, d: RP.series_ranking(many_model(s, d), region_col="series"),
     "price_box": lambda s, d: RP.box_stats_unbounded(
         read_table(s, d, "orders", ["o_orderpriority", "o_totalprice"]),
@@ -1012,6 +1020,9 @@ FROM fx_fuel_dirty WHERE regular IS NOT NULL{NATIONAL_ONLY}""",
         + "SELECT * EXCLUDE (diesel) FROM crude",
     "final_many": _final_many_sql(),
     "region_spread_many": W(O.FX_FUEL, O.FX_MANY, MANY_SPREAD) + "SELECT * FROM rm",
+    "region_spread_ordered": W(O.FX_FUEL, O.FX_REGIONAL, sql_regcmp()) + """SELECT
+  row_number() OVER (ORDER BY week_date, region) - 1 AS row_no, week_date, region, price_spread
+FROM rc""",
     "series_rank": W(O.FX_FUEL, O.FX_MANY, MANY_SPREAD) + f"""SELECT *,
   1 + (SELECT count(*) FROM g o WHERE o.avg_spread_pct > g.avg_spread_pct
        OR (g.avg_spread_pct IS NULL AND o.avg_spread_pct IS NOT NULL)) AS spread_rank

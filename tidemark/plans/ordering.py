@@ -12,14 +12,15 @@ also bounds what a hot value costs.
 
 On it rest exact quantiles (:func:`exact_quantiles`), ranks (:func:`ranked`) and rolling
 windows over series too long for a task (:func:`chunked`). :func:`write_ordered` writes a table
-whose files, read in order of their names, are in order (C5).
+whose files, read in order of their names, are in order (C5); :func:`read_in_order` numbers
+its rows by that order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import staged
@@ -149,11 +150,30 @@ def chunked(df: DataFrame, series_cols: Sequence[str], time_col: str, *, rows_be
     return out.select(*df.columns, *windows)
 
 
-def write_ordered(df: DataFrame, path: str, order_cols: Sequence, *, files: int | None = None) -> None:
-    """Write ``df`` as files that follow each other in the order of ``order_cols``.
+def in_order(df: DataFrame, order_cols: Sequence, files: int | None = None) -> DataFrame:
+    """``df`` in partitions that follow each other in the order of ``order_cols``.
 
-    Ranges are sampled, so files are of like size; rows that are equal in all order
-    columns go to one file, so a last, unique column keeps a hot value from filling it.
+    Ranges are sampled, so partitions are of like size; rows that are equal in all order
+    columns go to one, so a last, unique column keeps a hot value from filling it.
     """
     n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols).write.parquet(path)
+    return df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+
+
+def write_ordered(df: DataFrame, path: str, order_cols: Sequence, *, files: int | None = None) -> None:
+    """Write ``df`` as files that follow each other in the order of ``order_cols``."""
+    in_order(df, order_cols, files).write.parquet(path)
+
+
+def read_in_order(spark: SparkSession, path: str, name: str = "row_no") -> DataFrame:
+    """A table of :func:`write_ordered` with each row's place in it, from 0: its place in
+    its file and the rows of the files before, whose names sort by their ranges."""
+    rows = spark.read.parquet(path).select(
+        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    # One row a file.
+    first = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("_file").alias("_of"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_first"))
+    return rows.join(first, F.col("_file") == F.col("_of")).select(
+        *(c for c in rows.columns if c not in ("_file", "_row")),
+        (F.col("_first") + F.col("_row")).cast("long").alias(name))

@@ -25,10 +25,13 @@ HDFS, object stores and local disk).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tidemark.plans.ordering import in_order
+
 
 class ConcurrentWrite(RuntimeError):
     """Another writer has committed this version."""
@@ -96,12 +99,14 @@ def version_path(spark: SparkSession, table_dir: str, version: int) -> str:
 
 
 def publish(df: DataFrame, table_dir: str, *, version: int | None = None,
-            partition_by=None) -> int:
+            partition_by=None, order_by: Sequence[str] = ()) -> int:
     """Write ``df`` as the next version (or as ``version``, which must not exist)
-    and return its number."""
+    and return its number. With ``order_by`` its files follow each other in that order."""
     spark = df.sparkSession
     root = table_dir.rstrip("/")
     folder = uuid.uuid4().hex
+    if order_by:
+        df = in_order(df, order_by)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str)

@@ -30,6 +30,12 @@ from tidemark.schemas import FINAL, FORECAST, METRICS, NATIONAL_KEY
 from tidemark.sources.shaping import conform
 
 
+#: What the published models are ordered by.
+MODEL_ORDER = {"price_moving_avg": ("week_date",), "price_volatility": ("week_date",),
+               "crude_correlation": ("week_date",),
+               "regional_comparison": ("week_date", "region")}
+
+
 class ChecksFailed(RuntimeError):
     def __init__(self, failed: list):
         super().__init__(f"{len(failed)} check(s) failed: {failed}")
@@ -73,7 +79,7 @@ def refresh_warehouse(spark: SparkSession, warehouse: str, *, national: DataFram
     models = build_models(pub["fuel_prices"], pub["regional_fuel_prices"],
                           pub["energy_market_prices"], crude_ticker=crude_ticker, scope=scope)
     for name, df in models.items():
-        versions[name] = publish(df, f"{root}/{name}")
+        versions[name] = publish(df, f"{root}/{name}", order_by=MODEL_ORDER[name])
         pub[name] = read_version(spark, f"{root}/{name}")
 
     report = CK.run_checks(pub, checks).withColumn("run_ts", F.lit(run_ts).cast("timestamp_ntz"))
