@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, langid, packing, secrets, simhash, tokens
-from tidemark.llm.common import documents, save
+from tidemark.llm.common import discard, documents, save
 
 #: A text's language is uncertain below this probability; the document goes.
 MIN_LANGUAGE_SCORE = 0.4
@@ -86,7 +86,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
         docs = save(stage(spark, docs, sf_dir), name)
+        if before is not None:  # what the next stage has read and written anew
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
