@@ -82,7 +82,7 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def flat_rows(rows: Sequence, size: int = 1 << 21) -> Iterator[tuple]:
+def flat_rows(rows: Sequence, size: int = 1 << 20) -> Iterator[tuple]:
     """``(which, row, slot, value)`` of consecutive rows of about ``size`` slots together."""
     part, n, first = [], 0, 0
     for k in range(len(rows)):
@@ -111,9 +111,10 @@ class Logistic:
         w, b = np.zeros(size), 0.0
         g2, gb2 = np.full(size, 1e-12), 1e-12
         few = list(islice(flat_rows(rows), 2))  # one part is kept, more are read each round
+        few = few if len(few) < 2 else None
         for _ in range(rounds):
             g, gb = l2 * w, 0.0
-            for which, row, slot, value in few if len(few) < 2 else flat_rows(rows):
+            for which, row, slot, value in flat_rows(rows) if few is None else few:
                 z = np.bincount(row, value * w[slot], which.stop - which.start) + b
                 err = (sigmoid(z) - y[which]) * weight[which]
                 g += np.bincount(slot, value * err[row], size)
