@@ -43,7 +43,7 @@ def test_registry_is_complete():
     # every query but those of the optional subpackage has a SQL twin
     own = {n for n in entry.queries() if n in entry.catalog.SPARK}
     assert own <= set(entry.oracle_sql())
-    assert len(own) == 51
+    assert len(own) == 65
 
 
 @pytest.mark.parametrize("name", sorted(entry.catalog.SQL))
